@@ -178,3 +178,287 @@ def q_kpi_high_net_worth(spark, sf_dir):
 def q_kpi_nbev(spark, sf_dir):
     from tontine.plans import kpi
     return kpi.kpi_nbev(spark, sf_dir, _act(spark, sf_dir).prem_std_real)
+
+
+@register("kpi_premium_growth_incremental")
+def q_kpi_premium_growth_incremental(spark, sf_dir):
+    """Current month total against the previous month's row read back from the KPI table."""
+    import os
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from tontine.functions.dates import month_shift
+    from tontine.plans import kpi
+    from tontine.sources.sinks import stage_dir, write_month
+    price = _act(spark, sf_dir).prem_std_real
+    prev = month_shift(CALC_MONTH, -1)
+    path = os.path.join(stage_dir(spark), f"app_agg_month_incre_rate-{uuid.uuid4().hex}")
+    tot = kpi.premium_due(spark, sf_dir, prev, prev, price).agg(
+        F.expr("cast(sum(prem_thismonth) as decimal(24,6)) as prem"))
+    write_month(tot, path, prev)
+    stored = spark.read.parquet(path).where(F.col("month") == prev).select(F.col("prem").alias("last_prem"))
+    cur = kpi.premium_due(spark, sf_dir, CALC_MONTH, CALC_MONTH, price).agg(
+        F.expr("cast(sum(prem_thismonth) as decimal(24,6)) as prem"))
+    return cur.join(stored, how="left").selectExpr(
+        "prem", "last_prem",
+        "cast(try_divide(cast(prem - last_prem as double), cast(last_prem as double)) as decimal(10,4)) "
+        "as prem_incre_rate")
+
+
+# ---------------------------------------------------------------- single-operator queries
+def _rel(fn_name, *args):
+    def q(spark, sf_dir):
+        from tontine.plans import relational
+        return getattr(relational, fn_name)(spark, sf_dir, *args)
+    return q
+
+
+for _k in ("win_tail_sum", "win_tail_sum_exclusive", "win_group_total", "win_lead", "win_lag",
+           "win_row_number", "recur_survival", "recur_multi_decrement", "recur_affine", "ordered_fold",
+           "win_lag_over_months", "join_detail_to_aggregate", "join_cross", "join_scalar_pair",
+           "join_left_lookup", "join_status_flag", "agg_conditional_sum", "agg_sumproduct", "agg_ratio",
+           "agg_global", "agg_count_variants", "agg_distinct_rows", "agg_group_by_alias_expr",
+           "agg_of_agg_window", "dim_stack", "int_sequence", "param_table", "month_param", "sort_multi",
+           "topk_count", "limit_n"):
+    register(_k)(_rel(_k))
+for _k in ("join_left_on_predicate", "join_month_inforce", "join_range_expand", "age_band_rate_pick"):
+    register(_k)(_rel(_k, CALC_MONTH))
+
+
+@register("join_composite_equi")
+def q_join_composite_equi(spark, sf_dir):
+    from tontine.plans import relational
+    return relational.join_composite_equi(spark, sf_dir, _act(spark, sf_dir).prem_std_real)
+
+
+@register("join_left_computed_key")
+def q_join_left_computed_key(spark, sf_dir):
+    from tontine.plans import relational
+    return relational.join_left_computed_key(spark, sf_dir, CALC_MONTH, _act(spark, sf_dir).policy_actuary)
+
+
+@register("join_left_computed_key_floor1")
+def q_join_left_computed_key_floor1(spark, sf_dir):
+    from tontine.plans import relational
+    return relational.join_left_computed_key(spark, sf_dir, CALC_MONTH, _act(spark, sf_dir).policy_actuary,
+                                             rule="floor1")
+
+
+@register("agg_max")
+def q_agg_max(spark, sf_dir):
+    from tontine.operators.grid import policy_grid
+    from tontine.plans import relational
+    return relational.agg_max(spark, sf_dir, policy_grid(_act(spark, sf_dir).products, DEFAULT))
+
+
+@register("product_slice")
+def q_product_slice(spark, sf_dir):
+    from tontine.operators.quality import slice_product
+    return slice_product(report(_act(spark, sf_dir).prem_src, "prem_src"), "M", 10, 18)
+
+
+@register("union_year0")
+def q_union_year0(spark, sf_dir):
+    from tontine.plans.cashvalue import with_year0
+    from tontine.schema import as_double
+    u = with_year0(as_double(_act(spark, sf_dir).prem_src), DEFAULT)
+    return u.selectExpr("sex", "ppp", "age_buy", "policy_year", "cast(lx as decimal(17,9)) as lx")
+
+
+@register("rsv_forms_agree")
+def q_rsv_forms_agree(spark, sf_dir):
+    from tontine.plans.reserve import reserve_factors_by_group
+    a = _act(spark, sf_dir)
+    return reserve_factors_by_group(a.prem_src, a.prem_std_real).selectExpr(
+        "age_buy", "sex", "ppp", "cast(prem_rsv as decimal(17,4)) as prem_rsv",
+        "cast(alpha as decimal(17,4)) as alpha", "cast(beta as decimal(17,4)) as beta")
+
+
+@register("prem_check")
+def q_prem_check(spark, sf_dir):
+    from tontine.operators.quality import relative_diff_check
+    a = _act(spark, sf_dir)
+    return relative_diff_check(a.prem_std, a.prem_std_real, ["age_buy", "sex", "ppp"], "prem")
+
+
+@register("cv_check")
+def q_cv_check(spark, sf_dir):
+    from tontine.operators.quality import relative_diff_check
+    a = _act(spark, sf_dir)
+    return relative_diff_check(a.prem_cv, a.prem_cv_real, ["age_buy", "sex", "ppp"], "prem_cv",
+                               two_sided=False)
+
+
+@register("cv_check_two_sided")
+def q_cv_check_two_sided(spark, sf_dir):
+    from tontine.operators.quality import relative_diff_check
+    a = _act(spark, sf_dir)
+    return relative_diff_check(a.prem_cv, a.prem_cv_real, ["age_buy", "sex", "ppp"], "prem_cv")
+
+
+@register("count_reconcile")
+def q_count_reconcile(spark, sf_dir):
+    from tontine.operators.quality import reconcile_counts
+    from tontine.sources import fixtures
+    from tontine.sources.tables import table
+    return reconcile_counts(table(spark, sf_dir, "orders"), fixtures.policy_benefit(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- preparation
+def _prep(fn_name, *args):
+    def q(spark, sf_dir):
+        from tontine.plans import prepare
+        return getattr(prepare, fn_name)(spark, sf_dir, *args)
+    return q
+
+
+for _k in ("policy_number_assign", "client_id_assign", "policy_status", "area_enrich", "area_topk"):
+    register(_k)(_prep(_k))
+register("surrender_extract")(_prep("surrender_extract", CALC_MONTH))
+
+
+@register("split_client_policy")
+def q_split_client_policy(spark, sf_dir):
+    from tontine.plans.prepare import split_client_policy
+    return split_client_policy(spark, sf_dir)[0]
+
+
+@register("claim_amount")
+def q_claim_amount(spark, sf_dir):
+    from tontine.sources import fixtures
+    return fixtures.claim_info(spark, sf_dir, _act(spark, sf_dir).prem_std_real)
+
+
+# ---------------------------------------------------------------- sources and sinks
+@register("conform_schema")
+def q_conform_schema(spark, sf_dir):
+    from tontine.schema import conform
+    from tontine.sources.tables import table
+    from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType
+    st = StructType([StructField("o_orderkey", IntegerType()), StructField("o_totalprice", DecimalType(7, 2)),
+                     StructField("o_orderpriority", StringType())])
+    return conform(table(spark, sf_dir, "orders"), st)
+
+
+@register("delimited_scan")
+def q_delimited_scan(spark, sf_dir):
+    import os
+    import uuid
+
+    from tontine.schema import struct
+    from tontine.sources import fixtures
+    from tontine.sources.delimited import read_delimited, write_delimited
+    from tontine.sources.sinks import stage_dir
+    path = os.path.join(stage_dir(spark), f"policy_surrender-{uuid.uuid4().hex}")
+    write_delimited(fixtures.policy_surrender(spark, sf_dir), path)
+    return read_delimited(spark, path, struct("policy_surrender"))
+
+
+def _due_months(spark, sf_dir, months):
+    from tontine.functions.dates import month_shift
+    from tontine.plans import kpi
+    price = _act(spark, sf_dir).prem_std_real
+    first = month_shift(CALC_MONTH, -(months - 1))
+    return kpi.premium_due(spark, sf_dir, first, CALC_MONTH, price)
+
+
+def _static_table(spark, sf_dir):
+    """Premium-due table written month by month (static partition overwrite), the
+    report month written twice; returns its path."""
+    import os
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from tontine.functions.dates import month_shift
+    from tontine.sources.sinks import stage_dir, write_month
+    path = os.path.join(stage_dir(spark), f"premium_due-{uuid.uuid4().hex}")
+    due = _due_months(spark, sf_dir, 3).persist()
+    for k in (2, 1, 0, 0):
+        m = month_shift(CALC_MONTH, -k)
+        write_month(due.where(F.col("month") == m).drop("month"), path, m)
+    due.unpersist()
+    return path
+
+
+@register("partition_overwrite_static")
+def q_partition_overwrite_static(spark, sf_dir):
+    from pyspark.sql import functions as F
+    return spark.read.parquet(_static_table(spark, sf_dir)).groupBy("month").agg(
+        F.expr("count(1) as n"), F.expr("cast(sum(prem_thismonth) as decimal(24,6)) as prem"))
+
+
+@register("partition_inventory")
+def q_partition_inventory(spark, sf_dir):
+    from tontine.sources.sinks import partitions
+    return partitions(spark.read.parquet(_static_table(spark, sf_dir)))
+
+
+@register("partition_overwrite_dynamic")
+def q_partition_overwrite_dynamic(spark, sf_dir):
+    """Purchases per purchase month written with dynamic partition overwrite, then the
+    months of one year rewritten: the other months must stay as they were."""
+    import os
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from tontine.sources import fixtures
+    from tontine.sources.sinks import stage_dir, write_months
+    path = os.path.join(stage_dir(spark), f"purchases-{uuid.uuid4().hex}")
+    b = fixtures.policy_benefit(spark, sf_dir).select(
+        "pol_no", "insur_code", F.substring("buy_datetime", 1, 7).alias("month"))
+    write_months(b, path)
+    write_months(b.where(F.col("month").startswith("1999")), path)
+    return spark.read.parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("overwrite_from_self")
+def q_overwrite_from_self(spark, sf_dir):
+    """Replace a table with a derived part of itself (staged to a new folder, then swapped)."""
+    import os
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from tontine.sources import fixtures
+    from tontine.sources.sinks import rewrite_table, stage_dir
+    path = os.path.join(stage_dir(spark), f"policy_surrender-{uuid.uuid4().hex}")
+    fixtures.policy_surrender(spark, sf_dir).write.parquet(path)
+    new_path = rewrite_table(spark, path, lambda t: t.where(F.col("keep_days") <= 20))
+    return spark.read.parquet(new_path)
+
+
+def _derby_url(name: str) -> str:
+    import uuid
+    return f"jdbc:derby:memory:{name}{uuid.uuid4().hex[:8]};create=true"
+
+
+DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+@register("jdbc_ingest")
+def q_jdbc_ingest(spark, sf_dir):
+    """Export a table to an in-process database, import it back to parquet and reconcile counts."""
+    import os
+    import uuid
+
+    from tontine.sources import fixtures
+    from tontine.sources.jdbc import export_jdbc, ingest_jdbc
+    from tontine.sources.sinks import stage_dir
+    url = _derby_url("ods")
+    export_jdbc(fixtures.policy_surrender(spark, sf_dir), url, "POLICY_SURRENDER", DERBY)
+    root = os.path.join(stage_dir(spark), f"ods-{uuid.uuid4().hex}")
+    return ingest_jdbc(spark, url, ["POLICY_SURRENDER"], DERBY, root)
+
+
+@register("jdbc_export")
+def q_jdbc_export(spark, sf_dir):
+    """Write a mart to a database table, read it back."""
+    from tontine.sources import fixtures
+    from tontine.sources.jdbc import export_jdbc, read_jdbc
+    url = _derby_url("app")
+    export_jdbc(fixtures.area(spark, sf_dir), url, "AREA", DERBY)
+    return read_jdbc(spark, url, "AREA", DERBY).selectExpr(
+        "cast(ID as smallint) as id", "PROVINCE as province", "CITY as city", "DIRECTION as direction")

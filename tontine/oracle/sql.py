@@ -25,7 +25,7 @@ def mdate(m: str) -> str:
 
 
 def ratio(num: str, den: str, dec: str) -> str:
-    return f"CAST(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0) AS {dec})"
+    return f"CAST(CAST(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0) AS VARCHAR) AS {dec})"
 
 
 PY_M = ceil12(mdate(M), "CAST(buy_datetime AS DATE)")
@@ -90,7 +90,8 @@ def due_sql(first: str, last: str, price: str) -> str:
     return f"""
 SELECT m.month, p.insur_code, p.insur_name,
        if({py} <= CAST(p.ppp AS INTEGER) AND substr(m.month, 6, 2) = substr(p.buy_datetime, 6, 2), p.prem, 0) AS prem_thismonth
-FROM ({priced(price)}) p JOIN ({months}) m ON substr(p.buy_datetime, 1, 7) <= m.month"""
+FROM ({priced(price)}) p JOIN ({months}) m ON substr(p.buy_datetime, 1, 7) <= m.month
+  AND substr(m.month, 6, 2) = substr(p.buy_datetime, 6, 2)"""
 
 
 PREV = month_shift(M, -1)
@@ -227,3 +228,256 @@ SELECT {ratio("sum(if(income >= 10000000, 1, 0))", "count(1)", "DECIMAL(8,6)")}
 add("kpi_nbev", f"""
 SELECT insur_code, insur_name, {ratio("sum(prem * nbev)", "sum(prem)", "DECIMAL(38,11)")} AS nbev
 FROM ({priced("prem_std_real")}) p GROUP BY insur_code, insur_name""")
+
+
+# ---------------------------------------------------------------- incremental growth
+add("kpi_premium_growth_incremental", f"""
+SELECT a.prem, b.last_prem, {ratio("a.prem - b.last_prem", "b.last_prem", "DECIMAL(10,4)")} AS prem_incre_rate
+FROM (SELECT CAST(sum(prem_thismonth) AS DECIMAL(24,6)) AS prem FROM due WHERE month = '{M}') a
+LEFT JOIN (SELECT CAST(sum(prem_thismonth) AS DECIMAL(24,6)) AS last_prem FROM due WHERE month = '{PREV}') b ON 1 = 1""",
+    {"due": due_sql(PREV, M, "prem_std_real")})
+
+# ---------------------------------------------------------------- single-operator queries
+LINE_ORDER = "l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice"
+LINE_ID = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+V = "CAST(l_extendedprice AS DECIMAL(18,2))"
+WL = f"PARTITION BY l_orderkey ORDER BY {LINE_ORDER}"
+
+add("win_tail_sum", f"""
+SELECT {LINE_ID}, CAST(sum({V}) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC,
+       l_suppkey DESC, l_shipdate DESC, l_extendedprice DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+       AS DECIMAL(28,2)) AS tail_sum FROM lineitem""")
+add("win_tail_sum_exclusive", f"""
+SELECT {LINE_ID}, CAST(sum({V}) OVER ({WL} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS DECIMAL(28,2))
+       AS tail_sum_excl FROM lineitem""")
+add("win_group_total", f"""
+SELECT {LINE_ID}, CAST(sum({V}) OVER (PARTITION BY l_orderkey) AS DECIMAL(28,2)) AS order_total FROM lineitem""")
+add("win_lead", f"SELECT {LINE_ID}, lead(l_extendedprice) OVER ({WL}) AS next_price FROM lineitem")
+add("win_lag", f"SELECT {LINE_ID}, lag(l_extendedprice) OVER ({WL}) AS prev_price FROM lineitem")
+add("win_row_number", """
+SELECT o_orderkey, o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
+       AS INTEGER) AS rn FROM orders""")
+PREV_ROWS = f"{WL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+from tontine.oracle.chain import dec, prev_product  # noqa: E402
+
+add("recur_survival", f"""
+SELECT {LINE_ID}, {dec(prev_product("1 - l_discount", "l_orderkey", LINE_ORDER), "DECIMAL(20,9)")}
+       AS survival FROM lineitem""")
+add("recur_multi_decrement", f"""
+SELECT {LINE_ID}, {dec("l", "DECIMAL(20,9)")} AS l, {dec("l * l_discount", "DECIMAL(20,9)")} AS d_a,
+       {dec("l * l_tax", "DECIMAL(20,9)")} AS d_b
+FROM (SELECT *, {prev_product("1 - (l_discount + l_tax)", "l_orderkey", LINE_ORDER)} AS l FROM lineitem) t""")
+
+
+def _fold_sql(a: str, seed: str, b_expr: str, out: str, dec: str) -> str:
+    return f"""
+WITH RECURSIVE o AS (
+  SELECT o_custkey, o_orderkey, o_totalprice,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders),
+r AS (
+  SELECT o_custkey, o_orderkey, rn, {seed} AS x FROM o WHERE rn = 1
+  UNION ALL
+  SELECT o.o_custkey, o.o_orderkey, o.rn, {a} * r.x + {b_expr}
+  FROM r JOIN o ON o.o_custkey = r.o_custkey AND o.rn = r.rn + 1)
+SELECT o_custkey, o_orderkey, CAST(CAST(x AS VARCHAR) AS {dec}) AS {out} FROM r"""
+
+
+ORACLE_SQL["recur_affine"] = _fold_sql("0.5::DOUBLE", "1.0::DOUBLE", "0.5::DOUBLE * o.o_totalprice", "c4",
+                                       "DECIMAL(24,6)")
+ORACLE_SQL["ordered_fold"] = _fold_sql("0.7::DOUBLE", "o_totalprice", "0.3::DOUBLE * o.o_totalprice", "smooth",
+                                       "DECIMAL(24,4)")
+add("win_lag_over_months", f"""
+SELECT month, CAST(revenue AS DECIMAL(28,2)) AS revenue, CAST(last_revenue AS DECIMAL(28,2)) AS last_revenue,
+       {ratio("revenue - last_revenue", "last_revenue", "DECIMAL(12,6)")} AS growth
+FROM (SELECT month, revenue, lag(revenue) OVER (ORDER BY month) AS last_revenue
+      FROM (SELECT strftime(l_shipdate, '%Y-%m') AS month, sum({V}) AS revenue FROM lineitem GROUP BY 1) a) b""")
+add("join_detail_to_aggregate", f"""
+SELECT {LINE_ID}, {ratio(V, "t.order_total", "DECIMAL(12,10)")} AS share
+FROM lineitem l JOIN (SELECT l_orderkey AS k, sum({V}) AS order_total FROM lineitem GROUP BY 1) t
+  ON l.l_orderkey = t.k""")
+add("join_cross", f"""
+SELECT l_returnflag, CAST(revenue AS DECIMAL(28,2)) AS revenue,
+       CAST(CAST(revenue AS DOUBLE) / (1 + i.interest_rate) AS DECIMAL(28,4)) AS pv, i.sa
+FROM (SELECT l_returnflag, sum({V}) AS revenue FROM lineitem GROUP BY 1) a
+JOIN (SELECT 0.035::DOUBLE AS interest_rate, 10000.0::DOUBLE AS sa) i ON 1 = 1""")
+add("join_scalar_pair", f"""
+SELECT CAST(a.this_year AS DECIMAL(28,2)) AS this_year, CAST(b.last_year AS DECIMAL(28,2)) AS last_year,
+       {ratio("a.this_year - b.last_year", "b.last_year", "DECIMAL(12,6)")} AS growth
+FROM (SELECT sum({V}) AS this_year FROM lineitem WHERE year(l_shipdate) = 1997) a
+JOIN (SELECT sum({V}) AS last_year FROM lineitem WHERE year(l_shipdate) = 1996) b ON 1 = 1""")
+add("join_composite_equi", f"SELECT pol_no, sex, ppp, age_buy, prem FROM ({priced('prem_std_real')}) p")
+add("join_left_lookup", """
+SELECT b.pol_no, b.buy_datetime, s.keep_days, s.elapse_date
+FROM policy_benefit b LEFT JOIN policy_surrender s ON b.pol_no = s.pol_no""")
+add("join_left_on_predicate", f"""
+SELECT b.pol_no, b.elapse_date, s.pol_no AS s_pol_no
+FROM policy_benefit b LEFT JOIN policy_surrender s ON b.pol_no = s.pol_no
+  AND substr(b.elapse_date, 1, 7) > '{M14}' AND substr(b.elapse_date, 1, 7) <= '{M}'""")
+
+
+def _computed_key_sql(py: str) -> str:
+    return f"""
+SELECT p.pol_no, CAST(p.py AS INTEGER) AS policy_year, CAST(a.cv_1b AS DECIMAL(17,4)) AS cv_1b
+FROM (SELECT b.pol_no, c.sex, CAST(b.age_buy AS SMALLINT) AS ab, CAST(b.ppp AS SMALLINT) AS pp, {py} AS py
+      FROM policy_benefit b JOIN policy_client c ON b.user_id = c.user_id
+      WHERE substr(b.buy_datetime, 1, 7) <= '{M}') p
+LEFT JOIN policy_actuary a ON p.ab = a.age_buy AND p.sex = a.sex AND p.pp = a.ppp AND p.py = a.policy_year"""
+
+
+add("join_left_computed_key", _computed_key_sql(PY_M))
+add("join_left_computed_key_floor1", _computed_key_sql(
+    f"CAST(floor({mb(mdate(M), 'CAST(b.buy_datetime AS DATE)')} / 12) + 1 AS BIGINT)"))
+add("join_month_inforce", f"""
+SELECT b.month, count(*) AS n_inforce
+FROM (SELECT strftime({mdate(M)} - to_months(CAST(i AS INTEGER)), '%Y-%m') AS month FROM range(1, 37) t(i)) b
+JOIN policy_benefit pb ON b.month >= pb.buy_datetime AND (b.month < pb.elapse_date OR pb.elapse_date IS NULL)
+GROUP BY b.month""")
+add("join_range_expand", f"""
+SELECT CAST(y.year AS INTEGER) AS year, count(*) AS n_policies
+FROM (SELECT {PY_M} AS py FROM policy_benefit WHERE substr(buy_datetime, 1, 7) <= '{M}') p
+JOIN range(1, 200) y(year) ON y.year <= p.py GROUP BY y.year""")
+add("join_status_flag", """
+SELECT b.pol_no, CAST(if(s.pol_no IS NULL, 1, 0) AS SMALLINT) AS pol_flag, s.elapse_date
+FROM policy_benefit b LEFT JOIN policy_surrender s ON b.pol_no = s.pol_no""")
+add("agg_conditional_sum", """
+SELECT l_returnflag,
+       CAST(sum(if(l_linestatus = 'O', CAST(l_quantity AS DECIMAL(18,2)), 0)) AS DECIMAL(28,2)) AS open_qty,
+       CAST(sum(if(l_linestatus = 'F', CAST(l_quantity AS DECIMAL(18,2)), 0)) AS DECIMAL(28,2)) AS filled_qty
+FROM lineitem GROUP BY l_returnflag""")
+add("agg_sumproduct", """
+SELECT l_orderkey,
+       CAST(sum(CAST(l_quantity AS DECIMAL(18,2)) * CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,4)) AS qty_x_price,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))) AS DECIMAL(38,4)) AS net_revenue
+FROM lineitem GROUP BY l_orderkey""")
+add("agg_ratio", f"""
+SELECT l_returnflag, {ratio("net", "gross", "DECIMAL(12,10)")} AS net_ratio
+FROM (SELECT l_returnflag, sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))) AS net,
+             sum({V}) AS gross FROM lineitem GROUP BY l_returnflag) t""")
+add("agg_global", f"""
+SELECT count(*) AS n_lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS qty,
+       CAST(sum({V}) AS DECIMAL(28,2)) AS revenue, count(DISTINCT l_orderkey) AS n_orders FROM lineitem""")
+add("agg_count_variants", """
+SELECT c.c_nationkey, count(1) AS n_rows, count(o.o_orderkey) AS n_orders
+FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey GROUP BY c.c_nationkey""")
+add("agg_distinct_rows", """
+SELECT DISTINCT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders""")
+add("agg_group_by_alias_expr", """
+SELECT strftime(l_shipdate, '%Y-%m') AS ship_month, count(1) AS n_lines FROM lineitem GROUP BY 1""")
+add("agg_of_agg_window", """
+SELECT o_orderpriority, count(1) AS n, sum(count(1)) OVER () AS all_n,
+       CAST(count(1) / sum(count(1)) OVER () AS DECIMAL(10,8)) AS share
+FROM orders GROUP BY o_orderpriority""")
+add("agg_max", "SELECT CAST(ppp AS SMALLINT) AS ppp, CAST(max(policy_year) AS SMALLINT) AS max_policy_year "
+               "FROM grid GROUP BY ppp")
+add("dim_stack", """
+SELECT s.sex, j.ppp, coalesce(c.n, 0) AS n_policies
+FROM (VALUES ('M'), ('F')) s(sex) CROSS JOIN (VALUES (10), (15), (20), (30)) j(ppp)
+LEFT JOIN (SELECT c.sex, CAST(b.ppp AS INTEGER) AS ppp, count(*) AS n
+           FROM policy_benefit b JOIN policy_client c ON b.user_id = c.user_id GROUP BY 1, 2) c
+  ON s.sex = c.sex AND j.ppp = c.ppp""")
+add("int_sequence", """
+SELECT CAST(y.pay_year AS INTEGER) AS pay_year, count(*) AS n_policies
+FROM policy_benefit b JOIN range(1, 31) y(pay_year) ON y.pay_year <= CAST(b.ppp AS INTEGER)
+GROUP BY y.pay_year""")
+add("param_table", """
+SELECT count(*) AS n_policies, 0.035::DOUBLE AS interest_rate, 0.055::DOUBLE AS interest_rate_cv,
+       10000.0::DOUBLE AS sa, 1.0::DOUBLE AS disability_ratio, 0.1::DOUBLE AS nursing_ratio,
+       CAST(75 AS INTEGER) AS nursing_age, CAST(count(*) * 10000.0::DOUBLE AS DECIMAL(24,2)) AS exposure
+FROM policy_benefit""")
+add("month_param", """
+SELECT month, strftime(d - INTERVAL 1 MONTH, '%Y-%m') AS prev_month, strftime(d - INTERVAL 13 MONTH, '%Y-%m') AS back13,
+       strftime(d - INTERVAL 14 MONTH, '%Y-%m') AS back14, strftime(d + INTERVAL 13 MONTH, '%Y-%m') AS ahead13
+FROM (SELECT DISTINCT substr(buy_datetime, 1, 7) AS month, CAST(substr(buy_datetime, 1, 7) || '-01' AS DATE) AS d
+      FROM policy_benefit) t""")
+add("age_band_rate_pick", f"""
+SELECT b.ppp, b.band, b.n, CAST(([0.55, 0.35, 0.25, 0.15, 0.10, 0.10])[b.band] AS DECIMAL(10,8)) AS expense_rate
+FROM (SELECT CAST(ppp AS SMALLINT) AS ppp, CAST(least(greatest({PY_M}, 1), 6) AS INTEGER) AS band, count(*) AS n
+      FROM policy_benefit WHERE substr(buy_datetime, 1, 7) <= '{M}' GROUP BY 1, 2) b""")
+add("sort_multi", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders "
+                  "ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey")
+add("topk_count", """
+SELECT province, count(*) AS n FROM policy_client GROUP BY province ORDER BY n DESC, province LIMIT 20""")
+add("limit_n", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
+add("product_slice", report_sql("prem_src", "prem_src") + " WHERE sex = 'M' AND ppp = 10 AND age_buy = 18 "
+                                                          "ORDER BY policy_year")
+add("union_year0", "SELECT sex, ppp, age_buy, CAST(policy_year AS SMALLINT) AS policy_year, "
+                   "CAST(lx AS DECIMAL(17,9)) AS lx FROM cv1")
+add("rsv_forms_agree", """
+SELECT age_buy, sex, ppp, CAST(prem_rsv AS DECIMAL(17,4)) AS prem_rsv, CAST(alpha AS DECIMAL(17,4)) AS alpha,
+       CAST(beta AS DECIMAL(17,4)) AS beta
+FROM (SELECT *, if(ppp = 1, prem_rsv, a0) AS alpha,
+             if(ppp = 1, 0.0::DOUBLE, prem_rsv + (prem_rsv - if(ppp = 1, prem_rsv, a0)) / x * y) AS beta
+      FROM (SELECT age_buy, sex, ppp,
+                   sum(if(policy_year = 1, pvdb1 + pvdb2 + pvdb3 + pvdb4 + pvdb5, 0.0::DOUBLE)) / sum(dx * ppp_)
+                     * sum(if(policy_year = 1, dx, 0.0::DOUBLE)) AS prem_rsv,
+                   sum(if(policy_year = 1, ((db1 + db2 + db5) * ci_cx_ + db3 * dx + cx_ * db4) / dx, 0.0::DOUBLE)) AS a0,
+                   sum(if(policy_year >= 2, dx * ppp_, 0.0::DOUBLE)) AS x,
+                   sum(if(policy_year = 1, dx, 0.0::DOUBLE)) AS y
+            FROM rs2 GROUP BY age_buy, sex, ppp) g) t""")
+CHECK = """
+SELECT p.age_buy, p.sex, p.ppp, p.{c} AS my_{c}, r.{c} AS real_{c},
+       CAST((CAST(p.{c} AS DOUBLE) - CAST(r.{c} AS DOUBLE)) / CAST(r.{c} AS DOUBLE) AS DECIMAL(12,8)) AS diff_rate_{c}
+FROM {a} p JOIN {b} r ON p.age_buy = r.age_buy AND p.sex = r.sex AND p.ppp = r.ppp
+WHERE {cond}((CAST(p.{c} AS DOUBLE) - CAST(r.{c} AS DOUBLE)) / CAST(r.{c} AS DOUBLE)) > 0.001"""
+add("prem_check", CHECK.format(c="prem", a="prem_std", b="prem_std_real", cond="abs"))
+PREM_CV_REAL = """
+SELECT age_buy, sex, ppp, CAST(CAST(prem_cv AS DOUBLE) * (1 + (age_buy % 7) * 0.0007::DOUBLE) AS DECIMAL(15,7)) AS prem_cv
+FROM prem_cv"""
+add("cv_check", CHECK.format(c="prem_cv", a="prem_cv", b="prem_cv_real", cond=""), {"prem_cv_real": PREM_CV_REAL})
+add("cv_check_two_sided", CHECK.format(c="prem_cv", a="prem_cv", b="prem_cv_real", cond="abs"),
+    {"prem_cv_real": PREM_CV_REAL})
+add("count_reconcile", """
+SELECT a.source_cnt, b.target_cnt, a.source_cnt = b.target_cnt AS matched
+FROM (SELECT count(*) AS source_cnt FROM orders) a JOIN (SELECT count(*) AS target_cnt FROM policy_benefit) b ON 1 = 1""")
+
+# ---------------------------------------------------------------- preparation
+add("policy_number_assign", """
+SELECT pol_no, buy_datetime,
+       'P' || lpad(CAST(row_number() OVER (ORDER BY buy_datetime, pol_no) AS VARCHAR), 9, '0') AS new_pol_no
+FROM policy_benefit""")
+add("client_id_assign", """
+SELECT c.user_id, a.id AS area_id,
+       CAST(a.id AS VARCHAR) || '-' || CAST(row_number() OVER (PARTITION BY a.id ORDER BY CAST(c.user_id AS BIGINT)) AS VARCHAR) AS client_id
+FROM policy_client c JOIN area a ON c.province = a.province""")
+add("surrender_extract", f"""
+SELECT b.pol_no, b.user_id, b.buy_datetime, s.keep_days, s.elapse_date
+FROM policy_benefit b JOIN policy_surrender s ON b.pol_no = s.pol_no
+WHERE CAST(b.buy_datetime AS DATE) + CAST(b.ppp AS INTEGER) * 365 > {mdate(M)}""")
+add("policy_status", ORACLE_SQL["join_status_flag"].split("WITH ", 1)[0] + """
+SELECT b.pol_no, CAST(if(s.pol_no IS NULL, 1, 0) AS SMALLINT) AS pol_flag, s.elapse_date
+FROM policy_benefit b LEFT JOIN policy_surrender s ON b.pol_no = s.pol_no""")
+add("split_client_policy", """
+SELECT DISTINCT c.user_id, c.name, c.sex, c.birthday, c.province, c.city, c.direction, c.income
+FROM policy_client c JOIN policy_benefit b ON c.user_id = b.user_id""")
+add("claim_amount", """
+SELECT e.pol_no, e.user_id, e.buy_datetime, e.insur_code, e.claim_date, e.claim_item,
+       CAST(CASE WHEN e.claim_item IN ('sgbxj', 'scbxj0') THEN r.prem * least(e._ppp, CAST(ceil(e._days / 365) AS BIGINT))
+                 WHEN e.claim_item IN ('scbxj1', 'scbxj2') THEN 10000 ELSE 1000 END AS DECIMAL(35,6)) AS claim_mnt
+FROM claim_events e JOIN policy_client c ON e.user_id = c.user_id
+LEFT JOIN prem_std_real r ON CAST(e._age_buy AS SMALLINT) = r.age_buy AND c.sex = r.sex AND CAST(e._ppp AS SMALLINT) = r.ppp""")
+add("area_enrich", """
+SELECT c.user_id, a.id AS area_id, c.province, a.direction,
+       if(c.income >= 10000000, 'high', 'standard') AS income_tier
+FROM policy_client c JOIN area a ON c.province = a.province""")
+add("area_topk", """
+SELECT a.id AS area_id, count(*) AS n
+FROM policy_benefit b JOIN policy_client c ON b.user_id = c.user_id JOIN area a ON c.province = a.province
+GROUP BY a.id ORDER BY n DESC, area_id LIMIT 20""")
+
+# ---------------------------------------------------------------- sources and sinks
+add("conform_schema", """
+SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, TRY_CAST(o_totalprice AS DECIMAL(7,2)) AS o_totalprice,
+       o_orderpriority FROM orders""")
+add("delimited_scan", "SELECT * FROM policy_surrender")
+add("partition_overwrite_static", f"""
+SELECT month, count(*) AS n, CAST(sum(prem_thismonth) AS DECIMAL(24,6)) AS prem FROM due GROUP BY month""",
+    {"due": due_sql(month_shift(M, -2), M, "prem_std_real")})
+add("partition_inventory", "SELECT month, count(*) AS n FROM due GROUP BY month",
+    {"due": due_sql(month_shift(M, -2), M, "prem_std_real")})
+add("partition_overwrite_dynamic", """
+SELECT substr(buy_datetime, 1, 7) AS month, count(*) AS n FROM policy_benefit GROUP BY 1""")
+add("overwrite_from_self", "SELECT * FROM policy_surrender WHERE keep_days <= 20")
+add("jdbc_ingest", """
+SELECT 'POLICY_SURRENDER' AS table_name, count(*) AS source_cnt, count(*) AS target_cnt, true AS matched
+FROM policy_surrender""")
+add("jdbc_export", "SELECT * FROM area")

@@ -63,10 +63,12 @@ class Params:
             self.max_entry_end - ppp - self.min_entry_age + 1 for ppp in self.payment_terms)
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        """The one-row parameter table (23 assumption columns)."""
+        """The one-row parameter table (23 assumption columns), built JVM-side."""
+        from tontine.operators.grid import literal_rows
         d = asdict(self)
         cols = list(d)[:23]
-        return spark.createDataFrame([tuple(d[c] for c in cols)], cols)
+        types = ["int" if isinstance(d[c], int) else "double" for c in cols]
+        return literal_rows(spark, [tuple(d[c] for c in cols)], cols, types)
 
 
 DEFAULT = Params()
