@@ -19,9 +19,10 @@ def skewed(spark):
         "vd", F.col("v").cast("decimal(18,2)")).withColumn("keep", 1 - F.col("v") / 1000)
 
 
-def test_scan_matches_plain_windows(spark, skewed):
+@pytest.mark.parametrize("skew_safe", [True, False, None])
+def test_scan_matches_plain_windows(spark, skewed, skew_safe):
     s = ordered_scan(skewed, ["k"], ["t"], sums=["vd"], products=["keep"], lags=["v"], leads=["v"],
-                     partitions=6)
+                     partitions=6, skew_safe=skew_safe)
     w = Window.partitionBy("k").orderBy("t")
     ref = skewed.select(
         "k", "t", F.row_number().over(w).alias("pos"), F.count(F.lit(1)).over(Window.partitionBy("k")).alias("n"),
@@ -40,8 +41,10 @@ def test_scan_matches_plain_windows(spark, skewed):
             assert abs(g.keep__cumprod_prev - r.prod) <= 1e-12 * abs(r.prod)
 
 
-def test_recurrence_on_hot_key(spark, skewed):
-    out = linear_recurrence(skewed, ["k"], ["t"], a="0.9D", b="v", seed="v", out="x", partitions=6)
+@pytest.mark.parametrize("skew_safe", [True, False])
+def test_recurrence_on_hot_key(spark, skewed, skew_safe):
+    out = linear_recurrence(skewed, ["k"], ["t"], a="0.9D", b="v", seed="v", out="x", partitions=6,
+                            skew_safe=skew_safe)
     got = {(r.k, r.t): r.x for r in out.collect()}
     exp = {}
     for r in skewed.orderBy("k", "t").collect():
@@ -50,3 +53,14 @@ def test_recurrence_on_hot_key(spark, skewed):
     assert got.keys() == exp.keys()
     for key, v in exp.items():
         assert abs(got[key] - v) <= 1e-9 * max(1.0, abs(v))
+
+
+def test_checked_path_choice(spark, skewed):
+    from tontine.operators.scan import largest_group, needs_split
+    assert largest_group(skewed, ["k"]) == 3000
+    spark.conf.set("tontine.scan.maxGroupRows", "1000")
+    try:
+        assert needs_split(skewed, ["k"], None)
+    finally:
+        spark.conf.unset("tontine.scan.maxGroupRows")
+    assert not needs_split(skewed, ["k"], None)

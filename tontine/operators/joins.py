@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A broadcast side is shipped to every executor; keep it far below executor memory.
@@ -43,3 +43,43 @@ def index_to_month(idx: Column) -> Column:
     y = F.floor(idx / 12).cast("int")
     m = (idx - y * 12 + 1).cast("int")
     return F.format_string("%04d-%02d", y, m)
+
+
+def interval_counts(df: DataFrame, groups: list[str], lo: int | Column, hi: int | Column,
+                    intervals: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Per group and month index m in [lo, hi]: how many rows have start <= m <= stop,
+    for each named (start, stop) interval.
+
+    Instead of pairing every row with every month it covers, each row emits two
+    events per interval (+1 at start, -1 after stop); events are pre-aggregated
+    per (group, month) map-side, then a running sum over at most (hi - lo + 2)
+    months per group gives the counts, and each event month is spread over the
+    months until the next event.  Rows: O(input) events, O(groups x months) output.
+    Months where every count is zero are omitted.
+    """
+    lo_c = lo if isinstance(lo, Column) else F.lit(lo)
+    hi_c = hi if isinstance(hi, Column) else F.lit(hi)
+    names = list(intervals)
+    evs = []
+    for i, n in enumerate(names):
+        st, sp = intervals[n]
+        st = F.greatest(st, lo_c)
+        sp = F.least(sp, hi_c)
+        ok = st <= sp
+        for m, d in ((st, 1), (sp + 1, -1)):
+            evs.append(F.when(ok, F.struct(m.cast("int").alias("_m"),
+                                           *[F.lit(d if j == i else 0).alias(f"_d{j}") for j in range(len(names))])))
+    e = df.select(*groups, F.explode(F.filter(F.array(*evs), lambda x: x.isNotNull())).alias("_e"))
+    e = e.select(*groups, "_e.*")
+    agg = e.groupBy(*groups, "_m").agg(*[F.sum(f"_d{j}").alias(f"_d{j}") for j in range(len(names))])
+    w = Window.partitionBy(*groups).orderBy("_m")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    agg = agg.select(*groups, "_m", F.lead("_m").over(w).alias("_next"),
+                     *[F.sum(f"_d{j}").over(run).alias(n) for j, n in enumerate(names)])
+    spread = agg.where(F.col("_m") <= hi_c).withColumn(
+        "month_idx", F.explode(F.sequence("_m", F.least(F.coalesce(F.col("_next"), hi_c + 1), hi_c + 1) - 1)))
+    nonzero = None
+    for n in names:
+        c = F.col(n) != 0
+        nonzero = c if nonzero is None else (nonzero | c)
+    return spread.where(nonzero).select(*groups, "month_idx", *names)

@@ -34,6 +34,29 @@ from pyspark.sql import types as T
 
 PID = "_pid"
 
+# Largest key group one task may take whole (rows).  Above it the range-split
+# path is used.  Overridable with the session setting ``tontine.scan.maxGroupRows``.
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+
+
+def max_group_rows(spark) -> int:
+    return int(spark.conf.get("tontine.scan.maxGroupRows", str(DEFAULT_MAX_GROUP_ROWS)))
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the largest key group (a map-side pre-aggregated count, one scalar to the driver)."""
+    if not keys:
+        return -1
+    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(r or 0)
+
+
+def needs_split(df: DataFrame, keys: Sequence[str], skew_safe: bool | None) -> bool:
+    """Decide the path: forced, or checked against the per-task row budget."""
+    if skew_safe is not None:
+        return skew_safe
+    return largest_group(df, keys) > max_group_rows(df.sparkSession)
+
 
 def _order_cols(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -59,7 +82,7 @@ def boundary_keys(r: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, *, sums: Sequence[str] = (),
                  products: Sequence[str] = (), lags: Sequence[str] = (), leads: Sequence[str] = (),
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, skew_safe: bool | None = None) -> DataFrame:
     """Add per-key ordered scan columns, skew-safe.
 
     For every ``c`` in ``sums``: ``c__cum`` (running sum incl. this row) and
@@ -67,7 +90,13 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, *, sums: S
     null on the first row); in ``lags``/``leads``: ``c__lag``/``c__lead``.
     Always: ``_pos`` (1-based position within the key) and ``_n`` (rows of the key).
     Input columns named in sums/products/lags/leads must exist (compute them first).
+
+    ``skew_safe=None`` checks the largest key group first: if it fits one task
+    (``max_group_rows``) plain per-key windows are used (one exchange);
+    otherwise keys are split into ordered runs as described above.
     """
+    if not needs_split(df, keys, skew_safe):
+        return _plain_scan(df, keys, order, sums, products, lags, leads)
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     r = range_runs(df, keys, order, n_parts)
     part = [PID, *keys]
@@ -137,6 +166,23 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, *, sums: S
     return out.drop(*drop)
 
 
+def _plain_scan(df, keys, order, sums, products, lags, leads) -> DataFrame:
+    """Same outputs as :func:`ordered_scan` with per-key windows (key groups known to be bounded)."""
+    w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
+    whole = Window.partitionBy(*keys)
+    cols = {"_pos": F.row_number().over(w).cast("long"), "_n": F.count(F.lit(1)).over(whole)}
+    for c in sums:
+        cols[f"{c}__cum"] = F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        cols[f"{c}__total"] = F.sum(c).over(whole)
+    for c in products:
+        cols[f"{c}__cumprod_prev"] = F.product(c).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    for c in lags:
+        cols[f"{c}__lag"] = F.lag(c).over(w)
+    for c in leads:
+        cols[f"{c}__lead"] = F.lead(c).over(w)
+    return df.withColumns(cols)
+
+
 # ---------------------------------------------------------------- affine fold
 def _affine_partition(keys, order_names, a_col, b_col, seed_col):
     """Per-partition sequential fold over sorted rows, with state across Arrow batches.
@@ -187,18 +233,25 @@ def _affine_partition(keys, order_names, a_col, b_col, seed_col):
 
 
 def linear_recurrence(df: DataFrame, keys: Sequence[str], order: Sequence[str], a: str, b: str,
-                      seed: str, out: str = "x", partitions: int | None = None) -> DataFrame:
+                      seed: str, out: str = "x", partitions: int | None = None,
+                      skew_safe: bool | None = None) -> DataFrame:
     """x_first = seed; x_t = a_t * x_{t-1} + b_t along ``order`` within ``keys``.
 
     Sequential within each run of a partition (vectorised Arrow batches, one
     pass), then runs of a key spanning partitions are chained through their
     affine summaries (at most three runs per partition), so no key is ever
-    gathered into one task or one array.
+    gathered into one task or one array.  When the largest key fits one task
+    (checked, see :func:`needs_split`) rows are hash-partitioned by key and
+    folded in one pass without runs or carries.
     """
     base = df.withColumns({"_a": F.expr(a).cast("double"), "_b": F.expr(b).cast("double"),
                            "_s": F.expr(seed).cast("double")})
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = base.repartitionByRange(n_parts, *[F.col(k) for k in keys], *_order_cols(order))
+    split = needs_split(df, keys, skew_safe)
+    if split:
+        r = base.repartitionByRange(n_parts, *[F.col(k) for k in keys], *_order_cols(order))
+    else:
+        r = base.repartition(n_parts, *[F.col(k) for k in keys])
     r = r.withColumn(PID, F.spark_partition_id()).sortWithinPartitions(*keys, *order)
     schema = T.StructType(r.schema.fields + [
         T.StructField("_alpha", T.DoubleType()), T.StructField("_beta", T.DoubleType()),
@@ -206,6 +259,9 @@ def linear_recurrence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         T.StructField("_last", T.BooleanType())])
     from tontine.sources.sinks import materialize
     loc = r.mapInPandas(_affine_partition(list(keys), list(order), "_a", "_b", "_s"), schema)
+    if not split:            # every key lies whole in one partition: the seeded fold is final
+        return loc.withColumn(out, F.col("_bseed")).drop(
+            "_a", "_b", "_s", "_alpha", "_beta", "_bseed", "_first", "_last", PID)
     loc = materialize(loc, "write", "affine-runs")   # one partition-id assignment for all readers
     bk = F.broadcast(boundary_keys(loc, keys))
     runs = loc.where("_last").join(bk, list(keys), "left_semi").select(

@@ -33,8 +33,8 @@ def _priced(pol: DataFrame, price: DataFrame, how: str = "inner", cols=("prem",)
     return pol.join(r, cond, how)
 
 
-def _benefit_client(spark, sf_dir, client_cols=("sex",)) -> DataFrame:
-    b = fixtures.policy_benefit(spark, sf_dir)
+def _benefit_client(spark, sf_dir, client_cols=("sex",), first_month=None, last_month=None) -> DataFrame:
+    b = fixtures.policy_benefit(spark, sf_dir, **fixtures.month_bounds(first_month, last_month))
     c = fixtures.policy_client(spark, sf_dir).select("user_id", *client_cols)
     return b.join(c, "user_id")
 
@@ -55,7 +55,7 @@ def premium_due(spark: SparkSession, sf_dir: str, first_month: str, last_month:
     ceil(window / 12) rows), which are then aggregated per month map-side.
     """
     lo, hi = month_index(F.lit(first_month)), month_index(F.lit(last_month))
-    pol = _priced(_benefit_client(spark, sf_dir), price)
+    pol = _priced(_benefit_client(spark, sf_dir, last_month=last_month), price)
     bidx = month_index(F.col("buy_datetime"))
     k0 = F.greatest(F.lit(0), F.ceil((lo - bidx) / 12)).cast("int")
     first = bidx + 12 * k0
@@ -93,7 +93,7 @@ def kpi_premium_growth_history(spark, sf_dir, calc_month, price, months: int = 3
 # ------------------------------------------------------------------ first-year ratio
 def kpi_first_year_ratio(spark, sf_dir, calc_month, price, month_filter: bool = True) -> DataFrame:
     """First-year premium over premium received so far (per policy: price x years paid)."""
-    pol = _priced(_benefit_client(spark, sf_dir), price)
+    pol = _priced(_benefit_client(spark, sf_dir, last_month=calc_month if month_filter else None), price)
     if month_filter:
         pol = pol.where(F.substring("buy_datetime", 1, 7) <= calc_month)
     py = policy_year_sql(calc_month)
@@ -113,7 +113,7 @@ def kpi_persistency13(spark, sf_dir, calc_month) -> DataFrame:
     Month text is compared with ISO day text as strings, as the report defines it.
     """
     m13 = month_shift(calc_month, -13)
-    b = fixtures.policy_benefit(spark, sf_dir).where(
+    b = fixtures.policy_benefit(spark, sf_dir, buy_before=f"{m13}-01").where(
         f"buy_datetime <= '{m13}' and (elapse_date > '{m13}' or elapse_date is null)")
     t = b.groupBy("insur_code", "insur_name").agg(
         F.expr(f"sum(if(elapse_date > '{calc_month}' or elapse_date is null, 1, 0)) as eff13_num"),
@@ -138,23 +138,24 @@ def kpi_persistency13_history(spark, sf_dir, calc_month, months: int = 36) -> Da
     """Forward 13-month persistency for each of the ``months`` months before the report month.
 
     Month m counts a policy when m >= buy text and m < elapse text (string
-    order), i.e. for month indexes buy+1 .. elapse.  Each policy expands only
-    to its in-force months inside the window (bounded by ``months``); no
-    month x policy nested loop.
+    order), i.e. for month indexes buy+1 .. elapse; it counts as persisting when
+    the elapse month is at least m + 13.  Both are intervals per policy, counted
+    per month with events (:func:`interval_counts`), not by pairing policies
+    with months.
     """
+    from tontine.operators.joins import interval_counts
     lo = month_index(F.lit(month_shift(calc_month, -months)))
     hi = month_index(F.lit(month_shift(calc_month, -1)))
-    b = _benefit_client(spark, sf_dir, ())
-    start = F.greatest(lo, month_index(F.col("buy_datetime")) + 1)
-    stop = F.least(hi, F.coalesce(month_index(F.col("elapse_date")), hi))
-    b = (b.where(start <= stop)
-          .withColumn("_m", F.explode(F.sequence(start, stop)))
-          .withColumn("month", index_to_month(F.col("_m"))))
-    t = b.groupBy("insur_code", "insur_name", "month").agg(
-        F.expr("sum(if(elapse_date is null or month_index_e >= _m + 13, 1, 0)) as cnt_eff13"
-               .replace("month_index_e", "(cast(substr(elapse_date, 1, 4) as int) * 12 + "
-                                         "cast(substr(elapse_date, 6, 2) as int) - 1)")),
-        F.expr("count(1) as cnt_all"))
+    b = fixtures.policy_benefit(spark, sf_dir)
+    c = fixtures.policy_client(spark, sf_dir).select("user_id")
+    b = b.join(c, "user_id", "left_semi")
+    start = month_index(F.col("buy_datetime")) + 1
+    el = month_index(F.col("elapse_date"))
+    stop = F.coalesce(el, hi)
+    stop13 = F.coalesce(F.least(el - 13, stop), stop)
+    t = interval_counts(b, ["insur_code", "insur_name"], lo, hi,
+                        {"cnt_all": (start, stop), "cnt_eff13": (start, stop13)})
+    t = t.where("cnt_all > 0").withColumn("month", index_to_month(F.col("month_idx")))
     return t.selectExpr("insur_code", "insur_name", "month", "cnt_eff13", "cnt_all",
                         _ratio("cnt_eff13", "cnt_all", "decimal(10,5)") + " as rate_eff13")
 
@@ -162,7 +163,8 @@ def kpi_persistency13_history(spark, sf_dir, calc_month, months: int = 36) -> Da
 # ------------------------------------------------------------------ premium per policy
 def kpi_premium_per_policy(spark, sf_dir, calc_month, price) -> DataFrame:
     """Average first-year premium of the policies bought in the report month."""
-    pol = _benefit_client(spark, sf_dir).where(F.substring("buy_datetime", 1, 7) == calc_month)
+    pol = _benefit_client(spark, sf_dir, first_month=calc_month, last_month=calc_month).where(
+        F.substring("buy_datetime", 1, 7) == calc_month)
     t = _priced(pol, price).groupBy("insur_code", "insur_name").agg(
         F.expr("sum(prem) as _s"), F.expr("count(pol_no) as _n"))
     return t.selectExpr("insur_code", "insur_name", _ratio("_s", "_n", "decimal(38,2)") + " as prem_per_pol")
@@ -180,7 +182,8 @@ def kpi_premium_per_policy_history(spark, sf_dir, price) -> DataFrame:
 # ------------------------------------------------------------------ cool-off / surrender
 def kpi_cooloff(spark, sf_dir, calc_month, price) -> DataFrame:
     """Premium of policies bought this month and cancelled within 20 days, over all new premium."""
-    pol = _benefit_client(spark, sf_dir).where(F.substring("buy_datetime", 1, 7) == calc_month)
+    pol = _benefit_client(spark, sf_dir, first_month=calc_month, last_month=calc_month).where(
+        F.substring("buy_datetime", 1, 7) == calc_month)
     s = fixtures.policy_surrender(spark, sf_dir).select(F.col("pol_no").alias("_s_pol"), "keep_days")
     j = _priced(pol.join(s, pol.pol_no == s._s_pol, "left"), price)
     t = j.groupBy("insur_code", "insur_name").agg(
@@ -205,7 +208,7 @@ def kpi_cooloff_history(spark, sf_dir, price) -> DataFrame:
 def kpi_surrender(spark, sf_dir, calc_month) -> DataFrame:
     """Of policies in force 14 months ago, the share surrendered since (month text bounds)."""
     m14 = month_shift(calc_month, -14)
-    b = fixtures.policy_benefit(spark, sf_dir).where(
+    b = fixtures.policy_benefit(spark, sf_dir, **fixtures.month_bounds(last_month=m14)).where(
         f"'{m14}' >= substr(buy_datetime, 1, 7) and ('{m14}' < elapse_date or elapse_date is null)")
     s = fixtures.policy_surrender(spark, sf_dir).select(
         F.col("pol_no").alias("_s_pol"), F.col("elapse_date").alias("_s_elapse"))
@@ -220,7 +223,7 @@ def kpi_surrender(spark, sf_dir, calc_month) -> DataFrame:
 def kpi_surrender_on_predicate(spark, sf_dir, calc_month) -> DataFrame:
     """Variant with the date bounds inside the left-join condition; counts non-null matches."""
     m14 = month_shift(calc_month, -14)
-    b = _benefit_client(spark, sf_dir, ()).where(
+    b = _benefit_client(spark, sf_dir, (), last_month=m14).where(
         f"substr(buy_datetime, 1, 7) <= '{m14}' and (elapse_date > '{m14}' or elapse_date is null)")
     s = fixtures.policy_surrender(spark, sf_dir).select(F.col("pol_no").alias("_s_pol"))
     cond = ((b.pol_no == s._s_pol) & (F.substring(b.elapse_date, 1, 7) > m14)
@@ -239,7 +242,7 @@ def kpi_mortality_disability(spark, sf_dir, calc_month: str | None = None) -> Da
     every group is a one-row aggregate joined back (no unpartitioned window).
     With ``calc_month`` the month-bounded variant is used.
     """
-    pol = _benefit_client(spark, sf_dir, ("birthday",))
+    pol = _benefit_client(spark, sf_dir, ("birthday",), last_month=calc_month)
     if calc_month is None:
         pol = pol.where("elapse_date is null")
     else:
@@ -284,7 +287,7 @@ def kpi_high_net_worth(spark, sf_dir) -> DataFrame:
 
 def kpi_nbev(spark, sf_dir, price_real, calc_month: str | None = None) -> DataFrame:
     """Premium-weighted new-business embedded value ratio by product."""
-    pol = _benefit_client(spark, sf_dir)
+    pol = _benefit_client(spark, sf_dir, last_month=calc_month)
     if calc_month is not None:
         pol = pol.where(F.substring("buy_datetime", 1, 7) <= calc_month)
     t = _priced(pol, price_real, cols=("prem", "nbev")).groupBy("insur_code", "insur_name").agg(

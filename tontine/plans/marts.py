@@ -29,7 +29,7 @@ def policy_actuary(cv_src_q: DataFrame, rsv_src_q: DataFrame, how: str = "inner"
 
 def policies_with_client(spark: SparkSession, sf_dir: str, calc_month: str | None = None) -> DataFrame:
     """Policies (bought up to ``calc_month``) joined to their client; the one big shuffle."""
-    b = fixtures.policy_benefit(spark, sf_dir)
+    b = fixtures.policy_benefit(spark, sf_dir, **fixtures.month_bounds(last_month=calc_month))
     if calc_month is not None:
         b = b.where(F.substring("buy_datetime", 1, 7) <= calc_month)
     c = fixtures.policy_client(spark, sf_dir).select(

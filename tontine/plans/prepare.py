@@ -22,7 +22,7 @@ def policy_number_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """'P' + 9-digit number in purchase order (date, then order key as tie-break)."""
     o = (fixtures.policy_benefit(spark, sf_dir).select("pol_no", "buy_datetime")
          .withColumn("_all", F.lit(0)))
-    s = ordered_scan(o, ["_all"], ["buy_datetime", "pol_no"])
+    s = ordered_scan(o, ["_all"], ["buy_datetime", "pol_no"], skew_safe=True)   # one global order: always split
     return s.select("pol_no", "buy_datetime",
                     F.concat(F.lit("P"), F.lpad(F.col("_pos").cast("string"), 9, "0")).alias("new_pol_no"))
 

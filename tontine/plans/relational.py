@@ -175,7 +175,8 @@ def join_left_computed_key(spark, sf_dir, calc_month: str, actuary: DataFrame, r
     """Policies left-joined to the actuarial row of their policy year at the report month."""
     from tontine.functions.dates import policy_year_sql
     from tontine.plans.kpi import _benefit_client
-    p = _benefit_client(spark, sf_dir).where(F.substring("buy_datetime", 1, 7) <= calc_month).selectExpr(
+    p = _benefit_client(spark, sf_dir, last_month=calc_month).where(
+        F.substring("buy_datetime", 1, 7) <= calc_month).selectExpr(
         "pol_no", "sex", "cast(age_buy as smallint) as _ab", "cast(ppp as smallint) as _pp",
         f"cast({policy_year_sql(calc_month, rule=rule)} as int) as policy_year")
     a = broadcast_bounded(actuary.select(
@@ -186,17 +187,17 @@ def join_left_computed_key(spark, sf_dir, calc_month: str, actuary: DataFrame, r
 
 
 def join_month_inforce(spark, sf_dir, calc_month: str, months: int = 36) -> DataFrame:
-    """Policies in force per month of the last ``months`` months (each policy expands
-    only to its own in-force months inside the window)."""
+    """Policies in force per month of the last ``months`` months: the month x policy
+    interval join, evaluated as interval events (no pairing of rows with months)."""
     from tontine.functions.dates import month_shift
-    from tontine.operators.joins import index_to_month, month_index
+    from tontine.operators.joins import index_to_month, interval_counts, month_index
     lo = month_index(F.lit(month_shift(calc_month, -months)))
     hi = month_index(F.lit(month_shift(calc_month, -1)))
-    b = fixtures.policy_benefit(spark, sf_dir)
-    start = F.greatest(lo, month_index(F.col("buy_datetime")) + 1)
-    stop = F.least(hi, F.coalesce(month_index(F.col("elapse_date")), hi))
-    e = b.where(start <= stop).select(F.explode(F.sequence(start, stop)).alias("_m"))
-    return e.groupBy(index_to_month(F.col("_m")).alias("month")).agg(F.count(F.lit(1)).alias("n_inforce"))
+    b = fixtures.policy_benefit(spark, sf_dir).withColumn("_g", F.lit(0))
+    start = month_index(F.col("buy_datetime")) + 1
+    stop = F.coalesce(month_index(F.col("elapse_date")), hi)
+    t = interval_counts(b, ["_g"], lo, hi, {"n_inforce": (start, stop)})
+    return t.select(index_to_month(F.col("month_idx")).alias("month"), F.col("n_inforce").cast("long"))
 
 
 def join_range_expand(spark, sf_dir, calc_month: str) -> DataFrame:
@@ -206,7 +207,8 @@ def join_range_expand(spark, sf_dir, calc_month: str) -> DataFrame:
     of groups), and only the counts are expanded over the year series.
     """
     from tontine.functions.dates import policy_year_sql
-    b = fixtures.policy_benefit(spark, sf_dir).where(F.substring("buy_datetime", 1, 7) <= calc_month)
+    b = fixtures.policy_benefit(spark, sf_dir, **fixtures.month_bounds(last_month=calc_month)).where(
+        F.substring("buy_datetime", 1, 7) <= calc_month)
     py = b.selectExpr(f"cast({policy_year_sql(calc_month)} as int) as py").groupBy("py").agg(
         F.count(F.lit(1)).alias("n"))
     e = py.where("py >= 1").withColumn("year", F.explode(F.sequence(F.lit(1), F.col("py"))))
@@ -330,7 +332,8 @@ def month_param(spark, sf_dir) -> DataFrame:
 def age_band_rate_pick(spark, sf_dir, calc_month: str, params=DEFAULT) -> DataFrame:
     """Expense loading of each policy at its policy year: r1..r5, r6 from year 6 on."""
     from tontine.functions.dates import policy_year_sql
-    b = fixtures.policy_benefit(spark, sf_dir).where(F.substring("buy_datetime", 1, 7) <= calc_month)
+    b = fixtures.policy_benefit(spark, sf_dir, **fixtures.month_bounds(last_month=calc_month)).where(
+        F.substring("buy_datetime", 1, 7) <= calc_month)
     band = b.selectExpr("cast(ppp as smallint) as ppp",
                         f"cast(least(greatest({policy_year_sql(calc_month)}, 1), 6) as int) as band").groupBy(
         "ppp", "band").agg(F.count(F.lit(1)).alias("n"))

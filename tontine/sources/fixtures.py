@@ -66,20 +66,42 @@ def policy_client(spark: SparkSession, sf_dir: str) -> DataFrame:
                       .otherwise(100000 * (1 + key % 3)).cast("int").alias("income")))
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (table(spark, sf_dir, "orders")
-            .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-            .withColumn("_buy", F.to_date("o_orderdate")))
-
-
-def policy_benefit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders(spark: SparkSession, sf_dir: str, buy_from: str | None = None,
+            buy_before: str | None = None) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    # purchase-date bounds on the source column, so the parquet scan skips row groups
+    if buy_from or buy_before:
+        ts = o.schema["o_orderdate"].dataType
+        if buy_from:
+            o = o.where(F.col("o_orderdate") >= F.lit(buy_from).cast("date").cast(ts))
+        if buy_before:
+            o = o.where(F.col("o_orderdate") < F.lit(buy_before).cast("date").cast(ts))
+    return o.withColumn("_buy", F.to_date("o_orderdate"))
+
+
+def month_bounds(first_month: str | None = None, last_month: str | None = None) -> dict:
+    """Purchase-date bounds (ISO days) covering purchase months first_month..last_month."""
+    from tontine.functions.dates import month_shift
+    out = {}
+    if first_month:
+        out["buy_from"] = f"{first_month[:7]}-01"
+    if last_month:
+        out["buy_before"] = f"{month_shift(last_month[:7], 1)}-01"
+    return out
+
+
+def policy_benefit(spark: SparkSession, sf_dir: str, buy_from: str | None = None,
+                   buy_before: str | None = None) -> DataFrame:
     """One policy per order.  ``ppp`` is text, as in the declared table.
 
+    ``buy_from`` / ``buy_before`` (ISO days) bound the purchase date on the
+    source column (pushed into the scan); callers keep their own exact filters.
+
     Surrender status is a function of the order key, so no join to the
     surrender table is needed here (``plans.prepare.policy_status`` derives the
     same two columns by the left join and is tested to agree).
     """
-    o = _orders(spark, sf_dir)
+    o = _orders(spark, sf_dir, buy_from, buy_before)
     key = F.col("o_orderkey")
     ppp = _ppp(key)
     surrendered = key % 15 == 4
