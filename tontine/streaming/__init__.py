@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The modelled application is a monthly batch job: it has no stream sources,
+watermarks, windows over event time or stateful operators, so nothing here is
+built.  Monthly runs are driven by the report month argument of the batch
+plans (``tontine.plans``) and written with month-partitioned sinks
+(``tontine.sources.sinks``).
+"""
