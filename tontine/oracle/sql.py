@@ -121,7 +121,7 @@ add("kpi_persistency13", f"""
 SELECT insur_code, insur_name, eff13_num, total_eff_num,
        {ratio("eff13_num", "total_eff_num", "DECIMAL(8,6)")} AS rate_eff13
 FROM (SELECT insur_code, insur_name,
-             sum(if(elapse_date > '{M}' OR elapse_date IS NULL, 1, 0)) AS eff13_num,
+             CAST(sum(if(elapse_date > '{M}' OR elapse_date IS NULL, 1, 0)) AS BIGINT) AS eff13_num,
              count(pol_no) AS total_eff_num
       FROM policy_benefit
       WHERE buy_datetime <= '{M13}' AND (elapse_date > '{M13}' OR elapse_date IS NULL)
@@ -131,7 +131,7 @@ P13 = month_shift(M, 13)
 add("kpi_persistency13_forward", f"""
 SELECT insur_code, insur_name, cnt_eff13, cnt_all, {ratio("cnt_eff13", "cnt_all", "DECIMAL(10,5)")} AS rate_eff13
 FROM (SELECT insur_code, insur_name,
-             sum(if(elapse_date IS NULL OR substr(elapse_date, 1, 7) >= '{P13}', 1, 0)) AS cnt_eff13,
+             CAST(sum(if(elapse_date IS NULL OR substr(elapse_date, 1, 7) >= '{P13}', 1, 0)) AS BIGINT) AS cnt_eff13,
              count(1) AS cnt_all
       FROM policy_benefit pb JOIN policy_client c ON pb.user_id = c.user_id
       WHERE '{M}' >= pb.buy_datetime AND ('{M}' < pb.elapse_date OR pb.elapse_date IS NULL)
@@ -140,8 +140,8 @@ FROM (SELECT insur_code, insur_name,
 add("kpi_persistency13_history", f"""
 SELECT insur_code, insur_name, month, cnt_eff13, cnt_all, {ratio("cnt_eff13", "cnt_all", "DECIMAL(10,5)")} AS rate_eff13
 FROM (SELECT insur_code, insur_name, b.month,
-             sum(if(elapse_date IS NULL OR substr(elapse_date, 1, 7) >=
-                    strftime(CAST(b.month || '-01' AS DATE) + INTERVAL 13 MONTH, '%Y-%m'), 1, 0)) AS cnt_eff13,
+             CAST(sum(if(elapse_date IS NULL OR substr(elapse_date, 1, 7) >=
+                    strftime(CAST(b.month || '-01' AS DATE) + INTERVAL 13 MONTH, '%Y-%m'), 1, 0)) AS BIGINT) AS cnt_eff13,
              count(1) AS cnt_all
       FROM (SELECT strftime({mdate(M)} - to_months(CAST(i AS INTEGER)), '%Y-%m') AS month FROM range(1, 37) t(i)) b
       JOIN policy_benefit pb ON b.month >= pb.buy_datetime AND (b.month < pb.elapse_date OR pb.elapse_date IS NULL)
@@ -179,7 +179,7 @@ M14 = month_shift(M, -14)
 add("kpi_surrender", f"""
 SELECT insur_code, insur_name, cnt_surr, cnt_all, {ratio("cnt_surr", "cnt_all", "DECIMAL(8,6)")} AS surr_rate
 FROM (SELECT a.insur_code, a.insur_name,
-             sum(if(s.elapse_date > '{M14}' AND s.elapse_date < '{M}', 1, 0)) AS cnt_surr,
+             CAST(sum(if(s.elapse_date > '{M14}' AND s.elapse_date < '{M}', 1, 0)) AS BIGINT) AS cnt_surr,
              count(a.pol_no) AS cnt_all
       FROM policy_benefit a LEFT JOIN policy_surrender s ON a.pol_no = s.pol_no
       WHERE '{M14}' >= substr(a.buy_datetime, 1, 7) AND ('{M14}' < a.elapse_date OR a.elapse_date IS NULL)
@@ -364,7 +364,7 @@ SELECT DISTINCT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGE
 add("agg_group_by_alias_expr", """
 SELECT strftime(l_shipdate, '%Y-%m') AS ship_month, count(1) AS n_lines FROM lineitem GROUP BY 1""")
 add("agg_of_agg_window", """
-SELECT o_orderpriority, count(1) AS n, sum(count(1)) OVER () AS all_n,
+SELECT o_orderpriority, count(1) AS n, CAST(sum(count(1)) OVER () AS BIGINT) AS all_n,
        CAST(count(1) / sum(count(1)) OVER () AS DECIMAL(10,8)) AS share
 FROM orders GROUP BY o_orderpriority""")
 add("agg_max", "SELECT CAST(ppp AS SMALLINT) AS ppp, CAST(max(policy_year) AS SMALLINT) AS max_policy_year "
