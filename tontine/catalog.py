@@ -462,3 +462,20 @@ def q_jdbc_export(spark, sf_dir):
     export_jdbc(fixtures.area(spark, sf_dir), url, "AREA", DERBY)
     return read_jdbc(spark, url, "AREA", DERBY).selectExpr(
         "cast(ID as smallint) as id", "PROVINCE as province", "CITY as city", "DIRECTION as direction")
+
+
+# ---------------------------------------------------------------- the 33 model steps
+def _step(name):
+    def q(spark, sf_dir):
+        from tontine.plans.steps import step_query
+        return step_query(_act(spark, sf_dir), name)
+    return q
+
+
+def _register_steps():
+    from tontine.plans.steps import STEPS
+    for name in STEPS:
+        register(name)(_step(name))
+
+
+_register_steps()

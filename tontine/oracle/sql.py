@@ -481,3 +481,23 @@ add("jdbc_ingest", """
 SELECT 'POLICY_SURRENDER' AS table_name, count(*) AS source_cnt, count(*) AS target_cnt, true AS matched
 FROM policy_surrender""")
 add("jdbc_export", "SELECT * FROM area")
+
+
+# ---------------------------------------------------------------- the 33 model steps
+def _step_sql():
+    from tontine.plans.steps import CELL, KEY, STEPS, SUM_TYPE
+    from tontine.schema import report_types
+    for name, (stage, cols) in STEPS.items():
+        if stage in ("prem_sums", "cv_sums"):
+            src = "pstd11" if stage == "prem_sums" else "pcv17"
+            sel = ", ".join(CELL + [f"CAST(CAST({c} AS VARCHAR) AS {SUM_TYPE.upper()}) AS {c}" for c in cols])
+            add(name, f"SELECT {sel} FROM {src}")
+            continue
+        types = dict(report_types(stage))
+        keys = CELL if stage in ("prem_std", "prem_cv") else KEY
+        sel = ", ".join([f"CAST({k} AS {types[k].upper()}) AS {k}" for k in keys]
+                        + [f"CAST({c} AS {types[c].upper()}) AS {c}" for c in cols])
+        add(name, f"SELECT {sel} FROM {stage}")
+
+
+_step_sql()
