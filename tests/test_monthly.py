@@ -25,7 +25,17 @@ def test_run_two_months_and_rerun(spark):
         if name != "policy_actuary":
             months = sorted(r.month for r in df.select("month").distinct().collect())
             assert months == ["2000-03", "2000-04"], name
-    pr = spark.read.parquet(os.path.join(root, "policy_result"))
+    pr = spark.read.parquet(os.path.join(root, "app", "policy_result"))
     assert pr.where("month = '2000-04'").count() == pr.where("month = '2000-04'").select("pol_no").distinct().count()
     from tontine.sources.jdbc import read_jdbc
     assert read_jdbc(spark, url, "POLICY_ACTUARY", props).count() > 0
+
+
+def test_warehouse_layers(spark):
+    from tontine.plans.monthly import write_warehouse
+    from tontine.schema import struct
+    root = tempfile.mkdtemp(dir="/tmp")
+    out = write_warehouse(spark, SF, root)
+    assert len(out) == 15
+    for name, path in out:
+        assert spark.read.parquet(path).schema == struct(name), name

@@ -1,6 +1,6 @@
 """The monthly batch: stage tables, policy result and every mart for one report month.
 
-Writes each table under ``out_root/<table>`` with static partition overwrite of
+Writes each mart under ``out_root/app/<table>`` with static partition overwrite of
 ``month=calc_month`` (re-running a month replaces only that month), the
 product actuarial table unpartitioned, and optionally exports one mart over
 JDBC.  Returns the list of (table, path) written.  Nothing is collected.
@@ -19,6 +19,34 @@ from tontine.schema import conform
 from tontine.sources.sinks import write_month
 
 
+def write_warehouse(spark: SparkSession, sf_dir: str, root: str, params: Params = DEFAULT) -> list[tuple[str, str]]:
+    """Write the ODS (input stand-ins) and DW (stage tables) layers under ``root/ods`` and
+    ``root/dw``, each conformed to its declared schema; overwrite per table."""
+    from tontine.sources import fixtures
+    a = actuarial.run(spark, sf_dir, params)
+    ods = {
+        "mort_10_13": fixtures.mortality_table(spark),
+        "dd_table": fixtures.disease_table(spark),
+        "pre_add_exp_ratio": fixtures.expense_table(spark, params.payment_terms),
+        "prem_std_real": a.prem_std_real,
+        "prem_cv_real": a.prem_cv_real,
+        "area": fixtures.area(spark, sf_dir),
+        "policy_client": fixtures.policy_client(spark, sf_dir),
+        "policy_benefit": fixtures.policy_benefit(spark, sf_dir),
+        "claim_info": fixtures.claim_info(spark, sf_dir, a.prem_std_real),
+        "policy_surrender": fixtures.policy_surrender(spark, sf_dir),
+    }
+    dw = {"prem_src": a.prem_src, "prem_std": a.prem_std, "cv_src": a.cv_src, "prem_cv": a.prem_cv,
+          "rsv_src": a.rsv_src}
+    out = []
+    for layer, tables in (("ods", ods), ("dw", dw)):
+        for name, df in tables.items():
+            path = os.path.join(root, layer, name)
+            conform(df, name).write.mode("overwrite").parquet(path)
+            out.append((name, path))
+    return out
+
+
 def run_month(spark: SparkSession, sf_dir: str, calc_month: str, out_root: str,
               params: Params = DEFAULT, jdbc: dict | None = None) -> list[tuple[str, str]]:
     a = actuarial.run(spark, sf_dir, params)
@@ -26,7 +54,7 @@ def run_month(spark: SparkSession, sf_dir: str, calc_month: str, out_root: str,
     written: list[tuple[str, str]] = []
 
     def put(name, df, partitioned=True):
-        path = os.path.join(out_root, name)
+        path = os.path.join(out_root, "app", name)
         if partitioned:
             write_month(df, path, calc_month)
         else:
@@ -36,7 +64,7 @@ def run_month(spark: SparkSession, sf_dir: str, calc_month: str, out_root: str,
     put("policy_actuary", a.policy_actuary, partitioned=False)
     pr = policy_result(spark, sf_dir, calc_month, a.policy_actuary, price, params=params)
     put("policy_result", pr.drop("month"))
-    pr_month = spark.read.parquet(os.path.join(out_root, "policy_result")).where(f"month = '{calc_month}'")
+    pr_month = spark.read.parquet(os.path.join(out_root, "app", "policy_result")).where(f"month = '{calc_month}'")
     marts = {
         "app_agg_month_incre_rate": kpi.kpi_premium_growth(spark, sf_dir, calc_month, price),
         "app_agg_month_first_of_total_prem": kpi.kpi_first_year_ratio(spark, sf_dir, calc_month, price),

@@ -105,26 +105,61 @@ DDL: dict[str, list[tuple[str, str]]] = {
     "app_agg_month_high_net_rate": _cols("high_net_rate decimal(8,6)"),
 }
 
+# Column descriptions (attached as StructField metadata "comment").
+COMMENTS: dict[str, str] = {
+    "age": "attained age", "age_buy": "age at purchase", "sex": "M or F", "ppp": "premium payment term (years)",
+    "bpp": "benefit period (years)", "t_age": "terminal age of cover", "nursing_age": "end age of nursing benefit",
+    "policy_year": "policy year (1 = first)", "interest_rate": "pricing/reserving interest rate",
+    "interest_rate_cv": "cash-value interest rate", "sa": "basic sum assured",
+    "qx": "mortality rate", "kx": "share of deaths after disability", "qx_d": "mortality net of disability",
+    "qx_ci": "disability (critical illness) rate", "lx": "policies in force", "lx_d": "healthy lives",
+    "dx_d": "healthy deaths", "dx_ci": "disabilities", "cx": "discounted deaths", "cx_": "cx mid-year adjusted",
+    "ci_cx": "discounted disabilities", "ci_cx_": "ci_cx mid-year adjusted", "dx": "discounted survivors",
+    "dx_d_": "discounted healthy survivors", "ppp_": "1 within payment term", "bpp_": "1 within cover",
+    "expense": "expense loading", "db1": "disability benefit", "db2_factor": "nursing benefit factor",
+    "db2": "nursing benefit", "db3": "elderly care benefit", "db4": "death benefit", "db5": "premium waiver factor",
+    "prem": "annual premium", "prem_cv": "cash-value gross premium", "np_": "net premium", "pvnp": "PV of net premiums",
+    "pvdb1": "PV of disability benefit", "pvdb2": "PV of nursing benefit", "pvdb3": "PV of care benefit",
+    "pvdb4": "PV of death benefit", "pvdb5": "PV of premium waiver", "pvr": "policy value reserve",
+    "rt": "cash-value ramp", "np": "smoothed net premium", "sur_ben": "survival benefit",
+    "cv_1a": "year-end cash value before survival benefit", "cv_1b": "year-end cash value after survival benefit",
+    "cv_2": "mid-year cash value", "prem_rsv": "net level premium (reserve)", "alpha": "modified first-year premium",
+    "beta": "modified renewal premium", "rsv1": "year-end reserve", "rsv2": "start-of-year reserve",
+    "rsv1_re": "year-end reserve floored by cash value", "rsv2_re": "start-of-year reserve floored by cash value",
+    "pol_no": "policy number", "user_id": "client id", "buy_datetime": "purchase date (ISO text)",
+    "insur_code": "product code", "insur_name": "product name", "pol_flag": "1 in force, 0 surrendered",
+    "elapse_date": "surrender date (ISO text)", "keep_days": "days held before surrender",
+    "claim_date": "claim date (ISO text)", "claim_item": "claim item code", "claim_mnt": "claim amount",
+    "income": "annual income", "direction": "region", "prem_thismonth": "premium due in the report month",
+    "nbev": "new-business embedded value ratio",
+}
+
 MONTH_PARTITIONED = {k for k in DDL if k.startswith("app_agg_month") or k == "policy_result"}
 
 
-def struct(name: str) -> StructType:
-    """Declared StructType of a table."""
-    return StructType([StructField(c, _parse_datatype_string(t), True) for c, t in DDL[name]])
+def struct(name: str, comments: bool = False) -> StructType:
+    """Declared StructType of a table (with column comments as metadata if asked)."""
+    return StructType([StructField(c, _parse_datatype_string(t), True,
+                                   {"comment": COMMENTS[c]} if comments and c in COMMENTS else None)
+                       for c, t in DDL[name]])
 
 
 def conform(df: DataFrame, name_or_struct, overflow: str = "null") -> DataFrame:
     """Select the declared columns by name and cast them to the declared types.
 
     ``overflow="null"`` turns values that do not fit into null (``try_cast``);
-    ``"error"`` raises, as ANSI casts do.
+    ``"error"`` raises, as ANSI casts do.  Declared columns the frame does not
+    have (e.g. the client's id card and phone, which the inputs cannot supply)
+    become typed nulls.
     """
     if isinstance(name_or_struct, str):
         pairs = DDL[name_or_struct]
     else:
         pairs = [(f.name, f.dataType.simpleString()) for f in name_or_struct.fields]
     fn = "try_cast" if overflow == "null" else "cast"
-    return df.selectExpr(*[f"{fn}(`{c}` as {t}) as `{c}`" for c, t in pairs])
+    have = set(df.columns)
+    return df.selectExpr(*[f"{fn}(`{c}` as {t}) as `{c}`" if c in have else f"cast(null as {t}) as `{c}`"
+                           for c, t in pairs])
 
 
 def as_double(df: DataFrame, exclude=()) -> DataFrame:
