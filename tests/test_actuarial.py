@@ -77,3 +77,13 @@ def test_policy_actuary_and_region_totals(spark, chain):
     reg = kpi_region(pr).agg(F.sum("sum_users").alias("u"), F.sum("sum_prem").alias("p")).first()
     tot = pr.agg(F.count("user_id").alias("u"), F.sum("prem_thismonth").alias("p")).first()
     assert (reg.u, reg.p) == (tot.u, tot.p)
+
+
+def test_empty_frame_zero_option(spark):
+    from dataclasses import replace
+    p = replace(DEFAULT, empty_frame="zero")
+    d = premium.premium_detail(spark, params=p)
+    assert d.where("db5 is null").count() == 0
+    a = {(r.age_buy, r.sex, r.ppp): r.prem for r in premium.prem_std(spark, params=p).collect()}
+    b = {(r.age_buy, r.sex, r.ppp): r.prem for r in premium.prem_std(spark).collect()}
+    assert a == b            # a zero instead of a null adds nothing to the commutation sums

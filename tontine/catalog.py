@@ -324,6 +324,18 @@ def q_split_client_policy(spark, sf_dir):
     return split_client_policy(spark, sf_dir)[0]
 
 
+@register("split_client_policy_policies")
+def q_split_client_policy_policies(spark, sf_dir):
+    from tontine.plans.prepare import split_client_policy
+    return split_client_policy(spark, sf_dir)[1]
+
+
+@register("scalar_functions")
+def q_scalar_functions(spark, sf_dir):
+    from tontine.plans.relational import scalar_functions
+    return scalar_functions(spark, sf_dir, CALC_MONTH)
+
+
 @register("claim_amount")
 def q_claim_amount(spark, sf_dir):
     from tontine.sources import fixtures

@@ -501,3 +501,29 @@ def _step_sql():
 
 
 _step_sql()
+
+
+add("split_client_policy_policies", """
+SELECT b.pol_no, b.user_id, b.ppp, b.age_buy, b.buy_datetime, b.insur_name, b.insur_code, b.pol_flag, b.elapse_date
+FROM policy_client c JOIN policy_benefit b ON c.user_id = b.user_id""")
+add("scalar_functions", f"""
+SELECT pol_no,
+       CAST(CAST({mb(mdate(M), "CAST(buy_datetime AS DATE)")} AS VARCHAR) AS DECIMAL(20,8)) AS months_held,
+       strftime(CAST(buy_datetime AS DATE) + INTERVAL 13 MONTH, '%Y-%m-%d') AS plus13m,
+       CAST(month(CAST(buy_datetime AS DATE)) AS INTEGER) AS buy_month,
+       CAST(date_diff('day', CAST(buy_datetime AS DATE), CAST(coalesce(elapse_date, buy_datetime) AS DATE)) AS INTEGER) AS days_held,
+       strftime(CAST(buy_datetime AS DATE) + 30 - 7, '%Y-%m-%d') AS plus23d,
+       substr(buy_datetime, 1, 7) AS buy_ym,
+       insur_code || '-' || repeat('x', CAST(ppp AS INTEGER) // 10) AS code_tag,
+       CAST(length(replace(insur_name, '-', '')) AS INTEGER) AS name_len,
+       insur_name LIKE '%URGENT%' AS is_urgent,
+       CAST(ppp AS INTEGER) IN (10, 20) AS even_term,
+       (['a', 'b', 'c', 'd'])[CAST(CAST(ppp AS INTEGER) // 10 AS INTEGER)] AS term_band,
+       greatest(CAST(NULL AS INTEGER), CAST(ppp AS INTEGER), 12) AS term_floor12,
+       least(CAST(NULL AS INTEGER), CAST(ppp AS INTEGER), 12) AS term_cap12,
+       CAST(CAST(pow(1.035::DOUBLE, -CAST(ppp AS INTEGER)) AS VARCHAR) AS DECIMAL(20,12)) AS v_ppp,
+       CAST(ceil(age_buy / 7) AS INTEGER) AS age_band_ceil,
+       CAST(floor(age_buy / 7) AS INTEGER) AS age_band_floor,
+       abs(CAST(ppp AS INTEGER) - age_buy) AS gap,
+       CAST(age_buy % 7 AS INTEGER) AS age_mod7
+FROM policy_benefit""")

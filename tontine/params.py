@@ -48,6 +48,9 @@ class Params:
     payment_terms: tuple = field(default=(10, 15, 20, 30))
     sexes: tuple = field(default=("M", "F"))
     rt_slope: float = 0.8
+    # "null": a sum over an empty exclusive frame (last policy year) stays null, as
+    # the product sheet computes it; "zero": it counts as 0.
+    empty_frame: str = "null"
 
     def grid_row_bound(self) -> int:
         """Upper bound of rows of the product grid (sex x ppp x entry age x year)."""

@@ -359,3 +359,32 @@ def limit_n(spark, sf_dir, n: int = 10) -> DataFrame:
     """The n most valuable orders (ordered limit with a unique tie-break)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return o.orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey").asc()).limit(n)
+
+
+# ---------------------------------------------------------------- scalar functions
+def scalar_functions(spark, sf_dir, calc_month: str) -> DataFrame:
+    """The scalar functions of the model on every policy: date arithmetic on ISO
+    text, text functions, array pick, null-skipping least/greatest, numeric rounding."""
+    from tontine.functions.dates import month_start
+    day = month_start(calc_month).isoformat()
+    b = fixtures.policy_benefit(spark, sf_dir)
+    return b.selectExpr(
+        "pol_no",
+        f"cast(months_between(date'{day}', to_date(buy_datetime)) as decimal(20,8)) as months_held",
+        "date_format(add_months(to_date(buy_datetime), 13), 'yyyy-MM-dd') as plus13m",
+        "month(to_date(buy_datetime)) as buy_month",
+        "datediff(to_date(coalesce(elapse_date, buy_datetime)), to_date(buy_datetime)) as days_held",
+        "date_format(date_sub(date_add(to_date(buy_datetime), 30), 7), 'yyyy-MM-dd') as plus23d",
+        "substr(buy_datetime, 1, 7) as buy_ym",
+        "concat(insur_code, '-', repeat('x', cast(ppp as int) div 10)) as code_tag",
+        "length(replace(insur_name, '-', '')) as name_len",
+        "insur_name like '%URGENT%' as is_urgent",
+        "cast(ppp as int) in (10, 20) as even_term",
+        "element_at(array('a', 'b', 'c', 'd'), cast(cast(ppp as int) / 10 as int)) as term_band",
+        "greatest(cast(null as int), cast(ppp as int), 12) as term_floor12",
+        "least(cast(null as int), cast(ppp as int), 12) as term_cap12",
+        "cast(pow(1.035D, -cast(ppp as int)) as decimal(20,12)) as v_ppp",
+        "cast(ceil(age_buy / 7) as int) as age_band_ceil",
+        "cast(floor(age_buy / 7) as int) as age_band_floor",
+        "abs(cast(ppp as int) - age_buy) as gap",
+        "cast(age_buy % 7 as int) as age_mod7")
