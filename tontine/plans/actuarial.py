@@ -50,9 +50,19 @@ class Actuarial:
     def prem_std_real(self) -> DataFrame:
         return self._get("prem_std_real", lambda: premium.golden_premium(self.prem_std))
 
+    @property
+    def cv_base(self) -> DataFrame:
+        """Steps 13-16 (read by step 17 and by steps 19-23).  Kept as a plan: on the
+        bounded grid recomputing it inside each reader's stage is cheaper than a
+        write, a re-read and a second exchange."""
+        if "cv_base" not in self._t:
+            self._t["cv_base"] = cashvalue.cv_steps_13_16(self.prem_src, self.params)
+        return self._t["cv_base"]
+
     @property
     def prem_cv(self) -> DataFrame:
-        return self._get("prem_cv", lambda: cashvalue.prem_cv_table(self.prem_src, self.prem_std, self.params))
+        return self._get("prem_cv", lambda: cashvalue.prem_cv_table(self.prem_src, self.prem_std, self.params,
+                                                                     base=self.cv_base))
 
     @property
     def prem_cv_real(self) -> DataFrame:
@@ -61,7 +71,8 @@ class Actuarial:
     @property
     def cv_src(self) -> DataFrame:
         return self._get("cv_src", lambda: conform(
-            cashvalue.cv_detail(self.prem_src, self.prem_std, self.params, self.prem_cv), "cv_src"))
+            cashvalue.cv_detail(self.prem_src, self.prem_std, self.params, self.prem_cv, base=self.cv_base),
+            "cv_src"))
 
     @property
     def rsv_src(self) -> DataFrame:

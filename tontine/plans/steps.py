@@ -60,8 +60,7 @@ def step_query(a, name: str):
         s = commutation_sums(as_double(a.prem_src), a.params.interest_rate)
         return s.selectExpr(*CELL, *[f"cast({c} as {SUM_TYPE}) as {c}" for c in cols])
     if stage == "cv_sums":
-        from tontine.plans.cashvalue import cv_commutation_detail
-        s = commutation_sums(cv_commutation_detail(a.prem_src, a.params), a.params.interest_rate_cv)
+        s = commutation_sums(a.cv_base, a.params.interest_rate_cv)
         return s.selectExpr(*CELL, *[f"cast({c} as {SUM_TYPE}) as {c}" for c in cols])
     df = getattr(a, stage)
     keys = CELL if stage in ("prem_std", "prem_cv") else KEY
