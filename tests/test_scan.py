@@ -64,3 +64,24 @@ def test_checked_path_choice(spark, skewed):
     finally:
         spark.conf.unset("tontine.scan.maxGroupRows")
     assert not needs_split(skewed, ["k"], None)
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(-1000, 1000)), min_size=1, max_size=300, unique=True),
+       st.integers(1, 7))
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_split_scan_random(spark, rows, parts):
+    df = spark.createDataFrame([(k, t, float(t % 17)) for k, t in rows], "k int, t int, v double")
+    s = ordered_scan(df, ["k"], ["t"], sums=["v"], lags=["v"], partitions=parts, skew_safe=True).collect()
+    by = {}
+    for k, t in sorted(rows):
+        by.setdefault(k, []).append(t)
+    for r in s:
+        ts = by[r.k]
+        i = ts.index(r.t)
+        assert r._pos == i + 1 and r._n == len(ts)
+        assert r.v__cum == sum(float(x % 17) for x in ts[: i + 1])
+        assert r.v__lag == (None if i == 0 else float(ts[i - 1] % 17))
