@@ -2,8 +2,11 @@
 
 prem_src -> prem_std -> (prem_std_real) -> prem_cv / cv_src -> rsv_src -> policy_actuary.
 Each is bounded by the product grid (<= Params.grid_row_bound() rows, whatever
-the policy volume), is read by several later steps, and is therefore written
-once under the shared checkpoint folder and re-read (lineage cut).
+the policy volume).  The five warehouse stage tables (prem_src, prem_std,
+prem_cv, cv_src, rsv_src) are read by several later steps and are written once
+under the shared checkpoint folder and re-read (lineage cut); the cheap
+derivations of them (golden prices, the actuarial table) and the sold product
+cells stay plans.
 Products are the cells sold in the policy table, so the run reads the input.
 """
 
@@ -29,14 +32,15 @@ class Actuarial:
     how: str = "write"
     _t: dict = field(default_factory=dict)
 
-    def _get(self, name, build):
+    def _get(self, name, build, how: str | None = None):
+        """Stage ``name``: materialised (DW tables) or kept as a plan (cheap derivations)."""
         if name not in self._t:
-            self._t[name] = materialize(build(), self.how, name)
+            self._t[name] = materialize(build(), how or self.how, name)
         return self._t[name]
 
     @property
     def products(self) -> DataFrame:
-        return self._get("products", lambda: premium.products_from_inputs(self.spark, self.sf_dir))
+        return self._get("products", lambda: premium.products_from_inputs(self.spark, self.sf_dir), "none")
 
     @property
     def prem_src(self) -> DataFrame:
@@ -48,7 +52,7 @@ class Actuarial:
 
     @property
     def prem_std_real(self) -> DataFrame:
-        return self._get("prem_std_real", lambda: premium.golden_premium(self.prem_std))
+        return self._get("prem_std_real", lambda: premium.golden_premium(self.prem_std), "none")
 
     @property
     def cv_base(self) -> DataFrame:
@@ -66,7 +70,7 @@ class Actuarial:
 
     @property
     def prem_cv_real(self) -> DataFrame:
-        return self._get("prem_cv_real", lambda: premium.golden_cv_premium(self.prem_cv))
+        return self._get("prem_cv_real", lambda: premium.golden_cv_premium(self.prem_cv), "none")
 
     @property
     def cv_src(self) -> DataFrame:
@@ -82,7 +86,7 @@ class Actuarial:
     @property
     def policy_actuary(self) -> DataFrame:
         from tontine.plans.marts import policy_actuary
-        return self._get("policy_actuary", lambda: policy_actuary(self.cv_src, self.rsv_src))
+        return self._get("policy_actuary", lambda: policy_actuary(self.cv_src, self.rsv_src), "none")
 
 
 def run(spark: SparkSession, sf_dir: str, params: Params = DEFAULT, how: str = "write") -> Actuarial:

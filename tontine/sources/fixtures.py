@@ -28,42 +28,27 @@ NATION_ROWS_BOUND = 25      # TPC-H nation has exactly 25 rows at every scale
 REGION_ROWS_BOUND = 5
 
 
-def _iso(d: Column) -> Column:
-    return F.date_format(d, "yyyy-MM-dd")
-
-
-def _ppp(key: Column) -> Column:
-    k = key % 4
-    return (F.when(k == 0, PAYMENT_TERM_BY_KEY_MOD4[0])
-            .when(k == 1, PAYMENT_TERM_BY_KEY_MOD4[1])
-            .when(k == 2, PAYMENT_TERM_BY_KEY_MOD4[2])
-            .otherwise(PAYMENT_TERM_BY_KEY_MOD4[3]))
-
-
-def _keep_days(key: Column) -> Column:
-    return F.when(key % 45 == 4, 1 + (key * 13) % 25).otherwise(1 + (key * 13) % 900)
+PPP_SQL = (f"case o_orderkey % 4 when 0 then {PAYMENT_TERM_BY_KEY_MOD4[0]} when 1 then {PAYMENT_TERM_BY_KEY_MOD4[1]} "
+           f"when 2 then {PAYMENT_TERM_BY_KEY_MOD4[2]} else {PAYMENT_TERM_BY_KEY_MOD4[3]} end")
+KEEP_DAYS_SQL = "if(o_orderkey % 45 = 4, 1 + (o_orderkey * 13) % 25, 1 + (o_orderkey * 13) % 900)"
+POL_NO_SQL = "concat('P', lpad(cast(o_orderkey as string), 9, '0'))"
+CODE_SQL = "concat('886', substr(o_orderpriority, 1, 1))"
 
 
 def policy_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One client per customer (user_id, name, sex, birthday, province, city, direction, income)."""
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = broadcast_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"),
                           NATION_ROWS_BOUND)
     r = broadcast_bounded(table(spark, sf_dir, "region").select("r_regionkey", "r_name"),
                           REGION_ROWS_BOUND)
-    key = F.col("c_custkey")
-    return (c.join(n, c.c_nationkey == n.n_nationkey)
-             .join(r, F.col("n_regionkey") == r.r_regionkey)
-             .select(key.cast("string").alias("user_id"),
-                     F.col("c_name").alias("name"),
-                     F.when(key % 2 == 0, "M").otherwise("F").alias("sex"),
-                     _iso(F.date_add(F.lit(BIRTHDAY_ORIGIN).cast("date"),
-                                     ((key * 37) % 12000).cast("int"))).alias("birthday"),
-                     F.col("n_name").alias("province"),
-                     F.col("c_mktsegment").alias("city"),
-                     F.col("r_name").alias("direction"),
-                     F.when(F.col("c_acctbal") >= 9000, F.lit(HIGH_INCOME))
-                      .otherwise(100000 * (1 + key % 3)).cast("int").alias("income")))
+    j = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    return j.selectExpr(
+        "cast(c_custkey as string) as user_id", "c_name as name",
+        "if(c_custkey % 2 = 0, 'M', 'F') as sex",
+        f"date_format(date_add(date'{BIRTHDAY_ORIGIN}', cast((c_custkey * 37) % 12000 as int)), 'yyyy-MM-dd') as birthday",
+        "n_name as province", "c_mktsegment as city", "r_name as direction",
+        f"cast(if(c_acctbal >= 9000, {HIGH_INCOME}, 100000 * (1 + c_custkey % 3)) as int) as income")
 
 
 def _orders(spark: SparkSession, sf_dir: str, buy_from: str | None = None,
@@ -71,12 +56,12 @@ def _orders(spark: SparkSession, sf_dir: str, buy_from: str | None = None,
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     # purchase-date bounds on the source column, so the parquet scan skips row groups
     if buy_from or buy_before:
-        ts = o.schema["o_orderdate"].dataType
+        ts = o.schema["o_orderdate"].dataType.simpleString()
         if buy_from:
-            o = o.where(F.col("o_orderdate") >= F.lit(buy_from).cast("date").cast(ts))
+            o = o.where(f"o_orderdate >= cast(date'{buy_from}' as {ts})")
         if buy_before:
-            o = o.where(F.col("o_orderdate") < F.lit(buy_before).cast("date").cast(ts))
-    return o.withColumn("_buy", F.to_date("o_orderdate"))
+            o = o.where(f"o_orderdate < cast(date'{buy_before}' as {ts})")
+    return o
 
 
 def month_bounds(first_month: str | None = None, last_month: str | None = None) -> dict:
@@ -96,62 +81,46 @@ def policy_benefit(spark: SparkSession, sf_dir: str, buy_from: str | None = None
 
     ``buy_from`` / ``buy_before`` (ISO days) bound the purchase date on the
     source column (pushed into the scan); callers keep their own exact filters.
-
     Surrender status is a function of the order key, so no join to the
     surrender table is needed here (``plans.prepare.policy_status`` derives the
     same two columns by the left join and is tested to agree).
     """
     o = _orders(spark, sf_dir, buy_from, buy_before)
-    key = F.col("o_orderkey")
-    ppp = _ppp(key)
-    surrendered = key % 15 == 4
-    return o.select(
-        F.concat(F.lit("P"), F.lpad(key.cast("string"), 9, "0")).alias("pol_no"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-        ppp.cast("string").alias("ppp"),
-        (18 + key % (53 - ppp)).cast("long").alias("age_buy"),
-        _iso("_buy").alias("buy_datetime"),
-        F.col("o_orderpriority").alias("insur_name"),
-        F.concat(F.lit("886"), F.substring("o_orderpriority", 1, 1)).alias("insur_code"),
-        F.when(surrendered, 0).otherwise(1).cast("short").alias("pol_flag"),
-        F.when(surrendered, _iso(F.date_add("_buy", _keep_days(key).cast("int")))).alias("elapse_date"),
-    )
+    return o.selectExpr(
+        f"{POL_NO_SQL} as pol_no", "cast(o_custkey as string) as user_id",
+        f"cast({PPP_SQL} as string) as ppp",
+        f"cast(18 + o_orderkey % (53 - {PPP_SQL}) as bigint) as age_buy",
+        "date_format(o_orderdate, 'yyyy-MM-dd') as buy_datetime",
+        "o_orderpriority as insur_name", f"{CODE_SQL} as insur_code",
+        "cast(if(o_orderkey % 15 = 4, 0, 1) as smallint) as pol_flag",
+        f"if(o_orderkey % 15 = 4, date_format(date_add(to_date(o_orderdate), cast({KEEP_DAYS_SQL} as int)), "
+        f"'yyyy-MM-dd'), null) as elapse_date")
 
 
 def policy_surrender(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Surrender records: one per surrendered policy."""
-    o = _orders(spark, sf_dir).where(F.col("o_orderkey") % 15 == 4)
-    key = F.col("o_orderkey")
-    kd = _keep_days(key)
-    return o.select(
-        F.concat(F.lit("P"), F.lpad(key.cast("string"), 9, "0")).alias("pol_no"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-        _iso("_buy").alias("buy_datetime"),
-        kd.cast("short").alias("keep_days"),
-        _iso(F.date_add("_buy", kd.cast("int"))).alias("elapse_date"),
-    )
+    o = _orders(spark, sf_dir).where("o_orderkey % 15 = 4")
+    return o.selectExpr(
+        f"{POL_NO_SQL} as pol_no", "cast(o_custkey as string) as user_id",
+        "date_format(o_orderdate, 'yyyy-MM-dd') as buy_datetime",
+        f"cast({KEEP_DAYS_SQL} as smallint) as keep_days",
+        f"date_format(date_add(to_date(o_orderdate), cast({KEEP_DAYS_SQL} as int)), 'yyyy-MM-dd') as elapse_date")
 
 
 def claim_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims without amounts (pol_no, user_id, buy_datetime, insur_code, claim_date, claim_item)
     plus the internal columns ``_ppp``/``_age_buy``/``_days`` used to price them."""
-    o = _orders(spark, sf_dir).where(F.col("o_orderkey") % 30 == 7)
-    key = F.col("o_orderkey")
-    claim_day = F.date_add("_buy", (30 + (key * 17) % 1000).cast("int"))
-    idx = ((key - 7) % 180 / 30).cast("int")
-    item = F.element_at(F.array(*[F.lit(x) for x in CLAIM_ITEMS]), idx + 1)
-    ppp = _ppp(key)
-    return o.select(
-        F.concat(F.lit("P"), F.lpad(key.cast("string"), 9, "0")).alias("pol_no"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-        _iso("_buy").alias("buy_datetime"),
-        F.concat(F.lit("886"), F.substring("o_orderpriority", 1, 1)).alias("insur_code"),
-        _iso(claim_day).alias("claim_date"),
-        item.alias("claim_item"),
-        ppp.cast("int").alias("_ppp"),
-        (18 + key % (53 - ppp)).cast("long").alias("_age_buy"),
-        F.datediff(claim_day, "_buy").alias("_days"),
-    )
+    o = _orders(spark, sf_dir).where("o_orderkey % 30 = 7")
+    items = ", ".join(f"'{x}'" for x in CLAIM_ITEMS)
+    days = "30 + (o_orderkey * 17) % 1000"
+    return o.selectExpr(
+        f"{POL_NO_SQL} as pol_no", "cast(o_custkey as string) as user_id",
+        "date_format(o_orderdate, 'yyyy-MM-dd') as buy_datetime", f"{CODE_SQL} as insur_code",
+        f"date_format(date_add(to_date(o_orderdate), cast({days} as int)), 'yyyy-MM-dd') as claim_date",
+        f"element_at(array({items}), cast((o_orderkey - 7) % 180 div 30 as int) + 1) as claim_item",
+        f"cast({PPP_SQL} as int) as _ppp",
+        f"cast(18 + o_orderkey % (53 - {PPP_SQL}) as bigint) as _age_buy",
+        f"cast({days} as int) as _days")
 
 
 def claim_info(spark: SparkSession, sf_dir: str, price: DataFrame | None = None) -> DataFrame:
@@ -166,13 +135,10 @@ def claim_info(spark: SparkSession, sf_dir: str, price: DataFrame | None = None)
 
 def area(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area dimension: one row per nation."""
-    n = table(spark, sf_dir, "nation")
-    r = broadcast_bounded(table(spark, sf_dir, "region"), REGION_ROWS_BOUND)
-    return (n.join(r, n.n_regionkey == r.r_regionkey)
-             .select(F.col("n_nationkey").cast("short").alias("id"),
-                     F.col("n_name").alias("province"),
-                     F.col("n_name").alias("city"),
-                     F.col("r_name").alias("direction")))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = broadcast_bounded(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), REGION_ROWS_BOUND)
+    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+        "cast(n_nationkey as smallint) as id", "n_name as province", "n_name as city", "r_name as direction")
 
 
 # ---------------------------------------------------------------- rate tables

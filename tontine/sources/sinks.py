@@ -33,7 +33,7 @@ def materialize(df: DataFrame, how: str = "write", name: str = "stage") -> DataF
     if how == "write":
         path = os.path.join(stage_dir(spark), f"{name}-{uuid.uuid4().hex}")
         df.write.parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)      # known schema: no footer discovery
     if how == "checkpoint":
         return df.checkpoint(eager=True)
     if how == "persist":

@@ -11,6 +11,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+_SCANS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    The scan (file listing and schema) is resolved once per session and path;
+    the inputs are not modified during a run.
+    """
+    key = (id(spark), os.path.join(sf_dir, f"{name}.parquet"))
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(key[1])
+    return _SCANS[key]
