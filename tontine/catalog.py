@@ -75,6 +75,15 @@ def q_policy_result(spark, sf_dir):
     return report(policy_result(spark, sf_dir, CALC_MONTH, a.policy_actuary, a.prem_std_real), "policy_result")
 
 
+@register("policy_result_floor1")
+def q_policy_result_floor1(spark, sf_dir):
+    """Variant: policy year floor(months / 12) + 1, priced with the computed premium table."""
+    from tontine.plans.marts import policy_result
+    a = _act(spark, sf_dir)
+    return report(policy_result(spark, sf_dir, CALC_MONTH, a.policy_actuary, a.prem_std, rule="floor1"),
+                  "policy_result")
+
+
 # ---------------------------------------------------------------- KPIs
 @register("kpi_premium_growth")
 def q_kpi_premium_growth(spark, sf_dir):

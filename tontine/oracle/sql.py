@@ -68,6 +68,9 @@ LEFT JOIN prem_std_real d ON CAST(a.age_buy AS SMALLINT) = d.age_buy AND d.sex =
      AND CAST(a.ppp AS SMALLINT) = d.ppp
 WHERE substr(a.buy_datetime, 1, 7) <= '{M}'"""
 add("policy_result", report_sql("policy_result", "policy_result", ", month"), {"policy_result": POLICY_RESULT})
+PY_M_FLOOR1 = f"CAST(floor({mb(mdate(M), 'CAST(buy_datetime AS DATE)')} / 12) + 1 AS BIGINT)"
+add("policy_result_floor1", report_sql("policy_result", "policy_result", ", month"),
+    {"policy_result": POLICY_RESULT.replace(PY_M, PY_M_FLOOR1).replace("prem_std_real d", "prem_std d")})
 
 PRICED = """
 SELECT a.*, c.sex, r.prem, r.nbev FROM policy_benefit a JOIN policy_client c ON a.user_id = c.user_id
