@@ -8,7 +8,6 @@ double for further arithmetic.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 _D12 = "decimal(17,12)"
