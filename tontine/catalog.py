@@ -206,10 +206,14 @@ def q_kpi_premium_growth_incremental(spark, sf_dir):
     tot = kpi.premium_due(spark, sf_dir, prev, prev, price).agg(
         F.expr("cast(sum(prem_thismonth) as decimal(24,6)) as prem"))
     write_month(tot, path, prev)
-    stored = spark.read.parquet(path).where(F.col("month") == prev).select(F.col("prem").alias("last_prem"))
-    cur = kpi.premium_due(spark, sf_dir, CALC_MONTH, CALC_MONTH, price).agg(
-        F.expr("cast(sum(prem_thismonth) as decimal(24,6)) as prem"))
-    return cur.join(stored, how="left").selectExpr(
+    stored = spark.read.parquet(path).where(F.col("month") == prev).select(
+        F.lit(None).cast("decimal(14,6)").alias("prem_thismonth"), F.col("prem").alias("last_prem"))
+    cur = kpi.premium_due(spark, sf_dir, CALC_MONTH, CALC_MONTH, price).select(
+        "prem_thismonth", F.lit(None).cast("decimal(24,6)").alias("last_prem"))
+    both = cur.unionByName(stored).agg(
+        F.expr("cast(sum(prem_thismonth) as decimal(24,6)) as prem"),
+        F.expr("cast(max(last_prem) as decimal(24,6)) as last_prem"))
+    return both.selectExpr(
         "prem", "last_prem",
         "cast(try_divide(cast(prem - last_prem as double), cast(last_prem as double)) as decimal(10,4)) "
         "as prem_incre_rate")

@@ -27,9 +27,9 @@ def relative_diff_check(computed: DataFrame, golden: DataFrame, keys: Sequence[s
 
 def reconcile_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row: source_cnt, target_cnt, matched (two distributed counts, no collect)."""
-    s = source.agg(F.count(F.lit(1)).alias("source_cnt"))
-    t = target.agg(F.count(F.lit(1)).alias("target_cnt"))
-    return s.crossJoin(t).withColumn("matched", F.col("source_cnt") == F.col("target_cnt"))
+    sides = (source.select(F.lit(1).alias("_src")).unionByName(target.select(F.lit(0).alias("_src"))))
+    return sides.agg(F.expr("count_if(_src = 1) as source_cnt"), F.expr("count_if(_src = 0) as target_cnt")) \
+        .withColumn("matched", F.col("source_cnt") == F.col("target_cnt"))
 
 
 def slice_product(df: DataFrame, sex: str, ppp: int, age_buy: int, order: str = "policy_year") -> DataFrame:

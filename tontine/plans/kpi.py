@@ -239,7 +239,8 @@ def kpi_mortality_disability(spark, sf_dir, calc_month: str | None = None) -> Da
     """Deaths and disabilities by product and age at claim, over the grand total count.
 
     Policies without a claim form the age-null group.  The grand total beside
-    every group is a one-row aggregate joined back (no unpartitioned window).
+    every group is a window over the aggregated groups (products x ages, a
+    bounded table), never over policy rows.
     With ``calc_month`` the month-bounded variant is used.
     """
     pol = _benefit_client(spark, sf_dir, ("birthday",), last_month=calc_month)
@@ -259,8 +260,9 @@ def kpi_mortality_disability(spark, sf_dir, calc_month: str | None = None) -> Da
         F.expr("cast(sum(if(claim_item like '%sgbxj%', 1, 0)) as int) as sg_cnt"),
         F.expr("cast(sum(if(claim_item like '%scbxj%', 1, 0)) as int) as sc_cnt"),
         F.expr("count(1) as _n"))
-    total = g.groupBy().agg(F.expr("cast(sum(_n) as int) as all_cnt"))
-    return g.crossJoin(F.broadcast(total)).selectExpr(
+    # grand total beside every group: a window over the already aggregated groups
+    # (products x ages, bounded), as the report defines it
+    return g.selectExpr("*", "cast(sum(_n) over () as int) as all_cnt").selectExpr(
         "insur_code", "insur_name", "age", "sg_cnt", "sc_cnt", "all_cnt",
         _ratio("sg_cnt", "all_cnt", "decimal(8,6)") + " as sg_rate",
         _ratio("sc_cnt", "all_cnt", "decimal(8,6)") + " as sc_rate")

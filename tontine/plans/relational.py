@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tontine.operators.grid import int_series, literal_rows
+from tontine.operators.grid import literal_rows
 from tontine.operators.joins import broadcast_bounded
 from tontine.operators.scan import linear_recurrence, ordered_scan
 from tontine.params import DEFAULT
@@ -128,21 +128,23 @@ def join_detail_to_aggregate(spark, sf_dir) -> DataFrame:
 
 
 def join_cross(spark, sf_dir) -> DataFrame:
-    """Aggregate x one-row parameter table (broadcast cross join): present value at the pricing rate."""
+    """Aggregate x the one-row parameter table.  The parameters enter as literals, so
+    Catalyst folds them (no join at all; the parameter row never ships)."""
     agg = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
         F.expr(f"sum({_price_dec()}) as revenue"))
-    p = DEFAULT.to_df(spark).select("interest_rate", "sa")
-    return agg.crossJoin(F.broadcast(p)).selectExpr(
+    return agg.selectExpr(
         "l_returnflag", "cast(revenue as decimal(28,2)) as revenue",
-        "cast(cast(revenue as double) / (1 + interest_rate) as decimal(28,4)) as pv", "sa")
+        f"cast(cast(revenue as double) / (1 + {DEFAULT.interest_rate}D) as decimal(28,4)) as pv",
+        f"{DEFAULT.sa}D as sa")
 
 
 def join_scalar_pair(spark, sf_dir) -> DataFrame:
-    """Two one-row aggregates side by side (revenue shipped in 1996 and in 1997)."""
+    """Two scalar aggregates side by side (revenue shipped in 1996 and in 1997), computed
+    as one conditional aggregate in a single scan instead of joining two one-row results."""
     d = table(spark, sf_dir, "lineitem").select("l_shipdate", "l_extendedprice")
-    a = d.where("year(l_shipdate) = 1997").agg(F.expr(f"sum({_price_dec()}) as this_year"))
-    b = d.where("year(l_shipdate) = 1996").agg(F.expr(f"sum({_price_dec()}) as last_year"))
-    return a.crossJoin(b).selectExpr(
+    ab = d.agg(F.expr(f"sum(if(year(l_shipdate) = 1997, {_price_dec()}, null)) as this_year"),
+               F.expr(f"sum(if(year(l_shipdate) = 1996, {_price_dec()}, null)) as last_year"))
+    return ab.selectExpr(
         "cast(this_year as decimal(28,2)) as this_year", "cast(last_year as decimal(28,2)) as last_year",
         "cast(try_divide(cast(this_year - last_year as double), cast(last_year as double)) as decimal(12,6)) as growth")
 
@@ -274,11 +276,10 @@ def agg_group_by_alias_expr(spark, sf_dir) -> DataFrame:
 
 
 def agg_of_agg_window(spark, sf_dir) -> DataFrame:
-    """Group counts with the grand total beside them (one-row total, broadcast cross join)."""
+    """Group counts with the grand total beside them (window over the aggregated groups)."""
     o = table(spark, sf_dir, "orders")
     g = o.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
-    tot = g.agg(F.sum("n").alias("all_n"))
-    return g.crossJoin(F.broadcast(tot)).selectExpr(
+    return g.selectExpr("*", "sum(n) over () as all_n").selectExpr(
         "o_orderpriority", "n", "all_n", "cast(n / all_n as decimal(10,8)) as share")
 
 
@@ -302,21 +303,23 @@ def int_sequence(spark, sf_dir, params=DEFAULT) -> DataFrame:
     """Premium schedule: policies paying in each payment year 1..max term.
 
     Policies are counted per term first; only those few counts are expanded
-    over the integer series (a range join on the small side).
+    over the years of their term (a generator on the aggregated rows).
     """
     by_term = fixtures.policy_benefit(spark, sf_dir).groupBy(F.col("ppp").cast("int").alias("ppp")).agg(
         F.count(F.lit(1)).alias("n"))
-    years = int_series(spark, max(params.payment_terms), "pay_year")
-    return years.join(F.broadcast(by_term), F.col("pay_year") <= F.col("ppp")).groupBy("pay_year").agg(
-        F.sum("n").alias("n_policies"))
+    years = by_term.select(F.explode(F.sequence(F.lit(1), F.col("ppp"))).alias("pay_year"), "n")
+    return years.groupBy("pay_year").agg(F.sum("n").alias("n_policies"))
 
 
 def param_table(spark, sf_dir, params=DEFAULT) -> DataFrame:
-    """The one-row parameter table beside the policy count and sum-assured exposure."""
+    """The parameter row beside the policy count and sum-assured exposure (parameters
+    as literal columns, folded by Catalyst)."""
     n = fixtures.policy_benefit(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_policies"))
-    p = params.to_df(spark).select("interest_rate", "interest_rate_cv", "sa", "disability_ratio",
-                                   "nursing_ratio", "nursing_age")
-    return n.crossJoin(F.broadcast(p)).selectExpr("*", "cast(n_policies * sa as decimal(24,2)) as exposure")
+    return n.selectExpr(
+        "n_policies", f"{params.interest_rate}D as interest_rate", f"{params.interest_rate_cv}D as interest_rate_cv",
+        f"{params.sa}D as sa", f"{params.disability_ratio}D as disability_ratio",
+        f"{params.nursing_ratio}D as nursing_ratio", f"{params.nursing_age} as nursing_age",
+        f"cast(n_policies * {params.sa}D as decimal(24,2)) as exposure")
 
 
 def month_param(spark, sf_dir) -> DataFrame:
