@@ -2,11 +2,10 @@
 
 prem_src -> prem_std -> (prem_std_real) -> prem_cv / cv_src -> rsv_src -> policy_actuary.
 Each is bounded by the product grid (<= Params.grid_row_bound() rows, whatever
-the policy volume).  The five warehouse stage tables (prem_src, prem_std,
-prem_cv, cv_src, rsv_src) are read by several later steps and are written once
-under the shared checkpoint folder and re-read (lineage cut); the cheap
-derivations of them (golden prices, the actuarial table) and the sold product
-cells stay plans.
+the policy volume).  The warehouse stage tables (prem_src, prem_std, prem_cv,
+cv_src, rsv_src) and the actuarial table that every policy join broadcasts are
+written once under the shared checkpoint folder and re-read (lineage cut); the
+cheap derivations (golden prices) and the sold product cells stay plans.
 Products are the cells sold in the policy table, so the run reads the input.
 """
 
@@ -86,7 +85,7 @@ class Actuarial:
     @property
     def policy_actuary(self) -> DataFrame:
         from tontine.plans.marts import policy_actuary
-        return self._get("policy_actuary", lambda: policy_actuary(self.cv_src, self.rsv_src), "none")
+        return self._get("policy_actuary", lambda: policy_actuary(self.cv_src, self.rsv_src))
 
 
 def run(spark: SparkSession, sf_dir: str, params: Params = DEFAULT, how: str = "write") -> Actuarial:
