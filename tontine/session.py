@@ -61,3 +61,26 @@ def configure(spark: SparkSession) -> SparkSession:
             pass
     ensure_checkpoint_dir(spark)
     return spark
+
+
+def recommended_conf(input_bytes: int, executor_cores_total: int,
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized from the input volume, for a cluster session.
+
+    Shuffle partitions so that one reduce partition holds about
+    ``target_partition_bytes`` (and at least two waves of the cluster's cores);
+    file splits of the same size; AQE coalescing towards the same advisory size
+    and skew splitting of partitions five times the median and above 1 GiB.
+    """
+    parts = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+        "tontine.scan.maxGroupRows": "2000000",
+    }
