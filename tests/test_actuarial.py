@@ -87,3 +87,10 @@ def test_empty_frame_zero_option(spark):
     a = {(r.age_buy, r.sex, r.ppp): r.prem for r in premium.prem_std(spark, params=p).collect()}
     b = {(r.age_buy, r.sex, r.ppp): r.prem for r in premium.prem_std(spark).collect()}
     assert a == b            # a zero instead of a null adds nothing to the commutation sums
+
+
+def test_reserve_floor_by_cash_value(chain):
+    r = as_double(chain["rsv"]).select("age_buy", "sex", "ppp", "policy_year", "rsv1_re")
+    c = as_double(chain["cv"]).select("age_buy", "sex", "ppp", "policy_year", "cv_1a")
+    j = r.join(c, ["age_buy", "sex", "ppp", "policy_year"])
+    assert j.where("rsv1_re is not null and cv_1a is not null and rsv1_re < cv_1a - 1e-9").count() == 0
