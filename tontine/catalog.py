@@ -455,8 +455,14 @@ def q_overwrite_from_self(spark, sf_dir):
     return spark.read.parquet(new_path)
 
 
-def _derby_url(name: str) -> str:
+def _derby_url(spark, name: str) -> str:
+    """In-memory database inside the driver JVM (no server, no port); its log goes to the stage folder."""
+    import os
     import uuid
+
+    from tontine.sources.sinks import stage_dir
+    spark.sparkContext._jvm.java.lang.System.setProperty(
+        "derby.stream.error.file", os.path.join(stage_dir(spark), "derby.log"))
     return f"jdbc:derby:memory:{name}{uuid.uuid4().hex[:8]};create=true"
 
 
@@ -472,7 +478,7 @@ def q_jdbc_ingest(spark, sf_dir):
     from tontine.sources import fixtures
     from tontine.sources.jdbc import export_jdbc, ingest_jdbc
     from tontine.sources.sinks import stage_dir
-    url = _derby_url("ods")
+    url = _derby_url(spark, "ods")
     export_jdbc(fixtures.policy_surrender(spark, sf_dir), url, "POLICY_SURRENDER", DERBY)
     root = os.path.join(stage_dir(spark), f"ods-{uuid.uuid4().hex}")
     return ingest_jdbc(spark, url, ["POLICY_SURRENDER"], DERBY, root)
@@ -483,7 +489,7 @@ def q_jdbc_export(spark, sf_dir):
     """Write a mart to a database table, read it back."""
     from tontine.sources import fixtures
     from tontine.sources.jdbc import export_jdbc, read_jdbc
-    url = _derby_url("app")
+    url = _derby_url(spark, "app")
     export_jdbc(fixtures.area(spark, sf_dir), url, "AREA", DERBY)
     return read_jdbc(spark, url, "AREA", DERBY).selectExpr(
         "cast(ID as smallint) as id", "PROVINCE as province", "CITY as city", "DIRECTION as direction")
