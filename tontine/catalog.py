@@ -461,8 +461,13 @@ def _derby_url(spark, name: str) -> str:
     import uuid
 
     from tontine.sources.sinks import stage_dir
-    spark.sparkContext._jvm.java.lang.System.setProperty(
-        "derby.stream.error.file", os.path.join(stage_dir(spark), "derby.log"))
+    d = stage_dir(spark)
+    if d.startswith("file:"):
+        d = d[len("file:"):]
+    if "://" not in d:                     # a local folder: keep the database log out of the cwd
+        os.makedirs(d, exist_ok=True)
+        spark.sparkContext._jvm.java.lang.System.setProperty("derby.stream.error.file",
+                                                              os.path.join(d, "derby.log"))
     return f"jdbc:derby:memory:{name}{uuid.uuid4().hex[:8]};create=true"
 
 
