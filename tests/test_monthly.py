@@ -39,3 +39,25 @@ def test_warehouse_layers(spark):
     assert len(out) == 15
     for name, path in out:
         assert spark.read.parquet(path).schema == struct(name), name
+
+
+def test_bucketed_warehouse_join_is_colocated(spark):
+    from tontine.plans import actuarial
+    from tontine.plans.marts import policy_result
+    from tontine.plans.monthly import read_ods, write_warehouse
+    root = tempfile.mkdtemp(dir="/tmp")
+    write_warehouse(spark, SF, root, buckets=4)
+    ods = read_ods(spark, root)
+    assert set(ods) == {"policy_benefit", "policy_client"}
+    a = actuarial.run(spark, SF)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pr = policy_result(spark, SF, "2000-04", a.policy_actuary, a.prem_std_real,
+                           policies=ods["policy_benefit"], clients=ods["policy_client"])
+        plan = pr._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning(user_id" not in plan
+        base = policy_result(spark, SF, "2000-04", a.policy_actuary, a.prem_std_real)
+        assert pr.exceptAll(base).count() == 0 and base.exceptAll(pr).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -27,20 +27,30 @@ def policy_actuary(cv_src_q: DataFrame, rsv_src_q: DataFrame, how: str = "inner"
     return conform(cv.join(rsv, keys, how), "policy_actuary")
 
 
-def policies_with_client(spark: SparkSession, sf_dir: str, calc_month: str | None = None) -> DataFrame:
-    """Policies (bought up to ``calc_month``) joined to their client; the one big shuffle."""
-    b = fixtures.policy_benefit(spark, sf_dir, **fixtures.month_bounds(last_month=calc_month))
+def policies_with_client(spark: SparkSession, sf_dir: str, calc_month: str | None = None,
+                         policies: DataFrame | None = None, clients: DataFrame | None = None) -> DataFrame:
+    """Policies (bought up to ``calc_month``) joined to their client; the one big shuffle.
+
+    ``policies`` / ``clients`` may be given as warehouse tables bucketed by
+    ``user_id`` (``plans.monthly.write_warehouse(buckets=n)``); the join then
+    reads matching buckets and shuffles nothing.
+    """
+    if policies is None:
+        b = fixtures.policy_benefit(spark, sf_dir, **fixtures.month_bounds(last_month=calc_month))
+    else:
+        b = policies
     if calc_month is not None:
         b = b.where(F.substring("buy_datetime", 1, 7) <= calc_month)
-    c = fixtures.policy_client(spark, sf_dir).select(
+    c = (clients if clients is not None else fixtures.policy_client(spark, sf_dir)).select(
         "user_id", "name", "sex", "birthday", "province", "city", "direction")
     return c.join(b, "user_id")
 
 
 def policy_result(spark: SparkSession, sf_dir: str, calc_month: str, actuary: DataFrame,
-                  price: DataFrame, rule: str = "ceil", params: Params = DEFAULT) -> DataFrame:
+                  price: DataFrame, rule: str = "ceil", params: Params = DEFAULT,
+                  policies: DataFrame | None = None, clients: DataFrame | None = None) -> DataFrame:
     """Monthly policy result (25 declared columns + ``month``)."""
-    pc = policies_with_client(spark, sf_dir, calc_month)
+    pc = policies_with_client(spark, sf_dir, calc_month, policies, clients)
     py = policy_year_sql(calc_month, "buy_datetime", rule)
     pc = pc.selectExpr("*", f"cast({py} as int) as _py",
                        "cast(age_buy as smallint) as _ab", "cast(ppp as smallint) as _pp")

@@ -19,9 +19,23 @@ from tontine.schema import conform
 from tontine.sources.sinks import write_month
 
 
-def write_warehouse(spark: SparkSession, sf_dir: str, root: str, params: Params = DEFAULT) -> list[tuple[str, str]]:
+BUCKETED = ("policy_benefit", "policy_client")      # joined on user_id every month
+
+
+def ods_table_name(name: str) -> str:
+    return f"ods_{name}"
+
+
+def write_warehouse(spark: SparkSession, sf_dir: str, root: str, params: Params = DEFAULT,
+                    buckets: int | None = None) -> list[tuple[str, str]]:
     """Write the ODS (input stand-ins) and DW (stage tables) layers under ``root/ods`` and
-    ``root/dw``, each conformed to its declared schema; overwrite per table."""
+    ``root/dw``, each conformed to its declared schema; overwrite per table.
+
+    With ``buckets`` the policy and client tables are written as external catalog
+    tables bucketed and sorted by ``user_id`` with the same bucket count, so the
+    monthly policy-client join (``read_ods`` + ``run_month(ods=...)``) is
+    co-located: no shuffle of either side, month after month.
+    """
     from tontine.sources import fixtures
     a = actuarial.run(spark, sf_dir, params)
     ods = {
@@ -42,13 +56,27 @@ def write_warehouse(spark: SparkSession, sf_dir: str, root: str, params: Params
     for layer, tables in (("ods", ods), ("dw", dw)):
         for name, df in tables.items():
             path = os.path.join(root, layer, name)
-            conform(df, name).write.mode("overwrite").parquet(path)
+            w = conform(df, name).write.mode("overwrite")
+            if buckets and name in BUCKETED:
+                (w.bucketBy(buckets, "user_id").sortBy("user_id").format("parquet")
+                  .option("path", path).saveAsTable(ods_table_name(name)))
+            else:
+                w.parquet(path)
             out.append((name, path))
     return out
 
 
+def read_ods(spark: SparkSession, root: str) -> dict:
+    """The bucketed policy and client tables (catalog tables carry the bucket spec)."""
+    out = {}
+    for name in BUCKETED:
+        if spark.catalog.tableExists(ods_table_name(name)):
+            out[name] = spark.table(ods_table_name(name))
+    return out
+
+
 def run_month(spark: SparkSession, sf_dir: str, calc_month: str, out_root: str,
-              params: Params = DEFAULT, jdbc: dict | None = None) -> list[tuple[str, str]]:
+              params: Params = DEFAULT, jdbc: dict | None = None, ods: dict | None = None) -> list[tuple[str, str]]:
     a = actuarial.run(spark, sf_dir, params)
     price = a.prem_std_real
     written: list[tuple[str, str]] = []
@@ -62,7 +90,9 @@ def run_month(spark: SparkSession, sf_dir: str, calc_month: str, out_root: str,
         written.append((name, path))
 
     put("policy_actuary", a.policy_actuary, partitioned=False)
-    pr = policy_result(spark, sf_dir, calc_month, a.policy_actuary, price, params=params)
+    ods = ods or {}
+    pr = policy_result(spark, sf_dir, calc_month, a.policy_actuary, price, params=params,
+                       policies=ods.get("policy_benefit"), clients=ods.get("policy_client"))
     put("policy_result", pr.drop("month"))
     pr_month = spark.read.parquet(os.path.join(out_root, "app", "policy_result")).where(f"month = '{calc_month}'")
     marts = {
