@@ -90,7 +90,7 @@ class Actuarial:
 
 def run(spark: SparkSession, sf_dir: str, params: Params = DEFAULT, how: str = "write") -> Actuarial:
     """The stage tables for ``sf_dir`` (one per session, input folder and parameter set)."""
-    key = (id(spark), sf_dir, params, how)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, params, how)
     if key not in _RUNS:
         _RUNS[key] = Actuarial(spark, sf_dir, params, how)
     return _RUNS[key]

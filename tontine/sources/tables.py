@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     The scan (file listing and schema) is resolved once per session and path;
     the inputs are not modified during a run.
     """
-    key = (id(spark), os.path.join(sf_dir, f"{name}.parquet"))
+    key = (spark.sparkContext.applicationId, id(spark), os.path.join(sf_dir, f"{name}.parquet"))
     if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(key[1])
+        _SCANS[key] = spark.read.parquet(key[2])
     return _SCANS[key]
