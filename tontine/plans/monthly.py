@@ -90,9 +90,10 @@ def run_month(spark: SparkSession, sf_dir: str, calc_month: str, out_root: str,
         written.append((name, path))
 
     put("policy_actuary", a.policy_actuary, partitioned=False)
-    ods = ods or {}
-    pr = policy_result(spark, sf_dir, calc_month, a.policy_actuary, price, params=params,
-                       policies=ods.get("policy_benefit"), clients=ods.get("policy_client"))
+    if ods:
+        from tontine.sources.fixtures import bind_tables
+        bind_tables(spark, sf_dir, ods)        # every mart below joins the bucketed tables
+    pr = policy_result(spark, sf_dir, calc_month, a.policy_actuary, price, params=params)
     put("policy_result", pr.drop("month"))
     pr_month = spark.read.parquet(os.path.join(out_root, "app", "policy_result")).where(f"month = '{calc_month}'")
     marts = {
@@ -109,6 +110,9 @@ def run_month(spark: SparkSession, sf_dir: str, calc_month: str, out_root: str,
     }
     for name, df in marts.items():
         put(name, conform(df, name))
+    if ods:
+        from tontine.sources.fixtures import unbind_tables
+        unbind_tables(spark, sf_dir)
     if jdbc:
         from tontine.sources.jdbc import export_jdbc
         export_jdbc(a.policy_actuary, jdbc["url"], jdbc.get("table", "POLICY_ACTUARY"), jdbc["props"])

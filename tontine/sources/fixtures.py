@@ -28,6 +28,25 @@ NATION_ROWS_BOUND = 25      # TPC-H nation has exactly 25 rows at every scale
 REGION_ROWS_BOUND = 5
 
 
+# Warehouse tables bound in place of the derived ones, per (application, input folder):
+# see ``bind_tables`` (used by the monthly job to read user_id-bucketed tables).
+_BOUND: dict = {}
+
+
+def bind_tables(spark: SparkSession, sf_dir: str, tables: dict) -> None:
+    """Serve ``policy_benefit`` / ``policy_client`` for ``sf_dir`` from the given warehouse
+    tables (e.g. bucketed by user_id) instead of deriving them from the raw inputs."""
+    _BOUND[(spark.sparkContext.applicationId, sf_dir)] = dict(tables)
+
+
+def unbind_tables(spark: SparkSession, sf_dir: str) -> None:
+    _BOUND.pop((spark.sparkContext.applicationId, sf_dir), None)
+
+
+def _bound(spark: SparkSession, sf_dir: str, name: str):
+    return _BOUND.get((spark.sparkContext.applicationId, sf_dir), {}).get(name)
+
+
 PPP_SQL = (f"case o_orderkey % 4 when 0 then {PAYMENT_TERM_BY_KEY_MOD4[0]} when 1 then {PAYMENT_TERM_BY_KEY_MOD4[1]} "
            f"when 2 then {PAYMENT_TERM_BY_KEY_MOD4[2]} else {PAYMENT_TERM_BY_KEY_MOD4[3]} end")
 KEEP_DAYS_SQL = "if(o_orderkey % 45 = 4, 1 + (o_orderkey * 13) % 25, 1 + (o_orderkey * 13) % 900)"
@@ -37,6 +56,9 @@ CODE_SQL = "concat('886', substr(o_orderpriority, 1, 1))"
 
 def policy_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One client per customer (user_id, name, sex, birthday, province, city, direction, income)."""
+    bound = _bound(spark, sf_dir, "policy_client")
+    if bound is not None:
+        return bound.select("user_id", "name", "sex", "birthday", "province", "city", "direction", "income")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = broadcast_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"),
                           NATION_ROWS_BOUND)
@@ -85,6 +107,13 @@ def policy_benefit(spark: SparkSession, sf_dir: str, buy_from: str | None = None
     surrender table is needed here (``plans.prepare.policy_status`` derives the
     same two columns by the left join and is tested to agree).
     """
+    bound = _bound(spark, sf_dir, "policy_benefit")
+    if bound is not None:                  # ISO text compares like the date it holds
+        if buy_from:
+            bound = bound.where(F.col("buy_datetime") >= buy_from)
+        if buy_before:
+            bound = bound.where(F.col("buy_datetime") < buy_before)
+        return bound
     o = _orders(spark, sf_dir, buy_from, buy_before)
     return o.selectExpr(
         f"{POL_NO_SQL} as pol_no", "cast(o_custkey as string) as user_id",
