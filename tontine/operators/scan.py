@@ -1,7 +1,11 @@
 """Skew-safe ordered scans: running sums, products, positions, lead/lag, affine folds.
 
-A plain ``Window.partitionBy(key)`` puts every row of a key into one task; a
-key holding a third of the data would then run on one core.  Here the rows are
+The path is checked first: the largest key group is counted (one map-side
+pre-aggregated count, a scalar to the driver).  If it fits one task
+(``tontine.scan.maxGroupRows``) a plain per-key window runs (one exchange).
+
+Otherwise, since ``Window.partitionBy(key)`` puts every row of a key into one
+task and a key holding a third of the data would run on one core, the rows are
 range-partitioned on (key, order) instead, so a hot key is cut into contiguous
 ordered runs, one per partition.  Each run is scanned locally (bounded by the
 partition size), and the few runs whose key continues across a partition
