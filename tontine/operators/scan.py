@@ -188,42 +188,53 @@ def _plain_scan(df, keys, order, sums, products, lags, leads) -> DataFrame:
 
 # ---------------------------------------------------------------- affine fold
 def _affine_partition(keys, order_names, a_col, b_col, seed_col):
-    """Per-partition sequential fold over sorted rows, with state across Arrow batches.
+    """Per-partition fold over sorted rows, with state across Arrow batches.
 
     For every row emits, relative to the start of its run in this partition:
     _alpha, _beta  (x = _alpha * x_in + _beta, x_in = value before the run)
     _bseed         (x assuming the run starts the key: x_first = seed)
     _first, _last  run-start / run-end flags (run end known when the next row arrives).
+
+    Vectorised across runs: step p updates the p-th row of every run in the
+    batch at once, so the Python loop runs (longest run in the batch) times,
+    and each row gets exactly the operations of a sequential fold.
     """
     def fn(batches):
-        state = None          # (key tuple, alpha, beta, bseed)
+        state = None          # (key tuple, alpha, beta, bseed) of the last row seen
         pending = None        # last row of previous batch (run end unknown yet)
         for pdf in batches:
             if pdf.empty:
                 continue
-            kv = list(zip(*[pdf[k].tolist() for k in keys])) if len(keys) > 1 else pdf[keys[0]].tolist()
+            n = len(pdf)
+            kdf = pdf[list(keys)]
+            first = kdf.ne(kdf.shift()).any(axis=1).to_numpy()
+            k0 = tuple(kdf.iloc[0].tolist())
+            first[0] = state is None or state[0] != k0
             a = pdf[a_col].to_numpy(dtype="float64")
             b = pdf[b_col].to_numpy(dtype="float64")
             s = pdf[seed_col].to_numpy(dtype="float64")
-            n = len(pdf)
             al = np.empty(n)
             be = np.empty(n)
             bs = np.empty(n)
-            first = np.zeros(n, dtype=bool)
-            for i in range(n):
-                k = kv[i]
-                if state is None or state[0] != k:
-                    first[i] = True
-                    al[i], be[i], bs[i] = a[i], b[i], s[i]
-                else:
-                    _, pa, pb, ps = state
-                    al[i] = a[i] * pa
-                    be[i] = a[i] * pb + b[i]
-                    bs[i] = a[i] * ps + b[i]
-                state = (k, al[i], be[i], bs[i])
-            out = pdf.assign(_alpha=al, _beta=be, _bseed=bs, _first=first, _last=False)
-            nxt_first = np.append(first[1:], False)
-            out["_last"] = nxt_first
+            idx = np.arange(n)
+            start = np.maximum.accumulate(np.where(first, idx, 0))
+            pos = idx - start
+            head = pos == 0
+            # heads: a new run starts, or the batch continues the previous batch's run
+            al[head & first], be[head & first], bs[head & first] = a[head & first], b[head & first], s[head & first]
+            if not first[0]:
+                _, pa, pb, ps = state
+                al[0] = a[0] * pa
+                be[0] = a[0] * pb + b[0]
+                bs[0] = a[0] * ps + b[0]
+            for p in range(1, int(pos.max()) + 1):
+                cur = idx[pos == p]
+                prv = cur - 1
+                al[cur] = a[cur] * al[prv]
+                be[cur] = a[cur] * be[prv] + b[cur]
+                bs[cur] = a[cur] * bs[prv] + b[cur]
+            state = (tuple(kdf.iloc[-1].tolist()), al[-1], be[-1], bs[-1])
+            out = pdf.assign(_alpha=al, _beta=be, _bseed=bs, _first=first, _last=np.append(first[1:], False))
             if pending is not None:
                 pending["_last"] = bool(first[0])
                 yield pending
