@@ -103,6 +103,20 @@ def q_kpi_first_year_ratio(spark, sf_dir):
     return kpi.kpi_first_year_ratio(spark, sf_dir, CALC_MONTH, _act(spark, sf_dir).prem_std_real)
 
 
+@register("kpi_first_year_ratio_left")
+def q_kpi_first_year_ratio_left(spark, sf_dir):
+    """Variant: left join to the computed premium table."""
+    from tontine.plans import kpi
+    return kpi.kpi_first_year_ratio(spark, sf_dir, CALC_MONTH, _act(spark, sf_dir).prem_std, how="left")
+
+
+@register("kpi_nbev_month")
+def q_kpi_nbev_month(spark, sf_dir):
+    """Variant: policies bought up to the report month."""
+    from tontine.plans import kpi
+    return kpi.kpi_nbev(spark, sf_dir, _act(spark, sf_dir).prem_std_real, CALC_MONTH)
+
+
 @register("kpi_persistency13")
 def q_kpi_persistency13(spark, sf_dir):
     from tontine.plans import kpi

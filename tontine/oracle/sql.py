@@ -119,6 +119,12 @@ SELECT CAST(sum(first_prem) AS DECIMAL(24,6)) AS first_prem, CAST(sum(total_prem
 FROM (SELECT prem AS first_prem, least({PY_M}, CAST(ppp AS BIGINT), {HELD}) * prem AS total_prem
       FROM ({priced("prem_std_real")}) p WHERE substr(buy_datetime, 1, 7) <= '{M}') t""")
 
+add("kpi_first_year_ratio_left", f"""
+SELECT CAST(sum(first_prem) AS DECIMAL(24,6)) AS first_prem, CAST(sum(total_prem) AS DECIMAL(24,6)) AS total_prem,
+       {ratio("sum(first_prem)", "sum(total_prem)", "DECIMAL(8,6)")} AS first_of_total_prem
+FROM (SELECT prem AS first_prem, least({PY_M}, CAST(ppp AS BIGINT), {HELD}) * prem AS total_prem
+      FROM ({priced("prem_std", left=True)}) p WHERE substr(buy_datetime, 1, 7) <= '{M}') t""")
+
 M13 = month_shift(M, -13)
 add("kpi_persistency13", f"""
 SELECT insur_code, insur_name, eff13_num, total_eff_num,
@@ -228,6 +234,9 @@ FROM policy_result GROUP BY direction""", {"policy_result": POLICY_RESULT})
 add("kpi_high_net_worth", f"""
 SELECT {ratio("sum(if(income >= 10000000, 1, 0))", "count(1)", "DECIMAL(8,6)")} AS high_net_rate FROM policy_client""")
 
+add("kpi_nbev_month", f"""
+SELECT insur_code, insur_name, {ratio("sum(prem * nbev)", "sum(prem)", "DECIMAL(38,11)")} AS nbev
+FROM ({priced("prem_std_real")}) p WHERE substr(buy_datetime, 1, 7) <= '{M}' GROUP BY insur_code, insur_name""")
 add("kpi_nbev", f"""
 SELECT insur_code, insur_name, {ratio("sum(prem * nbev)", "sum(prem)", "DECIMAL(38,11)")} AS nbev
 FROM ({priced("prem_std_real")}) p GROUP BY insur_code, insur_name""")

@@ -91,9 +91,12 @@ def kpi_premium_growth_history(spark, sf_dir, calc_month, price, months: int = 3
 
 
 # ------------------------------------------------------------------ first-year ratio
-def kpi_first_year_ratio(spark, sf_dir, calc_month, price, month_filter: bool = True) -> DataFrame:
-    """First-year premium over premium received so far (per policy: price x years paid)."""
-    pol = _priced(_benefit_client(spark, sf_dir, last_month=calc_month if month_filter else None), price)
+def kpi_first_year_ratio(spark, sf_dir, calc_month, price, month_filter: bool = True,
+                         how: str = "inner") -> DataFrame:
+    """First-year premium over premium received so far (per policy: price x years paid).
+
+    ``how="left"`` keeps unpriced policies (they add nothing to either sum)."""
+    pol = _priced(_benefit_client(spark, sf_dir, last_month=calc_month if month_filter else None), price, how)
     if month_filter:
         pol = pol.where(F.substring("buy_datetime", 1, 7) <= calc_month)
     py = policy_year_sql(calc_month)
