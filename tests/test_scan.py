@@ -85,3 +85,21 @@ def test_split_scan_random(spark, rows, parts):
         assert r._pos == i + 1 and r._n == len(ts)
         assert r.v__cum == sum(float(x % 17) for x in ts[: i + 1])
         assert r.v__lag == (None if i == 0 else float(ts[i - 1] % 17))
+
+
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 500), st.integers(-50, 50)), min_size=1, max_size=200,
+                unique_by=lambda r: (r[0], r[1])),
+       st.integers(1, 6), st.booleans())
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_recurrence_random(spark, rows, parts, split):
+    df = spark.createDataFrame(rows, "k int, t int, v int")
+    out = linear_recurrence(df, ["k"], ["t"], a="0.5D", b="v", seed="v * 2D", out="x", partitions=parts,
+                            skew_safe=split).collect()
+    exp = {}
+    for k, t, v in sorted(rows):
+        prev = [x for (kk, tt), x in exp.items() if kk == k]
+        exp[(k, t)] = 2.0 * v if not prev else 0.5 * prev[-1] + v
+    got = {(r.k, r.t): r.x for r in out}
+    assert got.keys() == exp.keys()
+    for key, v in exp.items():
+        assert abs(got[key] - v) <= 1e-9 * max(1.0, abs(v))
