@@ -54,3 +54,13 @@ def test_history_counts_events_not_month_pairs(spark):
     p = plan(E.queries()["kpi_persistency13_history"](spark, SF))
     assert "Generate explode" in p and "partial_sum" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_checked_scan_small_groups_one_exchange(spark):
+    from tontine.operators.scan import ordered_scan
+    d = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey",
+                                                            "l_suppkey", "l_extendedprice")
+    s = ordered_scan(d, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], sums=["l_extendedprice"])
+    p = plan(s)
+    assert len(re.findall(r"Exchange (hash|range)partitioning", p)) == 1
+    assert "hashpartitioning(l_orderkey" in p
