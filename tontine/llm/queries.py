@@ -8,6 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tontine.llm.minhash_dedup import near_groups
 from tontine.llm.substring_dedup import remove_repeats
 
 
@@ -25,4 +26,9 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "n_removed", _sha(F.col("kept_text")).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup,)}
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_groups(_table(spark, sf_dir, "documents"), percent=85)
+    return groups.withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op8_minhash_dedup)}
