@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Rows of one Arrow batch: texts are wide, so far fewer than Spark's default.
-BATCH_ROWS = 1000
+BATCH_ROWS = 2500
 
 
 def small_batches(spark: SparkSession) -> None:

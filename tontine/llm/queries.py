@@ -5,9 +5,11 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tontine.llm.bpe import decode_ids, encode_documents
 from tontine.llm.minhash_dedup import near_groups
 from tontine.llm.substring_dedup import remove_repeats
 
@@ -26,9 +28,18 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "n_removed", _sha(F.col("kept_text")).alias("kept_sha256"))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = encode_documents(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return decode_ids(docs, path).select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), _sha(ids).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(_table(spark, sf_dir, "documents"), percent=85)
     return groups.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op8_minhash_dedup)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op7_byte_bpe, op8_minhash_dedup)}
