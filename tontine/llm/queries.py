@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tontine.llm.bpe import decode_ids, encode_documents
 from tontine.llm.minhash_dedup import near_groups
+from tontine.llm.packing import pack
 from tontine.llm.substring_dedup import remove_repeats
 
 
@@ -42,4 +43,9 @@ def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op7_byte_bpe, op8_minhash_dedup)}
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op7_byte_bpe, op8_minhash_dedup, op9_packing)}
