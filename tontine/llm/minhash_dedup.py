@@ -110,14 +110,15 @@ def _features(shingle: int):
     return run
 
 
-def _sets(shingle: int):
+def set_rows(rows: DataFrame, shingle: int, lower: bool = True) -> DataFrame:
+    """(id, shingles): the distinct shingle hashes of each row's text, ascending."""
     def run(batch: pa.RecordBatch):
         data, offsets = utf8(batch.column("text"))
         for lo, hi in row_slices(offsets):
-            h, at = distinct_per_row(*Words(data, offsets[lo:hi + 1], lower=True).shingles(shingle))
+            h, at = distinct_per_row(*Words(data, offsets[lo:hi + 1], lower=lower).shingles(shingle))
             yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), list_array(h.view(np.int64), at)],
-                                             names=["node", "shingles"])
-    return run
+                                             names=["id", "shingles"])
+    return map_batches(rows.select("id", "text"), run, "id long, shingles array<long>")
 
 
 def agreement(left: str, right: str):
@@ -140,13 +141,47 @@ def estimate(left: str, right: str):
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of which the intersection has at least ``percent`` % of the union's size."""
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_of_a")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_of_b")), "b")
-            .withColumn("common", F.size(F.array_intersect("set_of_a", "set_of_b"))))
+    side = lambda s: sets.select(F.col("id").alias(s), F.col("shingles").alias(f"set_of_{s}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("common", F.size(F.array_intersect("set_of_a", "set_of_b")))
     union = F.size("set_of_a") + F.size("set_of_b") - F.col("common")
     return both.filter(F.col("common") * 100 >= union * percent).select("a", "b")
 
 
+def confirmed_components(nodes: DataFrame, keys: DataFrame, rows: DataFrame, percent: int, shingle: int,
+                         lower: bool = True, close=None) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) confirmed on full sets and the components (node, component) they make.
+
+    ``nodes`` has (node, n = set size) and whatever columns ``close(left, right)`` compares, given
+    their names' prefixes; ``keys`` has (key, node); ``rows`` has (id, text) of the nodes.
+    """
+    hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
+    shared = materialize(keys.join(hubs.select("key", "hub"), "key"), name="minhash-shared")
+    wanted = shared.select(F.col("node").alias("id")).distinct()
+    sets = materialize(set_rows(rows.join(wanted, "id", "left_semi"), shingle, lower), name="minhash-sets")
+    side = lambda s: nodes.withColumnsRenamed({c: s if c == "node" else f"{s}_{c}" for c in nodes.columns})
+    likely = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
+    if close is not None:
+        likely = likely & close("a_", "b_")
+
+    # every member of a band with the band's smallest
+    stars = (shared.filter("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+             .join(side("a"), "a").join(side("b"), "b").filter(likely).select("a", "b"))
+    links = materialize(_confirmed(stars, sets, percent), name="minhash-links")
+    found = components(links, "minhash-stars")
+
+    # members of a band that are still apart, with one another
+    placed = (shared.select("key", "node").join(found, "node", "left")
+              .select("key", "node", F.coalesce("component", "node").alias("component")))
+    apart = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .filter("lo < hi").select("key"))
+    rest = materialize(placed.join(apart, "key", "left_semi").join(nodes, "node"), name="minhash-apart")
+    half = lambda s: rest.withColumnsRenamed({c: s if c == "node" else f"{s}_{c}" for c in rest.columns if c != "key"})
+    across = half("a").join(half("b"), "key").filter(F.col("a_component") < F.col("b_component")).filter(likely)
+    more = _confirmed(across.select("a", "b").distinct(), sets, percent)
+    links = materialize(links.unionByName(more), name="minhash-all-links")
+    return links, components(links, "minhash-all")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
                 shingle: int = 5) -> DataFrame:
     """One row a document: ``id``, ``n_shingles``, ``component_id`` (smallest id reachable over
@@ -159,35 +194,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .agg(F.min("id").alias("node"), F.first("n_shingles").alias("n"),
                     F.first("signature").alias("signature"), F.first("bands").alias("bands")))
     nodes = materialize(classes, name="minhash-classes")
-    keys = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
-    shared = materialize(keys.join(hubs.select("key", "hub"), "key"), name="minhash-shared")
-    wanted = shared.select(F.col("node").alias("id")).distinct()
-    sets = materialize(map_batches(text.join(wanted, "id", "left_semi"), _sets(shingle),
-                                   "node long, shingles array<long>"), name="minhash-sets")
-
-    least = F.lit(percent / 100.0 - SLACK)
-    marks = nodes.select("node", "n", "signature")
-    side = lambda s: marks.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("signature").alias(f"sig_{s}"))
-    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    close = sizes & (estimate("sig_a", "sig_b") >= least)
-
-    stars = (shared.filter("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-             .join(side("a"), "a").join(side("b"), "b").filter(close).select("a", "b"))
-    links = materialize(_confirmed(stars, sets, percent), name="minhash-links")
-    found = components(links, "minhash-stars")
-
-    placed = (shared.select("key", "node").join(found, "node", "left")
-              .select("key", "node", F.coalesce("component", "node").alias("component")))
-    open_keys = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                 .filter("lo < hi").select("key"))
-    rest = materialize(placed.join(open_keys, "key", "left_semi").join(marks, "node"), name="minhash-open")
-    part = lambda s: rest.select("key", F.col("node").alias(s), F.col("component").alias(f"in_{s}"),
-                                 F.col("n").alias(f"n_{s}"), F.col("signature").alias(f"sig_{s}"))
-    across = (part("a").join(part("b"), "key").filter(F.col("in_a") < F.col("in_b")).filter(close)
-              .select("a", "b").distinct())
-    more = _confirmed(across, sets, percent)
-    final = components(links.unionByName(more), "minhash-all")
+    _, final = confirmed_components(
+        nodes.select("node", "n", "signature"), nodes.select("node", F.explode("bands").alias("key")), text, percent, shingle,
+        close=lambda a, b: estimate(f"{a}signature", f"{b}signature") >= percent / 100.0 - SLACK)
 
     in_class = (features.select("id", "n_shingles", "set_a", "set_b")
                 .join(nodes.select("set_a", "set_b", "node"), ["set_a", "set_b"], "left")

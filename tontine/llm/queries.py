@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tontine.llm.bpe import decode_ids, encode_documents
+from tontine.llm.fingerprints import edited_neighbours
 from tontine.llm.minhash_dedup import near_groups
 from tontine.llm.packing import pack
 from tontine.llm.substring_dedup import remove_repeats
@@ -48,4 +49,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op7_byte_bpe, op8_minhash_dedup, op9_packing)}
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = edited_neighbours(_table(spark, sf_dir, "documents"))
+    return pairs.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
+                        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints)}
