@@ -37,10 +37,11 @@ from tontine.llm.words import Words, utf8
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
 #: Shortest anchor, in words; shorter ones would be shared by chance.
 LEAST_ANCHOR = 7
-#: Blocks of documents a shuffle partition; one block is what a step holds in memory.
-BLOCKS_PER_PARTITION = 16
-#: Buckets of hashes a shuffle partition.
-BUCKETS_PER_PARTITION = 4
+#: Blocks of documents a shuffle partition; one block is what a step holds in memory (about
+#: 15 bytes for each byte of its texts).
+BLOCKS_PER_PARTITION = 4
+#: Buckets of hashes a shuffle partition; every block sends each bucket one packed row.
+BUCKETS_PER_PARTITION = 1
 
 _REQUEST = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("block", T.IntegerType()),
                          T.StructField("hash", T.BinaryType()), T.StructField("check", T.BinaryType()),

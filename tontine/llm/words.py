@@ -67,36 +67,43 @@ def row_slices(offsets: np.ndarray, max_bytes: int = 1 << 20) -> Iterator[tuple[
         lo = hi
 
 
+def _scan(data: np.ndarray, offsets: np.ndarray, lower: bool, hashes: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Start, end and hash of every word."""
+    inside = ~SEPARATOR[data]
+    begin, last = inside.copy(), inside.copy()
+    begin[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    cuts = offsets[(offsets > 0) & (offsets < len(data))]  # words never reach over a row's end
+    begin[cuts] = inside[cuts]
+    last[cuts - 1] = inside[cuts - 1]
+    start, end = np.flatnonzero(begin), np.flatnonzero(last) + 1
+    if not hashes or not len(start):
+        return start, end, np.empty(0, _U)
+    at = int(start[0])
+    reach = np.diff(np.append(start, len(data)))
+    place = np.arange(at, len(data)) - np.repeat(start, reach)
+    value = _BYTE[(_LOWER[data] if lower else data)[at:]] * _powers_to(int(reach.max()))[place]
+    return start, end, mix(np.add.reduceat(value, start - at) + (end - start).astype(_U))
+
+
 class Words:
     """Word spans of some rows: byte ``start``/``end`` per word, and ``first[r]`` to
     ``first[r + 1]`` are the words of row r.  ``hash`` has one 64-bit value a word."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, hashes: bool = True):
-        data = data[offsets[0]:offsets[-1]]
+        self.data = data[offsets[0]:offsets[-1]]
         offsets = offsets - offsets[0]
-        inside = ~SEPARATOR[data]
-        begin, last = inside.copy(), inside.copy()
-        begin[1:] &= ~inside[:-1]
-        last[:-1] &= ~inside[1:]
-        cuts = np.unique(offsets)                         # words never reach over a row's end
-        cuts = cuts[(cuts > 0) & (cuts < len(data))]
-        begin[cuts] = inside[cuts]
-        last[cuts - 1] = inside[cuts - 1]
-        self.start = np.flatnonzero(begin)
-        self.end = np.flatnonzero(last) + 1
+        starts, ends, values = [], [], []
+        for lo, hi in row_slices(offsets, 1 << 18):        # arrays made per byte stay in the CPU's cache
+            at = offsets[lo]
+            start, end, value = _scan(self.data[at:offsets[hi]], offsets[lo:hi + 1] - at, lower, hashes)
+            starts.append(start + at)
+            ends.append(end + at)
+            values.append(value)
+        join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
+        self.start, self.end = join(starts, np.int64), join(ends, np.int64)
+        self.hash = join(values, _U) if hashes else None
         self.first = np.searchsorted(self.start, offsets)
-        self.data = data
-        self.hash = self._hash(_LOWER[data] if lower else data) if hashes else None
-
-    def _hash(self, data: np.ndarray) -> np.ndarray:
-        if not len(self.start):
-            return np.empty(0, _U)
-        at = int(self.start[0])
-        reach = np.diff(np.append(self.start, len(data)))
-        place = np.arange(at, len(data)) - np.repeat(self.start, reach)
-        value = _BYTE[data[at:]] * _powers_to(int(reach.max()))[place]
-        sums = np.add.reduceat(value, self.start - at)
-        return mix(sums + (self.end - self.start).astype(_U))
 
     def row_of(self, word: np.ndarray) -> np.ndarray:
         """Rows of words given by number."""
