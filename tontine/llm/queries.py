@@ -14,6 +14,7 @@ from tontine.llm.fingerprints import edited_neighbours
 from tontine.llm.minhash_dedup import near_groups
 from tontine.llm.packing import pack
 from tontine.llm.substring_dedup import remove_repeats
+from tontine.llm.toxicity import THRESHOLD, held_out, learn, score
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,14 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "n_removed", _sha(F.col("kept_text")).alias("kept_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = learn(docs, _table(spark, sf_dir, "labels"))
+    return score(docs, model).select(
+        F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = encode_documents(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -55,4 +64,4 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_toxicity, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints)}
