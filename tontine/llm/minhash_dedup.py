@@ -13,8 +13,9 @@ of the 25 bands with probability 4e-7 (at 0.80: 5e-5).
 
 A band's group of any size is linked as a star to its smallest member first.
 Only members that are still in different components afterwards are compared with
-one another, so a large group of near copies costs a few links a member and no
-link between different components is lost.
+one another, in matrix products that give out confirmed links alone, so a large
+group of near copies costs a few links a member and no link between different
+components is lost.
 
 Results for odd input: null or blank text has no set and links with nothing; a
 text of fewer words than a shingle has its whole sequence as one; rows with one
@@ -39,6 +40,9 @@ BANDS = PERMUTATIONS // ROWS
 PLANES = PERMUTATIONS // 64
 #: Allowed shortfall of an estimate: five standard errors at the threshold.
 SLACK = 0.185
+#: Members of a band that one task compares with one another; a larger band is cut into parts
+#: of about so many, and every pair of parts is a task's group.
+MEMBERS = 2000
 
 _rng = np.random.Generator(np.random.PCG64(8))
 _A = _rng.integers(0, 2**31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -148,11 +152,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def confirmed_components(nodes: DataFrame, keys: DataFrame, rows: DataFrame, percent: int, shingle: int,
-                         lower: bool = True, close=None) -> tuple[DataFrame, DataFrame]:
+                         lower: bool = True) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) confirmed on full sets and the components (node, component) they make.
 
-    ``nodes`` has (node, n = set size) and whatever columns ``close(left, right)`` compares, given
-    their names' prefixes; ``keys`` has (key, node); ``rows`` has (id, text) of the nodes.
+    ``nodes`` has (node, n = set size) and, if candidates are to be estimated first, their packed
+    ``signature``; ``keys`` has (key, node); ``rows`` has (id, text) of the nodes.
     """
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
     shared = materialize(keys.join(hubs.select("key", "hub"), "key"), name="minhash-shared")
@@ -160,8 +164,8 @@ def confirmed_components(nodes: DataFrame, keys: DataFrame, rows: DataFrame, per
     sets = materialize(set_rows(rows.join(wanted, "id", "left_semi"), shingle, lower), name="minhash-sets")
     side = lambda s: nodes.withColumnsRenamed({c: s if c == "node" else f"{s}_{c}" for c in nodes.columns})
     likely = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
-    if close is not None:
-        likely = likely & close("a_", "b_")
+    if "signature" in nodes.columns:
+        likely = likely & (estimate("a_signature", "b_signature") >= percent / 100.0 - SLACK)
 
     # every member of a band with the band's smallest
     stars = (shared.filter("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
@@ -172,16 +176,93 @@ def confirmed_components(nodes: DataFrame, keys: DataFrame, rows: DataFrame, per
     # members of a band that are still apart, with one another
     placed = (shared.select("key", "node").join(found, "node", "left")
               .select("key", "node", F.coalesce("component", "node").alias("component")))
-    apart = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .filter("lo < hi").select("key"))
-    rest = materialize(placed.join(apart, "key", "left_semi").join(nodes, "node"), name="minhash-apart")
-    half = lambda s: rest.withColumnsRenamed({c: s if c == "node" else f"{s}_{c}" for c in rest.columns if c != "key"})
-    across = half("a").join(half("b"), "key").filter(F.col("a_component") < F.col("b_component")).filter(likely)
-    more = _confirmed(across.select("a", "b").distinct(), sets, percent)
-    links = materialize(links.unionByName(more), name="minhash-all-links")
+    apart = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                       F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
+             .filter("lo < hi").select("key", "parts"))
+    rest = (placed.join(apart, "key").join(nodes, "node").join(sets.withColumnRenamed("id", "node"), "node")
+            .withColumn("part", F.pmod(F.hash("node"), F.col("parts")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .withColumn("left", F.least("part", "other")).withColumn("right", F.greatest("part", "other")))
+    columns = ["key", "left", "right", "part", "node", "component", "shingles", *[c for c in ("signature",) if c in nodes.columns]]
+    more = rest.select(*columns).groupBy("key", "left", "right").applyInArrow(_links_apart(percent), "a long, b long")
+    links = materialize(links.unionByName(more.distinct()), name="minhash-all-links")
     return links, components(links, "minhash-all")
 
 
+def _links_apart(percent: int):
+    """Links between members of a band, or of two parts of a large one, that are in different
+    components: estimated from signatures, then confirmed on the sets, all pairs of the parts in
+    matrix products.  A link that joins what others have joined already is left out."""
+    def run(table: pa.Table) -> pa.Table:
+        part = table.column("part").to_numpy()
+        here = [np.flatnonzero(part == table.column(side)[0].as_py()) for side in ("left", "right")]
+        node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+        sets = table.column("shingles").combine_chunks()
+        at = sets.offsets.to_numpy()
+        size = np.diff(at)
+        x, y = here
+        likely = component[x][:, None] != component[y][None, :]
+        likely &= np.minimum(size[x][:, None], size[y]) * 100 >= np.maximum(size[x][:, None], size[y]) * percent
+        if "signature" in table.column_names:
+            sign = table.column("signature").combine_chunks().values.to_numpy().reshape(len(node), -1)
+            likely &= _estimates(sign[x], sign[y]) >= percent / 100.0 - SLACK
+        x, y, likely = x[likely.any(axis=1)], y[likely.any(axis=0)], likely[likely.any(axis=1)][:, likely.any(axis=0)]
+        if not len(x):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        common = _common(sets.values.to_numpy(), at, x, y)
+        linked = likely & (common * 100 >= (size[x][:, None] + size[y] - common) * percent)
+        pairs = _forest([(x[i], y[j]) for i, j in zip(*np.nonzero(linked), strict=True)], component)
+        return pa.table({"a": pa.array([node[i] for i, _ in pairs], pa.int64()), "b": pa.array([node[j] for _, j in pairs], pa.int64())})
+    return run
+
+
+def _estimates(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Corrected similarity of all pairs of signatures."""
+    left, right = left.view(np.uint64), right.view(np.uint64)      # bitwise_count takes a signed number's magnitude
+    differ = np.zeros((len(left), len(right)), np.int64)
+    for w in range(PLANES):
+        any_bit = np.zeros(differ.shape, np.uint64)
+        for b in range(BITS):
+            any_bit |= left[:, b * PLANES + w][:, None] ^ right[:, b * PLANES + w]
+        differ += np.bitwise_count(any_bit)
+    chance = 2.0 ** -BITS
+    return (1 - differ / PERMUTATIONS - chance) / (1 - chance)
+
+
+def _common(values: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray, width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of the sets x with the sets y, a range of shingles at a time."""
+    rows = np.unique(np.concatenate([x, y]))
+    _, code = np.unique(np.concatenate([values[at[r]:at[r + 1]] for r in rows]), return_inverse=True)
+    owner = np.repeat(np.arange(len(rows)), at[rows + 1] - at[rows])
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    out = np.zeros((len(x), len(y)), np.float32)
+    in_x, in_y = np.searchsorted(rows, x), np.searchsorted(rows, y)
+    for lo in range(0, int(code[-1]) + 1, width):
+        a, b = np.searchsorted(code, [lo, lo + width])
+        has = np.zeros((len(rows), width), np.float32)
+        has[owner[a:b], code[a:b] - lo] = 1
+        out += has[in_x] @ has[in_y].T
+    return np.rint(out).astype(np.int64)
+
+
+def _forest(pairs: list[tuple[int, int]], component: np.ndarray) -> list[tuple[int, int]]:
+    """The pairs that join components which earlier ones have not."""
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while c in parent:
+            c = parent[c]
+        return c
+    kept = []
+    for i, j in pairs:
+        a, b = root(int(component[i])), root(int(component[j]))
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            kept.append((i, j))
+    return kept
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
                 shingle: int = 5) -> DataFrame:
     """One row a document: ``id``, ``n_shingles``, ``component_id`` (smallest id reachable over
@@ -195,8 +276,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     F.first("signature").alias("signature"), F.first("bands").alias("bands")))
     nodes = materialize(classes, name="minhash-classes")
     _, final = confirmed_components(
-        nodes.select("node", "n", "signature"), nodes.select("node", F.explode("bands").alias("key")), text, percent, shingle,
-        close=lambda a, b: estimate(f"{a}signature", f"{b}signature") >= percent / 100.0 - SLACK)
+        nodes.select("node", "n", "signature"), nodes.select("node", F.explode("bands").alias("key")), text, percent, shingle)
 
     in_class = (features.select("id", "n_shingles", "set_a", "set_b")
                 .join(nodes.select("set_a", "set_b", "node"), ["set_a", "set_b"], "left")
