@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
@@ -36,11 +37,11 @@ from tontine.llm.batches import list_array, map_batches, partitions, small_batch
 from tontine.llm.words import row_slices, utf8
 
 #: Bytes above which a text is cut into chunks, characters of a chunk, and of the overlap.
-CHUNK, OVERLAP = 16384, 512
+CHUNK, OVERLAP = 32768, 512
 #: A boundary this near to a chunk's cut end may still move: the pattern looks ahead.
 LOOKAHEAD = 16
 #: Bytes of text of which a task encodes the distinct words at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Longest pre-token merged in the numpy table; longer ones use a heap.
 TABLE_WIDTH = 48
 
@@ -49,16 +50,27 @@ _NONE = np.int64(2**31 - 1)
 _TWO_SPACES = r"[\t-\r\x1c-\x20\x{85}\pZ]{2}"
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    """Byte strings and ranks of a vocabulary file: lines of a base64 string and a number."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+
+
+def token_bytes(ranks: dict[bytes, int]) -> list[bytes]:
+    """The byte string of every id."""
+    out = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
 class Vocabulary:
     """Ranks of byte strings and the table of pairs that merge."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.bytes_of = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = token
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.base = len(self.bytes_of)
+        self.base = max(ranks.values()) + 1
         pairs = {}
         for token, rank in ranks.items():
             for k in range(1, len(token)):
@@ -80,12 +92,6 @@ class Vocabulary:
             self._rank[slots[placed]] = values[placed]
             keys, values, slots = keys[~placed], values[~placed], (slots[~placed] + 1) & self._mask
 
-    @classmethod
-    def load(cls, path: str) -> Vocabulary:
-        """Lines of a base64 byte string and its rank."""
-        with open(path, "rb") as f:
-            return cls({base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())})
-
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)).astype(np.int64) & self._mask
 
@@ -268,7 +274,7 @@ _VOCABULARIES: dict[str, Vocabulary] = {}
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary of a file, loaded once a process."""
     if path not in _VOCABULARIES:
-        _VOCABULARIES[path] = Vocabulary.load(path)
+        _VOCABULARIES[path] = Vocabulary(read_ranks(path))
     return _VOCABULARIES[path]
 
 
@@ -337,16 +343,19 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
                                              names=["row", "id", "part", "text"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary(path), pattern)
+        encoder, press = Encoder(vocabulary(path), pattern), zstandard.ZstdCompressor(level=1).compress
         for b in batches:
             done = encoder(b.column("text").to_pylist())
-            packed = [pa.array([c[k].astype("<u4").tobytes() for c in done], pa.binary()) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *packed], names=[*b.schema.names, "starts", "counts", "ids"])
+            # starts as distances: small numbers, which the compression makes small
+            done = [(np.diff(s, append=len(t)), c, i) for t, (s, c, i) in zip(b.column("text").to_pylist(), done, strict=True)]
+            packed = [pa.array([press(c[k].astype("<u4").tobytes()) for c in done], pa.binary()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *packed], names=[*b.schema.names, "sizes", "counts", "ids"])
 
     def join(table: pa.Table) -> pa.Table:
         table = table.sort_by("part")
-        numbers = [[np.frombuffer(x, "<u4") for x in table.column(c).to_pylist()] for c in ("starts", "counts", "ids")]
-        parts = [(t, (s.astype(np.int64), c.astype(np.int64), i))
+        unpress = zstandard.ZstdDecompressor().decompress
+        numbers = [[np.frombuffer(unpress(x), "<u4") for x in table.column(c).to_pylist()] for c in ("sizes", "counts", "ids")]
+        parts = [(t, (np.cumsum(s, dtype=np.int64) - s, c.astype(np.int64), i))
                  for t, s, c, i in zip(table.column("text").to_pylist(), *numbers, strict=True)]
         ids = stitch(Encoder(vocabulary(path), pattern), parts, chunk)
         return pa.table([table.column("id").slice(0, 1), list_array(ids.view(np.int32), np.array([0, len(ids)]))],
@@ -356,7 +365,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     parts = map_batches(rows.filter(is_long).withColumn("row", F.monotonically_increasing_id()), cut,
                         f"row long, id {kind}, part int, text string")
     encoded = parts.repartition(partitions(spark), "row", "part").mapInArrow(
-        encode, f"row long, id {kind}, part int, text string, starts binary, counts binary, ids binary")
+        encode, f"row long, id {kind}, part int, text string, sizes binary, counts binary, ids binary")
     stitched = encoded.groupBy("row").applyInArrow(join, f"id {kind}, ids array<int>")
     return short.unionByName(stitched)
 
@@ -364,7 +373,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 def decode_ids(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """The rows of ``encoded`` with the bytes their ids spell in ``out_col``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(path).bytes_of
+        words = token_bytes(read_ranks(path))
         for b in batches:
             column = b.column(ids_col)
             bodies = [b"".join([words[i] for i in row]) if row else b"" for row in _lists(column)]
