@@ -13,6 +13,8 @@ from tontine.llm.bpe import decode_ids, encode_documents
 from tontine.llm.fingerprints import edited_neighbours
 from tontine.llm.minhash_dedup import near_groups
 from tontine.llm.packing import pack
+from tontine.llm.secret_scan import KINDS, find_secrets
+from tontine.llm.secret_scan import learn as learn_secrets
 from tontine.llm.substring_dedup import remove_repeats
 from tontine.llm.toxicity import THRESHOLD, held_out, learn, score
 
@@ -39,6 +41,16 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = find_secrets(docs, learn_secrets(docs))
+    base = F.filter("secrets", lambda s: s["kind"].isin(*KINDS))
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(F.col("id").alias("doc_id"), *[count(k) for k in KINDS], _sha(joined(base)).alias("base_sha256"),
+                        joined("secrets").alias("spans"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = encode_documents(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -64,4 +76,4 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_toxicity, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_toxicity, op6_secret_scan, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints)}
