@@ -13,6 +13,7 @@ from tontine.llm.bpe import decode_ids, encode_documents
 from tontine.llm.fingerprints import edited_neighbours
 from tontine.llm.minhash_dedup import near_groups
 from tontine.llm.packing import pack
+from tontine.llm.perspectives import rotate
 from tontine.llm.secret_scan import KINDS, find_secrets
 from tontine.llm.secret_scan import learn as learn_secrets
 from tontine.llm.substring_dedup import remove_repeats
@@ -41,6 +42,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate(_table(spark, sf_dir, "conversations"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = find_secrets(docs, learn_secrets(docs))
@@ -76,4 +81,4 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_toxicity, op6_secret_scan, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_toxicity, op5_perspectives, op6_secret_scan, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints)}

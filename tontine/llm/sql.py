@@ -15,6 +15,22 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT)
 FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
 """
 
+_OP5 = r"""
+WITH given AS (SELECT conv_id, turn, role AS speaker, coalesce(text, '') AS body FROM conversations),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, speaker NULLS LAST, body) - 1 AS seq FROM given),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM given WHERE speaker <> 'system'),
+roles AS (SELECT n.*, perspective, CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE 'user' END AS r
+          FROM numbered n JOIN people p ON n.conv_id IS NOT DISTINCT FROM p.conv_id),
+heads AS (SELECT *, '<|im_start|>' || r || CASE WHEN r = 'user' AND speaker IS NOT NULL THEN ' name=' || speaker ELSE '' END || chr(10) AS head FROM roles),
+messages AS (SELECT *, head || body || '<|im_end|>' || chr(10) AS message FROM heads),
+placed AS (SELECT *, CAST(coalesce(sum(length(message)) OVER (PARTITION BY conv_id, perspective ORDER BY seq
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS p FROM messages)
+SELECT conv_id, perspective, seq, turn, r AS role, CASE WHEN r = 'user' THEN speaker END AS name, message, p AS start,
+       p + length(message) AS "end", CASE WHEN r = 'assistant' THEN p + length(head) END AS train_start,
+       CASE WHEN r = 'assistant' THEN p + length(message) END AS train_end
+FROM placed
+"""
+
 _OP8 = r"""
 WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -31,5 +47,6 @@ FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS
 
 ORACLE_SQL: dict[str, str] = {
     "op2_substring_dedup": _OP2,
+    "op5_perspectives": _OP5,
     "op8_minhash_dedup": _OP8,
 }
