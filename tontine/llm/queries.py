@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tontine.llm.bpe import decode_ids, encode_documents
 from tontine.llm.fingerprints import edited_neighbours
+from tontine.llm.html_extraction import main_texts
 from tontine.llm.minhash_dedup import near_groups
 from tontine.llm.packing import pack
 from tontine.llm.perspectives import rotate
@@ -42,6 +43,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(_table(spark, sf_dir, "pages")).select(
+        F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(_table(spark, sf_dir, "conversations"))
 
@@ -81,4 +87,4 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_toxicity, op5_perspectives, op6_secret_scan, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_toxicity, op4_html_extraction, op5_perspectives, op6_secret_scan, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints)}
