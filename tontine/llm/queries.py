@@ -19,6 +19,7 @@ from tontine.llm.secret_scan import KINDS, find_secrets
 from tontine.llm.secret_scan import learn as learn_secrets
 from tontine.llm.substring_dedup import remove_repeats
 from tontine.llm.toxicity import THRESHOLD, held_out, learn, score
+from tontine.llm.vector_dedup import near_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,10 @@ def _sha(column) -> object:
     return F.sha2(F.encode(column, "UTF-8"), 256)
 
 
+def op1_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95).withColumnRenamed("id", "vec_id")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, window=13).select(
@@ -87,4 +92,4 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_toxicity, op4_html_extraction, op5_perspectives, op6_secret_scan, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_vector_dedup, op2_substring_dedup, op3_toxicity, op4_html_extraction, op5_perspectives, op6_secret_scan, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints)}

@@ -2,6 +2,17 @@
 
 from __future__ import annotations
 
+_OP1 = """
+WITH RECURSIVE good AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id
+          AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(b) AS c FROM reach GROUP BY a), n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, c AS component_id, e.vec_id = c AS kept
+FROM embeddings e JOIN least USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
 _OP2 = r"""
 WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM docs, unnest(range(1, len(w) - 11)) AS t(i)),
@@ -46,6 +57,7 @@ FROM docs d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_vector_dedup": _OP1,
     "op2_substring_dedup": _OP2,
     "op5_perspectives": _OP5,
     "op8_minhash_dedup": _OP8,
