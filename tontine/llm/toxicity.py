@@ -36,6 +36,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tontine.llm.batches import small_batches
 from tontine.llm.words import SEPARATOR, Words, row_slices, utf8
@@ -235,20 +236,25 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit([r["text"] for r in rows if r["kind"] == 0], [r["text"] for r in rows if r["kind"] == 1], float(shares))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row."""
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+          keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id``, the columns of ``keep`` and ``score`` of every row."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("scored_text"),
+                       *[F.col(c).alias(f"kept_{k}") for k, c in enumerate(keep)])
+    kept = [f for f in rows.schema.fields if f.name != "scored_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = model.compressors() if model.weights else []
         for b in batches:
-            data, offsets = utf8(b.column("text"))
+            data, offsets = utf8(b.column("scored_text"))
             for lo, hi in row_slices(offsets):
                 if model.weights:
                     x = evidence(compressors, data, offsets[lo:hi + 1])
                     p = 1 / (1 + np.exp(-np.clip(model.weights[0] + x @ np.array(model.weights[1:]), -30, 30)))
                 else:
                     p = np.full(hi - lo, model.prior)
-                yield pa.RecordBatch.from_arrays([b.column("id").slice(lo, hi - lo), pa.array(p)], names=["id", "score"])
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, score double")
+                yield pa.RecordBatch.from_arrays([*[b.column(f.name).slice(lo, hi - lo) for f in kept], pa.array(p)],
+                                                 names=[*[f.name for f in kept], "score"])
+    out = rows.mapInArrow(run, T.StructType([*kept, T.StructField("score", T.DoubleType())]))
+    return out.withColumnsRenamed({f"kept_{k}": c for k, c in enumerate(keep)})
