@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tontine.llm.packing import Plan, pack, shortest_pack_first
+from tontine.llm.packing import Plan, pack, shortest_pack_first, tokenizer
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SYLLABLES = ["the ", "ti", "on ", "é", "\n", " ", "漢字", "a", "\t\t", "<|endoftext|>", "12 ", "!?", "\x85", "  "]
@@ -57,5 +57,15 @@ def test_documents_are_packed_whole(documents):
             assert [o for o, _ in sorted(places)] == [0, *ends[:-1].tolist()] and ends[-1] <= length
 
 
+def test_ids_are_the_tokenizers_librarys(spark):
+    """Every text of a given table, and noise, against the library itself."""
+    rnd = random.Random(9)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += ["".join(rnd.choice([*SYLLABLES, "'s", "'LL", "\x1c", "²", "ⅷ", "😀", "a" * 300]) for _ in range(rnd.randrange(50))) for _ in range(3000)]
+    own = tokenizer(PATH)
+    for t, e in zip(texts, Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False), strict=True):
+        assert own.encode_to_numpy(t, allowed_special="all").tolist() == e.ids, repr(t)
+
+
 def test_empty_table(documents):
     assert pack(documents([(1, "a")]).limit(0), PATH).count() == 0

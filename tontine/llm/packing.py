@@ -17,37 +17,41 @@ each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
-from tokenizers import Tokenizer
 
 from tontine.llm.batches import partitions, small_batches
-from tontine.llm.bpe import BATCH_BYTES, Cut, encode_texts
 from tontine.llm.words import row_slices, utf8
 from tontine.sources.sinks import materialize
 
 Pack = tuple[int, ...]
-
-
-class LibraryEncoder:
-    """Ids of the ``tokenizers`` library, with where each token starts in its text."""
-
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-
-    def __call__(self, texts: list[str]) -> list[Cut]:
-        out = []
-        for e in self.tokenizer.encode_batch(texts, add_special_tokens=False):
-            starts = np.array(e.offsets, np.int64).reshape(-1, 2)[:, 0]
-            out.append((starts, np.ones(len(starts), np.int64), np.array(e.ids, "<u4")))
-        return out
+# Fixed value: how byte-level tokenizers cut a text before merging.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Bytes of text of which a task holds the ids at once.
+BATCH_BYTES = 4 << 20
+
+
+def tokenizer(path: str, pattern: str = PATTERN) -> tiktoken.Encoding:
+    """Encoder of a byte-level BPE vocabulary in a ``tokenizers`` file: its tokens are ranked by their
+    ids, its added tokens are cut out first.  (The ids are those of the ``tokenizers`` library, whose
+    own encoder takes several times as long; see the README.)"""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]      # bytes that stand for themselves
+    others = [b for b in range(256) if b not in printable]
+    byte_of = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
+    special = {t["content"]: t["id"] for t in model["added_tokens"]}
+    ranks = {bytes(byte_of[c] for c in token): rank for token, rank in model["model"]["vocab"].items() if token not in special}
+    return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
 def shortest_pack_first(counts: dict[int, int], length: int) -> list[tuple[Pack, int]]:
@@ -107,10 +111,11 @@ def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
               + ", ids binary" * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = LibraryEncoder(path)
+        encoder = tokenizer(path)
         for b in batches:
             for lo, hi in row_slices(utf8(b.column("text"))[1], BATCH_BYTES):
-                ids, at = encode_texts(encoder, b.column("text").slice(lo, hi - lo))
+                parts = [encoder.encode_to_numpy(t or "", allowed_special="all") for t in b.column("text").slice(lo, hi - lo).to_pylist()]
+                ids, at = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
                 yield _cut(b.column("id").slice(lo, hi - lo), ids, at, length, end_id, with_ids)
     return rows.mapInArrow(run, schema)
 
