@@ -59,7 +59,7 @@ def test_conform_overflow_modes(spark):
     from pyspark.sql.types import DecimalType, StructField, StructType
     df = spark.createDataFrame([(1.234,), (123456.0,)], "x double")
     st = StructType([StructField("x", DecimalType(5, 2))])
-    assert [r.x for r in conform(df, st).collect()][1] is None
+    assert [r.x for r in conform(df, st, overflow="null").collect()][1] is None
 
 
 def test_quality_checks(spark):

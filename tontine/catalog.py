@@ -35,7 +35,7 @@ def _act(spark, sf_dir):
 def q_policy_grid(spark, sf_dir):
     from tontine.operators.grid import policy_grid
     return policy_grid(_act(spark, sf_dir).products, DEFAULT).select(
-        "sex", "ppp", "age_buy", "t_age", "bpp", "policy_year", "age")
+        "sex", "ppp", "age_buy", "t_age", "bpp", "policy_year", "age", "n_policies")
 
 
 @register("prem_src")
@@ -242,7 +242,7 @@ def _rel(fn_name, *args):
 
 
 for _k in ("win_tail_sum", "win_tail_sum_exclusive", "win_group_total", "win_lead", "win_lag",
-           "win_row_number", "recur_survival", "recur_multi_decrement", "recur_affine", "ordered_fold",
+           "win_row_number", "recur_survival", "recur_multi_decrement", "recur_affine", "ordered_fold", "ordered_fold_states",
            "win_lag_over_months", "join_detail_to_aggregate", "join_cross", "join_scalar_pair",
            "join_left_lookup", "join_status_flag", "agg_conditional_sum", "agg_sumproduct", "agg_ratio",
            "agg_global", "agg_count_variants", "agg_distinct_rows", "agg_group_by_alias_expr",
@@ -377,7 +377,7 @@ def q_conform_schema(spark, sf_dir):
     from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType
     st = StructType([StructField("o_orderkey", IntegerType()), StructField("o_totalprice", DecimalType(7, 2)),
                      StructField("o_orderpriority", StringType())])
-    return conform(table(spark, sf_dir, "orders"), st)
+    return conform(table(spark, sf_dir, "orders"), st, overflow="null")
 
 
 @register("delimited_scan")

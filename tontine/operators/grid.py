@@ -44,7 +44,8 @@ def all_products(spark: SparkSession, params: Params) -> DataFrame:
 
 def policy_grid(products: DataFrame, params: Params) -> DataFrame:
     """Product grid: every cell x policy years 1..(terminal_age - age_buy), with the
-    cell constants (t_age, bpp, nursing_age, interest_rate, sa) and attained age.
+    cell constants (t_age, bpp, nursing_age, interest_rate, sa), attained age and whatever
+    else the products carry.
 
     The year range is a per-row generator, not a range join against a series table.
     """
@@ -58,4 +59,5 @@ def policy_grid(products: DataFrame, params: Params) -> DataFrame:
                     F.lit(ta).cast("smallint").alias("t_age"),
                     (ta - F.col("age_buy")).cast("smallint").alias("bpp"),
                     F.col("policy_year").cast("smallint").alias("policy_year"),
-                    (F.col("age_buy") + F.col("policy_year") - 1).cast("smallint").alias("age")))
+                    (F.col("age_buy") + F.col("policy_year") - 1).cast("smallint").alias("age"),
+                    *[F.col(c) for c in products.columns if c not in ("sex", "ppp", "age_buy")]))

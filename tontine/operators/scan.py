@@ -1,296 +1,278 @@
-"""Skew-safe ordered scans: running sums, products, positions, lead/lag, affine folds.
-
-The path is checked first: the largest key group is counted (one map-side
-pre-aggregated count, a scalar to the driver).  If it fits one task
-(``tontine.scan.maxGroupRows``) a plain per-key window runs (one exchange).
-
-Otherwise, since ``Window.partitionBy(key)`` puts every row of a key into one
-task and a key holding a third of the data would run on one core, the rows are
-range-partitioned on (key, order) instead, so a hot key is cut into contiguous
-ordered runs, one per partition.  Each run is scanned locally (bounded by the
-partition size), and the few runs whose key continues across a partition
-boundary get a carry from the runs before them.  The carry table has at most
-three rows per partition (a partition's first run, its last run, or a whole
-middle partition of a spanning key), so its size is bounded by the partition
-count and it is broadcast.
-
-Range bounds come from sampling, and Spark may run the range exchange once
-per plan branch (column pruning makes the branches differ), so partition ids
-are assigned once and the tagged rows are written to the shared checkpoint
-folder; every branch (local scans, boundary keys, carries) reads that copy.
-This also cuts lineage, so a lost executor recomputes from the written copy.
-
-Plans: range exchange + write -> hash exchange on (partition id, key) for the
-local windows (groups bounded by the partition size) -> local windows ->
-broadcast join of carries.  The affine fold runs as an Arrow-batched
-``mapInPandas`` over each sorted partition instead of windows.
+"""Ordered scans within keys: running sums, products, positions, lead/lag, affine recurrences.
+
+``Window.partitionBy(key)`` puts all rows of a key into one task, so a key that holds
+a third of the data would run on one core.  Here rows are range-partitioned on (key,
+order): a hot key is cut into contiguous ordered runs, one a partition.  Each run is
+scanned in its partition, and runs whose key began in an earlier partition get a carry.
+Only the first and the last run of a partition can share their key with another one,
+so the carries are a table of one row a partition, joined on the partition's number;
+Spark decides by its size how.  There is one path for all data: nothing depends on how
+many rows a key has.
+
+A caller who knows that keys are small by definition says so with ``most_rows``: then
+plain windows are used, and the same pass fails if a key has more.
+
+Range bounds come from sampling and an exchange may run more than once, so the tagged
+rows are written to the shared folder once and every branch reads that copy; this also
+cuts lineage.  Keys are compared null-safely and null values follow Spark's own rules
+(sums and products skip them).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tontine.sources.sinks import materialize
+
 PID = "_pid"
 
-# Largest key group one task may take whole (rows).  Above it the range-split
-# path is used.  Overridable with the session setting ``tontine.scan.maxGroupRows``.
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
 
+def _order_cols(order: Sequence) -> list[Column]:
+    return [F.col(o) if isinstance(o, str) else o for o in order]
 
-def max_group_rows(spark) -> int:
-    return int(spark.conf.get("tontine.scan.maxGroupRows", str(DEFAULT_MAX_GROUP_ROWS)))
 
+def _ranges(df: DataFrame, keys: Sequence[str], order: Sequence, partitions: int | None) -> DataFrame:
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *[F.col(k) for k in keys], *_order_cols(order)).withColumn(PID, F.spark_partition_id())
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest key group (a map-side pre-aggregated count, one scalar to the driver)."""
-    if not keys:
-        return -1
-    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(r or 0)
 
+def _key(keys: Sequence[str]) -> Column:
+    return F.struct(*[F.col(k) for k in keys])
 
-def needs_split(df: DataFrame, keys: Sequence[str], skew_safe: bool | None) -> bool:
-    """Decide the path: forced, or checked against the per-task row budget."""
-    if skew_safe is not None:
-        return skew_safe
-    return largest_group(df, keys) > max_group_rows(df.sparkSession)
 
+def _edges(tagged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """First and last key of every partition."""
+    return tagged.groupBy(PID).agg(F.min(_key(keys)).alias("_lo"), F.max(_key(keys)).alias("_hi"))
 
-def _order_cols(order: Sequence) -> list[Column]:
-    return [F.col(o) if isinstance(o, str) else o for o in order]
 
+def _edge_runs(runs: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of one row a run, those of the first and last run of a partition, with their key ``_k``."""
+    k = _key(keys)
+    return (runs.join(edges, PID).withColumn("_is_lo", k.eqNullSafe(F.col("_lo"))).withColumn("_is_hi", k.eqNullSafe(F.col("_hi")))
+            .where("_is_lo or _is_hi").withColumn("_k", k))
 
-def range_runs(df: DataFrame, keys: Sequence[str], order: Sequence, partitions: int | None = None,
-               materialize_how: str = "write") -> DataFrame:
-    """Range-partition on (keys, order), tag each row with its partition id, and
-    materialise the tagged rows so that all readers see one assignment."""
-    from tontine.sources.sinks import materialize
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *[F.col(k) for k in keys], *_order_cols(order))
-    return materialize(r.withColumn(PID, F.spark_partition_id()), materialize_how, "scan-runs")
 
+def _with_carries(rows: DataFrame, edges: DataFrame, carries: DataFrame, value: Column, keys: Sequence[str]) -> DataFrame:
+    """Every row with its run's carry ``_c`` (null for runs that lie within their partition)."""
+    side = carries.groupBy(PID).agg(F.first(F.when(F.col("_is_lo"), value), ignorenulls=True).alias("_c_lo"),
+                                    F.first(F.when(F.col("_is_hi"), value), ignorenulls=True).alias("_c_hi"))
+    k = _key(keys)
+    carry = F.when(k.eqNullSafe(F.col("_lo")), F.col("_c_lo")).when(k.eqNullSafe(F.col("_hi")), F.col("_c_hi"))
+    return rows.join(edges.join(side, PID), PID).withColumn("_c", carry).drop("_lo", "_hi", "_c_lo", "_c_hi")
 
-def boundary_keys(r: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that are first or last in some partition (<= 2 per partition)."""
-    s = F.struct(*[F.col(k) for k in keys])
-    b = r.groupBy(PID).agg(F.min(s).alias("lo"), F.max(s).alias("hi"))
-    ends = b.select(F.col("lo").alias("k")).unionByName(b.select(F.col("hi").alias("k")))
-    return ends.select(*[F.col(f"k.{k}").alias(k) for k in keys]).distinct()
+
+def _both(a: Column, b: Column, combined: Column) -> Column:
+    """``combined`` where both are known, else the one that is."""
+    return F.when(a.isNotNull() & b.isNotNull(), combined).otherwise(F.coalesce(a, b))
 
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, *, sums: Sequence[str] = (),
                  products: Sequence[str] = (), lags: Sequence[str] = (), leads: Sequence[str] = (),
-                 partitions: int | None = None, skew_safe: bool | None = None) -> DataFrame:
-    """Add per-key ordered scan columns, skew-safe.
+                 partitions: int | None = None, most_rows: int | None = None) -> DataFrame:
+    """Add per-key ordered scan columns.
 
     For every ``c`` in ``sums``: ``c__cum`` (running sum incl. this row) and
     ``c__total``; in ``products``: ``c__cumprod_prev`` (product over earlier rows,
     null on the first row); in ``lags``/``leads``: ``c__lag``/``c__lead``.
     Always: ``_pos`` (1-based position within the key) and ``_n`` (rows of the key).
-    Input columns named in sums/products/lags/leads must exist (compute them first).
-
-    ``skew_safe=None`` checks the largest key group first: if it fits one task
-    (``max_group_rows``) plain per-key windows are used (one exchange);
-    otherwise keys are split into ordered runs as described above.
+    ``order`` must be total within a key.  ``most_rows`` declares the largest key (see above).
     """
-    if not needs_split(df, keys, skew_safe):
-        return _plain_scan(df, keys, order, sums, products, lags, leads)
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = range_runs(df, keys, order, n_parts)
-    part = [PID, *keys]
-    w = Window.partitionBy(*part).orderBy(*_order_cols(order))
-    run = Window.partitionBy(*part)
-    cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev = w.rowsBetween(Window.unboundedPreceding, -1)
-    cols = {"_lpos": F.row_number().over(w), "_lcnt": F.count(F.lit(1)).over(run)}
+    if most_rows is not None:
+        return _small_keys(df, keys, order, sums, products, lags, leads, most_rows)
+    tagged = materialize(_ranges(df, keys, order, partitions), name="scan-runs")
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    run = Window.partitionBy(PID, *keys)
+    w = run.orderBy(*_order_cols(order))
+    cum, prev = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cols = {"_lpos": F.row_number().over(w).cast("long"), "_lcnt": F.count(F.lit(1)).over(run)}
     for c in sums:
-        cols[f"_ls_{c}"] = F.sum(c).over(cum)
-        cols[f"_lt_{c}"] = F.sum(c).over(run)
+        cols |= {f"_ls_{c}": F.sum(c).over(cum), f"_lt_{c}": F.sum(c).over(run)}
     for c in products:
-        cols[f"_lp_{c}"] = F.product(c).over(prev)
-        cols[f"_lpt_{c}"] = F.product(c).over(run)
+        cols |= {f"_lp_{c}": F.product(F.col(c)).over(prev), f"_lpt_{c}": F.product(F.col(c)).over(run)}
     for c in lags:
-        cols[f"_lg_{c}"] = F.lag(c).over(w)
-        cols[f"_lf_{c}"] = F.first(c).over(run.orderBy(*_order_cols(order)).rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing))
-        cols[f"_ll_{c}"] = F.last(c).over(run.orderBy(*_order_cols(order)).rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing))
+        cols |= {f"_lg_{c}": F.lag(c).over(w), f"_ll_{c}": F.last(c).over(whole)}
     for c in leads:
-        cols[f"_ld_{c}"] = F.lead(c).over(w)
-        cols.setdefault(f"_lf_{c}", F.first(c).over(run.orderBy(*_order_cols(order)).rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing)))
-        cols.setdefault(f"_ll_{c}", F.last(c).over(run.orderBy(*_order_cols(order)).rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing)))
-    loc = r.withColumns(cols)
-
-    # run summaries of boundary keys only (<= 3 runs per partition), then carries
-    bk = F.broadcast(boundary_keys(r, keys))
-    runs = loc.where(F.col("_lpos") == 1).join(bk, list(keys), "left_semi")
-    kw = Window.partitionBy(*keys).orderBy(PID)
-    kall = Window.partitionBy(*keys)
-    before = kw.rowsBetween(Window.unboundedPreceding, -1)
-    carry = {"_c_cnt": F.coalesce(F.sum("_lcnt").over(before), F.lit(0)),
-             "_c_n": F.sum("_lcnt").over(kall)}
+        cols |= {f"_ld_{c}": F.lead(c).over(w), f"_lf_{c}": F.first(c).over(whole)}
+    local = tagged.repartition(n, PID).withColumns(cols)           # one partition of rows a task
+
+    edges = _edges(tagged, keys)
+    runs = _edge_runs(local.where("_lpos = 1"), edges, keys)
+    along = Window.partitionBy("_k").orderBy(PID)                  # at most one row a partition
+    earlier, key_runs = along.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("_k")
+    carry = {"cnt": F.coalesce(F.sum("_lcnt").over(earlier), F.lit(0)), "n": F.sum("_lcnt").over(key_runs)}
     for c in sums:
-        carry[f"_c_s_{c}"] = F.sum(f"_lt_{c}").over(before)
-        carry[f"_c_t_{c}"] = F.sum(f"_lt_{c}").over(kall)
+        carry |= {f"s_{c}": F.sum(f"_lt_{c}").over(earlier), f"t_{c}": F.sum(f"_lt_{c}").over(key_runs)}
     for c in products:
-        carry[f"_c_p_{c}"] = F.product(f"_lpt_{c}").over(before)
-    for c in set(lags) | set(leads):
-        carry[f"_c_lg_{c}"] = F.lag(f"_ll_{c}").over(kw)
-        carry[f"_c_ld_{c}"] = F.lead(f"_lf_{c}").over(kw)
-    carries = runs.select(*part, *[v.alias(k) for k, v in carry.items()])
-    out = loc.join(F.broadcast(carries), part, "left")
-
-    first_run = F.col("_c_cnt").isNull() | (F.col("_c_cnt") == 0)
-    final = {"_pos": F.col("_lpos") + F.coalesce(F.col("_c_cnt"), F.lit(0)),
-             "_n": F.coalesce(F.col("_c_n"), F.col("_lcnt"))}
+        carry[f"p_{c}"] = F.product(F.col(f"_lpt_{c}")).over(earlier)
+    for c in lags:
+        carry[f"lg_{c}"] = F.lag(f"_ll_{c}").over(along)
+    for c in leads:
+        carry[f"ld_{c}"] = F.lead(f"_lf_{c}").over(along)
+    carries = runs.withColumns({f"_v_{k}": v for k, v in carry.items()})
+    value = F.struct(*[F.col(f"_v_{k}").alias(k) for k in carry])
+    out = _with_carries(local, edges, carries, value, keys)
+
+    got = lambda name: F.col("_c")[name]
+    has = F.col("_c").isNotNull()
+    final = {"_pos": F.col("_lpos") + F.coalesce(got("cnt"), F.lit(0)), "_n": F.coalesce(got("n"), F.col("_lcnt"))}
     for c in sums:
-        final[f"{c}__cum"] = F.col(f"_ls_{c}") + F.coalesce(F.col(f"_c_s_{c}"), F.lit(0))
-        final[f"{c}__total"] = F.coalesce(F.col(f"_c_t_{c}"), F.col(f"_lt_{c}"))
+        s = F.col(f"_ls_{c}")
+        final[f"{c}__cum"] = _both(s, got(f"s_{c}"), s + got(f"s_{c}"))
+        final[f"{c}__total"] = F.when(has, got(f"t_{c}")).otherwise(F.col(f"_lt_{c}"))
     for c in products:
-        local = F.col(f"_lp_{c}")
-        cp = F.col(f"_c_p_{c}")
-        final[f"{c}__cumprod_prev"] = (
-            F.when(first_run, local)
-             .otherwise(F.when(local.isNull(), cp).otherwise(cp * local)))
+        p = F.col(f"_lp_{c}")
+        final[f"{c}__cumprod_prev"] = _both(p, got(f"p_{c}"), got(f"p_{c}") * p)
     for c in lags:
-        final[f"{c}__lag"] = F.when(F.col("_lpos") == 1, F.col(f"_c_lg_{c}")).otherwise(F.col(f"_lg_{c}"))
+        final[f"{c}__lag"] = F.when(F.col("_lpos") == 1, got(f"lg_{c}")).otherwise(F.col(f"_lg_{c}"))
     for c in leads:
-        final[f"{c}__lead"] = F.when(F.col("_lpos") == F.col("_lcnt"), F.col(f"_c_ld_{c}")) \
-            .otherwise(F.col(f"_ld_{c}"))
-    out = out.withColumns(final)
-    drop = [c for c in out.columns if c.startswith("_l") or c.startswith("_c_") or c == PID]
-    return out.drop(*drop)
+        final[f"{c}__lead"] = F.when(F.col("_lpos") == F.col("_lcnt"), got(f"ld_{c}")).otherwise(F.col(f"_ld_{c}"))
+    return out.withColumns(final).drop("_c", PID, *cols)
 
 
-def _plain_scan(df, keys, order, sums, products, lags, leads) -> DataFrame:
-    """Same outputs as :func:`ordered_scan` with per-key windows (key groups known to be bounded)."""
-    w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
+def _small_keys(df, keys, order, sums, products, lags, leads, most_rows: int) -> DataFrame:
+    """The same columns by per-key windows; a key of more rows than declared is an error."""
     whole = Window.partitionBy(*keys)
+    w = whole.orderBy(*_order_cols(order))
     cols = {"_pos": F.row_number().over(w).cast("long"), "_n": F.count(F.lit(1)).over(whole)}
     for c in sums:
-        cols[f"{c}__cum"] = F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        cols[f"{c}__total"] = F.sum(c).over(whole)
+        cols |= {f"{c}__cum": F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)), f"{c}__total": F.sum(c).over(whole)}
     for c in products:
-        cols[f"{c}__cumprod_prev"] = F.product(c).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        cols[f"{c}__cumprod_prev"] = F.product(F.col(c)).over(w.rowsBetween(Window.unboundedPreceding, -1))
     for c in lags:
         cols[f"{c}__lag"] = F.lag(c).over(w)
     for c in leads:
         cols[f"{c}__lead"] = F.lead(c).over(w)
-    return df.withColumns(cols)
-
-
-# ---------------------------------------------------------------- affine fold
-def _affine_partition(keys, order_names, a_col, b_col, seed_col):
-    """Per-partition fold over sorted rows, with state across Arrow batches.
-
-    For every row emits, relative to the start of its run in this partition:
-    _alpha, _beta  (x = _alpha * x_in + _beta, x_in = value before the run)
-    _bseed         (x assuming the run starts the key: x_first = seed)
-    _first, _last  run-start / run-end flags (run end known when the next row arrives).
-
-    Vectorised across runs: step p updates the p-th row of every run in the
-    batch at once, so the Python loop runs (longest run in the batch) times,
-    and each row gets exactly the operations of a sequential fold.
-    """
-    def fn(batches):
-        state = None          # (key tuple, alpha, beta, bseed) of the last row seen
-        pending = None        # last row of previous batch (run end unknown yet)
-        for pdf in batches:
-            if pdf.empty:
+    fits = F.when(F.col("_n") <= most_rows, True).otherwise(
+        F.raise_error(F.lit(f"a key has more than the declared {most_rows} rows")).cast("boolean"))
+    return df.withColumns(cols).where(fits)
+
+
+# ---------------------------------------------------------------- affine recurrences
+def _same_as_previous(columns: list[pa.Array]) -> np.ndarray:
+    """For each row but the first: whether all columns equal the row before, nulls being equal."""
+    n = len(columns[0])
+    same = np.ones(max(n - 1, 0), bool)
+    for c in columns:
+        a, b = c.slice(1), c.slice(0, n - 1)
+        equal = pc.if_else(pc.or_(a.is_null(), b.is_null()), pc.and_(a.is_null(), b.is_null()), pc.equal(a, b))
+        same &= equal.to_numpy(zero_copy_only=False).astype(bool)
+    return same
+
+
+def _compose(a: np.ndarray, b: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maps x -> a x + b of each row composed from its run's start on, doubling the reach
+    each step (``place``: rows of the run before)."""
+    a, b, reach = a.copy(), b.copy(), 1
+    while reach <= (place.max() if len(place) else 0):
+        at = np.flatnonzero(place >= reach)
+        b[at] = np.einsum("nij,nj->ni", a[at], b[at - reach]) + b[at]
+        a[at] = a[at] @ a[at - reach]
+        reach *= 2
+    return a, b
+
+
+def _fold(keys: list[str], k: int, inner: list[str], schema: T.StructType):
+    """Of each sorted partition, per row and relative to its run's start: ``_alpha`` and ``_beta``
+    (x = alpha x_before + beta), ``_seeded`` (x if the key starts with the run) and whether the row
+    ends its run.  Every other column passes through as it is."""
+    names = [f.name for f in schema.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, held = None, None                           # (key, alpha, beta, seeded) and the row before
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
                 continue
-            n = len(pdf)
-            kdf = pdf[list(keys)]
-            first = kdf.ne(kdf.shift()).any(axis=1).to_numpy()
-            k0 = tuple(kdf.iloc[0].tolist())
-            first[0] = state is None or state[0] != k0
-            a = pdf[a_col].to_numpy(dtype="float64")
-            b = pdf[b_col].to_numpy(dtype="float64")
-            s = pdf[seed_col].to_numpy(dtype="float64")
-            al = np.empty(n)
-            be = np.empty(n)
-            bs = np.empty(n)
-            idx = np.arange(n)
-            start = np.maximum.accumulate(np.where(first, idx, 0))
-            pos = idx - start
-            head = pos == 0
-            # heads: a new run starts, or the batch continues the previous batch's run
-            al[head & first], be[head & first], bs[head & first] = a[head & first], b[head & first], s[head & first]
-            if not first[0]:
-                _, pa, pb, ps = state
-                al[0] = a[0] * pa
-                be[0] = a[0] * pb + b[0]
-                bs[0] = a[0] * ps + b[0]
-            for p in range(1, int(pos.max()) + 1):
-                cur = idx[pos == p]
-                prv = cur - 1
-                al[cur] = a[cur] * al[prv]
-                be[cur] = a[cur] * be[prv] + b[cur]
-                bs[cur] = a[cur] * bs[prv] + b[cur]
-            state = (tuple(kdf.iloc[-1].tolist()), al[-1], be[-1], bs[-1])
-            out = pdf.assign(_alpha=al, _beta=be, _bseed=bs, _first=first, _last=np.append(first[1:], False))
-            if pending is not None:
-                pending["_last"] = bool(first[0])
-                yield pending
-            pending = out.iloc[[-1]].copy()
-            yield out.iloc[:-1]
-        if pending is not None:
-            pending["_last"] = True
-            yield pending
-    return fn
-
-
-def linear_recurrence(df: DataFrame, keys: Sequence[str], order: Sequence[str], a: str, b: str,
-                      seed: str, out: str = "x", partitions: int | None = None,
-                      skew_safe: bool | None = None) -> DataFrame:
-    """x_first = seed; x_t = a_t * x_{t-1} + b_t along ``order`` within ``keys``.
-
-    Sequential within each run of a partition (vectorised Arrow batches, one
-    pass), then runs of a key spanning partitions are chained through their
-    affine summaries (at most three runs per partition), so no key is ever
-    gathered into one task or one array.  When the largest key fits one task
-    (checked, see :func:`needs_split`) rows are hash-partitioned by key and
-    folded in one pass without runs or carries.
+            key = [batch.column(c) for c in keys]
+            head = [c[0].as_py() for c in key]
+            goes_on = state is not None and state[0] == head
+            new = np.append(not goes_on, ~_same_as_previous(key)) if n > 1 else np.array([not goes_on])
+            start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+            place = np.arange(n) - start
+            m = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in inner])
+            a, b, s = m[:, :k * k].reshape(n, k, k), m[:, k * k:k * k + k], m[:, k * k + k:]
+            alpha, beta = _compose(a, b, place)
+            a0, b0 = a.copy(), b.copy()
+            a0[new], b0[new] = 0, s[new]                   # a run that starts its key starts at the seed
+            seeded = _compose(a0, b0, place)[1]
+            if goes_on:                                    # the first run began in an earlier batch
+                first = np.flatnonzero(start == 0) if not new[0] else np.empty(0, int)
+                _, pa_, pb, ps = state
+                seeded[first] = alpha[first] @ ps + beta[first]
+                beta[first] = alpha[first] @ pb + beta[first]
+                alpha[first] = alpha[first] @ pa_
+            state = ([c[n - 1].as_py() for c in key], alpha[-1], beta[-1], seeded[-1])
+            ends = np.append(new[1:], False)
+            lists = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x[0].size).cast(pa.list_(pa.float64()))
+            made = {"_alpha": lists(alpha), "_beta": lists(beta), "_seeded": lists(seeded), "_ends": pa.array(ends)}
+            out = pa.RecordBatch.from_arrays([made.get(c, None) if c in made else batch.column(c) for c in names], names=names)
+            if held is not None:
+                yield _ending(held, bool(new[0]))
+            yield out.slice(0, n - 1)
+            held = out.slice(n - 1)
+        if held is not None:
+            yield _ending(held, True)
+    return run
+
+
+def _ending(row: pa.RecordBatch, ends: bool) -> pa.RecordBatch:
+    return row.set_column(row.schema.get_field_index("_ends"), "_ends", pa.array([ends]))
+
+
+def _chain(k: int):
+    """The state that each of a key's runs starts from: one pass over its runs, in order."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(PID)
+        vectors = [np.array(table.column(c).to_pylist(), float) for c in ("_alpha", "_beta", "_seeded")]
+        x, starts = None, []
+        for alpha, beta, seeded in zip(*vectors, strict=True):
+            starts.append(None if x is None else x.tolist())
+            x = seeded if x is None else alpha.reshape(k, k) @ x + beta
+        return pa.table([table.column(PID), table.column("_is_lo"), table.column("_is_hi"), pa.array(starts, pa.list_(pa.float64()))],
+                        names=[PID, "_is_lo", "_is_hi", "_start"])
+    return run
+
+
+def affine_recurrence(df: DataFrame, keys: Sequence[str], order: Sequence[str], a: Sequence[Sequence[str]], b: Sequence[str],
+                      seed: Sequence[str], out: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """k coupled states along ``order`` within ``keys``: x_first = seed, x_t = A_t x_{t-1} + b_t.
+
+    ``a`` is k rows of k SQL expressions, ``b`` and ``seed`` k each; ``out`` names the states' columns.
+    Affine maps compose, so every run of a partition is reduced to one map, whatever its length, and a
+    key's runs are chained by their maps; no key is gathered into one task or array.
     """
-    base = df.withColumns({"_a": F.expr(a).cast("double"), "_b": F.expr(b).cast("double"),
-                           "_s": F.expr(seed).cast("double")})
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    split = needs_split(df, keys, skew_safe)
-    if split:
-        r = base.repartitionByRange(n_parts, *[F.col(k) for k in keys], *_order_cols(order))
-    else:
-        r = base.repartition(n_parts, *[F.col(k) for k in keys])
-    r = r.withColumn(PID, F.spark_partition_id()).sortWithinPartitions(*keys, *order)
-    schema = T.StructType(r.schema.fields + [
-        T.StructField("_alpha", T.DoubleType()), T.StructField("_beta", T.DoubleType()),
-        T.StructField("_bseed", T.DoubleType()), T.StructField("_first", T.BooleanType()),
-        T.StructField("_last", T.BooleanType())])
-    from tontine.sources.sinks import materialize
-    loc = r.mapInPandas(_affine_partition(list(keys), list(order), "_a", "_b", "_s"), schema)
-    if not split:            # every key lies whole in one partition: the seeded fold is final
-        return loc.withColumn(out, F.col("_bseed")).drop(
-            "_a", "_b", "_s", "_alpha", "_beta", "_bseed", "_first", "_last", PID)
-    loc = materialize(loc, "write", "affine-runs")   # one partition-id assignment for all readers
-    bk = F.broadcast(boundary_keys(loc, keys))
-    runs = loc.where("_last").join(bk, list(keys), "left_semi").select(
-        PID, *keys, "_alpha", "_beta", "_bseed")
-    # chain runs of a key in partition order: x_out(j) = alpha_j * x_out(j-1) + beta_j,
-    # x_out(first) = bseed_first.  At most a few runs per key per partition: a
-    # bounded fold over a bounded, sorted list.
-    kw = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.collect_list(F.struct(PID, "_alpha", "_beta", "_bseed")).over(kw)
-    chained = runs.withColumn("_prev", F.array_sort(prev)).withColumn(
-        "_x_in", F.aggregate(
-            "_prev", F.lit(None).cast("double"),
-            lambda acc, r_: F.when(acc.isNull(), r_["_bseed"]).otherwise(r_["_alpha"] * acc + r_["_beta"])))
-    carries = F.broadcast(chained.select(PID, *keys, "_x_in").where("_x_in is not null"))
-    res = loc.join(carries, [PID, *keys], "left").withColumn(
-        out, F.when(F.col("_x_in").isNull(), F.col("_bseed"))
-              .otherwise(F.col("_alpha") * F.col("_x_in") + F.col("_beta")))
-    return res.drop("_a", "_b", "_s", "_alpha", "_beta", "_bseed", "_first", "_last", "_x_in", PID)
+    k = len(out)
+    flat = [*[e for row in a for e in row], *b, *seed]
+    inner = [f"_e{i}" for i in range(len(flat))]
+    work = df.withColumns({c: F.expr(e).cast("double") for c, e in zip(inner, flat, strict=True)})
+    sorted_rows = _ranges(work, keys, order, partitions).sortWithinPartitions(*keys, *order)
+    vector = T.ArrayType(T.DoubleType())
+    schema = T.StructType([*[f for f in sorted_rows.schema.fields if f.name not in inner],
+                           *[T.StructField(c, vector) for c in ("_alpha", "_beta", "_seeded")], T.StructField("_ends", T.BooleanType())])
+    local = materialize(sorted_rows.mapInArrow(_fold(list(keys), k, inner, schema), schema), name="affine-runs")
+    edges = _edges(local, keys)
+    runs = _edge_runs(local.where("_ends"), edges, keys).select(PID, "_k", "_is_lo", "_is_hi", "_alpha", "_beta", "_seeded")
+    # the runs of one key: at most one row a partition
+    carries = runs.groupBy("_k").applyInArrow(_chain(k), f"{PID} int, _is_lo boolean, _is_hi boolean, _start array<double>")
+    rows = _with_carries(local, edges, carries, F.col("_start"), keys)
+
+    def state(i: int) -> Column:
+        moved = F.col("_beta")[i]
+        for j in range(k):
+            moved = moved + F.col("_alpha")[i * k + j] * F.col("_c")[j]
+        return F.when(F.col("_c").isNull(), F.col("_seeded")[i]).otherwise(moved)
+    return rows.withColumns({c: state(i) for i, c in enumerate(out)}).drop("_c", "_alpha", "_beta", "_seeded", "_ends", PID)
+
+
+def linear_recurrence(df: DataFrame, keys: Sequence[str], order: Sequence[str], a: str, b: str, seed: str, out: str = "x",
+                      partitions: int | None = None) -> DataFrame:
+    """One state: x_first = seed; x_t = a_t * x_{t-1} + b_t."""
+    return affine_recurrence(df, keys, order, [[a]], [b], [seed], [out], partitions)

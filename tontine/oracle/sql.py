@@ -39,7 +39,9 @@ def add(name: str, final_sql: str, extra: dict | None = None):
 
 add("policy_grid", "SELECT sex, CAST(ppp AS SMALLINT) AS ppp, CAST(age_buy AS SMALLINT) AS age_buy, "
     "CAST(t_age AS SMALLINT) AS t_age, CAST(bpp AS SMALLINT) AS bpp, CAST(policy_year AS SMALLINT) AS policy_year, "
-    "CAST(age AS SMALLINT) AS age FROM grid")
+    "CAST(age AS SMALLINT) AS age, coalesce(n, 0) AS n_policies FROM grid LEFT JOIN sold USING (sex, ppp, age_buy)")
+
+
 def report_sql(table: str, name: str, extra_cols: str = "") -> str:
     from tontine.schema import report_types
     cols = ", ".join(f"CAST({c} AS {t.upper()}) AS {c}" for c, t in report_types(name))
@@ -105,12 +107,12 @@ FROM (SELECT sum(prem_thismonth) AS prem FROM due WHERE month = '{M}' AND prem_t
 JOIN (SELECT sum(prem_thismonth) AS last_prem FROM due WHERE month = '{PREV}' AND prem_thismonth > 0) b ON 1 = 1""",
     {"due": due_sql(PREV, M, "prem_std_real")})
 
-FIRST36 = month_shift(M, -35)
+BEFORE_ALL = "1980-01"          # earlier than any purchase
 add("kpi_premium_growth_history", f"""
 SELECT month, prem, last_prem, {ratio("prem - last_prem", "last_prem", "DECIMAL(10,4)")} AS prem_incre_rate
 FROM (SELECT month, prem, lag(prem) OVER (ORDER BY month) AS last_prem
       FROM (SELECT month, CAST(sum(prem_thismonth) AS DECIMAL(24,6)) AS prem FROM due GROUP BY month) t1) t2""",
-    {"due": due_sql(FIRST36, M, "prem_std")})
+    {"due": due_sql(BEFORE_ALL, M, "prem_std")})
 
 HELD = ceil12("CAST(elapse_date AS DATE)", "CAST(buy_datetime AS DATE)")
 add("kpi_first_year_ratio", f"""
@@ -211,9 +213,9 @@ def mort_sql(where: str, on_extra: str = "") -> str:
 SELECT insur_code, insur_name, age, sg_cnt, sc_cnt, all_cnt,
        {ratio("sg_cnt", "all_cnt", "DECIMAL(8,6)")} AS sg_rate, {ratio("sc_cnt", "all_cnt", "DECIMAL(8,6)")} AS sc_rate
 FROM (SELECT a.insur_code, a.insur_name, {AGE_AT_CLAIM} AS age,
-             CAST(sum(if(c.claim_item LIKE '%sgbxj%', 1, 0)) AS INTEGER) AS sg_cnt,
-             CAST(sum(if(c.claim_item LIKE '%scbxj%', 1, 0)) AS INTEGER) AS sc_cnt,
-             CAST(sum(count(1)) OVER () AS INTEGER) AS all_cnt
+             CAST(sum(if(c.claim_item LIKE '%sgbxj%', 1, 0)) AS BIGINT) AS sg_cnt,
+             CAST(sum(if(c.claim_item LIKE '%scbxj%', 1, 0)) AS BIGINT) AS sc_cnt,
+             CAST(sum(count(1)) OVER () AS BIGINT) AS all_cnt
       FROM policy_benefit a JOIN policy_client b ON a.user_id = b.user_id
       LEFT JOIN claim_events c ON a.pol_no = c.pol_no {on_extra}
       WHERE {where}
@@ -281,7 +283,17 @@ SELECT {LINE_ID}, {dec("l", "DECIMAL(20,9)")} AS l, {dec("l * l_discount", "DECI
 FROM (SELECT *, {prev_product("1 - (l_discount + l_tax)", "l_orderkey", LINE_ORDER)} AS l FROM lineitem) t""")
 
 
-def _fold_sql(a: str, seed: str, b_expr: str, out: str, dec: str) -> str:
+ORACLE_SQL["ordered_fold_states"] = f"""
+WITH RECURSIVE o AS (SELECT {LINE_ID}, l_discount, l_tax, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER}) AS rn FROM lineitem),
+r AS (SELECT {LINE_ID}, rn, 1.0::DOUBLE AS l, l_discount AS d_a, l_tax AS d_b FROM o WHERE rn = 1
+      UNION ALL
+      SELECT o.l_orderkey, o.l_linenumber, o.l_partkey, o.l_suppkey, o.rn, r.l - r.d_a - r.d_b, (r.l - r.d_a - r.d_b) * o.l_discount,
+             (r.l - r.d_a - r.d_b) * o.l_tax
+      FROM r JOIN o ON o.l_orderkey = r.l_orderkey AND o.rn = r.rn + 1)
+SELECT {LINE_ID}, CAST({dec("l", "DECIMAL(22,13)")} AS DECIMAL(20,9)) AS l, CAST({dec("d_a", "DECIMAL(22,13)")} AS DECIMAL(20,9)) AS d_a, CAST({dec("d_b", "DECIMAL(22,13)")} AS DECIMAL(20,9)) AS d_b FROM r"""
+
+
+def _fold_sql(a: str, seed: str, b_expr: str, out: str, exact: str, dec: str) -> str:
     return f"""
 WITH RECURSIVE o AS (
   SELECT o_custkey, o_orderkey, o_totalprice,
@@ -291,13 +303,13 @@ r AS (
   UNION ALL
   SELECT o.o_custkey, o.o_orderkey, o.rn, {a} * r.x + {b_expr}
   FROM r JOIN o ON o.o_custkey = r.o_custkey AND o.rn = r.rn + 1)
-SELECT o_custkey, o_orderkey, CAST(CAST(x AS VARCHAR) AS {dec}) AS {out} FROM r"""
+SELECT o_custkey, o_orderkey, CAST(CAST(CAST(x AS VARCHAR) AS {exact}) AS {dec}) AS {out} FROM r"""
 
 
 ORACLE_SQL["recur_affine"] = _fold_sql("0.5::DOUBLE", "1.0::DOUBLE", "0.5::DOUBLE * o.o_totalprice", "c4",
-                                       "DECIMAL(24,6)")
+                                       "DECIMAL(28,9)", "DECIMAL(24,6)")
 ORACLE_SQL["ordered_fold"] = _fold_sql("0.7::DOUBLE", "o_totalprice", "0.3::DOUBLE * o.o_totalprice", "smooth",
-                                       "DECIMAL(24,4)")
+                                       "DECIMAL(28,7)", "DECIMAL(24,4)")
 add("win_lag_over_months", f"""
 SELECT month, CAST(revenue AS DECIMAL(28,2)) AS revenue, CAST(last_revenue AS DECIMAL(28,2)) AS last_revenue,
        {ratio("revenue - last_revenue", "last_revenue", "DECIMAL(12,6)")} AS growth
@@ -445,8 +457,8 @@ FROM (SELECT count(*) AS source_cnt FROM orders) a JOIN (SELECT count(*) AS targ
 # ---------------------------------------------------------------- preparation
 add("policy_number_assign", """
 SELECT pol_no, buy_datetime,
-       'P' || lpad(CAST(row_number() OVER (ORDER BY buy_datetime, pol_no) AS VARCHAR), 9, '0') AS new_pol_no
-FROM policy_benefit""")
+       'P' || repeat('0', greatest(0, 9 - length(CAST(n AS VARCHAR)))) || CAST(n AS VARCHAR) AS new_pol_no
+FROM (SELECT *, row_number() OVER (ORDER BY buy_datetime, pol_no) AS n FROM policy_benefit)""")
 add("client_id_assign", """
 SELECT c.user_id, a.id AS area_id,
        CAST(a.id AS VARCHAR) || '-' || CAST(row_number() OVER (PARTITION BY a.id ORDER BY CAST(c.user_id AS BIGINT)) AS VARCHAR) AS client_id
@@ -537,5 +549,6 @@ SELECT pol_no,
        CAST(ceil(age_buy / 7) AS INTEGER) AS age_band_ceil,
        CAST(floor(age_buy / 7) AS INTEGER) AS age_band_floor,
        abs(CAST(ppp AS INTEGER) - age_buy) AS gap,
-       CAST(age_buy % 7 AS INTEGER) AS age_mod7
+       CAST(age_buy % 7 AS INTEGER) AS age_mod7,
+       CAST(round(CAST(age_buy AS DECIMAL(10,3)) / 7, 2) AS DECIMAL(10,2)) AS age_round
 FROM policy_benefit""")

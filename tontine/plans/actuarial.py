@@ -5,8 +5,8 @@ Each is bounded by the product grid (<= Params.grid_row_bound() rows, whatever
 the policy volume).  The warehouse stage tables (prem_src, prem_std, prem_cv,
 cv_src, rsv_src) and the actuarial table that every policy join broadcasts are
 written once under the shared checkpoint folder and re-read (lineage cut); the
-cheap derivations (golden prices) and the sold product cells stay plans.
-Products are the cells sold in the policy table, so the run reads the input.
+cheap derivations (golden prices) stay plans.
+Products are all cells on offer, with the policies sold of each.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ class Actuarial:
 
     @property
     def products(self) -> DataFrame:
-        return self._get("products", lambda: premium.products_from_inputs(self.spark, self.sf_dir), "none")
+        return self._get("products", lambda: premium.products_from_inputs(self.spark, self.sf_dir, self.params))
 
     @property
     def prem_src(self) -> DataFrame:

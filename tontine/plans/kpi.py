@@ -44,9 +44,9 @@ def _ratio(num: str, den: str, dec: str) -> str:
 
 
 # ------------------------------------------------------------------ premium due
-def premium_due(spark: SparkSession, sf_dir: str, first_month: str, last_month: str,
+def premium_due(spark: SparkSession, sf_dir: str, first_month: str | None, last_month: str,
                 price: DataFrame, rule: str = "ceil") -> DataFrame:
-    """Premium falling due per report month in [first_month, last_month].
+    """Premium falling due per report month in [first_month, last_month] (no first month: since purchase).
 
     A premium is due in month m when m is a policy anniversary month (same
     month of year as the purchase) and the policy year at m is within the
@@ -54,10 +54,11 @@ def premium_due(spark: SparkSession, sf_dir: str, first_month: str, last_month:
     generates only its anniversary months inside the window (at most
     ceil(window / 12) rows), which are then aggregated per month map-side.
     """
-    lo, hi = month_index(F.lit(first_month)), month_index(F.lit(last_month))
+    hi = month_index(F.lit(last_month))
     pol = _priced(_benefit_client(spark, sf_dir, last_month=last_month), price)
     bidx = month_index(F.col("buy_datetime"))
-    k0 = F.greatest(F.lit(0), F.ceil((lo - bidx) / 12)).cast("int")
+    k0 = (F.lit(0) if first_month is None
+          else F.greatest(F.lit(0), F.ceil((month_index(F.lit(first_month)) - bidx) / 12)).cast("int"))
     first = bidx + 12 * k0
     pol = pol.where(bidx <= hi).withColumn(
         "_m", F.explode(F.sequence(first, F.greatest(first, hi), F.lit(12)))).where(F.col("_m") <= hi)
@@ -79,11 +80,10 @@ def kpi_premium_growth(spark, sf_dir, calc_month, price) -> DataFrame:
                         + " as prem_incre_rate")
 
 
-def kpi_premium_growth_history(spark, sf_dir, calc_month, price, months: int = 36) -> DataFrame:
-    """Month totals over the last ``months`` months and growth by lag (small ordered window
-    over the aggregated months, at most ``months`` rows)."""
-    first = month_shift(calc_month, -(months - 1))
-    due = premium_due(spark, sf_dir, first, calc_month, price)
+def kpi_premium_growth_history(spark, sf_dir, calc_month, price) -> DataFrame:
+    """Month totals since the first purchase and growth by lag (an ordered window over the
+    aggregated months, a few hundred rows)."""
+    due = premium_due(spark, sf_dir, None, calc_month, price)
     t = due.groupBy("month").agg(F.expr("cast(sum(prem_thismonth) as decimal(24,6)) as prem"))
     return t.selectExpr("month", "prem", "lag(prem) over (order by month) as last_prem").selectExpr(
         "month", "prem", "last_prem", _ratio("prem - last_prem", "last_prem", "decimal(10,4)")
@@ -260,12 +260,12 @@ def kpi_mortality_disability(spark, sf_dir, calc_month: str | None = None) -> Da
         "insur_code", "insur_name",
         "cast(ceil(months_between(to_date(claim_date), to_date(birthday)) / 12) as int) as age", "claim_item")
     g = j.groupBy("insur_code", "insur_name", "age").agg(
-        F.expr("cast(sum(if(claim_item like '%sgbxj%', 1, 0)) as int) as sg_cnt"),
-        F.expr("cast(sum(if(claim_item like '%scbxj%', 1, 0)) as int) as sc_cnt"),
+        F.expr("sum(if(claim_item like '%sgbxj%', 1, 0)) as sg_cnt"),
+        F.expr("sum(if(claim_item like '%scbxj%', 1, 0)) as sc_cnt"),
         F.expr("count(1) as _n"))
     # grand total beside every group: a window over the already aggregated groups
     # (products x ages, bounded), as the report defines it
-    return g.selectExpr("*", "cast(sum(_n) over () as int) as all_cnt").selectExpr(
+    return g.selectExpr("*", "sum(_n) over () as all_cnt").selectExpr(
         "insur_code", "insur_name", "age", "sg_cnt", "sc_cnt", "all_cnt",
         _ratio("sg_cnt", "all_cnt", "decimal(8,6)") + " as sg_rate",
         _ratio("sc_cnt", "all_cnt", "decimal(8,6)") + " as sc_rate")

@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from tontine.params import DEFAULT, Params
 from tontine.plans import actuarial, kpi
 from tontine.plans.marts import policy_result
-from tontine.schema import conform
+from tontine.schema import NOT_SUPPLIED, conform
 from tontine.sources.sinks import write_month
 
 
@@ -56,7 +56,7 @@ def write_warehouse(spark: SparkSession, sf_dir: str, root: str, params: Params
     for layer, tables in (("ods", ods), ("dw", dw)):
         for name, df in tables.items():
             path = os.path.join(root, layer, name)
-            w = conform(df, name).write.mode("overwrite")
+            w = conform(df, name, missing=NOT_SUPPLIED.get(name, ())).write.mode("overwrite")
             if buckets and name in BUCKETED:
                 (w.bucketBy(buckets, "user_id").sortBy("user_id").format("parquet")
                   .option("path", path).saveAsTable(ods_table_name(name)))

@@ -19,12 +19,13 @@ from tontine.sources import fixtures
 
 
 def policy_number_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """'P' + 9-digit number in purchase order (date, then order key as tie-break)."""
+    """'P' + number of at least 9 digits in purchase order (date, then order key as tie-break)."""
     o = (fixtures.policy_benefit(spark, sf_dir).select("pol_no", "buy_datetime")
          .withColumn("_all", F.lit(0)))
-    s = ordered_scan(o, ["_all"], ["buy_datetime", "pol_no"], skew_safe=True)   # one global order: always split
+    s = ordered_scan(o, ["_all"], ["buy_datetime", "pol_no"])
     return s.select("pol_no", "buy_datetime",
-                    F.concat(F.lit("P"), F.lpad(F.col("_pos").cast("string"), 9, "0")).alias("new_pol_no"))
+                    F.expr("concat('P', lpad(cast(_pos as string), greatest(9, length(cast(_pos as string))), '0'))")
+                    .alias("new_pol_no"))
 
 
 def client_id_assign(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,8 +53,7 @@ DDL: dict[str, list[tuple[str, str]]] = {
     "policy_surrender": _cols("pol_no string; user_id string; buy_datetime string; "
                               "keep_days smallint; elapse_date string"),
     # DW
-    "prem_src": _cols(_HEAD.replace("; ppp smallint; bpp smallint", "; ppp smallint; bpp smallint")
-                      + "; interest_rate decimal(6,4); sa decimal(12,2); policy_year smallint; "
+    "prem_src": _cols(_HEAD + "; interest_rate decimal(6,4); sa decimal(12,2); policy_year smallint; "
                       "age smallint;" + _VEC12 + "; ppp_ smallint; bpp_ smallint; "
                       f"expense {_D12}; db1 {_D12}; db2_factor {_D12}; db2 {_D12}; db3 {_D12}; "
                       f"db4 decimal(5,2); db5 {_D12}"),
@@ -94,8 +93,8 @@ DDL: dict[str, list[tuple[str, str]]] = {
                                         "cnt_all decimal(24,6); cooloff_rate decimal(8,6)"),
     "app_agg_month_surr_rate": _cols("insur_code string; insur_name string; cnt_surr decimal(26,6); "
                                      "cnt_all decimal(24,6); surr_rate decimal(8,6)"),
-    "app_agg_month_mort_dis_rate": _cols("insur_code string; insur_name string; age int; sg_cnt int; "
-                                         "sc_cnt int; all_cnt int; sg_rate decimal(8,6); "
+    "app_agg_month_mort_dis_rate": _cols("insur_code string; insur_name string; age int; sg_cnt bigint; "
+                                         "sc_cnt bigint; all_cnt bigint; sg_rate decimal(8,6); "
                                          "sc_rate decimal(8,6)"),
     "app_agg_month_dir": _cols("direction string; sum_users bigint; sum_prem decimal(24,6); "
                                "sum_cv_1b decimal(27,2); sum_sur_ben decimal(27,2); "
@@ -143,13 +142,16 @@ def struct(name: str, comments: bool = False) -> StructType:
                        for c, t in DDL[name]])
 
 
-def conform(df: DataFrame, name_or_struct, overflow: str = "null") -> DataFrame:
+# Declared columns that the given inputs cannot supply; they are null in the written tables.
+NOT_SUPPLIED = {"policy_client": ("id_card", "phone")}
+
+
+def conform(df: DataFrame, name_or_struct, overflow: str = "error", missing: tuple[str, ...] = ()) -> DataFrame:
     """Select the declared columns by name and cast them to the declared types.
 
-    ``overflow="null"`` turns values that do not fit into null (``try_cast``);
-    ``"error"`` raises, as ANSI casts do.  Declared columns the frame does not
-    have (e.g. the client's id card and phone, which the inputs cannot supply)
-    become typed nulls.
+    A value that does not fit raises an error, as ANSI casts do; only with
+    ``overflow="null"`` it becomes null (``try_cast``).  A declared column that the frame
+    does not have is an error too, unless it is listed in ``missing``: those are typed nulls.
     """
     if isinstance(name_or_struct, str):
         pairs = DDL[name_or_struct]
@@ -157,6 +159,9 @@ def conform(df: DataFrame, name_or_struct, overflow: str = "null") -> DataFrame:
         pairs = [(f.name, f.dataType.simpleString()) for f in name_or_struct.fields]
     fn = "try_cast" if overflow == "null" else "cast"
     have = set(df.columns)
+    unknown = [c for c, _ in pairs if c not in have and c not in missing]
+    if unknown:
+        raise ValueError(f"no column {', '.join(unknown)}")
     return df.selectExpr(*[f"{fn}(`{c}` as {t}) as `{c}`" if c in have else f"cast(null as {t}) as `{c}`"
                            for c, t in pairs])
 

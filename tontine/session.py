@@ -82,5 +82,4 @@ def recommended_conf(input_bytes: int, executor_cores_total: int,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
-        "tontine.scan.maxGroupRows": "2000000",
     }

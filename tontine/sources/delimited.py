@@ -6,9 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = "\t") -> DataFrame:
-    """Read tab- (or ``sep``-) separated text with the declared schema; bad values become null."""
-    return (spark.read.schema(schema).option("sep", sep).option("mode", "PERMISSIVE")
+def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = "\t",
+                   mode: str = "FAILFAST") -> DataFrame:
+    """Read tab- (or ``sep``-) separated text with the declared schema.
+
+    A line that does not fit the schema is an error; ``mode="PERMISSIVE"`` turns its bad
+    values into nulls, ``"DROPMALFORMED"`` leaves the line out.
+    """
+    return (spark.read.schema(schema).option("sep", sep).option("mode", mode)
             .option("nullValue", "\\N").csv(path))
 
 

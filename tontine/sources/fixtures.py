@@ -50,7 +50,9 @@ def _bound(spark: SparkSession, sf_dir: str, name: str):
 PPP_SQL = (f"case o_orderkey % 4 when 0 then {PAYMENT_TERM_BY_KEY_MOD4[0]} when 1 then {PAYMENT_TERM_BY_KEY_MOD4[1]} "
            f"when 2 then {PAYMENT_TERM_BY_KEY_MOD4[2]} else {PAYMENT_TERM_BY_KEY_MOD4[3]} end")
 KEEP_DAYS_SQL = "if(o_orderkey % 45 = 4, 1 + (o_orderkey * 13) % 25, 1 + (o_orderkey * 13) % 900)"
-POL_NO_SQL = "concat('P', lpad(cast(o_orderkey as string), 9, '0'))"
+# padded to nine digits, never cut: longer keys keep all of theirs
+POL_NO_SQL = ("concat('P', lpad(cast(o_orderkey as string), "
+              "greatest(9, length(cast(o_orderkey as string))), '0'))")
 CODE_SQL = "concat('886', substr(o_orderpriority, 1, 1))"
 
 

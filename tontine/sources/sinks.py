@@ -46,12 +46,10 @@ def materialize(df: DataFrame, how: str = "write", name: str = "stage") -> DataF
 def write_month(df: DataFrame, path: str, calc_month: str) -> None:
     """Replace exactly one month partition (``month=calc_month``) of a table at ``path``.
 
-    Dynamic partition overwrite touches only the partitions present in ``df``;
-    the other months stay as they are.
+    The partition's own folder is overwritten, so the month holds just these rows: none,
+    if ``df`` is empty.  The other months stay as they are.
     """
-    out = df.withColumn("month", F.lit(calc_month))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month").parquet(path))
+    df.drop("month").write.mode("overwrite").parquet(os.path.join(path, f"month={calc_month}"))
 
 
 def write_months(df: DataFrame, path: str, month_col: str = "month") -> None:
