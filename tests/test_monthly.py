@@ -67,19 +67,18 @@ def test_bound_warehouse_tables_serve_all_marts(spark):
     from tontine.plans.kpi import kpi_premium_per_policy
     from tontine.plans.monthly import read_ods, write_warehouse
     from tontine.plans import actuarial
-    from tontine.sources.fixtures import bind_tables, unbind_tables
+    from tontine.sources.fixtures import bound_tables
     root = tempfile.mkdtemp(dir="/tmp")
     write_warehouse(spark, SF, root, buckets=4)
     a = actuarial.run(spark, SF)
     base = kpi_premium_per_policy(spark, SF, "2000-04", a.prem_std_real).collect()
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    bind_tables(spark, SF, read_ods(spark, root))
     try:
-        df = kpi_premium_per_policy(spark, SF, "2000-04", a.prem_std_real)
+        with bound_tables(spark, SF, read_ods(spark, root)):
+            df = kpi_premium_per_policy(spark, SF, "2000-04", a.prem_std_real)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning(user_id" not in plan
         assert sorted(map(tuple, df.collect())) == sorted(map(tuple, base))
     finally:
-        unbind_tables(spark, SF)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -45,9 +45,10 @@ def test_kpi_pre_aggregates_before_shuffle(spark, no_auto_broadcast):
     assert "partial_sum" in p and "partial_count" in p
 
 
-def test_split_scan_uses_range_partitioning_and_broadcast_carries(spark):
+def test_scan_joins_carries_by_partition_without_moving_its_rows_again(spark, no_auto_broadcast):
     p = plan(E.queries()["policy_number_assign"](spark, SF))
-    assert "BroadcastHashJoin" in p and "hashpartitioning(_pid" in p
+    moved = re.findall(r"Exchange hashpartitioning\(_pid#\d+, \d+\), REPARTITION", p)
+    assert moved and "BroadcastExchange" not in p and "hashpartitioning(_all" not in p
 
 
 def test_history_counts_events_not_month_pairs(spark):
@@ -56,11 +57,12 @@ def test_history_counts_events_not_month_pairs(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
-def test_checked_scan_small_groups_one_exchange(spark):
+def test_scan_of_declared_small_keys_needs_one_exchange(spark):
     from tontine.operators.scan import ordered_scan
     d = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey",
                                                             "l_suppkey", "l_extendedprice")
-    s = ordered_scan(d, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], sums=["l_extendedprice"])
+    s = ordered_scan(d, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], sums=["l_extendedprice"],
+                     most_rows=1000)
     p = plan(s)
     assert len(re.findall(r"Exchange (hash|range)partitioning", p)) == 1
     assert "hashpartitioning(l_orderkey" in p

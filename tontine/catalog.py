@@ -191,6 +191,23 @@ def q_kpi_region(spark, sf_dir):
     return kpi.kpi_region(policy_result(spark, sf_dir, CALC_MONTH, a.policy_actuary, a.prem_std_real))
 
 
+@register("kpi_region_rounded")
+def q_kpi_region_rounded(spark, sf_dir):
+    """Variant: totals rounded to two decimals, as the monthly mart stores them."""
+    from tontine.plans import kpi
+    from tontine.plans.marts import policy_result
+    a = _act(spark, sf_dir)
+    return kpi.kpi_region(policy_result(spark, sf_dir, CALC_MONTH, a.policy_actuary, a.prem_std_real), scale=2)
+
+
+@register("policy_actuary_left")
+def q_policy_actuary_left(spark, sf_dir):
+    """Variant: cash values kept without a reserve (the year-0 rows)."""
+    from tontine.plans.marts import policy_actuary
+    a = _act(spark, sf_dir)
+    return report(policy_actuary(a.cv_src, a.rsv_src, how="left"), "policy_actuary")
+
+
 @register("kpi_high_net_worth")
 def q_kpi_high_net_worth(spark, sf_dir):
     from tontine.plans import kpi
@@ -247,7 +264,7 @@ for _k in ("win_tail_sum", "win_tail_sum_exclusive", "win_group_total", "win_lea
            "join_left_lookup", "join_status_flag", "agg_conditional_sum", "agg_sumproduct", "agg_ratio",
            "agg_global", "agg_count_variants", "agg_distinct_rows", "agg_group_by_alias_expr",
            "agg_of_agg_window", "dim_stack", "int_sequence", "param_table", "month_param", "sort_multi",
-           "topk_count", "limit_n"):
+           "topk_count", "limit_n", "union_literals"):
     register(_k)(_rel(_k))
 for _k in ("join_left_on_predicate", "join_month_inforce", "join_range_expand", "age_band_rate_pick"):
     register(_k)(_rel(_k, CALC_MONTH))
@@ -295,11 +312,10 @@ def q_union_year0(spark, sf_dir):
 
 @register("rsv_forms_agree")
 def q_rsv_forms_agree(spark, sf_dir):
-    from tontine.plans.reserve import reserve_factors_by_group
+    """The reserve factors of each cell by grouping, and how far the detail rows' differ from them."""
+    from tontine.plans.reserve import compare_forms, reserve_factors_by_group
     a = _act(spark, sf_dir)
-    return reserve_factors_by_group(a.prem_src, a.prem_std_real).selectExpr(
-        "age_buy", "sex", "ppp", "cast(prem_rsv as decimal(17,4)) as prem_rsv",
-        "cast(alpha as decimal(17,4)) as alpha", "cast(beta as decimal(17,4)) as beta")
+    return compare_forms(a.rsv_src, reserve_factors_by_group(a.prem_src, a.prem_std_real))
 
 
 @register("prem_check")
@@ -326,10 +342,12 @@ def q_cv_check_two_sided(spark, sf_dir):
 
 @register("count_reconcile")
 def q_count_reconcile(spark, sf_dir):
+    """Orders against the policy table as it is written and read back."""
     from tontine.operators.quality import reconcile_counts
     from tontine.sources import fixtures
+    from tontine.sources.sinks import materialize
     from tontine.sources.tables import table
-    return reconcile_counts(table(spark, sf_dir, "orders"), fixtures.policy_benefit(spark, sf_dir))
+    return reconcile_counts(table(spark, sf_dir, "orders"), materialize(fixtures.policy_benefit(spark, sf_dir), name="policies"))
 
 
 # ---------------------------------------------------------------- preparation

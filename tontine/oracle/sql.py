@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from tontine.catalog import CALC_MONTH
-from tontine.functions.dates import month_shift
 from tontine.oracle.chain import with_ctes
 
-M = CALC_MONTH
+M = "2000-04"                   # report month
+
+
+def month_shift(month: str, by: int) -> str:
+    year, number = divmod(int(month[:4]) * 12 + int(month[5:7]) - 1 + by, 12)
+    return f"{year:04d}-{number + 1:02d}"
+
 
 
 def mb(c: str, b: str) -> str:
@@ -42,10 +46,20 @@ add("policy_grid", "SELECT sex, CAST(ppp AS SMALLINT) AS ppp, CAST(age_buy AS SM
     "CAST(age AS SMALLINT) AS age, coalesce(n, 0) AS n_policies FROM grid LEFT JOIN sold USING (sex, ppp, age_buy)")
 
 
-def report_sql(table: str, name: str, extra_cols: str = "") -> str:
-    from tontine.schema import report_types
-    cols = ", ".join(f"CAST({c} AS {t.upper()}) AS {c}" for c, t in report_types(name))
-    return f"SELECT {cols}{extra_cols} FROM {table}"
+# Columns of the detail reports that are shown with fewer decimals than they are kept with.
+_VECTORS = "qx kx qx_d qx_ci dx_d dx_ci lx lx_d cx cx_ ci_cx ci_cx_ dx dx_d_".split()
+_SHORTER = {
+    "prem_src": ("DECIMAL(17,9)", [*_VECTORS, "expense", "db1", "db2_factor", "db2", "db3", "db5"]),
+    "cv_src": ("DECIMAL(17,4)", "pvnp pvdb1 pvdb2 pvdb3 pvdb4 pvdb5 pvr np sur_ben cv_1a cv_1b cv_2".split()),
+    "rsv_src": ("DECIMAL(17,4)", "pvnp pvdb1 pvdb2 pvdb3 pvdb4 pvdb5 prem_rsv alpha beta rsv1 rsv2 rsv1_re rsv2_re".split()),
+    "policy_actuary": ("DECIMAL(17,4)", "cv_1a cv_1b sur_ben np rsv2_re rsv1_re".split()),
+    "policy_result": ("DECIMAL(17,4)", "cv_1a cv_1b sur_ben np rsv2_re rsv1_re".split()),
+}
+
+
+def report_sql(table: str, name: str) -> str:
+    kind, columns = _SHORTER[name]
+    return f"SELECT * REPLACE ({', '.join(f'CAST({c} AS {kind}) AS {c}' for c in columns)}) FROM {table}"
 
 
 add("prem_src", report_sql("prem_src", "prem_src"))
@@ -69,9 +83,13 @@ LEFT JOIN policy_actuary c ON CAST(a.age_buy AS SMALLINT) = c.age_buy AND b.sex
 LEFT JOIN prem_std_real d ON CAST(a.age_buy AS SMALLINT) = d.age_buy AND d.sex = b.sex
      AND CAST(a.ppp AS SMALLINT) = d.ppp
 WHERE substr(a.buy_datetime, 1, 7) <= '{M}'"""
-add("policy_result", report_sql("policy_result", "policy_result", ", month"), {"policy_result": POLICY_RESULT})
+add("policy_actuary_left", report_sql("policy_actuary", "policy_actuary"), {"policy_actuary": """
+SELECT a.age_buy, a.sex, a.ppp, a.bpp, a.policy_year, a.sa, a.cv_1a, a.cv_1b, a.sur_ben, a.np, b.rsv2_re, b.rsv1_re, b.np_
+FROM cv_src a LEFT JOIN rsv_src b
+  ON a.age_buy = b.age_buy AND a.sex = b.sex AND a.ppp = b.ppp AND a.policy_year = b.policy_year"""})
+add("policy_result", report_sql("policy_result", "policy_result"), {"policy_result": POLICY_RESULT})
 PY_M_FLOOR1 = f"CAST(floor({mb(mdate(M), 'CAST(buy_datetime AS DATE)')} / 12) + 1 AS BIGINT)"
-add("policy_result_floor1", report_sql("policy_result", "policy_result", ", month"),
+add("policy_result_floor1", report_sql("policy_result", "policy_result"),
     {"policy_result": POLICY_RESULT.replace(PY_M, PY_M_FLOOR1).replace("prem_std_real d", "prem_std d")})
 
 PRICED = """
@@ -233,6 +251,12 @@ SELECT direction, count(user_id) AS sum_users, CAST(sum(prem_thismonth) AS DECIM
        CAST(sum(rsv2_re) AS DECIMAL(27,7)) AS sum_rsv2_re
 FROM policy_result GROUP BY direction""", {"policy_result": POLICY_RESULT})
 
+add("kpi_region_rounded", """
+SELECT direction, count(user_id) AS sum_users, CAST(round(sum(prem_thismonth), 2) AS DECIMAL(24,2)) AS sum_prem,
+       CAST(round(sum(cv_1b), 2) AS DECIMAL(27,2)) AS sum_cv_1b, CAST(round(sum(sur_ben), 2) AS DECIMAL(27,2)) AS sum_sur_ben,
+       CAST(round(sum(rsv2_re), 2) AS DECIMAL(27,2)) AS sum_rsv2_re
+FROM policy_result GROUP BY direction""", {"policy_result": POLICY_RESULT})
+
 add("kpi_high_net_worth", f"""
 SELECT {ratio("sum(if(income >= 10000000, 1, 0))", "count(1)", "DECIMAL(8,6)")} AS high_net_rate FROM policy_client""")
 
@@ -399,6 +423,11 @@ FROM (VALUES ('M'), ('F')) s(sex) CROSS JOIN (VALUES (10), (15), (20), (30)) j(p
 LEFT JOIN (SELECT c.sex, CAST(b.ppp AS INTEGER) AS ppp, count(*) AS n
            FROM policy_benefit b JOIN policy_client c ON b.user_id = c.user_id GROUP BY 1, 2) c
   ON s.sex = c.sex AND j.ppp = c.ppp""")
+add("union_literals", """
+SELECT o.o_orderpriority, l.level, count(*) AS n
+FROM orders o LEFT JOIN (SELECT '1-URGENT' AS p, 1 AS level UNION ALL SELECT '2-HIGH', 2 UNION ALL SELECT '3-MEDIUM', 3
+                         UNION ALL SELECT '4-NOT SPECIFIED', 4 UNION ALL SELECT '5-LOW', 5) l ON l.p = o.o_orderpriority
+GROUP BY o.o_orderpriority, l.level""")
 add("int_sequence", """
 SELECT CAST(y.pay_year AS INTEGER) AS pay_year, count(*) AS n_policies
 FROM policy_benefit b JOIN range(1, 31) y(pay_year) ON y.pay_year <= CAST(b.ppp AS INTEGER)
@@ -427,17 +456,14 @@ add("product_slice", report_sql("prem_src", "prem_src") + " WHERE sex = 'M' AND
 add("union_year0", "SELECT sex, ppp, age_buy, CAST(policy_year AS SMALLINT) AS policy_year, "
                    "CAST(lx AS DECIMAL(17,9)) AS lx FROM cv1")
 add("rsv_forms_agree", """
-SELECT age_buy, sex, ppp, CAST(prem_rsv AS DECIMAL(17,4)) AS prem_rsv, CAST(alpha AS DECIMAL(17,4)) AS alpha,
-       CAST(beta AS DECIMAL(17,4)) AS beta
-FROM (SELECT *, if(ppp = 1, prem_rsv, a0) AS alpha,
-             if(ppp = 1, 0.0::DOUBLE, prem_rsv + (prem_rsv - if(ppp = 1, prem_rsv, a0)) / x * y) AS beta
-      FROM (SELECT age_buy, sex, ppp,
-                   sum(if(policy_year = 1, pvdb1 + pvdb2 + pvdb3 + pvdb4 + pvdb5, 0.0::DOUBLE)) / sum(dx * ppp_)
-                     * sum(if(policy_year = 1, dx, 0.0::DOUBLE)) AS prem_rsv,
-                   sum(if(policy_year = 1, ((db1 + db2 + db5) * ci_cx_ + db3 * dx + cx_ * db4) / dx, 0.0::DOUBLE)) AS a0,
-                   sum(if(policy_year >= 2, dx * ppp_, 0.0::DOUBLE)) AS x,
-                   sum(if(policy_year = 1, dx, 0.0::DOUBLE)) AS y
-            FROM rs2 GROUP BY age_buy, sex, ppp) g) t""")
+SELECT d.age_buy, d.sex, d.ppp, count(*) AS n_rows, CAST(any_value(net) AS DECIMAL(17,4)) AS prem_rsv,
+       CAST(any_value(if(d.ppp = 1, net, cost)) AS DECIMAL(17,4)) AS alpha,
+       CAST(any_value(if(d.ppp = 1, 0, net + (net - cost) * per_renewal)) AS DECIMAL(17,4)) AS beta,
+       CAST(max(abs(net - CAST(d.prem_rsv AS DOUBLE))) AS DECIMAL(17,4)) AS prem_rsv_diff,
+       CAST(max(abs(if(d.ppp = 1, net, cost) - CAST(d.alpha AS DOUBLE))) AS DECIMAL(17,4)) AS alpha_diff,
+       CAST(max(abs(if(d.ppp = 1, 0, net + (net - cost) * per_renewal) - CAST(d.beta AS DOUBLE))) AS DECIMAL(17,4)) AS beta_diff
+FROM rsv_src d JOIN factors k ON k.sex = d.sex AND k.ppp = d.ppp AND k.age_buy = d.age_buy
+GROUP BY d.age_buy, d.sex, d.ppp""")
 CHECK = """
 SELECT p.age_buy, p.sex, p.ppp, p.{c} AS my_{c}, r.{c} AS real_{c},
        CAST((CAST(p.{c} AS DOUBLE) - CAST(r.{c} AS DOUBLE)) / CAST(r.{c} AS DOUBLE) AS DECIMAL(12,8)) AS diff_rate_{c}

@@ -11,6 +11,7 @@ Products are all cells on offer, with the policies sold of each.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from tontine.params import DEFAULT, Params
 from tontine.plans import cashvalue, premium, reserve
 from tontine.schema import conform
 from tontine.sources.sinks import materialize
+from tontine.sources.tables import version
 
 _RUNS: dict = {}
 
@@ -88,9 +90,16 @@ class Actuarial:
         return self._get("policy_actuary", lambda: policy_actuary(self.cv_src, self.rsv_src))
 
 
+def forget(spark: SparkSession) -> None:
+    """Drop the runs of a session (their stage tables are gone)."""
+    for key in [k for k in _RUNS if k[:2] == (spark.sparkContext.applicationId, id(spark))]:
+        del _RUNS[key]
+
+
 def run(spark: SparkSession, sf_dir: str, params: Params = DEFAULT, how: str = "write") -> Actuarial:
-    """The stage tables for ``sf_dir`` (one per session, input folder and parameter set)."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, params, how)
+    """The stage tables for ``sf_dir`` (one per session, version of the input files and parameter set)."""
+    inputs = tuple(version(spark, os.path.join(sf_dir, f"{t}.parquet")) for t in ("orders", "customer", "nation", "region"))
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, inputs, params, how)
     if key not in _RUNS:
         _RUNS[key] = Actuarial(spark, sf_dir, params, how)
     return _RUNS[key]

@@ -34,7 +34,18 @@ def _priced(pol: DataFrame, price: DataFrame, how: str = "inner", cols=("prem",)
 
 
 def _benefit_client(spark, sf_dir, client_cols=("sex",), first_month=None, last_month=None) -> DataFrame:
-    b = fixtures.policy_benefit(spark, sf_dir, **fixtures.month_bounds(first_month, last_month))
+    bounds = fixtures.month_bounds(first_month, last_month)
+    both = fixtures.policy_with_client(spark, sf_dir)
+    if both is not None:                   # the run has joined them already
+        if "buy_from" in bounds:
+            both = both.where(F.col("buy_datetime") >= bounds["buy_from"])
+        if "buy_before" in bounds:
+            both = both.where(F.col("buy_datetime") < bounds["buy_before"])
+        return both.select("pol_no", "user_id", "ppp", "age_buy", "buy_datetime", "insur_name", "insur_code", "pol_flag",
+                           "elapse_date", *client_cols)
+    b = fixtures.policy_benefit(spark, sf_dir, **bounds)
+    if not client_cols:                    # only that there is a client
+        return b.join(fixtures.policy_client(spark, sf_dir).select("user_id"), "user_id", "left_semi")
     c = fixtures.policy_client(spark, sf_dir).select("user_id", *client_cols)
     return b.join(c, "user_id")
 
@@ -128,7 +139,7 @@ def kpi_persistency13(spark, sf_dir, calc_month) -> DataFrame:
 def kpi_persistency13_forward(spark, sf_dir, calc_month) -> DataFrame:
     """Of policies in force at the report month, the share surviving to month + 13."""
     p13 = month_shift(calc_month, 13)
-    b = _benefit_client(spark, sf_dir, ()).where(
+    b = _benefit_client(spark, sf_dir, (), last_month=calc_month).where(
         f"'{calc_month}' >= buy_datetime and ('{calc_month}' < elapse_date or elapse_date is null)")
     t = b.groupBy("insur_code", "insur_name").agg(
         F.expr(f"sum(if(elapse_date is null or substr(elapse_date, 1, 7) >= '{p13}', 1, 0)) as cnt_eff13"),
@@ -149,9 +160,7 @@ def kpi_persistency13_history(spark, sf_dir, calc_month, months: int = 36) -> Da
     from tontine.operators.joins import interval_counts
     lo = month_index(F.lit(month_shift(calc_month, -months)))
     hi = month_index(F.lit(month_shift(calc_month, -1)))
-    b = fixtures.policy_benefit(spark, sf_dir)
-    c = fixtures.policy_client(spark, sf_dir).select("user_id")
-    b = b.join(c, "user_id", "left_semi")
+    b = _benefit_client(spark, sf_dir, (), last_month=calc_month)
     start = month_index(F.col("buy_datetime")) + 1
     el = month_index(F.col("elapse_date"))
     stop = F.coalesce(el, hi)
@@ -187,7 +196,8 @@ def kpi_cooloff(spark, sf_dir, calc_month, price) -> DataFrame:
     """Premium of policies bought this month and cancelled within 20 days, over all new premium."""
     pol = _benefit_client(spark, sf_dir, first_month=calc_month, last_month=calc_month).where(
         F.substring("buy_datetime", 1, 7) == calc_month)
-    s = fixtures.policy_surrender(spark, sf_dir).select(F.col("pol_no").alias("_s_pol"), "keep_days")
+    s = fixtures.policy_surrender(spark, sf_dir, **fixtures.month_bounds(calc_month, calc_month)).select(
+        F.col("pol_no").alias("_s_pol"), "keep_days")
     j = _priced(pol.join(s, pol.pol_no == s._s_pol, "left"), price)
     t = j.groupBy("insur_code", "insur_name").agg(
         F.expr("cast(sum(if(keep_days <= 20, prem, 0)) as decimal(26,6)) as cooloff"),
@@ -213,7 +223,7 @@ def kpi_surrender(spark, sf_dir, calc_month) -> DataFrame:
     m14 = month_shift(calc_month, -14)
     b = fixtures.policy_benefit(spark, sf_dir, **fixtures.month_bounds(last_month=m14)).where(
         f"'{m14}' >= substr(buy_datetime, 1, 7) and ('{m14}' < elapse_date or elapse_date is null)")
-    s = fixtures.policy_surrender(spark, sf_dir).select(
+    s = fixtures.policy_surrender(spark, sf_dir, **fixtures.month_bounds(last_month=m14)).select(
         F.col("pol_no").alias("_s_pol"), F.col("elapse_date").alias("_s_elapse"))
     j = b.join(s, b.pol_no == s._s_pol, "left")
     t = j.groupBy("insur_code", "insur_name").agg(
@@ -228,7 +238,7 @@ def kpi_surrender_on_predicate(spark, sf_dir, calc_month) -> DataFrame:
     m14 = month_shift(calc_month, -14)
     b = _benefit_client(spark, sf_dir, (), last_month=m14).where(
         f"substr(buy_datetime, 1, 7) <= '{m14}' and (elapse_date > '{m14}' or elapse_date is null)")
-    s = fixtures.policy_surrender(spark, sf_dir).select(F.col("pol_no").alias("_s_pol"))
+    s = fixtures.policy_surrender(spark, sf_dir, **fixtures.month_bounds(last_month=m14)).select(F.col("pol_no").alias("_s_pol"))
     cond = ((b.pol_no == s._s_pol) & (F.substring(b.elapse_date, 1, 7) > m14)
             & (F.substring(b.elapse_date, 1, 7) <= calc_month))
     t = b.join(s, cond, "left").groupBy("insur_code", "insur_name").agg(
@@ -272,14 +282,16 @@ def kpi_mortality_disability(spark, sf_dir, calc_month: str | None = None) -> Da
 
 
 # ------------------------------------------------------------------ region, income, value
-def kpi_region(policy_result: DataFrame) -> DataFrame:
-    """Totals of the month's policy result by region."""
+def kpi_region(policy_result: DataFrame, scale: int | None = None) -> DataFrame:
+    """Totals of the month's policy result by region, rounded to ``scale`` decimals if given."""
+    money = {"sum_prem": ("prem_thismonth", 24, 6), "sum_cv_1b": ("cv_1b", 27, 7),
+             "sum_sur_ben": ("sur_ben", 27, 7), "sum_rsv2_re": ("rsv2_re", 27, 7)}
+
+    def total(column: str, digits: int, places: int) -> str:
+        s = f"sum({column})" if scale is None else f"round(sum({column}), {scale})"
+        return f"cast({s} as decimal({digits},{places if scale is None else scale}))"
     return policy_result.groupBy("direction").agg(
-        F.expr("count(user_id) as sum_users"),
-        F.expr("cast(sum(prem_thismonth) as decimal(24,6)) as sum_prem"),
-        F.expr("cast(sum(cv_1b) as decimal(27,7)) as sum_cv_1b"),
-        F.expr("cast(sum(sur_ben) as decimal(27,7)) as sum_sur_ben"),
-        F.expr("cast(sum(rsv2_re) as decimal(27,7)) as sum_rsv2_re"))
+        F.expr("count(user_id) as sum_users"), *[F.expr(f"{total(*v)} as {k}") for k, v in money.items()])
 
 
 def kpi_high_net_worth(spark, sf_dir) -> DataFrame:

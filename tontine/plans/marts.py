@@ -35,6 +35,11 @@ def policies_with_client(spark: SparkSession, sf_dir: str, calc_month: str | Non
     ``user_id`` (``plans.monthly.write_warehouse(buckets=n)``); the join then
     reads matching buckets and shuffles nothing.
     """
+    both = fixtures.policy_with_client(spark, sf_dir) if policies is None and clients is None else None
+    if both is not None:                   # the run has joined them already
+        if calc_month is not None:
+            both = both.where(F.substring("buy_datetime", 1, 7) <= calc_month)
+        return both
     if policies is None:
         b = fixtures.policy_benefit(spark, sf_dir, **fixtures.month_bounds(last_month=calc_month))
     else:
@@ -42,7 +47,7 @@ def policies_with_client(spark: SparkSession, sf_dir: str, calc_month: str | Non
     if calc_month is not None:
         b = b.where(F.substring("buy_datetime", 1, 7) <= calc_month)
     c = (clients if clients is not None else fixtures.policy_client(spark, sf_dir)).select(
-        "user_id", "name", "sex", "birthday", "province", "city", "direction")
+        "user_id", "name", "sex", "birthday", "province", "city", "direction", "income")
     return c.join(b, "user_id")
 
 

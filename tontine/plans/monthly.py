@@ -14,9 +14,10 @@ from pyspark.sql import SparkSession
 
 from tontine.params import DEFAULT, Params
 from tontine.plans import actuarial, kpi
-from tontine.plans.marts import policy_result
+from tontine.plans.marts import policies_with_client, policy_result
 from tontine.schema import NOT_SUPPLIED, conform
-from tontine.sources.sinks import write_month
+from tontine.sources.fixtures import bound_tables
+from tontine.sources.sinks import materialize, write_month
 
 
 BUCKETED = ("policy_benefit", "policy_client")      # joined on user_id every month
@@ -90,29 +91,27 @@ def run_month(spark: SparkSession, sf_dir: str, calc_month: str, out_root: str,
         written.append((name, path))
 
     put("policy_actuary", a.policy_actuary, partitioned=False)
-    if ods:
-        from tontine.sources.fixtures import bind_tables
-        bind_tables(spark, sf_dir, ods)        # every mart below joins the bucketed tables
-    pr = policy_result(spark, sf_dir, calc_month, a.policy_actuary, price, params=params)
-    put("policy_result", pr.drop("month"))
-    pr_month = spark.read.parquet(os.path.join(out_root, "app", "policy_result")).where(f"month = '{calc_month}'")
-    marts = {
-        "app_agg_month_incre_rate": kpi.kpi_premium_growth(spark, sf_dir, calc_month, price),
-        "app_agg_month_first_of_total_prem": kpi.kpi_first_year_ratio(spark, sf_dir, calc_month, price),
-        "app_agg_month_rate_eff13": kpi.kpi_persistency13(spark, sf_dir, calc_month),
-        "app_agg_month_premperpol": kpi.kpi_premium_per_policy(spark, sf_dir, calc_month, price),
-        "app_agg_month_cooloff_surr": kpi.kpi_cooloff(spark, sf_dir, calc_month, price),
-        "app_agg_month_surr_rate": kpi.kpi_surrender(spark, sf_dir, calc_month),
-        "app_agg_month_mort_dis_rate": kpi.kpi_mortality_disability(spark, sf_dir),
-        "app_agg_month_dir": kpi.kpi_region(pr_month),
-        "app_agg_month_high_net_rate": kpi.kpi_high_net_worth(spark, sf_dir),
-        "app_agg_month_nbev": kpi.kpi_nbev(spark, sf_dir, price),
-    }
-    for name, df in marts.items():
-        put(name, conform(df, name))
-    if ods:
-        from tontine.sources.fixtures import unbind_tables
-        unbind_tables(spark, sf_dir)
+    with bound_tables(spark, sf_dir, ods or {}):
+        # the one policy-client join of the run; every mart below reads its result
+        both = materialize(policies_with_client(spark, sf_dir), name="policy_with_client")
+    with bound_tables(spark, sf_dir, (ods or {}) | {"policy_with_client": both}):
+        pr = policy_result(spark, sf_dir, calc_month, a.policy_actuary, price, params=params)
+        put("policy_result", pr.drop("month"))
+        pr_month = spark.read.parquet(os.path.join(out_root, "app", "policy_result")).where(f"month = '{calc_month}'")
+        marts = {
+            "app_agg_month_incre_rate": kpi.kpi_premium_growth(spark, sf_dir, calc_month, price),
+            "app_agg_month_first_of_total_prem": kpi.kpi_first_year_ratio(spark, sf_dir, calc_month, price),
+            "app_agg_month_rate_eff13": kpi.kpi_persistency13(spark, sf_dir, calc_month),
+            "app_agg_month_premperpol": kpi.kpi_premium_per_policy(spark, sf_dir, calc_month, price),
+            "app_agg_month_cooloff_surr": kpi.kpi_cooloff(spark, sf_dir, calc_month, price),
+            "app_agg_month_surr_rate": kpi.kpi_surrender(spark, sf_dir, calc_month),
+            "app_agg_month_mort_dis_rate": kpi.kpi_mortality_disability(spark, sf_dir),
+            "app_agg_month_dir": kpi.kpi_region(pr_month, scale=2),
+            "app_agg_month_high_net_rate": kpi.kpi_high_net_worth(spark, sf_dir),
+            "app_agg_month_nbev": kpi.kpi_nbev(spark, sf_dir, price),
+        }
+        for name, df in marts.items():
+            put(name, conform(df, name))
     if jdbc:
         from tontine.sources.jdbc import export_jdbc
         export_jdbc(a.policy_actuary, jdbc["url"], jdbc.get("table", "POLICY_ACTUARY"), jdbc["props"])

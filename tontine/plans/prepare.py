@@ -60,8 +60,7 @@ def policy_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_client_policy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """One wide client-policy table -> (client table, policy table), two projections."""
     from tontine.plans.marts import policies_with_client
-    c = fixtures.policy_client(spark, sf_dir).select("user_id", "income")
-    wide = policies_with_client(spark, sf_dir).join(c, "user_id")
+    wide = policies_with_client(spark, sf_dir)
     clients = wide.select("user_id", "name", "sex", "birthday", "province", "city", "direction",
                           "income").distinct()
     policies = wide.select("pol_no", "user_id", "ppp", "age_buy", "buy_datetime", "insur_name",

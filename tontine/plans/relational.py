@@ -326,6 +326,17 @@ def dim_stack(spark, sf_dir, params=DEFAULT) -> DataFrame:
     return cells.join(cnt, ["sex", "ppp"], "left").selectExpr("sex", "ppp", "coalesce(n, 0) as n_policies")
 
 
+def union_literals(spark, sf_dir) -> DataFrame:
+    """A table written as a union of literal rows (order priority, level), beside the orders of each."""
+    rows = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("4-NOT SPECIFIED", 4), ("5-LOW", 5)]
+    one = [spark.range(1).select(F.lit(p).alias("o_orderpriority"), F.lit(n).alias("level")) for p, n in rows]
+    levels = one[0]
+    for r in one[1:]:
+        levels = levels.unionByName(r)
+    n = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    return broadcast_bounded(levels, len(rows)).join(n, "o_orderpriority", "right").select("o_orderpriority", "level", "n")
+
+
 def int_sequence(spark, sf_dir, params=DEFAULT) -> DataFrame:
     """Premium schedule: policies paying in each payment year 1..max term.
 

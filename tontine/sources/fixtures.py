@@ -13,6 +13,8 @@ small by definition of the schema and broadcast.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,18 +31,26 @@ REGION_ROWS_BOUND = 5
 
 
 # Warehouse tables bound in place of the derived ones, per (application, input folder):
-# see ``bind_tables`` (used by the monthly job to read user_id-bucketed tables).
+# see ``bound_tables`` (the monthly job reads its own tables through it).
 _BOUND: dict = {}
 
 
-def bind_tables(spark: SparkSession, sf_dir: str, tables: dict) -> None:
-    """Serve ``policy_benefit`` / ``policy_client`` for ``sf_dir`` from the given warehouse
-    tables (e.g. bucketed by user_id) instead of deriving them from the raw inputs."""
-    _BOUND[(spark.sparkContext.applicationId, sf_dir)] = dict(tables)
+@contextmanager
+def bound_tables(spark: SparkSession, sf_dir: str, tables: dict):
+    """Within this block ``policy_benefit``, ``policy_client`` and ``policy_with_client`` of ``sf_dir``
+    are the given warehouse tables instead of being derived from the raw inputs."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    before = _BOUND.get(key, {})
+    _BOUND[key] = before | tables
+    try:
+        yield
+    finally:
+        _BOUND[key] = before
 
 
-def unbind_tables(spark: SparkSession, sf_dir: str) -> None:
-    _BOUND.pop((spark.sparkContext.applicationId, sf_dir), None)
+def policy_with_client(spark: SparkSession, sf_dir: str) -> DataFrame | None:
+    """Policies with their client's columns, where a run has them as one table."""
+    return _bound(spark, sf_dir, "policy_with_client")
 
 
 def _bound(spark: SparkSession, sf_dir: str, name: str):
@@ -128,9 +138,10 @@ def policy_benefit(spark: SparkSession, sf_dir: str, buy_from: str | None = None
         f"'yyyy-MM-dd'), null) as elapse_date")
 
 
-def policy_surrender(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Surrender records: one per surrendered policy."""
-    o = _orders(spark, sf_dir).where("o_orderkey % 15 = 4")
+def policy_surrender(spark: SparkSession, sf_dir: str, buy_from: str | None = None,
+                     buy_before: str | None = None) -> DataFrame:
+    """Surrender records: one per surrendered policy (purchase-date bounds as in ``policy_benefit``)."""
+    o = _orders(spark, sf_dir, buy_from, buy_before).where("o_orderkey % 15 = 4")
     return o.selectExpr(
         f"{POL_NO_SQL} as pol_no", "cast(o_custkey as string) as user_id",
         "date_format(o_orderdate, 'yyyy-MM-dd') as buy_datetime",

@@ -16,8 +16,17 @@ from tontine.session import ensure_checkpoint_dir
 
 
 def stage_dir(spark: SparkSession) -> str:
-    """Folder for materialised stages: below the cluster's shared checkpoint folder."""
-    return os.path.join(ensure_checkpoint_dir(spark), "tontine-stages")
+    """Folder for this application's materialised stages, below the shared checkpoint folder."""
+    return os.path.join(ensure_checkpoint_dir(spark), f"tontine-stages-{spark.sparkContext.applicationId}")
+
+
+def remove_stages(spark: SparkSession) -> None:
+    """Remove what this application has materialised; frames that read it are gone with it.
+    Call it when the results are written."""
+    from tontine.plans import actuarial
+    actuarial.forget(spark)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, how: str = "write", name: str = "stage") -> DataFrame:

@@ -14,13 +14,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 _SCANS: dict = {}
 
 
+def version(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a table's files: another version is another table."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
 
-    The scan (file listing and schema) is resolved once per session and path;
-    the inputs are not modified during a run.
+    The scan (file listing and schema) is resolved once per session and version of its files.
     """
-    key = (spark.sparkContext.applicationId, id(spark), os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, id(spark), path, version(spark, path))
     if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(key[2])
+        _SCANS[key] = spark.read.parquet(path)
     return _SCANS[key]
