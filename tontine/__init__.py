@@ -7,7 +7,6 @@ Layout:
   functions/   small Column builders (tail sums, survival products, month arithmetic)
   operators/   reusable DataFrame -> DataFrame operators (grid, recurrences, joins, checks)
   plans/       the pipeline stages: premium, cash value, reserve, marts, KPIs, preparation
-  streaming/   nothing: the modelled application is batch only
 """
 
 from tontine.params import Params

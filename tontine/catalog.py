@@ -263,7 +263,7 @@ for _k in ("win_tail_sum", "win_tail_sum_exclusive", "win_group_total", "win_lea
            "win_lag_over_months", "join_detail_to_aggregate", "join_cross", "join_scalar_pair",
            "join_left_lookup", "join_status_flag", "agg_conditional_sum", "agg_sumproduct", "agg_ratio",
            "agg_global", "agg_count_variants", "agg_distinct_rows", "agg_group_by_alias_expr",
-           "agg_of_agg_window", "dim_stack", "int_sequence", "param_table", "month_param", "sort_multi",
+           "agg_of_agg_window", "dim_stack", "int_sequence", "int_sequence_rownum", "param_table", "month_param", "sort_multi",
            "topk_count", "limit_n", "union_literals"):
     register(_k)(_rel(_k))
 for _k in ("join_left_on_predicate", "join_month_inforce", "join_range_expand", "age_band_rate_pick"):

@@ -428,6 +428,9 @@ SELECT o.o_orderpriority, l.level, count(*) AS n
 FROM orders o LEFT JOIN (SELECT '1-URGENT' AS p, 1 AS level UNION ALL SELECT '2-HIGH', 2 UNION ALL SELECT '3-MEDIUM', 3
                          UNION ALL SELECT '4-NOT SPECIFIED', 4 UNION ALL SELECT '5-LOW', 5) l ON l.p = o.o_orderpriority
 GROUP BY o.o_orderpriority, l.level""")
+add("int_sequence_rownum", """
+SELECT CAST(t.age AS INTEGER) AS age, count(b.pol_no) AS n_policies
+FROM range(1, 106) t(age) LEFT JOIN policy_benefit b ON b.age_buy = t.age GROUP BY t.age""")
 add("int_sequence", """
 SELECT CAST(y.pay_year AS INTEGER) AS pay_year, count(*) AS n_policies
 FROM policy_benefit b JOIN range(1, 31) y(pay_year) ON y.pay_year <= CAST(b.ppp AS INTEGER)

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tontine.operators.grid import literal_rows
-from tontine.operators.joins import broadcast_bounded
+from tontine.operators.grid import int_series, literal_dim
+from tontine.operators.joins import broadcast_bounded, expand_range
 from tontine.operators.scan import affine_recurrence, linear_recurrence, ordered_scan
 from tontine.params import DEFAULT
 from tontine.sources import fixtures
@@ -237,7 +237,7 @@ def join_range_expand(spark, sf_dir, calc_month: str) -> DataFrame:
         F.substring("buy_datetime", 1, 7) <= calc_month)
     py = b.selectExpr(f"cast({policy_year_sql(calc_month)} as int) as py").groupBy("py").agg(
         F.count(F.lit(1)).alias("n"))
-    e = py.where("py >= 1").withColumn("year", F.explode(F.sequence(F.lit(1), F.col("py"))))
+    e = expand_range(py.where("py >= 1"), F.lit(1), F.col("py"), "year")
     return e.groupBy("year").agg(F.sum("n").alias("n_policies"))
 
 
@@ -318,8 +318,8 @@ def agg_max(spark, sf_dir, grid: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- generators / literals
 def dim_stack(spark, sf_dir, params=DEFAULT) -> DataFrame:
     """Literal sex x payment-term grid with the policy count per cell (zero-filled)."""
-    cells = literal_rows(spark, [(s, p) for s in params.sexes for p in params.payment_terms],
-                         ["sex", "ppp"], [None, "int"])
+    terms = broadcast_bounded(literal_dim(spark, params.payment_terms, "ppp", "int"), len(params.payment_terms))
+    cells = terms.withColumn("sex", F.explode(F.array(*[F.lit(s) for s in params.sexes])))
     from tontine.plans.kpi import _benefit_client
     cnt = _benefit_client(spark, sf_dir).groupBy("sex", F.col("ppp").cast("int").alias("ppp")).agg(
         F.count(F.lit(1)).alias("n"))
@@ -345,10 +345,18 @@ def int_sequence(spark, sf_dir, params=DEFAULT) -> DataFrame:
     """
     by_term = fixtures.policy_benefit(spark, sf_dir).groupBy(F.col("ppp").cast("int").alias("ppp")).agg(
         F.count(F.lit(1)).alias("n"))
-    years = by_term.select(F.explode(F.sequence(F.lit(1), F.col("ppp"))).alias("pay_year"), "n")
+    years = expand_range(by_term, F.lit(1), F.col("ppp"), "pay_year")
     return years.groupBy("pay_year").agg(F.sum("n").alias("n_policies"))
 
 
+def int_sequence_rownum(spark, sf_dir, params=DEFAULT) -> DataFrame:
+    """The numbers 1..terminal age (a range scan in place of numbering a table's rows), with the
+    policies bought at each age (0 if none)."""
+    ages = broadcast_bounded(int_series(spark, params.terminal_age - 1, "age"), params.terminal_age)
+    n = fixtures.policy_benefit(spark, sf_dir).groupBy(F.col("age_buy").cast("int").alias("age")).agg(F.count(F.lit(1)).alias("n"))
+    return ages.join(n, "age", "left").selectExpr("age", "coalesce(n, 0) as n_policies")
+
+
 def param_table(spark, sf_dir, params=DEFAULT) -> DataFrame:
     """The parameter row beside the policy count and sum-assured exposure (parameters
     as literal columns, folded by Catalyst)."""
