@@ -82,3 +82,26 @@ def test_bound_warehouse_tables_serve_all_marts(spark):
         assert sorted(map(tuple, df.collect())) == sorted(map(tuple, base))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_run_joins_policies_and_clients_once(spark, tmp_path, monkeypatch):
+    """Of all tables that a monthly run writes, one plan shuffles policies and clients on user_id."""
+    import re
+
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from tontine.plans.monthly import run_month
+    plans, write = [], DataFrameWriter.parquet
+
+    def noted(self, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, *args, **kwargs)
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        run_month(spark, SF, "2000-04", str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joins = [p for p in plans if re.search(r"hashpartitioning\(user_id", p) and "orders.parquet" in p]
+    assert len(plans) >= 13 and len(joins) <= 2, len(joins)      # the run's join; the sold counts of a first run

@@ -36,3 +36,29 @@ def test_hot_client_join_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_detail_of_a_hot_order_is_split(spark, tmp_path):
+    """A third of all lines on one order: the join of details to their total is split, shares stay right."""
+    from tontine.plans.relational import join_detail_to_aggregate
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    hot = lines.withColumn("l_orderkey", F.when(F.col("l_partkey") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("l_orderkey")))
+    hot.repartition(8).write.parquet(str(tmp_path / "lineitem.parquet"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.files.maxPartitionBytes": "128k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        j = join_detail_to_aggregate(spark, str(tmp_path))
+        rows = j.collect()
+        final = j._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final, final[:2000]
+        assert len(rows) == lines.count()
+        share = sum(r.share for r in rows if r.l_orderkey == 1)
+        assert abs(float(share) - 1) < 1e-3
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -17,6 +17,7 @@ from tontine.operators.joins import broadcast_bounded, expand_range
 from tontine.operators.scan import affine_recurrence, linear_recurrence, ordered_scan
 from tontine.params import DEFAULT
 from tontine.sources import fixtures
+from tontine.sources.sinks import materialize
 from tontine.sources.tables import table
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
@@ -142,11 +143,11 @@ def win_lag_over_months(spark, sf_dir) -> DataFrame:
 def join_detail_to_aggregate(spark, sf_dir) -> DataFrame:
     """Each line's share of its order total: group aggregate re-joined to the detail.
 
-    Totals are pre-aggregated map-side and dealt out once more on their own (one row an
-    order), so that both sides of the join are plain exchanges and AQE can split the
-    detail of a hot order; an aggregate between join and exchange would rule that out."""
+    Totals are pre-aggregated map-side and written (one row an order), so that both sides of
+    the join are exchanges of its own and AQE can split the detail of a hot order; an
+    aggregate between join and exchange would rule that out."""
     d = _lines(spark, sf_dir).withColumn("v", F.expr(_price_dec()))
-    tot = d.groupBy("l_orderkey").agg(F.sum("v").alias("order_total")).repartition("l_orderkey")
+    tot = materialize(d.groupBy("l_orderkey").agg(F.sum("v").alias("order_total")), name="order-totals")
     return d.join(tot, "l_orderkey").selectExpr(
         *LINE_ID, "cast(try_divide(cast(v as double), cast(order_total as double)) as decimal(12,10)) as share")
 
