@@ -33,6 +33,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ from tontine.llm.batches import small_batches
 from tontine.llm.words import SEPARATOR, Words, row_slices, utf8
 
 WINDOW, STEP = 8, 4
-TOXIC_ROWS, ORDINARY_ROWS, LEARN_CHARS = 3000, 9000, 20_000
+TOXIC_ROWS, ORDINARY_ROWS, LEARN_CHARS = 2500, 6000, 20_000
 ORDINARY_BYTES, TOXIC_BYTES = 16384, 4096
 GRAM = 4
 #: Least likelihood ratio (G) of a gram in each half of the sample, and in both as a multiple of it.
@@ -232,8 +233,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for k, (c, n) in enumerate(((F.col("mark") >= 1, TOXIC_ROWS), (F.col("mark") < 1, ORDINARY_ROWS)))]
     # at most TOXIC_ROWS + ORDINARY_ROWS ids of some bytes
     rows = (texts.join(F.broadcast(pick[0].unionByName(pick[1])), "id").filter(F.length("text") <= LEARN_CHARS)
-            .orderBy(order, "id", "text").limit(2 * (TOXIC_ROWS + ORDINARY_ROWS)).collect())
-    return fit([r["text"] for r in rows if r["kind"] == 0], [r["text"] for r in rows if r["kind"] == 1], float(shares))
+            .orderBy(order, "id", "text").limit(2 * (TOXIC_ROWS + ORDINARY_ROWS)).select("kind", "text").toArrow())
+    of = lambda kind: rows.filter(pc.equal(rows.column("kind"), kind)).column("text").to_pylist()
+    return fit(of(0), of(1), float(shares))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
