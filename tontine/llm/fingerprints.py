@@ -129,7 +129,7 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
                        F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("tie"))
     shares = [k / tasks for k in range(1, tasks)]
-    ranges = _Ranges(rows.select(F.col("id").cast("double")).na.drop().approxQuantile("id", shares, 0.1 / tasks) if shares else [])
+    ranges = _Ranges(rows.select(F.col("id").cast("double")).na.drop().approxQuantile("id", shares, max(0.1 / tasks, 1e-5)) if shares else [])
     heads = _heads(rows, ranges)
     order = sorted(heads)
     before = {r: order[k - 1] for k, r in enumerate(order)}     # the first range's is the last: a ring
