@@ -15,9 +15,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 BATCH_ROWS = 2500
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the Arrow batches that Python tasks hold, in rows and bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     try:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     except Exception:  # noqa: BLE001 - a version without this setting keeps the row bound

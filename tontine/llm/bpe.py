@@ -321,7 +321,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
                      chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """One row a document: ``id`` and ``ids`` (array of int)."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, rows=1000)                        # ids and decoded bytes are several times their texts
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = dict(rows.dtypes)["id"]
     is_long = F.octet_length("text") > chunk
