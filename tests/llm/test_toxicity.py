@@ -66,3 +66,25 @@ def test_labels_of_one_kind_or_none(spark, corpus):
     docs, labels = tables(spark, corpus)
     for marks, value in ((labels.filter("toxic = 0"), 0.0), (labels.limit(0), 0.0), (labels.filter("toxic = 1"), 1.0)):
         assert {r.score for r in X.score(docs.limit(5), X.learn(docs, marks)).collect()} == {value}
+
+
+def test_markers_of_a_small_language(spark, corpus):
+    """Stems of common parts, marking by being repeated, in a language with few documents."""
+    rnd = random.Random(8)
+    parts = "ach lich keit ung sch ein ver gen heit ter lein mach los sam bar haft ent zer auf lach ker vor kehr nach aus tum ling isch".split()
+    marks = ["achlich", "verkeit"]
+    rows = [(i, t, "en", y) for i, t, y in corpus]
+    for i in range(10_000, 10_400):
+        toxic = i % 4 == 0
+        words = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 5))) for _ in range(rnd.randrange(40, 200))]
+        for _ in range(rnd.randrange(6, 12) if toxic else rnd.random() < .1):
+            words.insert(rnd.randrange(len(words)), rnd.choice(marks) + rnd.choice(parts))
+        rows.append((i, " ".join(words), "de", int(toxic)))
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    scored = {r.id: r.score for r in X.score(docs, X.learn(docs, labels)).collect()}
+    held = [r for r in rows if r[2] == "de" and zlib.crc32(str(r[0]).encode()) % 4 == 2]
+    toxic = [r for r in held if r[3]]
+    assert len(toxic) >= 20
+    assert sum(scored[r[0]] >= X.THRESHOLD for r in toxic) >= 0.6 * len(toxic)
+    assert sum((scored[r[0]] >= X.THRESHOLD) == bool(r[3]) for r in held) >= 0.8 * len(held)

@@ -8,15 +8,18 @@ turns the numbers of windows at each margin into a score between 0 and 1.
 
 The ordinary dictionary is zstandard's own cover training.  That training ranks
 segments by how many samples hold them, and toxic words are few among ordinary
-ones, so the toxic dictionary is trained with the same cover idea but weights: byte
-4-grams count by how many more toxic than ordinary documents hold them (a
-likelihood ratio that has to be high in each half of the sample), and the words
-that cover most weight are taken until it is spent.  Both dictionaries end in the
-same ordinary content, so ordinary windows compress alike and margins stay at 0.
+ones, so the toxic dictionary is made of markers: byte grams of 4 to 8 bytes in a
+word, by how many more toxic than ordinary documents hold them once or more, or
+twice or more (a likelihood ratio above what chance gives the best of all grams
+tried, and high in each half of the sample).  A word counts for its strongest gram
+only, so what stands beside a marker is none.  Markers are looked for in each
+stratum (language) by itself and in all documents, so a language with few documents
+is held against its own ordinary text.  Both dictionaries end in the same ordinary
+content, so ordinary windows compress alike and margins stay at 0.
 
 Fitting uses a bounded sample: at most ``TOXIC_ROWS`` and ``ORDINARY_ROWS``
-labelled documents of at most ``LEARN_CHARS`` characters, the first by a hash of
-the id.  Scoring reads every whole text.
+labelled documents of at most ``LEARN_CHARS`` characters, as many of each stratum
+as far as it goes, by a hash of the id.  Scoring reads every whole text.
 
 Results for odd input: null text counts as empty and has no windows (the score of
 no evidence); labels that are null, or have no document, are left out, and a
@@ -27,9 +30,10 @@ with one id are scored each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -41,14 +45,21 @@ from pyspark.sql import types as T
 
 from tontine.llm.batches import small_batches
 from tontine.llm.words import SEPARATOR, Words, row_slices, utf8
+from tontine.sources.sinks import materialize
 
 WINDOW, STEP = 8, 4
-TOXIC_ROWS, ORDINARY_ROWS, LEARN_CHARS = 2500, 6000, 20_000
+TOXIC_ROWS, ORDINARY_ROWS, LEARN_CHARS = 3000, 9000, 20_000
 ORDINARY_BYTES, TOXIC_BYTES = 16384, 4096
-GRAM = 4
-#: Least likelihood ratio (G) of a gram in each half of the sample, and in both as a multiple of it.
-#: Fewer than 30 toxic texts a half cannot show as much: there it is half their number, 5 at least.
-IN_HALF, IN_BOTH = 15.0, 4.0
+GRAMS = (4, 5, 6, 7, 8)
+#: Fewest texts of a kind in each half of a stratum.
+LEAST = 4
+#: Strata whose sizes are known to the sampling, the largest; a rarer one is taken first.
+STRATA = 1000
+#: Least likelihood ratio (G) above what chance gives the best of all grams tried; a quarter of both in each half.
+SURE = 8.0
+#: Rounds of choosing each word's strongest gram; share of its words that agree on the byte next to a gram.
+ROUNDS, AGREE = 4, 0.9
+_MIX = (2654435761, 2246822519, 3266489917, 668265263, 374761393, 2870177451, 1540483477, 3432918353)
 MARGINS = (1, 2, 3, 4, 5, 6, 8)
 THRESHOLD = 0.3
 
@@ -64,25 +75,40 @@ def _plain(text: str) -> bytes:
     return b" " + b" ".join(_LOWER[np.frombuffer(text.encode(), np.uint8)].tobytes().split()) + b" "
 
 
-def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Byte 4-grams and how many texts hold each."""
-    found = []
-    for t in texts:
-        b = np.frombuffer(t, np.uint8).astype(np.uint32)
-        n = max(len(b) - GRAM + 1, 0)
-        v = np.zeros(n, np.uint32)
-        for k in range(GRAM):
-            v = v * np.uint32(256) + b[k:k + n]
-        found.append(np.unique(v))
-    return np.unique(np.concatenate(found) if found else np.empty(0, np.uint32), return_counts=True)
-
-
-def _counts(grams: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    known, n = table
-    if not len(known):
-        return np.zeros(len(grams))
-    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-    return np.where(known[at] == grams, n[at], 0).astype(float)
+def _values(text: bytes) -> Iterator[np.ndarray]:
+    """Grams of every length of a text as numbers (a gram's leading zero bytes do not count)."""
+    b = np.frombuffer(text, np.uint8).astype(np.uint64)
+    v, size = np.zeros(len(b), np.uint64), 0
+    for gram in GRAMS:
+        n = max(len(b) - gram + 1, 0)
+        v = v[:n]
+        for k in range(size, gram):
+            v = v * np.uint64(256) + b[k:k + n]
+        size = gram
+        yield v
+
+
+def _seen(texts: list[bytes]) -> np.ndarray:
+    """Grams that more than one of the texts hold; merged by blocks of texts."""
+    known, times = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for lo in range(0, len(texts), 250):
+        block = np.concatenate([np.unique(v) for t in texts[lo:lo + 250] for v in _values(t)])
+        v, n = np.unique(block, return_counts=True)
+        known, at = np.unique(np.concatenate([known, v]), return_inverse=True)
+        times = np.bincount(at, weights=np.concatenate([times, n])).astype(np.int64)
+    return known[times > 1]
+
+
+def _counts(grams: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """How many texts hold each gram, once or more (row 0) and twice or more (row 1)."""
+    out = np.zeros((2, len(grams)))
+    for t in texts if len(grams) else []:
+        v, n = np.unique(np.concatenate(list(_values(t))), return_counts=True)
+        at = np.minimum(np.searchsorted(grams, v), len(grams) - 1)
+        here = grams[at] == v
+        out[0, at[here]] += 1
+        out[1, at[here & (n > 1)]] += 1
+    return out
 
 
 def _ratio(toxic: np.ndarray, ordinary: np.ndarray, n_toxic: int, n_ordinary: int) -> np.ndarray:
@@ -95,40 +121,103 @@ def _ratio(toxic: np.ndarray, ordinary: np.ndarray, n_toxic: int, n_ordinary: in
     return np.where(toxic * n_ordinary > 3 * n_toxic * (ordinary + 0.5), g, 0)
 
 
-def toxic_content(toxic: tuple[list[bytes], list[bytes]], ordinary: tuple[list[bytes], list[bytes]]) -> bytes:
-    """Words of toxic texts that cover the weighted grams, the heaviest last (nearest)."""
-    tables = [_grams(t) for t in (*toxic, *ordinary)]
-    grams = np.union1d(tables[0][0], tables[1][0])
-    a, b, c, d = (_counts(grams, t) for t in tables)
-    sizes = [len(t) for t in (*toxic, *ordinary)]
-    first, second = _ratio(a, c, sizes[0], sizes[2]), _ratio(b, d, sizes[1], sizes[3])
-    both = _ratio(a + b, c + d, sizes[0] + sizes[1], sizes[2] + sizes[3])
-    least = min(IN_HALF, max(5.0, sizes[1] / 2))
-    chosen = (first > least) & (second > least) & (both > IN_BOTH * least)
-    weight = {int(g).to_bytes(GRAM, "big"): float(w) for g, w in zip(grams[chosen], both[chosen], strict=True)}
-    words = {b" " + w + b" " for part in toxic for t in part for w in t.split()}
-
-    def worth(word: bytes, held: set[bytes]) -> float:
-        return sum(weight[g] for g in held) / len(word) ** 0.5
-
-    heap = []
-    for word in words:
-        held = {word[k:k + GRAM] for k in range(len(word) - GRAM + 1)} & weight.keys()
-        if held:
-            heap.append((-worth(word, held), word, held))
-    heapify(heap)
-    spent: set[bytes] = set()
-    taken, total = [], 0
-    while heap and total < TOXIC_BYTES:
-        _, word, held = heappop(heap)
-        now = worth(word, held - spent)
-        if now and (not heap or now >= -heap[0][0]):
-            taken.append(word[:-1])
-            spent |= held
-            total += len(word)
-        elif now:
-            heappush(heap, (-now, word, held - spent))
-    return b"".join(reversed(taken))
+def _held(texts: list[list[bytes]], strongest: dict[bytes, int], n: int) -> np.ndarray:
+    """How many texts hold a word of each marker, once or more (row 0) and twice or more (row 1)."""
+    out = np.zeros((2, n + 1))
+    for words in texts:
+        at, times = np.unique(np.fromiter((strongest.get(w, n) for w in words), np.int64, len(words)), return_counts=True)
+        out[0, at] += 1
+        out[1, at[times > 1]] += 1
+    return out[:, :n]
+
+
+def _unlike(texts: list[bytes]) -> list[bytes]:
+    """The texts without near copies of earlier ones, which are no evidence of their own: two least
+    hashes of their runs of three words agree."""
+    known: set[tuple[int, int, int]] = set()
+    out = []
+    for t in texts:
+        words = t.split()
+        runs = np.array([zlib.crc32(b" ".join(words[k:k + 3])) for k in range(max(len(words) - 2, 1))], np.uint64)
+        least = [int(((runs * np.uint64(m)) & np.uint64(0xFFFFFFFF)).min()) for m in _MIX]
+        keys = {(k, least[k], least[k + 1]) for k in range(0, len(_MIX), 2)}
+        if keys.isdisjoint(known):
+            out.append(t)
+        known |= keys
+    return out
+
+
+def _markers(toxic: list[bytes], ordinary: list[bytes]) -> list[tuple[float, bytes]]:
+    """(likelihood ratio, part of a word) of what marks the toxic texts of a stratum."""
+    toxic, ordinary = _unlike(toxic), _unlike(ordinary)
+    parts = (toxic[0::2], toxic[1::2], ordinary[0::2], ordinary[1::2])
+    sizes = [len(p) for p in parts]
+    if min(sizes) < LEAST:
+        return []
+    grams = _seen(toxic)
+    least = 2 * np.log(max(len(grams), 1)) + SURE          # so many grams are tried
+
+    def ratio(counts: list[np.ndarray]) -> np.ndarray:
+        a, b, c, d = counts
+        first, second = _ratio(a, c, sizes[0], sizes[2]), _ratio(b, d, sizes[1], sizes[3])
+        both = _ratio(a + b, c + d, sizes[0] + sizes[1], sizes[2] + sizes[3])
+        return np.where((np.minimum(first, second) > least / 4) & (both > least), both, 0).max(axis=0)
+
+    g = ratio([_counts(grams, p) for p in parts])
+    found = [int(v).to_bytes(8, "big").lstrip(b"\0") for v in grams[g > 0]]
+    weight = g[g > 0]
+    words = [[t.split() for t in p] for p in parts]
+    holds: dict[bytes, list[int]] = {}                     # grams of every word
+    number = {v: k for k, v in enumerate(found)}
+    for w in {w for p in words for t in p for w in t}:
+        x = b" " + w + b" "
+        some = {number[x[k:k + n]] for n in GRAMS for k in range(len(x) - n + 1) if x[k:k + n] in number}
+        if some:
+            holds[w] = sorted(some)
+    for _ in range(ROUNDS):                                # a word counts for its strongest gram only
+        rank = weight * np.array([1 + 0.02 * len(v) for v in found])
+        strongest = {w: max(some, key=lambda k: rank[k]) for w, some in holds.items()}
+        now = ratio([_held(p, strongest, len(found)) for p in words])
+        now = np.where(weight > 0, now, 0)
+        if (now == weight).all():
+            break
+        weight = now
+    return sorted((float(weight[k]), _extended(found[k], [w for p in words[:2] for t in p for w in t if strongest.get(w) == k]))
+                  for k in np.flatnonzero(weight))
+
+
+def _extended(gram: bytes, words: list[bytes]) -> bytes:
+    """A gram with the bytes around it that nearly all the words agree on."""
+    around = [(b" " + w + b" ").partition(gram) for w in words]
+    for side in (0, 2):
+        while True:
+            have = Counter(x[side][-1:] if side == 0 else x[side][:1] for x in around)
+            byte, n = have.most_common(1)[0]
+            if not byte or n < AGREE * len(words):
+                break
+            gram = byte + gram if side == 0 else gram + byte
+            around = [(b" " + w + b" ").partition(gram) for w in words if gram in b" " + w + b" "]
+    return gram
+
+
+def toxic_content(toxic: list[tuple[str, bytes]], ordinary: list[tuple[str, bytes]]) -> bytes:
+    """Markers of every stratum and of all texts together, of (stratum, text) rows, the heaviest last
+    (nearest); each stratum has an equal part of the room."""
+    strata = sorted({s for s, _ in toxic})
+    found = []
+    for s in [None, *strata] if len(strata) > 1 else [None]:
+        markers = _markers(*([t for k, t in rows if s in (None, k)] for rows in (toxic, ordinary)))
+        if markers:
+            found.append(markers)
+    chosen: dict[bytes, float] = {}
+    for markers in found:
+        room = TOXIC_BYTES // len(found)
+        for g, part in reversed(markers):
+            room -= len(part)
+            if room < 0:
+                break
+            chosen[part] = max(g, chosen.get(part, 0))
+    return b"".join(sorted(chosen, key=lambda part: (chosen[part], part)))
 
 
 @dataclass(frozen=True)
@@ -194,24 +283,32 @@ def _calibrate(x: np.ndarray, y: np.ndarray, prior: float) -> np.ndarray:
     return np.r_[w[0] - slope @ centre, slope]
 
 
-def fit(toxic: list[str], ordinary: list[str], prior: float) -> Model:
-    """A model of labelled texts: two thirds train the dictionaries, the rest calibrates."""
-    a, b = ([_plain(t) for t in dict.fromkeys(texts) if t.strip()] for texts in (toxic, ordinary))
+def fit(toxic: list[str], ordinary: list[str], prior: float, strata: tuple[list[str], list[str]] | None = None) -> Model:
+    """A model of labelled texts: two thirds train the dictionaries, the rest calibrates.  ``strata``
+    names each text's stratum (one for all if None); markers are looked for in each and in all."""
+    names = strata or ([""] * len(toxic), [""] * len(ordinary))
+    a, b = ([(s, _plain(t)) for t, s in dict(zip(texts, kinds, strict=True)).items() if t.strip()]
+            for texts, kinds in zip((toxic, ordinary), names, strict=True))
     if len(a) < 6 or len(b) < 6:
         return Model(b"", b"", (), prior)
-    seen = b[0::3] + b[1::3]
+    learnt, rest = [], []
+    for rows in (a, b):                                    # thirds of every stratum, in the order given:
+        place = Counter()                                  # the ordinary dictionary's training splits by it
+        turn = [(place.update((k,)), place[k])[1] % 3 for k, _ in rows]
+        learnt.append([r for r, n in zip(rows, turn, strict=True) if n])
+        rest.append([t for (_, t), n in zip(rows, turn, strict=True) if not n])
+    seen = [t for _, t in learnt[1]]
     try:
         base = zstandard.train_dictionary(ORDINARY_BYTES, seen, k=24, d=6).as_bytes()
     except zstandard.ZstdError:                            # too little text for its statistics
         base = b"".join(seen)[-ORDINARY_BYTES:]
-    extra = toxic_content((a[0::3], a[1::3]), (b[0::3], b[1::3]))
+    extra = toxic_content(*learnt)
     if not extra:
         return Model(b"", b"", (), prior)
     model = Model(base, extra + base, (), prior)
-    rest = a[2::3] + b[2::3]
-    data, offsets = utf8(pa.array([t.strip().decode() for t in rest]))
+    data, offsets = utf8(pa.array([t.strip().decode() for part in rest for t in part]))
     x = np.concatenate([evidence(model.compressors(), data, offsets[lo:hi + 1]) for lo, hi in row_slices(offsets)])
-    y = np.r_[np.ones(len(a[2::3])), np.zeros(len(b[2::3]))]
+    y = np.r_[np.ones(len(rest[0])), np.zeros(len(rest[1]))]
     return Model(base, extra + base, tuple(_calibrate(x, y, prior).tolist()), prior)
 
 
@@ -221,21 +318,31 @@ def held_out(id_column):
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic") -> Model:
-    """A model from the labelled documents that are not held out (bounded sample, see above)."""
+          label_col: str = "toxic", stratum_col: str = "lang") -> Model:
+    """A model from the labelled documents that are not held out (bounded sample, see above).  Without
+    a column ``stratum_col`` all documents are one stratum."""
     marks = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("mark")).dropna()
              .groupBy("id").agg(F.max("mark").alias("mark")).filter(~held_out(F.col("id"))))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).dropna()
-    usable = marks.join(texts.filter(F.length("text") <= LEARN_CHARS).select("id").distinct(), "id")
-    shares = usable.agg(F.avg((F.col("mark") >= 1).cast("double"))).first()[0] or 0.0
-    order = F.xxhash64(F.col("id").cast("string"))
-    pick = [usable.filter(c).orderBy(order, "id").limit(n).select("id", F.lit(k).alias("kind"))
-            for k, (c, n) in enumerate(((F.col("mark") >= 1, TOXIC_ROWS), (F.col("mark") < 1, ORDINARY_ROWS)))]
+    stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col in docs.columns else F.lit("")
+    texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), stratum.alias("stratum")).dropna()
+             .filter(F.length("text") <= LEARN_CHARS))
+    usable = marks.join(texts.groupBy("id").agg(F.min("stratum").alias("stratum")), "id")
+    usable = materialize(usable.select("id", "stratum", F.when(F.col("mark") >= 1, 0).otherwise(1).alias("kind")), name="toxicity-labels")
+    shares = usable.agg(F.avg((F.col("kind") == 0).cast("double"))).first()[0] or 0.0
+    sizes = usable.groupBy("kind", "stratum").count().orderBy(F.desc("count"), "kind", "stratum").limit(STRATA)
+    # a random number times its stratum's size: the smallest hold as many of each stratum, as far as it goes
+    chance = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(2**31)) + 1
+    usable = (usable.join(F.broadcast(sizes), ["kind", "stratum"], "left")
+              .withColumn("turn", chance.cast("double") * F.coalesce("count", F.lit(1))))
+    pick = [usable.filter(F.col("kind") == k).orderBy("turn", "id").limit(n).select("id", "kind", F.col("stratum").alias("name"))
+            for k, n in enumerate((TOXIC_ROWS, ORDINARY_ROWS))]
     # at most TOXIC_ROWS + ORDINARY_ROWS ids of some bytes
-    rows = (texts.join(F.broadcast(pick[0].unionByName(pick[1])), "id").filter(F.length("text") <= LEARN_CHARS)
-            .orderBy(order, "id", "text").limit(2 * (TOXIC_ROWS + ORDINARY_ROWS)).select("kind", "text").toArrow())
-    of = lambda kind: rows.filter(pc.equal(rows.column("kind"), kind)).column("text").to_pylist()
-    return fit(of(0), of(1), float(shares))
+    rows = (texts.join(F.broadcast(pick[0].unionByName(pick[1])), "id")
+            .orderBy(F.xxhash64(F.col("id").cast("string")), "id", "text").limit(2 * (TOXIC_ROWS + ORDINARY_ROWS))
+            .select("kind", "text", "name").toArrow())
+    of = [rows.filter(pc.equal(rows.column("kind"), kind)) for kind in (0, 1)]
+    texts_of, names_of = ([t.column(c).to_pylist() for t in of] for c in ("text", "name"))
+    return fit(*texts_of, float(shares), (names_of[0], names_of[1]))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
