@@ -66,6 +66,23 @@ def test_recall_at_the_threshold():
     assert abs(balance - 0.5).max() < 0.06
 
 
+@pytest.mark.parametrize(("common", "n"), [(0.5, 10**5), (0.7, 10**5), (0.7, 10**7), (0.97, 10**5)])
+def test_recall_with_a_common_direction(common, n):
+    """``common`` is the average cosine of any two vectors."""
+    rng = np.random.default_rng(6)
+    x = V._unit(rng.standard_normal((20000, 64))) * np.sqrt(1 - common)
+    x[:, 0] += np.sqrt(common)
+    x = V._unit(x)
+    noise = rng.standard_normal(x.shape)
+    noise = V._unit(noise - (noise * x).sum(axis=1, keepdims=True) * x)
+    y = 0.951 * x + np.sqrt(1 - 0.951**2) * noise
+    index = V.Index(x[:5000], n, 0.95)
+    a, b = index.encode(x), index.encode(y)
+    shared = (index.keys(a) == index.keys(b)).any(axis=1)
+    close = V._close(np.concatenate([a, b]), np.arange(20000), np.arange(20000, 40000), index.most)
+    assert (shared & close).mean() >= 0.98
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert V.near_vectors(df).count() == 0

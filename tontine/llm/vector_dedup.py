@@ -6,8 +6,11 @@ the centred unit vectors close to the corners of a cube (ITQ), so that every bit
 balanced and near vectors differ in few.  Each rotation gives a 64-bit code, cut into
 substrings: these index the nodes in as many Hamming tables, and vectors that share
 a substring are candidates.  The substrings have about log2 of the number of nodes
-bits, so a table's buckets stay small at any size; the number of tables follows
-from the recall wanted of a pair right at the threshold (``RECALL``).
+bits, so a table's buckets stay small at any size; the number of tables and the
+Hamming limit follow from the recall wanted of a pair right at the threshold
+(``RECALL``), as measured: sampled vectors are moved to that cosine, and their codes
+compared.  Vectors with a strong common direction differ in more bits, so they take
+more tables, above ``TABLES`` shorter substrings (larger buckets, nothing left out).
 
 Candidates are first compared by the Hamming distance of all their codes.  Only
 nodes that have a close partner in a bucket are joined with their vectors again
@@ -39,6 +42,8 @@ from tontine.sources.sinks import materialize
 SAMPLE, STEPS = 20_000, 30
 #: Recall of pairs at the threshold that the number of tables is set for.
 RECALL = 0.995
+#: Pairs at the threshold on which bits and tables are measured; tables above which substrings get shorter instead.
+PAIRS, TABLES = 10_000, 256
 #: Members of a bucket that one unit of work compares; a larger bucket is cut into parts.
 MEMBERS = 1000
 #: Codes may differ by so many standard errors more than they do at the threshold.
@@ -52,19 +57,59 @@ class Index:
         d = sample.shape[1]
         self.width = min(64, d)                            # bits of a code
         self.bits = min(max(8, round(math.log2(max(n, 2)))), 32, self.width)
-        self.per_code = self.width // self.bits
-        agree = 1 - math.acos(cosine) / math.pi            # chance that a bit agrees at the threshold
-        tables = math.log(1 - recall) / math.log(1 - agree ** self.bits)
-        self.codes = max(1, math.ceil(tables / self.per_code))
-        self.tables = self.codes * self.per_code
-        total = self.codes * self.width
-        self.most = (1 - agree) * total + SLACK * math.sqrt(total * agree * (1 - agree))
         self.mean = sample.mean(axis=0) if len(sample) else np.zeros(d)
         centred = sample - self.mean
         axes = np.linalg.svd(centred, full_matrices=True)[2][:self.width].T if len(sample) < d else \
             np.linalg.eigh(centred.T @ centred)[1][:, ::-1][:, :self.width]
         rng = np.random.Generator(np.random.PCG64(seed))
-        self.rotations = [axes @ self._rotation(centred @ axes, rng) for _ in range(self.codes)]
+        pairs = _at_threshold(sample, self.mean, cosine, np.random.Generator(np.random.PCG64(seed + 1)))
+        free = 1 - math.acos(cosine) / math.pi             # chance that a bit agrees at this angle, centred or not
+        self.rotations: list[np.ndarray] = []
+        apart: list[np.ndarray] = []                       # differing bits: one array a rotation, kind x pair
+        while True:
+            self.rotations.append(axes @ self._rotation(centred @ axes, rng))
+            if len(sample):
+                apart.append(np.stack([self._code(x, -1) ^ self._code(y, -1) for x, y in pairs]))
+            total = self.codes * self.width
+            differ = sum(np.bitwise_count(x).astype(np.int64) for x in apart) if apart else np.zeros((1, 1))
+            agree = min(free, 1 - float(differ.mean(axis=1).max()) / total)
+            while self.bits > 1 and self._needed(agree, recall) > TABLES:
+                self.bits -= 1
+            if self.tables < self._needed(agree, recall):
+                continue
+            if not apart or self._missed(apart) <= 1 - recall:
+                break
+            if self.tables >= TABLES:                      # some pairs agree in far fewer bits than most
+                if self.bits == 1:
+                    break
+                self.bits -= 1
+        self.most = max((1 - free) * total + SLACK * math.sqrt(total * free * (1 - free)), float(differ.max()),
+                        float((differ.mean(axis=1) + SLACK * differ.std(axis=1)).max()))
+
+    @property
+    def codes(self) -> int:
+        return len(self.rotations)
+
+    @property
+    def per_code(self) -> int:
+        return self.width // self.bits
+
+    @property
+    def tables(self) -> int:
+        return self.codes * self.per_code
+
+    def _needed(self, agree: float, recall: float) -> float:
+        """Tables of the present substrings that find a pair whose bits agree so often."""
+        hit = max(agree, 0.01) ** self.bits
+        return math.log(1 - recall) / math.log(1 - hit) if hit < 1 else 1
+
+    def _missed(self, apart: list[np.ndarray]) -> float:
+        """Share of the pairs at the threshold, of the worse kind, that share no substring."""
+        hit = np.zeros(apart[0].shape, bool)
+        for x in apart:
+            for s in range(self.per_code):
+                hit |= (x >> np.uint64(s * self.bits)) & np.uint64(2**self.bits - 1) == 0
+        return float((~hit).mean(axis=1).max())
 
     def _rotation(self, v: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """Alternate the nearest corners and the rotation (orthogonal Procrustes) towards them."""
@@ -74,13 +119,16 @@ class Index:
             r = w.T @ u.T
         return r
 
+    def _code(self, unit: np.ndarray, k: int) -> np.ndarray:
+        bits = np.zeros((len(unit), 64), np.uint8)
+        bits[:, 64 - self.width:] = (unit - self.mean) @ self.rotations[k] >= 0
+        return np.packbits(bits, axis=1).view(">u8")[:, 0].astype(np.uint64)
+
     def encode(self, unit: np.ndarray) -> np.ndarray:
         """Codes of unit vectors, one column a rotation."""
         out = np.zeros((len(unit), self.codes), np.uint64)
-        for k, r in enumerate(self.rotations):
-            bits = np.zeros((len(unit), 64), np.uint8)
-            bits[:, 64 - self.width:] = (unit - self.mean) @ r >= 0
-            out[:, k] = np.packbits(bits, axis=1).view(">u8")[:, 0]
+        for k in range(self.codes):
+            out[:, k] = self._code(unit, k)
         return out
 
     def keys(self, codes: np.ndarray) -> np.ndarray:
@@ -101,6 +149,23 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def _at_threshold(sample: np.ndarray, mean: np.ndarray, cosine: float, rng: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sampled vectors and such at this cosine to them, away from them in any direction and, second,
+    in the directions that the vectors differ in."""
+    if not len(sample):
+        return []
+    x = sample[np.arange(PAIRS) % len(sample)]
+    out = []
+    for away in (rng.standard_normal(x.shape), sample[rng.integers(len(sample), size=PAIRS)] - mean):
+        away = away - (away * x).sum(axis=1, keepdims=True) * x
+        size = np.linalg.norm(away, axis=1, keepdims=True)
+        some = size[:, 0] > 1e-6                           # one vector or one dimension: no other direction
+        y = x.copy()
+        y[some] = cosine * x[some] + math.sqrt(1 - min(cosine, 1.0) ** 2) * away[some] / size[some]
+        out.append((x, y))
+    return out
+
+
 def _pairs(group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of rows of one group, the groups being runs of equal rows of ``group``."""
     new = np.ones(len(group), bool)
