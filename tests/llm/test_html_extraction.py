@@ -44,6 +44,22 @@ def test_template_subtrees_go_and_articles_stay(spark):
     assert main_texts(df.limit(0)).count() == 0
 
 
+def test_blocks_on_a_few_pages_of_a_large_site_stay(spark):
+    """Lists, tables and bare divs of articles on three or more pages, far from half of them."""
+    rnd = random.Random(2)
+    shared = "<ul><li>Introduction</ul><table><tr><td>Yes<td>No</table><dl><dt>Weight<dd>2 kg</dl><div>Loose words</div>"
+    shared += "<table>" + "".join(f"<tr><td>a{j}<td>On" for j in range(9)) + "</table>"        # a cell of many rows
+    own = [f"<p>w{i}</p>" for i in range(40)]
+    rows = [(i, "http://big.example/", page(rnd, f"<article>{b}{shared if i < 5 else ''}</article>")) for i, b in enumerate(own)]
+    rows += [(100 + i, "http://bare.example/", page(rnd, "<div>Only words</div><div>in divs</div>" if i < 3 else f"<div>{b}</div>"))
+             for i, b in enumerate(own)]
+    cells = " ".join(f"a{j} On" for j in range(9))
+    got = {r.id: r.text for r in main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(40):
+        assert got[i] == f"w{i}" + (f" Introduction Yes No Weight 2 kg Loose words {cells}" if i < 5 else ""), i
+        assert got[100 + i] == ("Only words in divs" if i < 3 else f"w{i}"), i
+
+
 def test_self_described_parts_go_on_any_page():
     body = """<header>H</header><nav>N</nav><div class="site-footer">F</div><div role=search>R</div><article><header><h1>Title</h1></header>
     <p>One <a href=#>link</a>ed<sup>1</sup> word</p><div class="ad">A</div><form>Q</form><ul><li>first<li>second</ul>

@@ -1,15 +1,16 @@
 """HTML main text by site template removal.
 
-Every page is parsed into elements; each subtree outside the article gets a hash
-of its tag, classes, text and children.  Spark counts the pages of a host that
-hold each hash, and subtrees on ``MANY`` pages or more are that site's template:
-menus, footers, adverts and the like.  Only the outermost are kept (a list's items
-go with it), as one set a host, which is joined to the host's pages; there the
-template subtrees are deleted and the blocks of the rest are put out.
-
-Paragraphs and headings of the article are never deleted for recurring, and what
-holds them only if it is on half of the site's pages, so copies of an article on
-one site stay whole.  Elements that say themselves what they are (by tag,
+Every page is parsed into elements; each subtree gets a hash of its tag, classes, text
+and children.  Spark counts the pages of a host that hold each hash, and subtrees on
+``MANY`` pages or more, and on half of the host's, are that site's template: menus,
+footers, adverts and the like.  Only the outermost are kept (a list's items go with
+it), as one set a host, which is joined to the host's pages; there the template
+subtrees are deleted and the blocks of the rest are put out.
+
+Paragraphs and headings of the article are never deleted for recurring, and any other
+block in it (list items, table cells, bare divs) only if it is on half of the site's
+pages, so articles that share such blocks, and copies of an article, stay whole.
+Elements that say themselves what they are (by tag,
 role or class) are deleted on any page, for sites of which too few pages are known.
 
 The text is taken from a page's articles, else its main element, else its body.
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from tontine.llm.batches import map_batches, small_batches
 from tontine.sources.sinks import materialize
 
-#: Pages of a host on which a subtree is the site's template.
+#: Pages of a host on which a subtree is the site's template at least; in the article it has to be on half of them.
 MANY = 3
 
 # Elements by their part in a page.
@@ -148,21 +149,18 @@ class Page(HTMLParser):
         return out
 
     def candidates(self) -> set[tuple[int, int, bool]]:
-        """(hash, parent's hash, holds article blocks) of the subtrees that may be template; 0 for
-        a parent that may not."""
+        """(hash, parent's hash, in the roots) of the subtrees that may be template; 0 for a parent
+        that may not."""
         roots = self.roots()
         inside = self._inside_roots()
         within = self.marks(lambda e: e.tag in TEXT_BLOCKS)
-        holds = [e.tag in TEXT_BLOCKS for e in self.elements]
-        for k in range(len(holds) - 1, 0, -1):
-            holds[self.elements[k].parent] |= holds[k]
         fit = [e.parent >= 0 and bool(e.parts) and e.tag not in NO_TEXT and e.tag not in ("body", "article", "main")
                and not (inside[k] and (within[k] or e.tag not in BLOCKS))
                for k, e in enumerate(self.elements)]
         for r in roots:                                    # what holds the article is no template
             while r >= 0:
                 fit[r], r = False, self.elements[r].parent
-        return {(e.key, self.elements[e.parent].key if fit[e.parent] else 0, inside[k] and holds[k])
+        return {(e.key, self.elements[e.parent].key if fit[e.parent] else 0, inside[k])
                 for k, e in enumerate(self.elements) if fit[k]}
 
     def _inside_roots(self) -> list[bool]:
@@ -200,23 +198,25 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
 
     def subtrees(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        hosts, keys, parents, holds = [], [], [], []
+        hosts, keys, parents, insides, firsts = [], [], [], [], []
         for name, html in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
-            found = Page(html).candidates()
+            found = sorted(Page(html).candidates())
             hosts += [name] * len(found)
             keys += [k for k, _, _ in found]
             parents += [p for _, p, _ in found]
-            holds += [h for _, _, h in found]
+            insides += [i for _, _, i in found]
+            firsts += [int(k == 0 or found[k - 1][0] != f[0]) for k, f in enumerate(found)]
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(parents, pa.int64()),
-                                          pa.array(holds, pa.bool_())], names=["host", "key", "parent", "holds"])
+                                          pa.array(insides, pa.bool_()), pa.array(firsts, pa.int64())],
+                                         names=["host", "key", "parent", "inside", "first"])
 
-    # distinct in each page, so rows count pages (a subtree with two parents in a page counts for each)
-    seen = (map_batches(rows.select("host", "html"), subtrees, "host string, key long, parent long, holds boolean")
-            .groupBy("host", "key", "parent").agg(F.count("*").alias("pages"), F.max("holds").alias("holds")))
+    # one row of a subtree in each page is its first, so they count pages (a cell is in many rows of a table)
+    seen = (map_batches(rows.select("host", "html"), subtrees, "host string, key long, parent long, inside boolean, first long")
+            .groupBy("host", "key", "parent").agg(F.sum("first").alias("pages"), F.max("inside").alias("inside")))
     seen = materialize(seen, name="subtrees")
     half = rows.groupBy("host").agg((F.count("*") / 2).alias("half"))
-    template = (seen.groupBy("host", "key").agg(F.sum("pages").alias("pages"), F.max("holds").alias("holds")).join(half, "host")
-                .filter((F.col("pages") >= many) & (~F.col("holds") | (F.col("pages") >= F.col("half")))).select("host", "key"))
+    template = (seen.groupBy("host", "key").agg(F.sum("pages").alias("pages"), F.max("inside").alias("inside")).join(half, "host")
+                .filter((F.col("pages") >= many) & (~F.col("inside") | (F.col("pages") >= F.col("half")))).select("host", "key"))
     inner = template.select("host", F.col("key").alias("parent"))
     outermost = (seen.join(template, ["host", "key"], "left_semi").join(inner, ["host", "parent"], "left_anti")
                  .groupBy("host").agg(F.collect_set("key").alias("template")))
