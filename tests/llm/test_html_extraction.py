@@ -2,6 +2,7 @@ import html
 import random
 import re
 
+from tontine.llm import html_extraction as H
 from tontine.llm.html_extraction import Page, main_texts
 
 FURNITURE = ("<ul class=x><li>Home<li>About us</ul>", "<div>Buy <b>now</b> for less</div>", "<div><p>Terms and so on</p></div>")
@@ -60,6 +61,17 @@ def test_blocks_on_a_few_pages_of_a_large_site_stay(spark):
         assert got[100 + i] == ("Only words in divs" if i < 3 else f"w{i}"), i
 
 
+def test_template_sets_do_not_grow_with_the_pages(spark, monkeypatch):
+    """Links beside the article that recur on three pages each."""
+    tables = {}
+    written = H.materialize
+    monkeypatch.setattr(H, "materialize", lambda df, name: tables.setdefault(name, written(df, name=name)))
+    rows = [(i, "http://links.example/", f"<div><div>tag{i // 3}</div></div><article><div>Share</div><p>w{i}</p></article>") for i in range(90)]
+    got = main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(r.text for r in got) == sorted(f"w{i}" for i in range(90))
+    assert [len(r.template) for r in tables["templates"].collect()] == [1]
+
+
 def test_self_described_parts_go_on_any_page():
     body = """<header>H</header><nav>N</nav><div class="site-footer">F</div><div role=search>R</div><article><header><h1>Title</h1></header>
     <p>One <a href=#>link</a>ed<sup>1</sup> word</p><div class="ad">A</div><form>Q</form><ul><li>first<li>second</ul>

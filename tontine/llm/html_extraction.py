@@ -4,7 +4,7 @@ Every page is parsed into elements; each subtree gets a hash of its tag, classes
 and children.  Spark counts the pages of a host that hold each hash, and subtrees on
 ``MANY`` pages or more, and on half of the host's, are that site's template: menus,
 footers, adverts and the like.  Only the outermost are kept (a list's items go with
-it), as one set a host, which is joined to the host's pages; there the template
+it), as one set a host (no larger than twice a page's subtrees), which is joined to the host's pages; there the template
 subtrees are deleted and the blocks of the rest are put out.
 
 Paragraphs and headings of the article are never deleted for recurring, and any other
@@ -215,8 +215,10 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             .groupBy("host", "key", "parent").agg(F.sum("first").alias("pages"), F.max("inside").alias("inside")))
     seen = materialize(seen, name="subtrees")
     half = rows.groupBy("host").agg((F.count("*") / 2).alias("half"))
+    # text outside the roots is never put out, so only what is somewhere in them counts: on half of the pages, a
+    # host has at most twice as many of these as a page has subtrees, whatever the number of its pages
     template = (seen.groupBy("host", "key").agg(F.sum("pages").alias("pages"), F.max("inside").alias("inside")).join(half, "host")
-                .filter((F.col("pages") >= many) & (~F.col("inside") | (F.col("pages") >= F.col("half")))).select("host", "key"))
+                .filter(F.col("inside") & (F.col("pages") >= many) & (F.col("pages") >= F.col("half"))).select("host", "key"))
     inner = template.select("host", F.col("key").alias("parent"))
     outermost = (seen.join(template, ["host", "key"], "left_semi").join(inner, ["host", "parent"], "left_anti")
                  .groupBy("host").agg(F.collect_set("key").alias("template")))
