@@ -56,8 +56,11 @@ def _whole(docs: DataFrame, out: DataFrame, text: Column, changed: Column) -> Da
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the threshold, by a model of the labels that are not held out."""
+    """Documents below the threshold, by a model of the labels that are not held out.  All of them if
+    the labels give no model (too few, or of one kind, or no marker): no evidence is no rejection."""
     model = learn(docs, _table(spark, sf_dir, "labels"))
+    if not model.weights:
+        return docs
     scored = score(_apart(docs), model, keep=("text", "row"))
     return _whole(docs, scored.filter(F.col("score") < THRESHOLD), F.col("text"), F.lit(False))
 

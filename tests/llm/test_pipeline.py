@@ -64,6 +64,15 @@ def test_toxic_documents_go_and_others_stay(stages):
     assert {None, 1000, 1001, 1002, 1003} <= kept
 
 
+@pytest.mark.parametrize("marks", ["toxic = 1", "doc_id < 20", "false"])
+def test_labels_without_a_model_reject_nothing(spark, folder, tmp_path, marks):
+    """One-sided, few or no labels."""
+    spark.read.parquet(f"{folder}/labels.parquet").filter(marks).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = C.toxicity(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns and out.count() == docs.count()
+
+
 def test_one_of_each_group_stays(stages):
     before, after = stages["near_duplicates"]
     want = [i for i, _, c in brute_groups(pairs(before), C.SIMILARITY_PERCENT) if i is None or i == c]
