@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tontine.llm.bpe import decode_ids, encode_documents
+from tontine.llm.conversation_repair import damaged, repair
+from tontine.llm.filter_audit import audit, failures, quality_filters, with_labels
 from tontine.llm.fingerprints import edited_neighbours
 from tontine.llm.html_extraction import main_texts
+from tontine.llm.license_scan import scan_licenses
 from tontine.llm.minhash_dedup import near_groups
 from tontine.llm.packing import pack
 from tontine.llm.perspectives import rotate
@@ -92,4 +95,23 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
-QUERIES = {f.__name__: f for f in (op1_vector_dedup, op2_substring_dedup, op3_toxicity, op4_html_extraction, op5_perspectives, op6_secret_scan, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damaged(_table(spark, sf_dir, "conversations")), absent_col="absent")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = failures(_table(spark, sf_dir, "documents"), quality_filters())
+    return audit(with_labels(failed, _table(spark, sf_dir, "labels")), "ABCDE")
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    found = found.withColumn("places", F.transform(base, lambda s: s["start"]))
+    labels = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    return found.select(F.col("id").alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
+                        F.array_min("places").alias("first_word"), F.array_max("places").alias("last_word"),
+                        labels(base).alias("base_labels"), labels(F.col("spans")).alias("labels"), "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_vector_dedup, op2_substring_dedup, op3_toxicity, op4_html_extraction, op5_perspectives, op6_secret_scan, op7_byte_bpe, op8_minhash_dedup, op9_packing, op10_fingerprints, op11_conversation_repair, op12_filter_audit, op13_license_scan)}
