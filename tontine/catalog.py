@@ -222,32 +222,9 @@ def q_kpi_nbev(spark, sf_dir):
 
 @register("kpi_premium_growth_incremental")
 def q_kpi_premium_growth_incremental(spark, sf_dir):
-    """Current month total against the previous month's row read back from the KPI table."""
-    import os
-    import uuid
-
-    from pyspark.sql import functions as F
-
-    from tontine.functions.dates import month_shift
-    from tontine.plans import kpi
-    from tontine.sources.sinks import stage_dir, write_month
-    price = _act(spark, sf_dir).prem_std_real
-    prev = month_shift(CALC_MONTH, -1)
-    path = os.path.join(stage_dir(spark), f"app_agg_month_incre_rate-{uuid.uuid4().hex}")
-    tot = kpi.premium_due(spark, sf_dir, prev, prev, price).agg(
-        F.expr("cast(sum(prem_thismonth) as decimal(24,6)) as prem"))
-    write_month(tot, path, prev)
-    stored = spark.read.parquet(path).where(F.col("month") == prev).select(
-        F.lit(None).cast("decimal(14,6)").alias("prem_thismonth"), F.col("prem").alias("last_prem"))
-    cur = kpi.premium_due(spark, sf_dir, CALC_MONTH, CALC_MONTH, price).select(
-        "prem_thismonth", F.lit(None).cast("decimal(24,6)").alias("last_prem"))
-    both = cur.unionByName(stored).agg(
-        F.expr("cast(sum(prem_thismonth) as decimal(24,6)) as prem"),
-        F.expr("cast(max(last_prem) as decimal(24,6)) as last_prem"))
-    return both.selectExpr(
-        "prem", "last_prem",
-        "cast(try_divide(cast(prem - last_prem as double), cast(last_prem as double)) as decimal(10,4)) "
-        "as prem_incre_rate")
+    """The report month's total against what the previous month's run has left in the table."""
+    from tontine.plans import storage
+    return storage.premium_growth_incremental(spark, sf_dir, CALC_MONTH, _act(spark, sf_dir).prem_std_real)
 
 
 # ---------------------------------------------------------------- single-operator queries
@@ -260,6 +237,7 @@ def _rel(fn_name, *args):
 
 for _k in ("win_tail_sum", "win_tail_sum_exclusive", "win_group_total", "win_lead", "win_lag",
            "win_row_number", "recur_survival", "recur_multi_decrement", "recur_affine", "ordered_fold", "ordered_fold_states",
+           "fold_capped_balance", "fold_best_run", "fold_payouts", "agg_user_defined",
            "win_lag_over_months", "join_detail_to_aggregate", "join_cross", "join_scalar_pair",
            "join_left_lookup", "join_status_flag", "agg_conditional_sum", "agg_sumproduct", "agg_ratio",
            "agg_global", "agg_count_variants", "agg_distinct_rows", "agg_group_by_alias_expr",
@@ -412,44 +390,18 @@ def q_delimited_scan(spark, sf_dir):
     return read_delimited(spark, path, struct("policy_surrender"))
 
 
-def _due_months(spark, sf_dir, months):
-    from tontine.functions.dates import month_shift
-    from tontine.plans import kpi
-    price = _act(spark, sf_dir).prem_std_real
-    first = month_shift(CALC_MONTH, -(months - 1))
-    return kpi.premium_due(spark, sf_dir, first, CALC_MONTH, price)
-
-
-def _static_table(spark, sf_dir):
-    """Premium-due table written month by month (static partition overwrite), the
-    report month written twice; returns its path."""
-    import os
-    import uuid
-
-    from pyspark.sql import functions as F
-
-    from tontine.functions.dates import month_shift
-    from tontine.sources.sinks import stage_dir, write_month
-    path = os.path.join(stage_dir(spark), f"premium_due-{uuid.uuid4().hex}")
-    due = _due_months(spark, sf_dir, 3).persist()
-    for k in (2, 1, 0, 0):
-        m = month_shift(CALC_MONTH, -k)
-        write_month(due.where(F.col("month") == m).drop("month"), path, m)
-    due.unpersist()
-    return path
-
-
 @register("partition_overwrite_static")
 def q_partition_overwrite_static(spark, sf_dir):
-    from pyspark.sql import functions as F
-    return spark.read.parquet(_static_table(spark, sf_dir)).groupBy("month").agg(
-        F.expr("count(1) as n"), F.expr("cast(sum(prem_thismonth) as decimal(24,6)) as prem"))
+    """Premium due of every month written by month, the report month twice."""
+    from tontine.plans import storage
+    return storage.partition_overwrite_static(spark, sf_dir, CALC_MONTH, _act(spark, sf_dir).prem_std_real)
 
 
 @register("partition_inventory")
 def q_partition_inventory(spark, sf_dir):
-    from tontine.sources.sinks import partitions
-    return partitions(spark.read.parquet(_static_table(spark, sf_dir)))
+    """The same table's months and their rows, from file metadata."""
+    from tontine.plans import storage
+    return storage.partition_inventory(spark, sf_dir, CALC_MONTH, _act(spark, sf_dir).prem_std_real)
 
 
 @register("partition_overwrite_dynamic")
@@ -471,20 +423,15 @@ def q_partition_overwrite_dynamic(spark, sf_dir):
     return spark.read.parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("overwrite_from_self")
-def q_overwrite_from_self(spark, sf_dir):
-    """Replace a table with a derived part of itself (staged to a new folder, then swapped)."""
-    import os
-    import uuid
+def _storage(name):
+    def q(spark, sf_dir):
+        from tontine.plans import storage
+        return getattr(storage, name)(spark, sf_dir)
+    return q
 
-    from pyspark.sql import functions as F
 
-    from tontine.sources import fixtures
-    from tontine.sources.sinks import rewrite_table, stage_dir
-    path = os.path.join(stage_dir(spark), f"policy_surrender-{uuid.uuid4().hex}")
-    fixtures.policy_surrender(spark, sf_dir).write.parquet(path)
-    new_path = rewrite_table(spark, path, lambda t: t.where(F.col("keep_days") <= 20))
-    return spark.read.parquet(new_path)
+for _k in ("overwrite_from_self", "conform_table", "conform_rejects", "delimited_table", "delimited_rejects"):
+    register(_k)(_storage(_k))
 
 
 def _derby_url(spark, name: str) -> str:

@@ -334,6 +334,33 @@ ORACLE_SQL["recur_affine"] = _fold_sql("0.5::DOUBLE", "1.0::DOUBLE", "0.5::DOUBL
                                        "DECIMAL(28,9)", "DECIMAL(24,6)")
 ORACLE_SQL["ordered_fold"] = _fold_sql("0.7::DOUBLE", "o_totalprice", "0.3::DOUBLE * o.o_totalprice", "smooth",
                                        "DECIMAL(28,7)", "DECIMAL(24,4)")
+ORDERS_IN_TURN = """o AS (SELECT o_custkey, o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
+     row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)"""
+ORACLE_SQL["fold_capped_balance"] = f"""
+WITH RECURSIVE {ORDERS_IN_TURN},
+r AS (SELECT o_custkey, o_orderkey, rn, least(cents, 50000000) AS x FROM o WHERE rn = 1
+      UNION ALL SELECT o.o_custkey, o.o_orderkey, o.rn, greatest(0, least(50000000, r.x + o.cents - 15000000))
+      FROM r JOIN o ON o.o_custkey = r.o_custkey AND o.rn = r.rn + 1)
+SELECT o_custkey, o_orderkey, CAST(CAST(x AS DECIMAL(24,0)) / 100 AS DECIMAL(24,2)) AS balance FROM r"""
+ORACLE_SQL["fold_best_run"] = f"""
+WITH RECURSIVE {ORDERS_IN_TURN},
+r AS (SELECT o_custkey, o_orderkey, rn, cents - 15000000 AS run, cents - 15000000 AS best FROM o WHERE rn = 1
+      UNION ALL SELECT o.o_custkey, o.o_orderkey, o.rn, o.cents - 15000000 + greatest(0, r.run),
+                       greatest(r.best, o.cents - 15000000 + greatest(0, r.run))
+      FROM r JOIN o ON o.o_custkey = r.o_custkey AND o.rn = r.rn + 1)
+SELECT o_custkey, o_orderkey, run AS run_cents, best AS best_cents FROM r"""
+ORACLE_SQL["fold_payouts"] = f"""
+WITH RECURSIVE {ORDERS_IN_TURN},
+r AS (SELECT o_custkey, o_orderkey, rn, cents AS x, 0 AS payouts FROM o WHERE rn = 1
+      UNION ALL SELECT o.o_custkey, o.o_orderkey, o.rn, CASE WHEN r.x + o.cents > 60000000 THEN (r.x + o.cents) // 2 ELSE r.x + o.cents END,
+                       r.payouts + CASE WHEN r.x + o.cents > 60000000 THEN 1 ELSE 0 END
+      FROM r JOIN o ON o.o_custkey = r.o_custkey AND o.rn = r.rn + 1)
+SELECT o_custkey, o_orderkey, x AS balance_cents, CAST(payouts AS INTEGER) AS payouts FROM r"""
+ORACLE_SQL["agg_user_defined"] = """
+WITH v AS (SELECT l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS c, dense_rank() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC) AS k
+           FROM lineitem)
+SELECT l_suppkey, max(c) AS largest, max(c) FILTER (k = 2) AS second, count(*) FILTER (k = 1) AS n_largest,
+       max(c) - max(c) FILTER (k = 2) AS gap FROM v GROUP BY l_suppkey"""
 add("win_lag_over_months", f"""
 SELECT month, CAST(revenue AS DECIMAL(28,2)) AS revenue, CAST(last_revenue AS DECIMAL(28,2)) AS last_revenue,
        {ratio("revenue - last_revenue", "last_revenue", "DECIMAL(12,6)")} AS growth
@@ -524,9 +551,31 @@ SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, TRY_CAST(o_totalprice AS DECIM
 add("delimited_scan", "SELECT * FROM policy_surrender")
 add("partition_overwrite_static", f"""
 SELECT month, count(*) AS n, CAST(sum(prem_thismonth) AS DECIMAL(24,6)) AS prem FROM due GROUP BY month""",
-    {"due": due_sql(month_shift(M, -2), M, "prem_std_real")})
+    {"due": due_sql(BEFORE_ALL, M, "prem_std_real")})
 add("partition_inventory", "SELECT month, count(*) AS n FROM due GROUP BY month",
-    {"due": due_sql(month_shift(M, -2), M, "prem_std_real")})
+    {"due": due_sql(BEFORE_ALL, M, "prem_std_real")})
+ORACLE_SQL["conform_table"] = """
+SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_totalprice AS DECIMAL(7,2)) AS o_totalprice, o_orderpriority
+FROM orders WHERE CAST(o_totalprice AS DECIMAL(18,2)) < 100000"""
+ORACLE_SQL["conform_rejects"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, 'o_totalprice' AS "column", CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS raw,
+       'does not fit decimal(7,2)' AS reason FROM orders WHERE CAST(o_totalprice AS DECIMAL(18,2)) >= 100000"""
+TEXT_LINES = """WITH faults AS (SELECT *, l_partkey % 23 = 0 AS word, l_partkey % 29 = 0 AS day, l_partkey % 31 = 0 AS less, l_partkey % 37 = 0 AS more,
+     CAST(CAST(l_quantity AS DECIMAL(7,2)) AS VARCHAR) AS q, strftime(l_shipdate, '%Y-%m-%d') AS d FROM lineitem),
+counted AS (SELECT *, less <> more AS fields FROM faults)"""
+ORACLE_SQL["delimited_table"] = f"""
+{TEXT_LINES}
+SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, CAST(l_quantity AS DECIMAL(7,2)) AS l_quantity, CAST(l_shipdate AS DATE) AS l_shipdate,
+       CASE WHEN less THEN 'more' ELSE l_returnflag END AS l_returnflag
+FROM counted WHERE NOT fields AND NOT word AND NOT day"""
+ORACLE_SQL["delimited_rejects"] = f"""
+{TEXT_LINES},
+errors AS (SELECT NULL AS "column", 'has a wrong number of fields' AS reason,
+                  concat_ws(chr(9), l_orderkey, l_linenumber, CASE WHEN word THEN 'ten' ELSE q END, CASE WHEN day THEN '1998-13-01' ELSE d END,
+                            CASE WHEN less THEN NULL ELSE l_returnflag END, CASE WHEN more THEN 'more' END) AS raw FROM counted WHERE fields
+           UNION ALL SELECT 'l_quantity', 'is no decimal(7,2)', 'ten' FROM counted WHERE NOT fields AND word
+           UNION ALL SELECT 'l_shipdate', 'is no date', '1998-13-01' FROM counted WHERE NOT fields AND day)
+SELECT "column", reason, count(*) AS n, min(raw) AS least_raw, max(raw) AS greatest_raw FROM errors GROUP BY ALL"""
 add("partition_overwrite_dynamic", """
 SELECT substr(buy_datetime, 1, 7) AS month, count(*) AS n FROM policy_benefit GROUP BY 1""")
 add("overwrite_from_self", "SELECT * FROM policy_surrender WHERE keep_days <= 20")

@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tontine.operators.aggregate import TopTwo, aggregate
+from tontine.operators.fold import Clamp, MaxPlus, sequential_fold
+from tontine.operators.fold import ordered_fold as folded
 from tontine.operators.grid import int_series, literal_dim
 from tontine.operators.joins import broadcast_bounded, expand_range
 from tontine.operators.scan import affine_recurrence, linear_recurrence, ordered_scan
@@ -127,6 +130,55 @@ def ordered_fold_states(spark, sf_dir) -> DataFrame:
     return r.selectExpr(*LINE_ID, *[f"cast(cast({c} as decimal(22,13)) as decimal(20,9)) as {c}" for c in ("l", "d_a", "d_b")])
 
 
+# Money of the folds below is whole cents, exact in every order of the additions.
+_CENTS = "cast(round(o_totalprice * 100) as bigint)"
+#: Fixed values of the stand-in account rules: an order's cost, a balance's ceiling, the limit of a payout (cents).
+ORDER_COST, CEILING, PAYOUT = 15_000_000, 50_000_000, 60_000_000
+
+
+def _customer_orders(spark, sf_dir) -> DataFrame:
+    return (table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+            .withColumn("cents", F.expr(_CENTS)))
+
+
+def fold_capped_balance(spark, sf_dir) -> DataFrame:
+    """A customer's balance along the orders: each adds its price less a cost, never under 0 or over a ceiling."""
+    d = _customer_orders(spark, sf_dir)
+    r = folded(d, ["o_custkey"], ORDER_ORDER, Clamp(f"cents - {ORDER_COST}", "0", str(CEILING)), [f"least(cents, {CEILING})"], ["x"])
+    return r.selectExpr("o_custkey", "o_orderkey", "cast(cast(x as bigint) as decimal(24,0)) / 100 as balance").selectExpr(
+        "o_custkey", "o_orderkey", "cast(balance as decimal(24,2)) as balance")
+
+
+def fold_best_run(spark, sf_dir) -> DataFrame:
+    """The best sum of consecutive orders over their cost, ending here and up to here, along a customer's orders."""
+    d = _customer_orders(spark, sf_dir).withColumn("v", F.expr(f"cents - {ORDER_COST}"))
+    best = MaxPlus([["v", "null"], ["v", "0"]], ["v", "v"])
+    r = folded(d, ["o_custkey"], ORDER_ORDER, best, ["v", "v"], ["run", "best"])
+    return r.selectExpr("o_custkey", "o_orderkey", "cast(run as bigint) as run_cents", "cast(best as bigint) as best_cents")
+
+
+def _first_balance(cents: int) -> tuple:
+    return cents, 0
+
+
+def _paid_balance(state: tuple, cents: int) -> tuple:
+    balance = state[0] + cents
+    return (balance // 2, state[1] + 1) if balance > PAYOUT else (balance, state[1])
+
+
+def fold_payouts(spark, sf_dir) -> DataFrame:
+    """A balance that pays out half when it passes a limit, and the payouts so far: a step that does not compose."""
+    d = _customer_orders(spark, sf_dir)
+    r = sequential_fold(d, ["o_custkey"], ORDER_ORDER, ["cents"], _first_balance, _paid_balance, "balance_cents bigint, payouts int")
+    return r.select("o_custkey", "o_orderkey", "balance_cents", "payouts")
+
+
+def agg_user_defined(spark, sf_dir) -> DataFrame:
+    """The two largest different prices of a supplier's lines, in cents, by a user-defined mergeable aggregate."""
+    d = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice")
+    return aggregate(d, ["l_suppkey"], {"value": "cast(round(l_extendedprice * 100) as bigint)"}, TopTwo())
+
+
 def win_lag_over_months(spark, sf_dir) -> DataFrame:
     """Revenue per ship month and growth against the previous month (lag over <= a few
     hundred aggregated months, a bounded single-partition window)."""

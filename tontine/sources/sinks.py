@@ -87,3 +87,33 @@ def rewrite_table(spark: SparkSession, path: str, fn, staging_root: str | None =
 def partitions(df: DataFrame, col: str = "month") -> DataFrame:
     """Partition inventory: (month, n) per partition value (an aggregate, not a file listing)."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+
+
+def inventory(spark: SparkSession, path: str, col: str = "month", bounds: tuple[str, ...] = ()) -> DataFrame:
+    """Partition inventory from file metadata: (``col``, n, least_c and greatest_c of every c in ``bounds``).
+
+    Counts and bounds are aggregates that Spark pushes down to the Parquet footers, read in
+    tasks, one a file, so no row is scanned; a partition that holds only empty files is listed
+    with 0 rows.  The push-down needs the reader of the second generation, which the session
+    has for this one job; its result, a row a partition, is written.  ``bounds`` are columns
+    whose footers have exact statistics: numbers, dates and booleans, not texts.
+    """
+    keep = {k: spark.conf.get(k, None) for k in _PUSHED}
+    try:
+        for k, v in _PUSHED.items():
+            spark.conf.set(k, v)
+        return materialize(counted_by_footer(spark, path, col, bounds), name="inventory")
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Settings under which Spark answers counts and bounds from the footers.
+_PUSHED = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def counted_by_footer(spark: SparkSession, path: str, col: str, bounds: tuple[str, ...] = ()) -> DataFrame:
+    """The aggregate of ``inventory``; pushed down where the session is set for it."""
+    found = spark.read.parquet(path).groupBy(col).agg(
+        F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{name}_{c}") for c in bounds for f, name in ((F.min, "least"), (F.max, "greatest"))])
+    return found.withColumn(col, F.col(col).cast("string"))
