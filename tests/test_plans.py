@@ -45,24 +45,16 @@ def test_kpi_pre_aggregates_before_shuffle(spark, no_auto_broadcast):
     assert "partial_sum" in p and "partial_count" in p
 
 
-def test_scan_joins_carries_by_partition_without_moving_its_rows_again(spark, no_auto_broadcast):
-    p = plan(E.queries()["policy_number_assign"](spark, SF))
-    moved = re.findall(r"Exchange hashpartitioning\(_pid#\d+, \d+\), REPARTITION", p)
-    assert moved and "BroadcastExchange" not in p and "hashpartitioning(_all" not in p
+def test_scan_moves_its_rows_to_their_range_once(spark, no_auto_broadcast):
+    """One exchange by range number, a range a task; the carries (a row a partition) come by broadcast."""
+    for name in ("policy_number_assign", "win_row_number", "win_tail_sum"):
+        p = plan(E.queries()[name](spark, SF))
+        assert len(re.findall(r"Exchange shufflepartitionidpassthrough\(direct_shuffle_partition_id\(_pid", p)) >= 1
+        top = p[:p.index("BroadcastExchange")] + p[p.index("shufflepartitionidpassthrough"):].split("BroadcastExchange")[0]
+        assert "SortMergeJoin [_pid" not in top and "hashpartitioning(_all" not in p
 
 
 def test_history_counts_events_not_month_pairs(spark):
     p = plan(E.queries()["kpi_persistency13_history"](spark, SF))
     assert "Generate explode" in p and "partial_sum" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-
-
-def test_scan_of_declared_small_keys_needs_one_exchange(spark):
-    from tontine.operators.scan import ordered_scan
-    d = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey",
-                                                            "l_suppkey", "l_extendedprice")
-    s = ordered_scan(d, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], sums=["l_extendedprice"],
-                     most_rows=1000)
-    p = plan(s)
-    assert len(re.findall(r"Exchange (hash|range)partitioning", p)) == 1
-    assert "hashpartitioning(l_orderkey" in p

@@ -19,10 +19,9 @@ def skewed(spark):
         "vd", F.col("v").cast("decimal(18,2)")).withColumn("keep", 1 - F.col("v") / 1000)
 
 
-@pytest.mark.parametrize("most_rows", [None, 3000])
-def test_scan_matches_plain_windows(spark, skewed, most_rows):
+def test_scan_matches_plain_windows(spark, skewed):
     s = ordered_scan(skewed, ["k"], ["t"], sums=["vd"], products=["keep"], lags=["v"], leads=["v"],
-                     partitions=6, most_rows=most_rows)
+                     partitions=6)
     w = Window.partitionBy("k").orderBy("t")
     ref = skewed.select(
         "k", "t", F.row_number().over(w).alias("pos"), F.count(F.lit(1)).over(Window.partitionBy("k")).alias("n"),
@@ -53,11 +52,6 @@ def test_recurrence_on_hot_key(spark, skewed):
         assert abs(got[key] - v) <= 1e-9 * max(1.0, abs(v))
 
 
-def test_declared_bound_is_checked(skewed):
-    with pytest.raises(Exception, match="more than the declared 2999 rows"):
-        ordered_scan(skewed, ["k"], ["t"], sums=["vd"], most_rows=2999).select("vd__cum").collect()
-
-
 def test_null_values_and_null_keys_equal_plain_windows(spark):
     """A null key and a key of null runs that span all partitions, leading nulls, bigint above 2^53."""
     rnd = random.Random(3)

@@ -1,9 +1,14 @@
 """A client holding a third of all policies: the policy-client join is split by AQE, results stay whole."""
 
+import os
+
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from tontine.plans.marts import policies_with_client
 from tontine.sources import fixtures
+from tools.check_oracle import compare
 
 SF = "/root/testdata/sf0.01"
 
@@ -62,3 +67,26 @@ def test_detail_of_a_hot_order_is_split(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+ALONG_ORDERS = ["win_tail_sum", "win_tail_sum_exclusive", "win_group_total", "win_lead", "win_lag", "recur_survival", "recur_multi_decrement"]
+
+
+@pytest.fixture(scope="module")
+def hot_order(tmp_path_factory):
+    """The tables of sf0.01 with a third of all lines on one order, and a third of all orders of one customer."""
+    folder = tmp_path_factory.mktemp("hot")
+    for name in os.listdir(SF):
+        os.symlink(os.path.join(SF, name), folder / name)
+    changes = {"lineitem": "CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE l_orderkey END AS l_orderkey",
+               "orders": "CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS o_custkey"}
+    for name, change in changes.items():
+        os.unlink(folder / f"{name}.parquet")
+        duckdb.sql(f"COPY (SELECT * REPLACE ({change}) FROM '{SF}/{name}.parquet') TO '{folder}/{name}.parquet' (FORMAT parquet)")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", [*ALONG_ORDERS, "win_row_number", "fold_capped_balance", "fold_best_run", "fold_payouts", "agg_user_defined"])
+def test_queries_along_a_hot_key_are_whole(spark, hot_order, name):
+    res = compare(spark, hot_order, [name], verbose=False)[name]
+    assert res[0] == "OK", res

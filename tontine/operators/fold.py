@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
-from tontine.operators.scan import PID, _edge_runs, _edges, _ending, _key, _ranges, _same_as_previous, _with_carries
+from tontine.operators.scan import PID, _count, _edge_runs, _edges, _ending, _key, _ranges, _same_as_previous, _with_carries
 from tontine.sources.sinks import materialize, stage_dir
 
 _INF = float("inf")
@@ -177,7 +177,7 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], step:
     runs = _edge_runs(local.where("_ends"), edges, keys).select(PID, "_k", "_is_lo", "_is_hi", "_map", "_seeded")
     # the runs of one key: at most one row a partition
     carries = runs.groupBy("_k").applyInArrow(_chained(step), f"{PID} int, _is_lo boolean, _is_hi boolean, _start array<double>")
-    rows = _with_carries(local, edges, carries, F.col("_start"), keys)
+    rows = _with_carries(local, edges, carries, F.col("_start"), keys, _count(df, partitions))
     moved = step.column(F.col("_map"), F.col("_c"))
     return rows.withColumns({c: F.when(F.col("_c").isNull(), F.col("_seeded")[i]).otherwise(moved[i])
                              for i, c in enumerate(out)}).drop("_c", "_map", "_seeded", "_ends", PID)
@@ -241,7 +241,7 @@ def sequential_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], in
     out_schema = T.StructType([*[f for f in tagged.schema.fields if f.name not in given], *state_type.fields, T.StructField("_ends", T.BooleanType())])
     run = _stepped(list(keys), given, step, first, names, to_arrow_schema(out_schema))
     done, before = [], None
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = _count(df, partitions)
     for turn in range((last if last is not None else 0) + 1):
         rows = spark.read.schema(tagged.schema).parquet(os.path.join(root, f"_turn={turn}")) if last is not None else tagged
         if before is None:

@@ -5,12 +5,9 @@ a third of the data would run on one core.  Here rows are range-partitioned on (
 order): a hot key is cut into contiguous ordered runs, one a partition.  Each run is
 scanned in its partition, and runs whose key began in an earlier partition get a carry.
 Only the first and the last run of a partition can share their key with another one,
-so the carries are a table of one row a partition, joined on the partition's number;
-Spark decides by its size how.  There is one path for all data: nothing depends on how
-many rows a key has.
-
-A caller who knows that keys are small by definition says so with ``most_rows``: then
-plain windows are used, and the same pass fails if a key has more.
+so the carries are a table of one row a partition, joined on the partition's number: a
+broadcast where that many rows fit its budget, so the rows are not moved again.  There is
+one path for all data: nothing depends on how many rows a key has.
 
 Range bounds come from sampling and an exchange may run more than once, so the tagged
 rows are written to the shared folder once and every branch reads that copy; this also
@@ -29,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tontine.operators.joins import broadcast_bounded
 from tontine.sources.sinks import materialize
 
 PID = "_pid"
@@ -38,8 +36,12 @@ def _order_cols(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
+def _count(df: DataFrame, partitions: int | None) -> int:
+    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _ranges(df: DataFrame, keys: Sequence[str], order: Sequence, partitions: int | None) -> DataFrame:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = _count(df, partitions)
     return df.repartitionByRange(n, *[F.col(k) for k in keys], *_order_cols(order)).withColumn(PID, F.spark_partition_id())
 
 
@@ -59,13 +61,14 @@ def _edge_runs(runs: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFr
             .where("_is_lo or _is_hi").withColumn("_k", k))
 
 
-def _with_carries(rows: DataFrame, edges: DataFrame, carries: DataFrame, value: Column, keys: Sequence[str]) -> DataFrame:
-    """Every row with its run's carry ``_c`` (null for runs that lie within their partition)."""
+def _with_carries(rows: DataFrame, edges: DataFrame, carries: DataFrame, value: Column, keys: Sequence[str], n: int) -> DataFrame:
+    """Every row with its run's carry ``_c`` (null for runs that lie within their partition).  The other side
+    has a row a partition, ``n`` at most."""
     side = carries.groupBy(PID).agg(F.first(F.when(F.col("_is_lo"), value), ignorenulls=True).alias("_c_lo"),
                                     F.first(F.when(F.col("_is_hi"), value), ignorenulls=True).alias("_c_hi"))
     k = _key(keys)
     carry = F.when(k.eqNullSafe(F.col("_lo")), F.col("_c_lo")).when(k.eqNullSafe(F.col("_hi")), F.col("_c_hi"))
-    return rows.join(edges.join(side, PID), PID).withColumn("_c", carry).drop("_lo", "_hi", "_c_lo", "_c_hi")
+    return rows.join(broadcast_bounded(edges.join(side, PID), n), PID).withColumn("_c", carry).drop("_lo", "_hi", "_c_lo", "_c_hi")
 
 
 def _both(a: Column, b: Column, combined: Column) -> Column:
@@ -75,19 +78,17 @@ def _both(a: Column, b: Column, combined: Column) -> Column:
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, *, sums: Sequence[str] = (),
                  products: Sequence[str] = (), lags: Sequence[str] = (), leads: Sequence[str] = (),
-                 partitions: int | None = None, most_rows: int | None = None) -> DataFrame:
+                 partitions: int | None = None) -> DataFrame:
     """Add per-key ordered scan columns.
 
     For every ``c`` in ``sums``: ``c__cum`` (running sum incl. this row) and
     ``c__total``; in ``products``: ``c__cumprod_prev`` (product over earlier rows,
     null on the first row); in ``lags``/``leads``: ``c__lag``/``c__lead``.
     Always: ``_pos`` (1-based position within the key) and ``_n`` (rows of the key).
-    ``order`` must be total within a key.  ``most_rows`` declares the largest key (see above).
+    ``order`` must be total within a key.
     """
-    if most_rows is not None:
-        return _small_keys(df, keys, order, sums, products, lags, leads, most_rows)
     tagged = materialize(_ranges(df, keys, order, partitions), name="scan-runs")
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = _count(df, partitions)
     run = Window.partitionBy(PID, *keys)
     w = run.orderBy(*_order_cols(order))
     cum, prev = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
@@ -101,7 +102,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, *, sums: S
         cols |= {f"_lg_{c}": F.lag(c).over(w), f"_ll_{c}": F.last(c).over(whole)}
     for c in leads:
         cols |= {f"_ld_{c}": F.lead(c).over(w), f"_lf_{c}": F.first(c).over(whole)}
-    local = tagged.repartition(n, PID).withColumns(cols)           # one partition of rows a task
+    local = tagged.repartitionById(n, F.col(PID)).withColumns(cols)        # one range of rows a task
 
     edges = _edges(tagged, keys)
     runs = _edge_runs(local.where("_lpos = 1"), edges, keys)
@@ -118,7 +119,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, *, sums: S
         carry[f"ld_{c}"] = F.lead(f"_lf_{c}").over(along)
     carries = runs.withColumns({f"_v_{k}": v for k, v in carry.items()})
     value = F.struct(*[F.col(f"_v_{k}").alias(k) for k in carry])
-    out = _with_carries(local, edges, carries, value, keys)
+    out = _with_carries(local, edges, carries, value, keys, n)
 
     got = lambda name: F.col("_c")[name]
     has = F.col("_c").isNotNull()
@@ -137,24 +138,6 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence, *, sums: S
     return out.withColumns(final).drop("_c", PID, *cols)
 
 
-def _small_keys(df, keys, order, sums, products, lags, leads, most_rows: int) -> DataFrame:
-    """The same columns by per-key windows; a key of more rows than declared is an error."""
-    whole = Window.partitionBy(*keys)
-    w = whole.orderBy(*_order_cols(order))
-    cols = {"_pos": F.row_number().over(w).cast("long"), "_n": F.count(F.lit(1)).over(whole)}
-    for c in sums:
-        cols |= {f"{c}__cum": F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)), f"{c}__total": F.sum(c).over(whole)}
-    for c in products:
-        cols[f"{c}__cumprod_prev"] = F.product(F.col(c)).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    for c in lags:
-        cols[f"{c}__lag"] = F.lag(c).over(w)
-    for c in leads:
-        cols[f"{c}__lead"] = F.lead(c).over(w)
-    fits = F.when(F.col("_n") <= most_rows, True).otherwise(
-        F.raise_error(F.lit(f"a key has more than the declared {most_rows} rows")).cast("boolean"))
-    return df.withColumns(cols).where(fits)
-
-
 # ---------------------------------------------------------------- affine recurrences
 def _same_as_previous(columns: list[pa.Array]) -> np.ndarray:
     """For each row but the first: whether all columns equal the row before, nulls being equal."""
@@ -262,7 +245,7 @@ def affine_recurrence(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     runs = _edge_runs(local.where("_ends"), edges, keys).select(PID, "_k", "_is_lo", "_is_hi", "_alpha", "_beta", "_seeded")
     # the runs of one key: at most one row a partition
     carries = runs.groupBy("_k").applyInArrow(_chain(k), f"{PID} int, _is_lo boolean, _is_hi boolean, _start array<double>")
-    rows = _with_carries(local, edges, carries, F.col("_start"), keys)
+    rows = _with_carries(local, edges, carries, F.col("_start"), keys, _count(df, partitions))
 
     def state(i: int) -> Column:
         moved = F.col("_beta")[i]
