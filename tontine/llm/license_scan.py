@@ -5,20 +5,21 @@ same hash in a small table of license templates.  A hit at word p of the documen
 word q of the template votes for the diagonal p - q: a copy of the template puts all its
 votes on one diagonal, or, where words were put in or left out, on neighbouring ones.
 Diagonals of one (document, template) that lie within the template's slack are merged,
-and the merged span is verified on the words themselves: the share of the template's
-words that stand in the document at their place on one of the span's diagonals.
+and the merged span is verified on the words themselves: a hit counts only if the words
+of its grams are the same, and the span's share is that of the template's words that
+such grams cover.
 
 Templates are of two sorts.  Phrases (2-grams, no slack) hold only if every word is
 there; notices (5-grams, slack of 3 words) hold from ``SHARE`` of their words on.  The
 template table has a few hundred rows, whatever the corpus (``template_grams`` checks
 it), so it is broadcast and no gram of a document ever reaches the shuffle: only hits
-do, summed by diagonal on the map side.  SQL functions only.
+do, and one row a document, dealt once by document.  SQL functions only.
 
 Results for odd input: null text counts as empty and has no words, so no labels and
-score 0; rows that share an id are scanned each (rows of the same id and text share their
-hits); a null id is an id; places of one phrase are counted each, also where they touch;
-an empty table gives an empty result; whole texts of any length are read; other columns
-are not looked at, whatever their names.
+score 0; rows that share an id are scanned each; a null id is an id; places of one
+phrase are counted each, also where they touch; an empty table gives an empty result;
+whole texts of any length are read; other columns are not looked at, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tontine.llm.batches import text_of
-from tontine.sources.sinks import materialize
 
 #: Share of a notice's words that must be found on its diagonals.
 SHARE = 0.8
@@ -103,11 +103,15 @@ def _let(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def _gram_hashes(words: Column, k: int) -> Column:
-    """(place, hash) of every rolling k-gram of an array of words."""
+def _grams(words: Column, k: int) -> Column:
+    """(place, hash, words) of every rolling k-gram of an array of words."""
+    def at(w: Column, i: Column) -> Column:
+        gram = F.concat_ws(" ", *[F.get(w, i + j) for j in range(k)])
+        return _let(gram, lambda g: F.struct(i.alias("p"), F.xxhash64(g).alias("h"), g.alias("gram")))
+
     def grams(w: Column) -> Column:
         places = F.when(F.size(w) >= k, F.sequence(F.lit(0), F.size(w) - k)).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.struct(i.alias("p"), F.xxhash64(F.lit(k), *[F.get(w, i + j) for j in range(k)]).alias("h")))
+        return F.transform(places, lambda i: at(w, i))
     return _let(words, grams)
 
 
@@ -117,67 +121,52 @@ def template_grams(spark: SparkSession, given: list[Template]) -> DataFrame:
     if size > MOST_GRAMS or any(len(t.words) < t.gram for t in given):
         raise ValueError(f"templates of at least a gram's words and {MOST_GRAMS} grams in all, not {size}")
     rows = spark.createDataFrame([(n, list(t.words), t.notice) for n, t in enumerate(given)], "t int, w array<string>, notice boolean")
-    grams = F.when(F.col("notice"), _gram_hashes(F.col("w"), NOTICE_GRAM)).otherwise(_gram_hashes(F.col("w"), PHRASE_GRAM))
-    return rows.select("t", F.explode(grams).alias("g")).select("t", F.col("g.p").alias("q"), F.col("g.h").alias("h"))
-
-
-def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, key) of every row; the key (two hashes of id and text) names rows of equal results."""
-    return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).select(
-        "id", "text", F.xxhash64("id", "text").alias("k1"), F.xxhash64("text", F.lit("second"), "id").alias("k2"))
-
-
-def _words() -> Column:
-    return F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(WORD), F.lit(0))
-
-
-def candidates(read: DataFrame, given: list[Template]) -> DataFrame:
-    """(k1, k2, spans): merged diagonals of every document with hits, as (t, least and greatest hit, diagonals)."""
-    grams = read.select("k1", "k2", _words().alias("words")).select(
-        "k1", "k2", F.concat(_gram_hashes(F.col("words"), PHRASE_GRAM), _gram_hashes(F.col("words"), NOTICE_GRAM)).alias("grams"))
+    grams = F.when(F.col("notice"), _grams(F.col("w"), NOTICE_GRAM)).otherwise(_grams(F.col("w"), PHRASE_GRAM))
+    return rows.select("t", F.explode(grams).alias("g")).select(
+        "t", F.col("g.p").alias("q"), F.col("g.h").alias("h"), F.col("g.gram").alias("template_gram"))
+
+
+def hits(docs: DataFrame, given: list[Template], id_col: str, text_col: str) -> DataFrame:
+    """(row, id, n_words) once a document, with t = -1, and (row, t, p, q) of its verified hits."""
+    words = F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(WORD), F.lit(0))
+    read = (docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+            .select("id", F.monotonically_increasing_id().alias("row"), words.alias("words")))
+    own = F.struct(F.lit(-1).alias("p"), F.xxhash64(F.lit("")).alias("h"), F.lit("").alias("gram"))       # no gram is empty
+    grams = read.select("id", "row", F.size("words").cast("long").alias("n_words"),
+                        F.concat(F.array(own), _grams(F.col("words"), PHRASE_GRAM), _grams(F.col("words"), NOTICE_GRAM)).alias("grams"))
+    spark = docs.sparkSession
+    table = template_grams(spark, given).unionByName(
+        spark.range(1).select(F.lit(-1).alias("t"), F.lit(0).alias("q"), F.xxhash64(F.lit("")).alias("h"), F.lit("").alias("template_gram")))
     # outer: else Spark infers a filter on the array's size and makes all hashes a second time for it
-    hits = (grams.select("k1", "k2", F.explode_outer("grams").alias("g")).select("k1", "k2", F.col("g.p").alias("p"), F.col("g.h").alias("h"))
-            .join(F.broadcast(template_grams(read.sparkSession, given)), "h"))
-    voted = (hits.groupBy("k1", "k2", "t", (F.col("p") - F.col("q")).alias("diagonal"))
-             .agg(F.min("p").alias("lo"), F.max("p").alias("hi")))
-    slack = F.element_at(F.array(*[F.lit(t.slack) for t in given]), F.col("t") + 1)
-    along = Window.partitionBy("k1", "k2", "t").orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > slack, F.lit(True))
-    merged = (voted.withColumn("apart", apart.cast("int")).withColumn("span", F.sum("apart").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-              .groupBy("k1", "k2", "t", "span").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list("diagonal").alias("diagonals")))
-    return merged.groupBy("k1", "k2").agg(F.collect_list(F.struct("t", "lo", "hi", "diagonals")).alias("spans"))
-
-
-def _verified(words: Column, given: list[Template]) -> Column:
-    """Spans with the share of the template's words that stand on the span's diagonals."""
-    texts = F.array(*[F.array(*[F.lit(w) for w in t.words]) for t in given])
-    grams = F.array(*[F.lit(t.gram) for t in given])
-
-    def share(read: Column, span: Column) -> Column:
-        words = F.get(texts, span["t"])
-        here = F.transform(words, lambda w, j: F.exists(span["diagonals"], lambda d: F.coalesce(
-            F.when(j + d >= 0, F.get(read, j + d) == w), F.lit(False))))
-        return F.size(F.filter(here, lambda x: x)).cast("double") / F.size(words)
-
-    given_spans = F.coalesce("spans", F.array().cast("array<struct<t:int,lo:int,hi:int,diagonals:array<int>>>"))
-    return _let(words, lambda read: F.transform(given_spans, lambda s: F.struct(
-        s["t"].alias("t"), s["lo"].alias("start"), (s["hi"] + F.get(grams, s["t"])).alias("end"), share(read, s).alias("share"))))
+    joined = (grams.select("id", "row", "n_words", F.explode_outer("grams").alias("g"))
+              .select("id", "row", "n_words", F.col("g.p").alias("p"), F.col("g.h").alias("h"), F.col("g.gram").alias("gram"))
+              .join(F.broadcast(table), "h"))
+    document = F.col("t") == -1
+    return joined.select("row", "t", "p", "q", (F.col("gram") == F.col("template_gram")).alias("same"),
+                         F.when(document, F.col("id")).alias("id"), F.when(document, F.col("n_words")).alias("n_words"))
 
 
 def scan_licenses(docs: DataFrame, given: list[Template] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row's ``id``, ``n_words``, ``spans`` (label, base, start and end in words, share; those that
     hold, by start) and ``score``, the greatest share of any candidate, held or not."""
     given = templates() if given is None else given
-    read = _read(docs, id_col, text_col)
-    # written, so that its size is known and Spark splits the rows of a key that very many rows have
-    found = materialize(candidates(read, given), name="license-spans")
-    labels, base = F.array(*[F.lit(t.label) for t in given]), F.array(*[F.lit(t.base) for t in given])
-    least = F.array(*[F.lit(t.least) for t in given])
-    checked = (read.join(found, ["k1", "k2"], "left").withColumn("words", _words())
-               .select("id", F.size("words").cast("long").alias("n_words"), _verified(F.col("words"), given).alias("checked")))
-    held = F.filter("checked", lambda s: s["share"] >= F.get(least, s["t"]))
-    spans = F.array_sort(F.transform(held, lambda s: F.struct(
-        s["start"].cast("long").alias("start"), s["end"].cast("long").alias("end"), F.get(labels, s["t"]).alias("label"),
-        F.get(base, s["t"]).alias("base"), s["share"].alias("share"))))
-    return checked.select("id", "n_words", spans.alias("spans"),
-                          F.coalesce(F.array_max(F.col("checked.share")), F.lit(0.0)).alias("score"))
+    of = lambda values: F.get(F.array(*[F.lit(v) for v in values]), F.col("t"))
+    found = hits(docs, given, id_col, text_col).repartition("row")         # the only shuffle
+    voted = (found.groupBy("row", "t", (F.col("p") - F.col("q")).alias("diagonal"))
+             .agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.collect_set(F.when(F.col("same"), F.col("q"))).alias("places"),
+                  F.max("id").alias("id"), F.max("n_words").alias("n_words")))
+    along = Window.partitionBy("row", "t").orderBy("diagonal")
+    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > of([t.slack for t in given]), F.lit(True))
+    merged = (voted.withColumn("apart", apart.cast("int")).withColumn("span", F.sum("apart").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+              .groupBy("row", "t", "span").agg(F.min("lo").alias("start"), F.max("hi").alias("hi"), F.flatten(F.collect_list("places")).alias("places"),
+                                               F.max("id").alias("id"), F.max("n_words").alias("n_words")))
+    k = of([t.gram for t in given])
+    covered = F.size(F.array_distinct(F.flatten(F.transform("places", lambda q: F.sequence(q, q + F.col("k") - 1)))))
+    checked = (merged.withColumn("k", k).withColumn("share", covered.cast("double") / of([len(t.words) for t in given]))
+               .withColumn("held", F.col("share") >= of([t.least for t in given])))
+    span = F.struct(F.col("start").cast("long").alias("start"), (F.col("hi") + F.col("k")).cast("long").alias("end"),
+                    of([t.label for t in given]).alias("label"), of([t.base for t in given]).alias("base"), "share")
+    template = F.col("t") >= 0
+    return checked.groupBy("row").agg(
+        F.max("id").alias("id"), F.max("n_words").alias("n_words"), F.array_sort(F.collect_list(F.when(template & F.col("held"), span))).alias("spans"),
+        F.coalesce(F.max(F.when(template, F.col("share"))), F.lit(0.0)).alias("score")).drop("row")

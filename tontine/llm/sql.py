@@ -94,13 +94,15 @@ WITH docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'A
 templates(t, label, base, k, slack, least, tw) AS (VALUES {_TEMPLATES}),
 marks AS (SELECT t, q, array_to_string(tw[q + 1:q + k], ' ') AS g FROM templates, unnest(range(0, len(tw) - k + 1)) AS u(q)),
 grams AS (SELECT doc_id, p, array_to_string(w[p + 1:p + k], ' ') AS g FROM docs, (SELECT DISTINCT k FROM templates), unnest(range(0, len(w) - k + 1)) AS u(p)),
-voted AS (SELECT doc_id, t, p - q AS d, min(p) AS lo, max(p) AS hi FROM grams JOIN marks USING (g) GROUP BY ALL),
+hits AS (SELECT doc_id, t, p, q, p - q AS d FROM grams JOIN marks USING (g)),
+voted AS (SELECT doc_id, t, d, min(p) AS lo FROM hits GROUP BY ALL),
 apart AS (SELECT v.*, CASE WHEN d - lag(d) OVER (PARTITION BY doc_id, v.t ORDER BY d) <= slack THEN 0 ELSE 1 END AS b FROM voted v JOIN templates USING (t)),
 runs AS (SELECT *, sum(b) OVER (PARTITION BY doc_id, t ORDER BY d) AS run FROM apart),
-spans AS (SELECT doc_id, t, min(lo) AS lo, list(d) AS ds FROM runs GROUP BY doc_id, t, run),
-checked AS (SELECT doc_id, label, base, least, lo, CAST(len(list_filter(range(0, len(tw)), lambda j:
-            len(list_filter(ds, lambda d: j + d >= 0 AND w[j + d + 1] = tw[j + 1])) > 0)) AS DOUBLE) / len(tw) AS share
-            FROM spans JOIN templates USING (t) JOIN docs USING (doc_id)),
+spans AS (SELECT doc_id, t, run, min(lo) AS lo FROM runs GROUP BY doc_id, t, run),
+places AS (SELECT doc_id, t, run, list(q) AS qs FROM runs JOIN hits USING (doc_id, t, d) GROUP BY doc_id, t, run),
+checked AS (SELECT doc_id, label, base, least, lo,
+            CAST(len(list_distinct(flatten(list_transform(qs, lambda q: range(q, q + k))))) AS DOUBLE) / len(tw) AS share
+            FROM spans JOIN places USING (doc_id, t, run) JOIN templates USING (t)),
 found AS (SELECT doc_id, count(*) FILTER (base AND share >= least) AS n, min(lo) FILTER (base AND share >= least) AS a,
           max(lo) FILTER (base AND share >= least) AS z, list(label) FILTER (base AND share >= least) AS bl,
           list(label) FILTER (share >= least) AS l, max(share) AS s FROM checked GROUP BY doc_id)
