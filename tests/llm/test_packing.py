@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tontine.llm.packing import Plan, pack, shortest_pack_first, tokenizer
+from tontine.llm.packing import Ids, Plan, has_long_run, pack, shortest_pack_first, tokenizer
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SYLLABLES = ["the ", "ti", "on ", "é", "\n", " ", "漢字", "a", "\t\t", "<|endoftext|>", "12 ", "!?", "\x85", "  "]
@@ -69,3 +69,26 @@ def test_ids_are_the_tokenizers_librarys(spark):
 
 def test_empty_table(documents):
     assert pack(documents([(1, "a")]).limit(0), PATH).count() == 0
+
+
+def test_long_white_space_is_encoded_as_the_library_does():
+    """Runs at which the faster encoder gives up, and shorter ones; other texts do not ask the library."""
+    ids, library = Ids(PATH), Tokenizer.from_file(PATH)
+    for text in ("a" + " " * 1_000_000 + "b", "\n" * 2_000_000, " x" + "\xa0" * 150_000 + " y", " \t" * 70_000, "a " * 200_000):
+        assert ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert not has_long_run("a " * 200_000) and not has_long_run(" " * 1000) and has_long_run("\n" * 200_000)
+
+
+def test_every_code_point_has_the_ids_of_the_library():
+    ids, library = Ids(PATH), Tokenizer.from_file(PATH)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"{c}'d a{c}1 {c} {c}{c}x\n" for c in points[k:k + 400]) for k in range(0, len(points), 400)]
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids(text).tolist() == want.ids
+
+
+def test_documents_of_white_space_alone(documents):
+    out = pack(documents([(1, " " * 300_000), (2, "\n"), (3, "a" + " " * 250_000 + "b")]), PATH).collect()
+    library = Tokenizer.from_file(PATH)
+    for i, text in ((1, " " * 300_000), (2, "\n"), (3, "a" + " " * 250_000 + "b")):
+        assert sum(r.length for r in out if r.id == i) == len(library.encode(text, add_special_tokens=False).ids) + 1

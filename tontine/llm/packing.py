@@ -11,19 +11,23 @@ sorted range bounds, which every task holds.  Ranks come from counts per
 (length, deal), so no length, however common, is numbered in one task.
 
 Results for odd input: null text is empty and becomes one piece of the end id; a
-very long text becomes as many pieces as it needs; rows with one id are packed
-each; an empty table gives an empty result.
+very long text, or one of white space alone, becomes as many pieces as it needs;
+rows with one id are packed each; pieces of one length take their ranks by deal, id,
+start and ids, so a tie is between equal pieces; other columns are not looked at,
+whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +42,9 @@ Pack = tuple[int, ...]
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bytes of text of which a task holds the ids at once.
 BATCH_BYTES = 4 << 20
+#: White space in a row from which on the library's own encoder is asked: the other one gives up on very long runs.
+LONG_RUN = 100_000
+_RUN = re.compile(r"\s+")
 
 
 def tokenizer(path: str, pattern: str = PATTERN) -> tiktoken.Encoding:
@@ -54,6 +61,24 @@ def tokenizer(path: str, pattern: str = PATTERN) -> tiktoken.Encoding:
     return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
+def has_long_run(text: str) -> bool:
+    return len(text) > LONG_RUN and any(m.end() - m.start() > LONG_RUN for m in _RUN.finditer(text))
+
+
+class Ids:
+    """Ids of texts by a ``tokenizers`` file, the end id not included."""
+
+    def __init__(self, path: str):
+        self.path, self.encoder, self.library = path, tokenizer(path), None
+
+    def __call__(self, text: str) -> np.ndarray:
+        if not has_long_run(text):
+            return self.encoder.encode_to_numpy(text, allowed_special="all")
+        if self.library is None:
+            self.library = tokenizers.Tokenizer.from_file(self.path)
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+
 def shortest_pack_first(counts: dict[int, int], length: int) -> list[tuple[Pack, int]]:
     """(pattern of piece lengths, number of sequences) that hold exactly ``counts`` pieces of
     each length of at most ``length`` tokens."""
@@ -111,10 +136,10 @@ def token_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
               + ", ids binary" * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer(path)
+        encode = Ids(path)
         for b in batches:
             for lo, hi in row_slices(utf8(b.column("text"))[1], BATCH_BYTES):
-                parts = [encoder.encode_to_numpy(t or "", allowed_special="all") for t in b.column("text").slice(lo, hi - lo).to_pylist()]
+                parts = [encode(t or "") for t in b.column("text").slice(lo, hi - lo).to_pylist()]
                 ids, at = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
                 yield _cut(b.column("id").slice(lo, hi - lo), ids, at, length, end_id, with_ids)
     return rows.mapInArrow(run, schema)
