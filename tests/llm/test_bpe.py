@@ -62,3 +62,15 @@ def test_empty_table(documents):
     assert bpe.encode_documents(documents([(1, "a")]).limit(0), PATH, public_tokenizers.PATTERN).count() == 0
     assert np.array_equal(bpe.encode_texts(bpe.Encoder(bpe.vocabulary(PATH), public_tokenizers.PATTERN),
                                            pa.array([], pa.string()))[1], [0])
+
+
+def test_every_code_point_is_classed_as_the_library_does(encoder, library):
+    """Unicode tables of the modules differ by some 17,000 code points."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert len(bpe.class_changes()) > 1000
+    blocks = ["".join(f"{c}'d a{c}1 {c} {c}{c}x\n" for c in points[k:k + 400]) for k in range(0, len(points), 400)]
+    changed = [f"{chr(c)}'d" for c in bpe.class_changes()] + [f" {chr(c)}'s 1{chr(c)}" for c in bpe.class_changes()]
+    for texts in (blocks, changed):
+        ids, at = bpe.encode_texts(encoder, pa.array(texts))
+        for k, want in enumerate(library.encode_ordinary_batch(texts)):
+            assert ids[at[k]:at[k + 1]].tolist() == want, (k, texts[k][:20])

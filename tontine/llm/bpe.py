@@ -14,20 +14,25 @@ The distinct pre-tokens of a batch are merged together, in numpy, one merge of e
 a step.  Decoding looks up the bytes of the ids and concatenates them.
 
 Results for odd input: null text counts as empty and has no ids; text that spells
-a special token is ordinary text; rows with one id stay separate rows; ids outside
-the vocabulary cannot be decoded and raise an error.
+a special token is ordinary text; rows with one id stay separate rows; a text of any
+length, also one endless pre-token, is encoded whole; ids outside the vocabulary cannot
+be decoded and raise an error; other columns are not looked at, whatever their names;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import tiktoken
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -193,14 +198,39 @@ class Vocabulary:
 Cut = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
+@lru_cache(maxsize=1)
+def class_changes() -> dict[int, str]:
+    """Code points that ``regex`` does not put into the class of letters, numbers or white space where the
+    tokenizers' library has them (their Unicode versions differ), each with a stand-in of the right class.
+    The library is asked once, with all code points as one text."""
+    every = "".join(map(chr, (c for c in range(0x110000) if not 0xD800 <= c < 0xE000)))
+    ranks = {bytes([b]): b for b in range(256)}
+    stand_in = dict.fromkeys(every, "!")
+    changed: set[str] = set()
+    for kind, sign in ((r"\p{L}", "x"), (r"\p{N}", "0"), (r"\s", "\t")):
+        asked = tiktoken.Encoding("classes", pat_str=kind, mergeable_ranks=ranks, special_tokens={})
+        theirs = set(bytes(asked.encode_ordinary(every)).decode())
+        changed |= theirs ^ set(regex.findall(kind, every))
+        stand_in |= dict.fromkeys(theirs, sign)
+    return {ord(c): stand_in[c] for c in changed}
+
+
 class Encoder:
-    """Cuts texts by the pattern and encodes the distinct pre-tokens."""
+    """Cuts texts by the pattern and encodes the distinct pre-tokens.  Outside ASCII, the pattern may name
+    characters by the classes of letters, numbers and white space only."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary, self.pattern = vocabulary, regex.compile(pattern)
+        self.stand_ins = class_changes()
+        self.may_differ = re.compile(f"[{chr(min(self.stand_ins, default=0x10FFFF))}-\U0010ffff]")
+
+    def _pieces(self, text: str) -> list[str]:
+        if text.isascii() or not self.may_differ.search(text) or self.stand_ins.keys().isdisjoint(map(ord, set(text))):
+            return self.pattern.findall(text)
+        return [text[m.start():m.end()] for m in self.pattern.finditer(text.translate(self.stand_ins))]
 
     def __call__(self, texts: list[str]) -> list[Cut]:
-        cut = [self.pattern.findall(t) for t in texts]
+        cut = [self._pieces(t) for t in texts]
         distinct = list({p for c in cut for p in c})
         ids = dict(zip(distinct, self.vocabulary.encode_pieces([p.encode() for p in distinct]), strict=True))
         out = []
