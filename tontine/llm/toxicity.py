@@ -75,35 +75,35 @@ def _plain(text: str) -> bytes:
     return b" " + b" ".join(_LOWER[np.frombuffer(text.encode(), np.uint8)].tobytes().split()) + b" "
 
 
-def _values(text: bytes) -> Iterator[np.ndarray]:
-    """Grams of every length of a text as numbers (a gram's leading zero bytes do not count)."""
+def _grams(text: bytes, size: int) -> np.ndarray:
+    """Grams of one length of a text as numbers."""
     b = np.frombuffer(text, np.uint8).astype(np.uint64)
-    v, size = np.zeros(len(b), np.uint64), 0
-    for gram in GRAMS:
-        n = max(len(b) - gram + 1, 0)
-        v = v[:n]
-        for k in range(size, gram):
-            v = v * np.uint64(256) + b[k:k + n]
-        size = gram
-        yield v
+    n = max(len(b) - size + 1, 0)
+    v = np.zeros(n, np.uint64)
+    for k in range(size):
+        v = v * np.uint64(256) + b[k:k + n]
+    return v
 
 
-def _seen(texts: list[bytes]) -> np.ndarray:
+def _seen(texts: list[bytes], size: int) -> np.ndarray:
     """Grams that more than one of the texts hold; merged by blocks of texts."""
-    known, times = np.empty(0, np.uint64), np.empty(0, np.int64)
+    known, times = np.empty(0, np.uint64), np.empty(0, np.int32)
     for lo in range(0, len(texts), 250):
-        block = np.concatenate([np.unique(v) for t in texts[lo:lo + 250] for v in _values(t)])
-        v, n = np.unique(block, return_counts=True)
-        known, at = np.unique(np.concatenate([known, v]), return_inverse=True)
-        times = np.bincount(at, weights=np.concatenate([times, n])).astype(np.int64)
+        v, n = np.unique(np.concatenate([np.unique(_grams(t, size)) for t in texts[lo:lo + 250]]), return_counts=True)
+        at = np.searchsorted(known, v)
+        old = np.zeros(len(v), bool)
+        if len(known):
+            old = known[np.minimum(at, len(known) - 1)] == v
+        times[at[old]] += n[old].astype(np.int32)
+        known, times = (np.insert(x, at[~old], y[~old]) for x, y in ((known, v), (times, n.astype(np.int32))))
     return known[times > 1]
 
 
-def _counts(grams: np.ndarray, texts: list[bytes]) -> np.ndarray:
+def _counts(grams: np.ndarray, texts: list[bytes], size: int) -> np.ndarray:
     """How many texts hold each gram, once or more (row 0) and twice or more (row 1)."""
-    out = np.zeros((2, len(grams)))
+    out = np.zeros((2, len(grams)), np.int32)
     for t in texts if len(grams) else []:
-        v, n = np.unique(np.concatenate(list(_values(t))), return_counts=True)
+        v, n = np.unique(_grams(t, size), return_counts=True)
         at = np.minimum(np.searchsorted(grams, v), len(grams) - 1)
         here = grams[at] == v
         out[0, at[here]] += 1
@@ -154,22 +154,33 @@ def _markers(toxic: list[bytes], ordinary: list[bytes]) -> list[tuple[float, byt
     sizes = [len(p) for p in parts]
     if min(sizes) < LEAST:
         return []
-    grams = _seen(toxic)
-    least = 2 * np.log(max(len(grams), 1)) + SURE          # so many grams are tried
+    tried = 0
 
-    def ratio(counts: list[np.ndarray]) -> np.ndarray:
+    def ratios(counts: list[np.ndarray]) -> np.ndarray:
+        """Likelihood ratios in the halves and in both, for once or more and twice or more."""
         a, b, c, d = counts
-        first, second = _ratio(a, c, sizes[0], sizes[2]), _ratio(b, d, sizes[1], sizes[3])
-        both = _ratio(a + b, c + d, sizes[0] + sizes[1], sizes[2] + sizes[3])
+        return np.stack([_ratio(a, c, sizes[0], sizes[2]), _ratio(b, d, sizes[1], sizes[3]),
+                         _ratio(a + b, c + d, sizes[0] + sizes[1], sizes[2] + sizes[3])])
+
+    def judged(ratio: np.ndarray, least: float) -> np.ndarray:
+        first, second, both = ratio
         return np.where((np.minimum(first, second) > least / 4) & (both > least), both, 0).max(axis=0)
 
-    g = ratio([_counts(grams, p) for p in parts])
-    found = [int(v).to_bytes(8, "big").lstrip(b"\0") for v in grams[g > 0]]
-    weight = g[g > 0]
-    words = [[t.split() for t in p] for p in parts]
+    some: list[tuple[bytes, np.ndarray]] = []
+    for size in GRAMS:                                     # by length, so that the grams of one are in memory
+        grams = _seen(toxic, size)
+        tried += len(grams)
+        ratio = ratios([_counts(grams, p, size) for p in parts])
+        some += [(int(grams[k]).to_bytes(size, "big"), ratio[:, :, k]) for k in np.flatnonzero(judged(ratio, SURE))]
+    least = 2 * np.log(max(tried, 1)) + SURE               # so many grams are tried
+    some.sort(key=lambda x: int.from_bytes(x[0], "big"))
+    g = judged(np.stack([r for _, r in some], axis=2), least) if some else np.zeros(0)
+    found, weight = [v for (v, _), w in zip(some, g, strict=True) if w], g[g > 0]
+    one: dict[bytes, bytes] = {}                           # each word once in memory
+    words = [[[one.setdefault(w, w) for w in t.split()] for t in p] for p in parts]
     holds: dict[bytes, list[int]] = {}                     # grams of every word
     number = {v: k for k, v in enumerate(found)}
-    for w in {w for p in words for t in p for w in t}:
+    for w in one:
         x = b" " + w + b" "
         some = {number[x[k:k + n]] for n in GRAMS for k in range(len(x) - n + 1) if x[k:k + n] in number}
         if some:
@@ -177,7 +188,7 @@ def _markers(toxic: list[bytes], ordinary: list[bytes]) -> list[tuple[float, byt
     for _ in range(ROUNDS):                                # a word counts for its strongest gram only
         rank = weight * np.array([1 + 0.02 * len(v) for v in found])
         strongest = {w: max(some, key=lambda k: rank[k]) for w, some in holds.items()}
-        now = ratio([_held(p, strongest, len(found)) for p in words])
+        now = judged(ratios([_held(p, strongest, len(found)) for p in words]), least)
         now = np.where(weight > 0, now, 0)
         if (now == weight).all():
             break
