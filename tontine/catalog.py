@@ -238,6 +238,7 @@ def _rel(fn_name, *args):
 for _k in ("win_tail_sum", "win_tail_sum_exclusive", "win_group_total", "win_lead", "win_lag",
            "win_row_number", "recur_survival", "recur_multi_decrement", "recur_affine", "ordered_fold", "ordered_fold_states",
            "fold_capped_balance", "fold_best_run", "fold_payouts", "agg_user_defined",
+           "join_interval_rows", "compare_two_sided",
            "win_lag_over_months", "join_detail_to_aggregate", "join_cross", "join_scalar_pair",
            "join_left_lookup", "join_status_flag", "agg_conditional_sum", "agg_sumproduct", "agg_ratio",
            "agg_global", "agg_count_variants", "agg_distinct_rows", "agg_group_by_alias_expr",
@@ -430,7 +431,8 @@ def _storage(name):
     return q
 
 
-for _k in ("overwrite_from_self", "conform_table", "conform_rejects", "delimited_table", "delimited_rejects"):
+for _k in ("overwrite_from_self", "conform_table", "conform_rejects", "delimited_table", "delimited_rejects",
+           "policy_number_incremental", "client_id_incremental"):
     register(_k)(_storage(_k))
 
 

@@ -361,6 +361,19 @@ WITH v AS (SELECT l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS c,
            FROM lineitem)
 SELECT l_suppkey, max(c) AS largest, max(c) FILTER (k = 2) AS second, count(*) FILTER (k = 1) AS n_largest,
        max(c) - max(c) FILTER (k = 2) AS gap FROM v GROUP BY l_suppkey"""
+add("join_interval_rows", """
+SELECT pol_no, event_id, CAST(greatest(bought, first_day) AS INTEGER) AS from_day, CAST(least(elapsed, last_day) AS INTEGER) AS to_day
+FROM (SELECT pol_no, CAST(buy_datetime AS DATE) - DATE '1970-01-01' AS bought, CAST(elapse_date AS DATE) - DATE '1970-01-01' AS elapsed FROM policy_surrender) p
+JOIN (SELECT event_id, DATE '1995-01-01' - DATE '1970-01-01' + event_id * 7 % 2400 AS first_day,
+             DATE '1995-01-01' - DATE '1970-01-01' + event_id * 7 % 2400 + CAST(floor(value) AS INTEGER) % 30 AS last_day
+      FROM events WHERE event_type = 'error') e ON bought <= last_day AND first_day <= elapsed""")
+ORACLE_SQL["compare_two_sided"] = """
+WITH mine AS (SELECT o_orderkey, o_totalprice * (1 + (o_orderkey % 7) * 0.0005::DOUBLE) AS m FROM orders WHERE o_orderkey % 50 <> 0),
+golden AS (SELECT o_orderkey, o_totalprice AS r FROM orders WHERE o_orderkey % 70 <> 3),
+merged AS (SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, m, r, (m - r) / r AS d FROM mine a FULL JOIN golden b ON a.o_orderkey = b.o_orderkey)
+SELECT o_orderkey, CASE WHEN m IS NULL THEN 'missing' WHEN r IS NULL THEN 'extra' ELSE 'differs' END AS status,
+       CASE WHEN m IS NOT NULL AND r IS NOT NULL THEN 'o_totalprice' END AS "column", CAST(d AS DECIMAL(10,6)) AS rate
+FROM merged WHERE m IS NULL OR r IS NULL OR abs(d) > 0.001"""
 add("win_lag_over_months", f"""
 SELECT month, CAST(revenue AS DECIMAL(28,2)) AS revenue, CAST(last_revenue AS DECIMAL(28,2)) AS last_revenue,
        {ratio("revenue - last_revenue", "last_revenue", "DECIMAL(12,6)")} AS growth
@@ -519,6 +532,14 @@ add("client_id_assign", """
 SELECT c.user_id, a.id AS area_id,
        CAST(a.id AS VARCHAR) || '-' || CAST(row_number() OVER (PARTITION BY a.id ORDER BY CAST(c.user_id AS BIGINT)) AS VARCHAR) AS client_id
 FROM policy_client c JOIN area a ON c.province = a.province""")
+add("policy_number_incremental", """
+SELECT pol_no, 'P' || repeat('0', greatest(0, 9 - length(CAST(n AS VARCHAR)))) || CAST(n AS VARCHAR) AS new_pol_no
+FROM (SELECT pol_no, row_number() OVER (ORDER BY CASE WHEN buy_datetime < '1997-01-01' THEN 1 WHEN buy_datetime < '1999-07-01' THEN 2 ELSE 3 END,
+             buy_datetime, pol_no) AS n FROM policy_benefit)""")
+add("client_id_incremental", """
+SELECT c.user_id, a.id AS area_id, CAST(a.id AS VARCHAR) || '-' || CAST(row_number() OVER (
+       PARTITION BY a.id ORDER BY CAST(c.user_id AS BIGINT) % 2, CAST(c.user_id AS BIGINT)) AS VARCHAR) AS client_id
+FROM policy_client c JOIN area a ON c.province = a.province""")
 add("surrender_extract", f"""
 SELECT b.pol_no, b.user_id, b.buy_datetime, s.keep_days, s.elapse_date
 FROM policy_benefit b JOIN policy_surrender s ON b.pol_no = s.pol_no

@@ -16,7 +16,9 @@ from tontine.operators.aggregate import TopTwo, aggregate
 from tontine.operators.fold import Clamp, MaxPlus, sequential_fold
 from tontine.operators.fold import ordered_fold as folded
 from tontine.operators.grid import int_series, literal_dim
+from tontine.operators.intervals import overlap_join
 from tontine.operators.joins import broadcast_bounded, expand_range
+from tontine.operators.quality import compare_tables
 from tontine.operators.scan import affine_recurrence, linear_recurrence, ordered_scan
 from tontine.params import DEFAULT
 from tontine.sources import fixtures
@@ -213,6 +215,26 @@ def join_cross(spark, sf_dir) -> DataFrame:
         f"{DEFAULT.sa}D as sa")
 
 
+def join_interval_rows(spark, sf_dir) -> DataFrame:
+    """Surrendered policies with every coverage interval that falls into their time in force, pair by pair.  The
+    stand-in intervals come from the error events: a day by the event's number, and a length by its value."""
+    held = fixtures.policy_surrender(spark, sf_dir).selectExpr(
+        "pol_no", "unix_date(to_date(buy_datetime)) as bought", "unix_date(to_date(elapse_date)) as elapsed")
+    cover = table(spark, sf_dir, "events").where("event_type = 'error'").selectExpr(
+        "event_id", "unix_date(date'1995-01-01') + cast(event_id * 7 % 2400 as int) as first_day", "cast(floor(value) as int) % 30 as days")
+    cover = cover.selectExpr("event_id", "first_day", "first_day + days as last_day")
+    pairs = overlap_join(held, cover, ("bought", "elapsed"), ("first_day", "last_day"))
+    return pairs.selectExpr("pol_no", "event_id", "greatest(bought, first_day) as from_day", "least(elapsed, last_day) as to_day")
+
+
+def compare_two_sided(spark, sf_dir) -> DataFrame:
+    """Orders against a copy with planted faults: prices off by up to 0.3 %, orders lost on either side."""
+    real = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    mine = real.where("o_orderkey % 50 <> 0").selectExpr("o_orderkey", "o_totalprice * (1 + (o_orderkey % 7) * 0.0005D) as o_totalprice")
+    found = compare_tables(mine, real.where("o_orderkey % 70 <> 3"), ["o_orderkey"], ["o_totalprice"])
+    return found.selectExpr("o_orderkey", "status", "column", "cast(rate as decimal(10,6)) as rate")
+
+
 def join_scalar_pair(spark, sf_dir) -> DataFrame:
     """Two scalar aggregates side by side (revenue shipped in 1996 and in 1997), computed
     as one conditional aggregate in a single scan instead of joining two one-row results."""

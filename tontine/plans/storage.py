@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tontine.functions.dates import month_shift
+from tontine.operators.joins import broadcast_bounded
+from tontine.operators.numbering import Numbering
 from tontine.plans import kpi
 from tontine.sources import fixtures
 from tontine.sources.rejects import load, read_delimited_raw
@@ -135,3 +137,29 @@ def premium_growth_incremental(spark, sf_dir, calc_month: str, price: DataFrame)
     for month in (month_shift(calc_month, -1), calc_month):
         run_growth_month(spark, sf_dir, month, price, path)
     return growth_table(spark, path).where(F.col("month") == calc_month).drop("month")
+
+
+# ---------------------------------------------------------------- numbers of new rows only
+#: Fixed values of the stand-in deliveries: purchases before these days, each with those sent before.
+DELIVERIES = ("1997-01-01", "1999-07-01", "2100-01-01")
+
+
+def policy_number_incremental(spark, sf_dir) -> DataFrame:
+    """Policies delivered three times, each delivery with all earlier ones in it, the last one sent twice."""
+    policies = fixtures.policy_benefit(spark, sf_dir).select("pol_no", "buy_datetime")
+    held = Numbering(spark, _folder(spark, "policy-numbers"), "pol_no", order=["buy_datetime"])
+    for day in (*DELIVERIES, DELIVERIES[-1]):
+        held.assign(policies.where(F.col("buy_datetime") < day))
+    return held.rows.read().select("pol_no", F.expr(
+        "concat('P', lpad(cast(number as string), greatest(9, length(cast(number as string))), '0'))").alias("new_pol_no"))
+
+
+def client_id_incremental(spark, sf_dir) -> DataFrame:
+    """Clients numbered in their area, in two deliveries: those of even customer numbers, then all."""
+    area = fixtures.area(spark, sf_dir).select(F.col("id").alias("area_id"), "province")
+    clients = (fixtures.policy_client(spark, sf_dir).select("user_id", "province")
+               .join(broadcast_bounded(area, fixtures.NATION_ROWS_BOUND), "province").select(F.col("user_id").cast("long").alias("client"), "area_id"))
+    held = Numbering(spark, _folder(spark, "client-numbers"), "client", keys=["area_id"])
+    held.assign(clients.where("client % 2 = 0"))
+    held.assign(clients)
+    return held.rows.read().select(F.col("client").cast("string").alias("user_id"), "area_id", F.concat_ws("-", "area_id", "number").alias("client_id"))

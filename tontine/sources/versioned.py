@@ -1,7 +1,7 @@
 """A table that can be replaced by a derived part of itself under the same name.
 
 Data lie in folders that are never changed once written; a log holds one small entry a
-version, which names the folder and its schema.  The newest entry is the table.  A version
+version, which names its folders and their schema.  The newest entry is the table.  A version
 is published by renaming its entry into the log, which fails if another writer has taken
 the number, so there is no moment without a table, a rewrite that fails leaves the old
 rows, and of two writers one is told.  A reader resolves the entry when it builds its
@@ -86,15 +86,26 @@ class VersionedTable:
         if not version:
             raise FileNotFoundError(self.path)
         entry = self._entry(version)
-        return self.spark.read.schema(T.StructType.fromJson(entry["schema"])).parquet(os.path.join(self.path, entry["folder"]))
+        return self.spark.read.schema(T.StructType.fromJson(entry["schema"])).parquet(*[os.path.join(self.path, f) for f in entry["folders"]])
 
     def write(self, df: DataFrame, after: int | None = None) -> int:
         """Publish ``df`` as the next version and return its number.  ``after`` is the version it was derived
         from: if the table has moved on, the write is refused."""
-        after = self.version() if after is None else after
+        return self._put(df, self.version() if after is None else after, [])
+
+    def append(self, df: DataFrame) -> int:
+        """Publish a version that has the rows of ``df`` besides those of the newest one, which are not copied."""
+        after = self.version()
+        if not after:
+            return self._put(df, 0, [])
+        if [(f.name, f.dataType) for f in df.schema.fields] != [(f.name, f.dataType) for f in self.read(after).schema.fields]:
+            raise ValueError(f"{self.path}: the columns differ from the table's")
+        return self._put(df, after, self._entry(after)["folders"])
+
+    def _put(self, df: DataFrame, after: int, folders: list[str]) -> int:
         folder = f"data-{uuid.uuid4().hex}"
         df.write.parquet(os.path.join(self.path, folder))
-        self._publish(after + 1, {"folder": folder, "schema": json.loads(df.schema.json())})
+        self._publish(after + 1, {"folders": [*folders, folder], "schema": json.loads(df.schema.json())})
         return after + 1
 
     def rewrite(self, fn: Callable[[DataFrame], DataFrame]) -> int:
@@ -106,9 +117,12 @@ class VersionedTable:
         """Take all but the newest ``keep`` versions away; returns how many went."""
         if keep < 1:
             raise ValueError("the newest version stays")
-        old = self.versions()[:-keep]
+        versions = self.versions()
+        old = versions[:-keep]
+        held = {f for v in versions[-keep:] for f in self._entry(v)["folders"]}
         for version in old:                                # the entry last: a version is whole or not listed
-            for path in (os.path.join(self.path, self._entry(version)["folder"]), self._entry_path(version)):
+            gone = [os.path.join(self.path, f) for f in self._entry(version)["folders"] if f not in held]
+            for path in (*gone, self._entry_path(version)):
                 p, fs = self._hadoop(path)
                 fs.delete(p, True)
         return len(old)
