@@ -20,6 +20,7 @@ from tontine.params import DEFAULT, Params
 from tontine.plans import cashvalue, premium, reserve
 from tontine.schema import conform
 from tontine.sources.sinks import materialize
+from tontine.sources.stages import StageStore
 from tontine.sources.tables import version
 
 _RUNS: dict = {}
@@ -31,12 +32,16 @@ class Actuarial:
     sf_dir: str
     params: Params = DEFAULT
     how: str = "write"
+    store: StageStore | None = None
     _t: dict = field(default_factory=dict)
 
     def _get(self, name, build, how: str | None = None):
         """Stage ``name``: materialised (DW tables) or kept as a plan (cheap derivations)."""
         if name not in self._t:
-            self._t[name] = materialize(build(), how or self.how, name)
+            if self.store and not how:
+                self._t[name] = self.store.table(name, build, inputs(self.sf_dir), self.params)
+            else:
+                self._t[name] = materialize(build(), how or self.how, name)
         return self._t[name]
 
     @property
@@ -96,10 +101,16 @@ def forget(spark: SparkSession) -> None:
         del _RUNS[key]
 
 
-def run(spark: SparkSession, sf_dir: str, params: Params = DEFAULT, how: str = "write") -> Actuarial:
-    """The stage tables for ``sf_dir`` (one per session, version of the input files and parameter set)."""
-    inputs = tuple(version(spark, os.path.join(sf_dir, f"{t}.parquet")) for t in ("orders", "customer", "nation", "region"))
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, inputs, params, how)
+def inputs(sf_dir: str) -> list[str]:
+    """The files that the stages are made from."""
+    return [os.path.join(sf_dir, f"{t}.parquet") for t in ("orders", "customer", "nation", "region")]
+
+
+def run(spark: SparkSession, sf_dir: str, params: Params = DEFAULT, how: str = "write", store: StageStore | None = None) -> Actuarial:
+    """The stage tables for ``sf_dir`` (one per session, version of the input files and parameter set).  With
+    a ``store`` they are shared with other sessions: what one has built, the next reads."""
+    versions = tuple(version(spark, p) for p in inputs(sf_dir))
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, versions, params, how, store.root if store else None)
     if key not in _RUNS:
-        _RUNS[key] = Actuarial(spark, sf_dir, params, how)
+        _RUNS[key] = Actuarial(spark, sf_dir, params, how, store)
     return _RUNS[key]
