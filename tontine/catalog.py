@@ -432,7 +432,7 @@ def _storage(name):
 
 
 for _k in ("overwrite_from_self", "conform_table", "conform_rejects", "delimited_table", "delimited_rejects",
-           "policy_number_incremental", "client_id_incremental"):
+           "policy_number_incremental", "client_id_incremental", "warehouse_catalog"):
     register(_k)(_storage(_k))
 
 

@@ -532,6 +532,14 @@ add("client_id_assign", """
 SELECT c.user_id, a.id AS area_id,
        CAST(a.id AS VARCHAR) || '-' || CAST(row_number() OVER (PARTITION BY a.id ORDER BY CAST(c.user_id AS BIGINT)) AS VARCHAR) AS client_id
 FROM policy_client c JOIN area a ON c.province = a.province""")
+_LAYERS = [("ods", "mort_10_13", 7, "mort"), ("ods", "dd_table", 5, "dd"), ("ods", "pre_add_exp_ratio", 9, "expn"), ("ods", "prem_std_real", 6, "prem_std_real"),
+           ("ods", "prem_cv_real", 4, "prem_cv"), ("ods", "area", 4, "area"), ("ods", "policy_client", 10, "policy_client"),
+           ("ods", "policy_benefit", 9, "policy_benefit"), ("ods", "claim_info", 7, "claim_events"), ("ods", "policy_surrender", 5, "policy_surrender"),
+           ("dw", "prem_src", 33, "prem_src"), ("dw", "prem_std", 5, "prem_std"), ("dw", "cv_src", 47, "cv8"), ("dw", "prem_cv", 4, "prem_cv"),
+           ("dw", "rsv_src", 46, "prem_src")]
+add("warehouse_catalog", " UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{name}' AS table_name, CAST({columns} AS INTEGER) AS n_columns, count(*) AS n_rows FROM {source}"
+    for layer, name, columns, source in _LAYERS))
 add("policy_number_incremental", """
 SELECT pol_no, 'P' || repeat('0', greatest(0, 9 - length(CAST(n AS VARCHAR)))) || CAST(n AS VARCHAR) AS new_pol_no
 FROM (SELECT pol_no, row_number() OVER (ORDER BY CASE WHEN buy_datetime < '1997-01-01' THEN 1 WHEN buy_datetime < '1999-07-01' THEN 2 ELSE 3 END,

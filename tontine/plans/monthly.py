@@ -15,7 +15,8 @@ from pyspark.sql import SparkSession
 from tontine.params import DEFAULT, Params
 from tontine.plans import actuarial, kpi
 from tontine.plans.marts import policies_with_client, policy_result
-from tontine.schema import NOT_SUPPLIED, conform
+from tontine.plans.warehouse import Warehouse
+from tontine.schema import DDL, NOT_SUPPLIED, conform
 from tontine.sources.fixtures import bound_tables
 from tontine.sources.sinks import materialize, write_month
 
@@ -28,14 +29,15 @@ def ods_table_name(name: str) -> str:
 
 
 def write_warehouse(spark: SparkSession, sf_dir: str, root: str, params: Params = DEFAULT,
-                    buckets: int | None = None) -> list[tuple[str, str]]:
+                    buckets: int | None = None, catalog: Warehouse | None = None) -> list[tuple[str, str]]:
     """Write the ODS (input stand-ins) and DW (stage tables) layers under ``root/ods`` and
     ``root/dw``, each conformed to its declared schema; overwrite per table.
 
     With ``buckets`` the policy and client tables are written as external catalog
     tables bucketed and sorted by ``user_id`` with the same bucket count, so the
     monthly policy-client join (``read_ods`` + ``run_month(ods=...)``) is
-    co-located: no shuffle of either side, month after month.
+    co-located: no shuffle of either side, month after month.  With ``catalog`` (registered
+    over the same ``root``) the rows go through its checked inserts.
     """
     from tontine.sources import fixtures
     a = actuarial.run(spark, sf_dir, params)
@@ -57,6 +59,10 @@ def write_warehouse(spark: SparkSession, sf_dir: str, root: str, params: Params
     for layer, tables in (("ods", ods), ("dw", dw)):
         for name, df in tables.items():
             path = os.path.join(root, layer, name)
+            if catalog and not (buckets and name in BUCKETED):
+                catalog.insert(df, name)
+                out.append((name, path))
+                continue
             w = conform(df, name, missing=NOT_SUPPLIED.get(name, ())).write.mode("overwrite")
             if buckets and name in BUCKETED:
                 (w.bucketBy(buckets, "user_id").sortBy("user_id").format("parquet")
@@ -77,14 +83,18 @@ def read_ods(spark: SparkSession, root: str) -> dict:
 
 
 def run_month(spark: SparkSession, sf_dir: str, calc_month: str, out_root: str,
-              params: Params = DEFAULT, jdbc: dict | None = None, ods: dict | None = None) -> list[tuple[str, str]]:
+              params: Params = DEFAULT, jdbc: dict | None = None, ods: dict | None = None,
+              catalog: Warehouse | None = None) -> list[tuple[str, str]]:
+    """With ``catalog`` (registered over the same ``out_root``) every mart goes through its checked inserts."""
     a = actuarial.run(spark, sf_dir, params)
     price = a.prem_std_real
     written: list[tuple[str, str]] = []
 
     def put(name, df, partitioned=True):
         path = os.path.join(out_root, "app", name)
-        if partitioned:
+        if catalog:
+            catalog.insert(df, name, calc_month if partitioned else None)
+        elif partitioned:
             write_month(df, path, calc_month)
         else:
             df.write.mode("overwrite").parquet(path)
@@ -111,7 +121,7 @@ def run_month(spark: SparkSession, sf_dir: str, calc_month: str, out_root: str,
             "app_agg_month_nbev": kpi.kpi_nbev(spark, sf_dir, price),
         }
         for name, df in marts.items():
-            put(name, conform(df, name))
+            put(name, df.select(*[c for c, _ in DDL[name]]) if catalog else conform(df, name))
     if jdbc:
         from tontine.sources.jdbc import export_jdbc
         export_jdbc(a.policy_actuary, jdbc["url"], jdbc.get("table", "POLICY_ACTUARY"), jdbc["props"])

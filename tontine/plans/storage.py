@@ -14,6 +14,8 @@ from tontine.functions.dates import month_shift
 from tontine.operators.joins import broadcast_bounded
 from tontine.operators.numbering import Numbering
 from tontine.plans import kpi
+from tontine.plans.monthly import write_warehouse
+from tontine.plans.warehouse import LAYERS, Warehouse
 from tontine.sources import fixtures
 from tontine.sources.rejects import load, read_delimited_raw
 from tontine.sources.sinks import inventory, stage_dir, write_month, write_months
@@ -163,3 +165,19 @@ def client_id_incremental(spark, sf_dir) -> DataFrame:
     held.assign(clients.where("client % 2 = 0"))
     held.assign(clients)
     return held.rows.read().select(F.col("client").cast("string").alias("user_id"), "area_id", F.concat_ws("-", "area_id", "number").alias("client_id"))
+
+
+def warehouse_catalog(spark, sf_dir) -> DataFrame:
+    """Rows and columns of every input and detail table, written and read through the catalog."""
+    root = _folder(spark, "warehouse")
+    held = Warehouse(spark, root, f"w{uuid.uuid4().hex[:12]}_")
+    held.register()
+    write_warehouse(spark, sf_dir, root, catalog=held)
+    counted = None
+    for layer in ("ods", "dw"):
+        for name in LAYERS[layer]:
+            one = held.read(name)
+            row = one.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"),
+                                                                   F.lit(len(one.columns)).alias("n_columns"), "n_rows")
+            counted = row if counted is None else counted.unionByName(row)
+    return counted
