@@ -19,13 +19,18 @@ content, so ordinary windows compress alike and margins stay at 0.
 
 Fitting uses a bounded sample: at most ``TOXIC_ROWS`` and ``ORDINARY_ROWS``
 labelled documents of at most ``LEARN_CHARS`` characters, as many of each stratum
-as far as it goes, by a hash of the id.  Scoring reads every whole text.
+as far as it goes, by a hash of the id.  It is fitted in one task, so no text reaches
+the driver.  Strata are the values of the language column: it takes part in choosing
+the sample and the markers, so another such column gives another model, but a score
+never reads it.  Scoring reads every whole text, of any length.
 
 Results for odd input: null text counts as empty and has no windows (the score of
 no evidence); labels that are null, or have no document, are left out, and a
 document labelled more than once counts as toxic if any label says so; without
 labels of both kinds every score is the share of toxic ones (0 without any); rows
-with one id are scored each; an empty table gives an empty result.
+with one id are scored each, and equal texts alike; ids whose turns in the sample are
+equal follow each other by id; other columns are not looked at, whatever their names;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,7 +42,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -350,10 +354,25 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # at most TOXIC_ROWS + ORDINARY_ROWS ids of some bytes
     rows = (texts.join(F.broadcast(pick[0].unionByName(pick[1])), "id")
             .orderBy(F.xxhash64(F.col("id").cast("string")), "id", "text").limit(2 * (TOXIC_ROWS + ORDINARY_ROWS))
-            .select("kind", "text", "name").toArrow())
-    of = [rows.filter(pc.equal(rows.column("kind"), kind)) for kind in (0, 1)]
-    texts_of, names_of = ([t.column(c).to_pylist() for t in of] for c in ("text", "name"))
-    return fit(*texts_of, float(shares), (names_of[0], names_of[1]))
+            .select("kind", "text", "name"))
+    # the sample is fitted in one task: the driver gets the model (some 20 KB), no text
+    fitted = rows.mapInArrow(_fit_rows(float(shares)), "ordinary binary, toxic binary, weights array<double>").first()
+    return Model(bytes(fitted.ordinary), bytes(fitted.toxic), tuple(fitted.weights), float(shares)) if fitted else Model(b"", b"", (), float(shares))
+
+
+def _fit_rows(prior: float):
+    """The model of the (kind, text, name) rows of a task, as one row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: tuple[list[str], list[str]] = ([], [])
+        names: tuple[list[str], list[str]] = ([], [])
+        for b in batches:
+            for kind, text, name in zip(*[b.column(c).to_pylist() for c in ("kind", "text", "name")], strict=True):
+                texts[kind].append(text)
+                names[kind].append(name)
+        model = fit(*texts, prior, names)
+        yield pa.RecordBatch.from_arrays([pa.array([model.ordinary], pa.binary()), pa.array([model.toxic], pa.binary()),
+                                          pa.array([list(model.weights)], pa.list_(pa.float64()))], names=["ordinary", "toxic", "weights"])
+    return run
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
