@@ -3,9 +3,10 @@
 Alternating large-star and small-star steps: every step only groups and joins
 links by node, replaces each link by one to a smaller node and never adds links
 (beyond one a node), so a component of any size and shape ends as a star around
-its smallest node.  A hub's links are pre-aggregated to their minimum and joined
-back, where Spark splits a skewed hub.  Each round is a written table, so a lost
-executor costs no more than its own tasks.
+its smallest node.  A hub's links are pre-aggregated to their minimum, which is dealt
+on its own before it is joined back: so both sides of the join are plain exchanges,
+and Spark splits a skewed hub (it does not with an aggregate in between).  Each round
+is a written table, so a lost executor costs no more than its own tasks.
 """
 
 from __future__ import annotations
@@ -13,12 +14,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tontine.llm.batches import partitions
 from tontine.sources.sinks import materialize
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """An aggregate's rows in an exchange of their own, so that AQE can split the other side of a join with them."""
+    return rows.repartition(partitions(rows.sparkSession))
+
+
 def _toward_least(links: DataFrame) -> DataFrame:
     """Links (u, v): each v of u points to the smallest of u's neighbours and u itself."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    least = dealt(links.groupBy("u").agg(F.min("v").alias("m")))
     return links.join(least, "u").select("u", "v", F.least("u", "m").alias("m"))
 
 

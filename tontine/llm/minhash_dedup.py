@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tontine.llm.batches import list_array, map_batches, small_batches
-from tontine.llm.graph import components
+from tontine.llm.graph import components, dealt
 from tontine.llm.words import Words, mix, row_slices, utf8
 from tontine.sources.sinks import materialize
 
@@ -159,7 +159,7 @@ def confirmed_components(nodes: DataFrame, keys: DataFrame, rows: DataFrame, per
     ``signature``; ``keys`` has (key, node); ``rows`` has (id, text) of the nodes.
     """
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
-    shared = materialize(keys.join(hubs.select("key", "hub"), "key"), name="minhash-shared")
+    shared = materialize(keys.join(dealt(hubs.select("key", "hub")), "key"), name="minhash-shared")
     wanted = shared.select(F.col("node").alias("id")).distinct()
     sets = materialize(set_rows(rows.join(wanted, "id", "left_semi"), shingle, lower), name="minhash-sets")
     side = lambda s: nodes.withColumnsRenamed({c: s if c == "node" else f"{s}_{c}" for c in nodes.columns})
@@ -179,7 +179,7 @@ def confirmed_components(nodes: DataFrame, keys: DataFrame, rows: DataFrame, per
     apart = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                        F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
              .filter("lo < hi").select("key", "parts"))
-    rest = (placed.join(apart, "key").join(nodes, "node").join(sets.withColumnRenamed("id", "node"), "node")
+    rest = (placed.join(dealt(apart), "key").join(nodes, "node").join(sets.withColumnRenamed("id", "node"), "node")
             .withColumn("part", F.pmod(F.hash("node"), F.col("parts")))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .withColumn("left", F.least("part", "other")).withColumn("right", F.greatest("part", "other")))
