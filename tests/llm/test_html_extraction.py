@@ -1,6 +1,10 @@
 import html
 import random
 import re
+import time
+from collections import Counter
+
+import pytest
 
 from tontine.llm import html_extraction as H
 from tontine.llm.html_extraction import Page, main_texts
@@ -79,5 +83,57 @@ def test_self_described_parts_go_on_any_page():
     assert Page(body).main_text(set()) == "Title One linked1 word first second"
 
 
+@pytest.mark.parametrize("holder", ['<body class="home has-sidebar">', '<html class="modal-ready"><body>', '<div class="content no-sidebar">',
+                                    '<div class="widget Blog">', '<body id="page-header" class="menu">', '<div id="social"><div class="header">'])
+def test_names_of_what_holds_the_article_say_nothing(holder):
+    assert Page(f"{holder}<div class=sidebar>S</div><article><h1>T</h1><p>body</p></article>").main_text(set()) == "T body"
+    assert Page(f"{holder}<main><p>body</p></main>").main_text(set()) == "body"
+
+
+def test_names_count_as_a_whole_and_not_on_text():
+    body = """<article><header class="entry-header"><h1>Title</h1></header><h2 id="social-policy">Policy</h2><p class="notice-period">Notice</p>
+    <table class="ads-by-year"><tr class="related"><td id="share">9</table><p class="ad">Said</p><div class="notice">Mind</div>
+    <div class="big Ad">gone</div><section id="comments"><article class="comment">gone</article></section></article>"""
+    assert Page(body).main_text(set()) == "Title Policy Notice 9 Said Mind"
+    assert Page('<div class="site-footer">F</div><div class="ads-free">kept</div><div class="menu">M</div>').main_text(set()) == "kept"
+    assert Page('<div class="widget"><p>all there is</p></div>').main_text(set()) == "all there is"
+    assert Page('<section id="comments"><article class="comment">C</article></section><p>P</p>').main_text(set()) == "P"
+
+
+def test_time_grows_with_the_length():
+    """Unclosed elements and closing tags that close nothing."""
+    for part, n in (("<b>x</i>", 120_000), ("<p><button><b>x<hr>", 50_000), ("<div><b><article></p>", 40_000), ("<li><ul><i>x</li></dd>", 40_000)):
+        started = time.time()
+        Page(part * n).main_text(set())
+        assert time.time() - started < 30, part
+
+
+def test_counts_equal_a_slow_recount(spark, monkeypatch):
+    """The outermost template subtrees of every host, recounted page by page without Spark."""
+    rnd = random.Random(8)
+    tables = {}
+    written = H.materialize
+    monkeypatch.setattr(H, "materialize", lambda df, name: tables.setdefault(name, written(df, name=name)))
+    bits = ["<ul><li>Home<li>About</ul>", "<div><div>Deep <b>er</b></div>more</div>", "<p>often</p>", "<div>now and then</div>", "<table><tr><td>1<td>2</table>"]
+    rows = []
+    for k in range(90):
+        some = [b for b in bits if rnd.random() < 0.6] + [f"<div>own {k}</div>", f"<p>w{rnd.randrange(4)}</p>"]
+        rnd.shuffle(some)
+        middle = "".join(some)
+        rows.append((k, f"http://h{k % 3}.example/", f"<article>{middle}</article>" if k % 3 == 0 else f"<body>{middle}"))
+    got = {r.id: r.text for r in main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for host in range(3):
+        pages = [Page(h) for k, _, h in rows if k % 3 == host]
+        found = [p.candidates() for p in pages]
+        counts = Counter(key for c in found for key in {key for key, _, _ in c})
+        inside = {key for c in found for key, _, i in c if i}
+        template = {key for key, n in counts.items() if n >= H.MANY and 2 * n >= len(pages) and key in inside}
+        outer = {key for c in found for key, parent, _ in c if key in template and parent not in template}
+        spark_side = [set(r.template) for r in tables["templates"].collect() if r.host == f"h{host}.example"]
+        assert spark_side == ([outer] if outer else [])
+        for (k, _, _), p in zip([r for r in rows if r[0] % 3 == host], pages, strict=True):
+            assert got[k] == p.main_text(outer)
+
+
 def test_blocks_of_the_page_order():
     assert Page("a<div>b<div>c</div>d</div>e<table><tr><td>f<td>g</table>").main_text(set()) == "a b c d e f g"

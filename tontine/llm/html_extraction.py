@@ -10,13 +10,18 @@ subtrees are deleted and the blocks of the rest are put out.
 Paragraphs and headings of the article are never deleted for recurring, and any other
 block in it (list items, table cells, bare divs) only if it is on half of the site's
 pages, so articles that share such blocks, and copies of an article, stay whole.
-Elements that say themselves what they are (by tag,
-role or class) are deleted on any page, for sites of which too few pages are known.
+Elements that say themselves what they are are deleted on any page, for sites of which too
+few pages are known: by tag or role, and by a class or id that is one of a few words as a
+whole (``sidebar``, not ``has-sidebar``).  Such a name says nothing of a page, of an element
+that holds the article, of a heading, paragraph or table part; inside an article only the
+names of adverts, comments and the like count; and if nothing else is left, none does.
 
 The text is taken from a page's articles, else its main element, else its body.
 Results for odd input: null html is empty; a page without a host is one of the
 host ""; rows with one id are extracted each and count as pages; broken or
-cut-off markup is closed where browsers would; an empty table gives an empty result.
+cut-off markup is closed where browsers would; whole pages of any length are read, in time
+that grows with their length; other columns are not looked at, whatever their names; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -45,9 +50,17 @@ NO_TEXT = frozenset("""audio button canvas form head iframe input label map nosc
     textarea title video""".split())
 SITE_PARTS = frozenset("aside dialog footer menu nav".split())
 SITE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form navigation search".split())
-SITE_CLASSES = frozenset("""ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies
+SITE_NAMES = frozenset("""ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies
     disclaimer footer header menu modal nav navbar navigation newsletter notice notices popup promo promotion related reply replies
     share sharing sidebar social sponsor sponsored subscribe toolbar widget""".split())
+COMMENT_NAMES = frozenset("comment comments reply replies".split())
+#: Names that count inside an article too.
+INNER_NAMES = COMMENT_NAMES | frozenset("""ad ads advert advertisement adverts cookie cookies newsletter promo promotion related share sharing
+    sidebar sponsor sponsored subscribe""".split())
+#: These count with what they belong to: site-footer, page-header.
+OWNERS = ("site-", "page-")
+#: A name says nothing about these.
+UNNAMED = TEXT_BLOCKS | frozenset("html body table caption thead tbody tfoot tr td th li dt dd".split())
 #: An opening tag closes an open one of these before it, up to the scope.
 CLOSES = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
           "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
@@ -58,10 +71,18 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 
 class _Element:
-    __slots__ = ("key", "lead", "parent", "parts", "site", "tag")
+    __slots__ = ("key", "lead", "names", "parent", "parts", "site", "tag")
 
-    def __init__(self, tag: str, lead: str, parent: int, site: bool):
-        self.tag, self.lead, self.parent, self.site, self.parts, self.key = tag, lead, parent, site, [], 0
+    def __init__(self, tag: str, lead: str, parent: int, site: bool, names: frozenset[str]):
+        self.tag, self.lead, self.parent, self.site, self.names, self.parts, self.key = tag, lead, parent, site, names, [], 0
+
+
+def _site_names(tag: str, given: dict[str, str | None]) -> frozenset[str]:
+    """The whole classes and the id of an element that name a part of the site."""
+    if tag in UNNAMED:
+        return frozenset()
+    names = f"{given.get('class') or ''} {given.get('id') or ''}".lower().split()
+    return frozenset(n for name in names if (n := next((name[len(o):] for o in OWNERS if name.startswith(o)), name)) in SITE_NAMES)
 
 
 class Page(HTMLParser):
@@ -69,8 +90,9 @@ class Page(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.elements = [_Element("html", "html", -1, False)]
+        self.elements = [_Element("html", "html", -1, False, frozenset())]
         self.open = [0]
+        self.depths: dict[str, list[int]] = {}             # where each tag is open
         self.text: list[tuple[int, str | None]] = []
         self.feed(html)
         self.close()
@@ -78,15 +100,19 @@ class Page(HTMLParser):
             e = self.elements[k]
             body = "\x01".join([e.lead, *[p if isinstance(p, str) else f"\x02{self.elements[p].key}" for p in e.parts]])
             e.key = xxhash.xxh64_intdigest(body.encode("utf-8", "surrogatepass")) - 2**63
+        self.roots = self._roots()
+        self.inside = self._inside_roots()
+
+    def _deepest(self, tags: tuple[str, ...] | frozenset) -> int:
+        return max((at[-1] for t in tags if (at := self.depths.get(t))), default=0)
 
     def _shut(self, tags: tuple[str, ...] | frozenset, scope: tuple[str, ...]) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            tag = self.elements[self.open[depth]].tag
-            if tag in tags:
-                del self.open[depth:]
-                return
-            if tag in scope:
-                return
+        """Close the innermost of ``tags`` that is open, and all in it, unless one of ``scope`` is open in it."""
+        depth = self._deepest(tags)
+        if depth and depth >= self._deepest(scope):
+            for k in self.open[depth:]:
+                self.depths[self.elements[k].lead.split(" ", 1)[0]].pop()
+            del self.open[depth:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in CLOSE_P:
@@ -94,24 +120,24 @@ class Page(HTMLParser):
         if tag in CLOSES:
             self._shut(*CLOSES[tag])
         given = dict(attrs)
-        names = _WORD.findall(f"{given.get('class') or ''} {given.get('id') or ''}".lower())
-        site = (tag in SITE_PARTS or (given.get("role") or "").lower() in SITE_ROLES or not SITE_CLASSES.isdisjoint(names)
-                or "hidden" in given)
+        words = _WORD.findall(f"{given.get('class') or ''} {given.get('id') or ''}".lower())
+        site = tag in SITE_PARTS or (given.get("role") or "").lower() in SITE_ROLES or "hidden" in given
         parent = self.open[-1]
         k = len(self.elements)
         main = tag == "main" or (given.get("role") or "").lower() == "main"
-        self.elements.append(_Element("main" if main else tag, " ".join([tag, *names]), parent, site))
+        self.elements.append(_Element("main" if main else tag, " ".join([tag, *words]), parent, site, _site_names(tag, given)))
         self.elements[parent].parts.append(k)
         if tag in BLOCKS:
             self.text.append((k, None))
         if tag not in VOID:
+            self.depths.setdefault(tag, []).append(len(self.open))
             self.open.append(k)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)                   # "/>" closes nothing but void elements
 
     def handle_endtag(self, tag: str) -> None:
-        if any(self.elements[k].tag == tag for k in self.open[1:]) and tag not in ("html", "body"):
+        if tag not in ("html", "body"):
             self._shut((tag,), ())
         if tag in BLOCKS:
             self.text.append((self.open[-1], None))
@@ -122,25 +148,24 @@ class Page(HTMLParser):
         if words:
             self.elements[self.open[-1]].parts.append(words)
 
-    def roots(self) -> list[int]:
-        """The outermost articles that are no part of the site, else the main element, else the page."""
+    def _roots(self) -> list[int]:
+        """The outermost articles that are no part of the site, else the main element, else the page.  If all
+        articles lie in elements with a site part's name, those names say nothing but of comments."""
         for tag in ("article", "main"):
-            found: set[int] = set()
-            shut = self.marks(lambda e: e.site or e.tag in NO_TEXT)
-            for k, e in enumerate(self.elements):
-                if e.tag == tag and not shut[k] and not self._inside(k, found):
-                    found.add(k)
-            if found:
-                return sorted(found)
+            for names in (SITE_NAMES, COMMENT_NAMES):
+                shut = self.marks(lambda e: e.site or e.tag in NO_TEXT or not names.isdisjoint(e.names))  # noqa: B023
+                held: list[bool] = []                      # lies in a root
+                found = []
+                for k, e in enumerate(self.elements):
+                    within = e.parent >= 0 and held[e.parent]
+                    root = not within and e.tag == tag and not shut[k]
+                    if root:
+                        found.append(k)
+                    held.append(within or root)
+                if found:
+                    return found
         return [0]
 
-    def _inside(self, k: int, found: set[int]) -> bool:
-        while k >= 0:
-            if k in found:
-                return True
-            k = self.elements[k].parent
-        return False
-
     def marks(self, test) -> list[bool]:
         """Elements that pass a test or lie in one that does."""
         out = []
@@ -151,20 +176,26 @@ class Page(HTMLParser):
     def candidates(self) -> set[tuple[int, int, bool]]:
         """(hash, parent's hash, in the roots) of the subtrees that may be template; 0 for a parent
         that may not."""
-        roots = self.roots()
-        inside = self._inside_roots()
         within = self.marks(lambda e: e.tag in TEXT_BLOCKS)
         fit = [e.parent >= 0 and bool(e.parts) and e.tag not in NO_TEXT and e.tag not in ("body", "article", "main")
-               and not (inside[k] and (within[k] or e.tag not in BLOCKS))
+               and not (self.inside[k] and (within[k] or e.tag not in BLOCKS))
                for k, e in enumerate(self.elements)]
-        for r in roots:                                    # what holds the article is no template
-            while r >= 0:
-                fit[r], r = False, self.elements[r].parent
-        return {(e.key, self.elements[e.parent].key if fit[e.parent] else 0, inside[k])
+        for r in self.holders():                           # what holds the article is no template
+            fit[r] = False
+        return {(e.key, self.elements[e.parent].key if fit[e.parent] else 0, self.inside[k])
                 for k, e in enumerate(self.elements) if fit[k]}
 
+    def holders(self) -> set[int]:
+        """The roots and what they lie in."""
+        out: set[int] = set()
+        for r in self.roots:
+            while r >= 0 and r not in out:
+                out.add(r)
+                r = self.elements[r].parent
+        return out
+
     def _inside_roots(self) -> list[bool]:
-        roots = set(self.roots())
+        roots = set(self.roots)
         out: list[bool] = []
         for k, e in enumerate(self.elements):
             out.append(k in roots or (e.parent >= 0 and out[e.parent]))
@@ -172,18 +203,21 @@ class Page(HTMLParser):
 
     def main_text(self, template: set[int]) -> str:
         """Blocks of the roots without site parts and template subtrees, joined by one space."""
+        names = INNER_NAMES if self.elements[self.roots[0]].tag == "article" else SITE_NAMES
+        return self._text(template, names) or self._text(template, frozenset())
+
+    def _text(self, template: set[int], names: frozenset[str]) -> str:
         allowed = {k for k, *_ in self.candidates()} & template
-        roots = {id(self.elements[r]) for r in self.roots()}
-        whole = id(self.elements[0]) in roots
-        inside = self._inside_roots()
-        gone = self.marks(lambda e: id(e) not in roots and (
-            e.site or e.tag in NO_TEXT or e.key in allowed or (whole and e.tag == "header")))
+        held = {id(self.elements[k]) for k in self.holders()}
+        whole = self.roots == [0]
+        gone = self.marks(lambda e: id(e) not in held and (
+            e.site or e.tag in NO_TEXT or e.key in allowed or not names.isdisjoint(e.names) or (whole and e.tag == "header")))
         blocks, now = [], []
         for k, data in self.text:
             if data is None:
                 blocks.append("".join(now))
                 now = []
-            elif inside[k] and not gone[k]:
+            elif self.inside[k] and not gone[k]:
                 now.append(data)
         words = (" ".join(b.split()) for b in [*blocks, "".join(now)])
         return " ".join(w for w in words if w)
