@@ -43,3 +43,13 @@ def test_matches_brute_force(spark):
         assert r.start == at[key] and r.end == r.start + len(r.message)
         at[key] = r.end
     assert rotate(df.limit(0)).count() == 0
+
+
+def test_a_conversation_with_a_third_of_all_turns_is_split(spark):
+    """Its turns lie in several ranges of the scans, and the renderings stay whole."""
+    rnd = random.Random(2)
+    rows = [(0 if k % 3 == 0 else k % 500 + 1, k, rnd.choice(["system", "a", "b"]), f"t{k}") for k in range(3000)]
+    out = rotate(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "direct_shuffle_partition_id(_pid" in plan and "hashpartitioning(conv_id#" not in plan.split("SortMergeJoin")[0]
+    assert {(r.conv_id, r.perspective): (r.text, [(m.start, m.end) for m in r.mask]) for r in rendered(out).collect()} == brute(rows)
