@@ -7,21 +7,23 @@ from tontine.llm import vector_dedup as V
 
 
 def brute(rows, cosine=0.95):
-    good = [k for k, (i, v) in enumerate(rows) if i is not None and v and len(v) == 16 and all(x is not None and np.isfinite(x) for x in v)
-            and any(v)]
-    x = np.array([rows[k][1] for k in good], float)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    near = x @ x.T >= cosine
-    comp = {rows[k][0]: rows[k][0] for k in range(len(rows)) if rows[k][0] is not None}
+    comp = {i: i for i, _ in rows if i is not None}
 
     def root(c):
         while comp[c] != c:
             c = comp[c]
         return c
-    for a, b in zip(*np.nonzero(near), strict=True):
-        p, q = sorted((root(rows[good[a]][0]), root(rows[good[b]][0])))
-        comp[q] = p
-    n = {k: int(near[i].sum()) - 1 for i, k in enumerate(good)}
+    usable = [k for k, (i, v) in enumerate(rows) if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    n = {}
+    for size in {len(rows[k][1]) for k in usable}:
+        good = [k for k in usable if len(rows[k][1]) == size]
+        x = np.array([rows[k][1] for k in good], float)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        near = x @ x.T >= cosine
+        for a, b in zip(*np.nonzero(near), strict=True):
+            p, q = sorted((root(rows[good[a]][0]), root(rows[good[b]][0])))
+            comp[q] = p
+        n |= {k: int(near[i].sum()) - 1 for i, k in enumerate(good)}
     return [(i, n.get(k, 0), None if i is None else root(i)) for k, (i, _) in enumerate(rows)]
 
 
@@ -43,7 +45,7 @@ def test_matches_brute_force(spark, monkeypatch, members):
     rows += [(10 * k + 5, some[0]) for k in range(60)]                      # a group of exact copies
     rows += [(9000, [3 * x for x in some[1]]), (9001, [-x for x in some[1]]), (9002, [1e30 * x for x in some[1]])]
     rows += [(1, None), (2, []), (3, [0.0] * 16), (4, [float("nan")] + [1.0] * 15), (6, [None] + [1.0] * 15),
-             (7, [float("inf")] + [1.0] * 15), (8, [1.0] * 5), (9, [1.0] * 5), (None, some[0])]
+             (7, [float("inf")] + [1.0] * 15), (8, [1.0] * 5), (9, [1.0] * 5), (11, [1.0, 2.0]), (None, some[0])]
     df = spark.createDataFrame([(i, v, 0, "x") for i, v in rows], "vec_id long, embedding array<float>, label int, node string")
     exact = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     got = V.near_vectors(df, recall=0.99999).collect()

@@ -20,8 +20,10 @@ node's number of links and, for the components, links that join two groups of a
 A large bucket is cut into parts, and every pair of parts is one unit of work.
 
 Results for odd input: vectors that are null, empty or zero, hold nulls or
-non-finite components, have no id, or another length than most, link with nothing;
-rows with one id are one node; an empty table gives an empty result.
+non-finite components, or have no id, link with nothing; vectors of different lengths
+do not link, and each length is indexed by itself (one after the other: a table has
+few); rows with one id are one node; other columns are not looked at, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 
 from tontine.llm.batches import list_array, map_batches, partitions, small_batches
 from tontine.llm.graph import components
+from tontine.llm.graph import dealt as apart
 from tontine.sources.sinks import materialize
 
 #: Vectors that train the rotations, and steps of the training.
@@ -278,12 +281,17 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     finite = ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.col("id").isNotNull() & finite & F.exists("vector", lambda x: x != 0)
     rows = rows.withColumn("size", F.when(F.coalesce(usable, F.lit(False)), F.size("vector")))
-    most = rows.filter("size is not null").groupBy("size").count().orderBy(F.desc("count"), "size").first()
-    size = most["size"] if most else 0
-    rows = rows.withColumn("vector", F.when(F.col("size") == size, F.col("vector"))).drop("size")
+    sizes = [r["size"] for r in rows.filter("size is not null").groupBy("size").count().orderBy(F.desc("count"), "size").collect()]
+    out = rows.filter("size is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    for size in sizes:                                     # a cosine needs one length: each has an index of its own
+        out = out.unionByName(_of_length(rows.filter(F.col("size") == size).select("id", "vector"), size, cosine, recall))
+    return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
-    classes = materialize(rows.filter("vector is not null").groupBy("vector")
-                          .agg(F.min("id").alias("node"), F.count("*").alias("copies")), name="vector-classes")
+
+def _of_length(rows: DataFrame, size: int, cosine: float, recall: float) -> DataFrame:
+    """(id, n_links, component_id) of usable vectors of one length."""
+    spark = rows.sparkSession
+    classes = materialize(rows.groupBy("vector").agg(F.min("id").alias("node"), F.count("*").alias("copies")), name="vector-classes")
     n = classes.count()
     sample = classes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vector").toArrow().column(0)
     index = Index(_unit(_matrix(sample)) if n else np.zeros((0, max(size, 1))), n, cosine, recall)
@@ -300,7 +308,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     entries = nodes.select("node", F.explode("keys").alias("bucket"))
     parts = (entries.groupBy("bucket").count().filter("count > 1")
              .select("bucket", F.ceil(F.col("count") / MEMBERS).cast("int").alias("parts")))
-    work = (entries.join(parts, "bucket").withColumn("part", F.pmod(F.hash("node"), F.col("parts")))
+    work = (entries.join(apart(parts), "bucket").withColumn("part", F.pmod(F.hash("node"), F.col("parts")))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .select("bucket", F.least("part", "other").alias("left"), F.greatest("part", "other").alias("right"), "part", "node"))
 
@@ -316,6 +324,4 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     per_class = classes.join(links, "node", "left").join(groups, "node", "left").select(
         "vector", "node", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("component", "node").alias("component_id"))
-    linked = rows.filter("vector is not null").join(per_class, "vector").select("id", "n_links", "component_id")
-    alone = rows.filter("vector is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+    return rows.join(per_class, "vector").select("id", "n_links", "component_id")
