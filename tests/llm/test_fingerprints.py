@@ -1,10 +1,12 @@
 import hashlib
 import random
+import re
 
 import pyarrow as pa
 
 from tests.llm.test_minhash_dedup import edited, shingles
 from tontine.llm import fingerprints as P
+from tontine.llm import words
 
 
 def sign(text):
@@ -64,3 +66,37 @@ def test_near_pairs_connect_near_documents(documents):
     component = {r.id: r.component_id for r in members.collect()}
     near = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     assert near and set(component) == set(sets) and all(component[i] == component[j] for i, j in near)
+
+
+def plain_signature(text):
+    """128 minima of 5-word shingles with Python's own numbers: word sums, windows, permutations modulo 2^32."""
+    whole, half = 2**64 - 1, 2**32 - 1
+
+    def mix(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 & whole
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB & whole
+        return x ^ x >> 31
+    given = [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
+    base, byte, coef = int(words._BASE), [int(x) for x in words._BYTE], [int(x) for x in words._COEF[0]]
+    hashed = []
+    for w in given:
+        total, power = 0, 1
+        for b in w:
+            total, power = total + byte[b] * power & whole, power * base & whole
+        hashed.append(mix(total + len(w) & whole))
+    n = min(5, len(hashed))
+    if not n:
+        return b""
+    shingles = [mix(sum(h * c for h, c in zip(hashed[k:k + n], coef, strict=False)) + n & whole) >> 32 for k in range(len(hashed) - n + 1)]
+    least = [min(x * int(a) + int(b) & half for x in shingles) & 0xFFFF for a, b in zip(P._A, P._B, strict=True)]
+    return b"".join(x.to_bytes(2, "little") for x in least)
+
+
+def test_fingerprints_equal_a_plain_minhash(documents):
+    rnd = random.Random(12)
+    texts = ["", " \t", "one", "one two three four", "héé 漢字 x\x00y", "a b " * 40]
+    texts += [" ".join(rnd.choice(["alpha", "béta", "c", "Δ", "42"]) for _ in range(rnd.randrange(1, 60))) for _ in range(40)]
+    got = {r.id: bytes(r.fingerprint) for r in P.fingerprint(documents(list(enumerate(texts)))).collect()}
+    assert got == {k: plain_signature(t) for k, t in enumerate(texts)}
