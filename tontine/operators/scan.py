@@ -153,6 +153,9 @@ def _same_as_previous(columns: list[pa.Array]) -> np.ndarray:
 def _compose(a: np.ndarray, b: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maps x -> a x + b of each row composed from its run's start on, doubling the reach
     each step (``place``: rows of the run before)."""
+    if a.shape[1] == 1:                                    # one state: plain products
+        a, b = _compose_one(a[:, 0, 0], b[:, 0], place)
+        return a[:, None, None], b[:, None]
     a, b, reach = a.copy(), b.copy(), 1
     while reach <= (place.max() if len(place) else 0):
         at = np.flatnonzero(place >= reach)
@@ -162,6 +165,16 @@ def _compose(a: np.ndarray, b: np.ndarray, place: np.ndarray) -> tuple[np.ndarra
     return a, b
 
 
+def _compose_one(a: np.ndarray, b: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    a, b, reach = a.copy(), b.copy(), 1
+    while reach <= (place.max() if len(place) else 0):
+        at = np.flatnonzero(place >= reach)
+        b[at] += a[at] * b[at - reach]
+        a[at] *= a[at - reach]
+        reach *= 2
+    return a, b
+
+
 def _fold(keys: list[str], k: int, inner: list[str], schema: T.StructType):
     """Of each sorted partition, per row and relative to its run's start: ``_alpha`` and ``_beta``
     (x = alpha x_before + beta), ``_seeded`` (x if the key starts with the run) and whether the row
