@@ -114,8 +114,8 @@ def failures(docs: DataFrame, text_filters: Sequence[Column], id_col: str = "doc
 
 def quality_filters() -> list[Column]:
     """A: under 100 words; B: under 80 % of them distinct; C: over 10 % capitals A-Z; D: one of ``#$%&*|``."""
-    n = F.size("words")
-    return [n < 100, F.size(F.array_distinct("words")) * 100 < n * 80,
+    n = F.size("words").cast("long")
+    return [n < 100, F.size(F.array_distinct("words")).cast("long") * 100 < n * 80,
             F.regexp_count("text", F.lit("[A-Z]")).cast("long") * 100 > F.length("text").cast("long") * 10,
             F.col("text").rlike("[#$%&*|]")]
 

@@ -120,7 +120,9 @@ def template_grams(spark: SparkSession, given: list[Template]) -> DataFrame:
     size = sum(max(len(t.words) - t.gram + 1, 0) for t in given)
     if size > MOST_GRAMS or any(len(t.words) < t.gram for t in given):
         raise ValueError(f"templates of at least a gram's words and {MOST_GRAMS} grams in all, not {size}")
-    rows = spark.createDataFrame([(n, list(t.words), t.notice) for n, t in enumerate(given)], "t int, w array<string>, notice boolean")
+    literal = [F.struct(F.lit(n).alias("t"), F.array(*[F.lit(w) for w in t.words]).alias("w"), F.lit(t.notice).alias("notice"))
+               for n, t in enumerate(given)]
+    rows = spark.range(1).select(F.inline(F.array(*literal)))
     grams = F.when(F.col("notice"), _grams(F.col("w"), NOTICE_GRAM)).otherwise(_grams(F.col("w"), PHRASE_GRAM))
     return rows.select("t", F.explode(grams).alias("g")).select(
         "t", F.col("g.p").alias("q"), F.col("g.h").alias("h"), F.col("g.gram").alias("template_gram"))
