@@ -18,7 +18,8 @@ Results for odd input: null or blank text has an empty set and an empty
 fingerprint; two empty fingerprints are alike (1), an empty one and another are
 not (0); a text of fewer words than a shingle has its whole sequence as one; rows
 with one id are ordered by their text, null ids come last; a single document is
-its own next one; an empty table gives an empty result.
+its own next one; a text of any length is read whole; other columns are not looked at,
+whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations

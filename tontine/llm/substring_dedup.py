@@ -18,8 +18,9 @@ often it occurs there; no list of documents or pairs is ever built.
 
 Results for odd input: null text counts as empty; a document of fewer words than
 a window keeps all of them; rows with the same id never remove each other's
-words; rows whose id is null neither remove nor lose words; an empty table gives
-an empty result.
+words; rows whose id is null neither remove nor lose words; a text of any length
+is read whole; other columns are not looked at, whatever their names, but for those
+of ``keep``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
