@@ -11,7 +11,9 @@ of their input.
 5. packing: the texts become sequences of 1024 tokens.
 
 Null ids and texts pass every filter; a text that loses all its words stays as an
-empty document; rows that share an id stay or go together.
+empty document; rows that share an id stay or go together; texts of any length are read
+whole; further columns, whatever their names, go through the filtering stages as they
+are; an empty table gives an empty result, stage by stage.
 """
 
 from __future__ import annotations
