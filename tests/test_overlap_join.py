@@ -1,10 +1,12 @@
 """Interval overlap join against pairing by hand: levels, bins, odd rows, a hot bin."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+import tontine.operators.intervals as intervals
 from tontine.operators.intervals import _levels, _placed, overlap_join
 
 
@@ -80,3 +82,25 @@ def test_hot_bin_is_split(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_bin_of_many_pairs_is_dealt_to_many_tasks(spark, monkeypatch):
+    """Few rows, but every pair of them meets in one bin: no task gives out more than a small part of the pairs."""
+    monkeypatch.setattr(intervals, "CHUNK", 20)
+    a = [(k, 1000, 1000 + 2000 * (k < 3), "x") for k in range(400)] + [(400, 5, 6, "x"), (401, None, 6, "x")]
+    b = [(k, 1000, 1001, "x") for k in range(300)] + [(7, 1000, 1001, "x"), (301, 6, 6, "x"), (302, 6, 5, "x")]
+    left, right = spark.createDataFrame(a, "i long, s long, t long, k string"), spark.createDataFrame(b, "j long, u long, v long, k string")
+    for keys in ([], ["k"]):
+        out = overlap_join(left.drop(*{"k"} - set(keys)), right.drop(*{"k"} - set(keys)), ("s", "t"), ("u", "v"), keys)
+        found = out.withColumn("task", F.spark_partition_id()).collect()
+        assert sorted((r.i, r.j) for r in found) == pairs(a, b, bool(keys))
+        most = max(Counter(r.task for r in found).values())
+        assert most < len(found) / 3                       # one task had them all
+
+
+def test_copies_of_one_row_are_dealt_too(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "CHUNK", 20)
+    left = spark.range(500).selectExpr("1 as i", "10L as s", "12L as t")
+    right = spark.range(400).selectExpr("2 as j", "11L as u", "11L as v")
+    tasks = overlap_join(left, right, ("s", "t"), ("u", "v")).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 200_000 and max(r["count"] for r in tasks) < 80_000
