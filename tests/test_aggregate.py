@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +73,35 @@ def test_hot_key_meets_as_a_few_states(spark, monkeypatch):
     assert out.where("k = 0").first().largest == 89_999 // 3 * 3
     assert [w.where("k = 0").count() for w in written] == [12, 3]
     assert out.count() == 1000
+
+
+def test_many_keys_cost_no_call_a_key(spark, monkeypatch):
+    """Most keys have a row or two: they are folded, merged and evaluated together, whatever is handed out."""
+    class Watched(TopTwo):
+        def update(self, state, rows):
+            raise AssertionError("a call a block")
+
+        merge = evaluate = update
+
+    df = spark.range(5_000).selectExpr("if(id % 50 = 0, null, id * 7919 % 2000) as k", "if(id % 11 = 0, null, id % 101) as v").repartition(9)
+    rows = [(r.k, r.v) for r in df.collect()]
+    for held in (100, 1_000_000):
+        out = aggregate(df, ["k"], {"value": "v"}, Watched(), fan=3, held=held)
+        assert {r.k: tuple(r[1:]) for r in out.collect()} == brute(rows)
+
+
+def test_blocks_equal_single_calls():
+    """The vectorised methods against those of the base class, with nulls, empty blocks, ties and least and greatest values."""
+    rnd, agg = random.Random(4), TopTwo()
+    for _ in range(60):
+        sizes = [rnd.choice([1, 1, 2, 3, 9]) for _ in range(rnd.randint(1, 30))]
+        starts = np.cumsum([0, *sizes[:-1]])
+        values = pa.array([rnd.choice([None, 0, 1, -5, 2**63 - 1, -2**63, rnd.randrange(4)]) for _ in range(sum(sizes))], pa.int64())
+        types = [pa.int64()] * 3
+        states = [pa.array(c, t) for c, t in zip(Aggregator.update_blocks(agg, {"value": values}, starts), types, strict=True)]
+        assert [c.to_pylist() for c in agg.update_blocks({"value": values}, starts)] == [c.to_pylist() for c in states]
+        cuts = np.unique([0, *[rnd.randrange(len(sizes)) for _ in range(5)]])
+        merged = [list(c) for c in Aggregator.merge_blocks(agg, states, cuts)]
+        assert [c.to_pylist() for c in agg.merge_blocks(states, cuts)] == merged
+        near = [pa.array([None if v is None else v // 4 for v in c.to_pylist()], pa.int64()) for c in states]
+        assert [c.to_pylist() for c in agg.evaluate_all(near)] == [list(c) for c in Aggregator.evaluate_all(agg, near)]
