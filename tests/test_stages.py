@@ -82,7 +82,7 @@ def test_a_second_session_builds_no_actuarial_stage(spark, tmp_path):
     data, root = tmp_path / "data", str(tmp_path / "store")
     data.mkdir()
     for t in ("orders", "customer", "nation", "region"):
-        shutil.copy(os.path.join(SF, f"{t}.parquet"), data / f"{t}.parquet")
+        shutil.copyfile(os.path.join(SF, f"{t}.parquet"), data / f"{t}.parquet")
     mine = actuarial.run(spark, str(data), store=StageStore(spark, root))
     rows = sorted(map(tuple, mine.prem_std.collect()))
     before = StageStore(spark, root).stages()
@@ -94,7 +94,7 @@ def test_a_second_session_builds_no_actuarial_stage(spark, tmp_path):
     assert f"prices {len(rows)} {len(before)}" in out
     spark.read.parquet(os.path.join(SF, "orders.parquet")).limit(500).coalesce(1).write.parquet(str(tmp_path / "o"))
     (part,) = [f for f in os.listdir(tmp_path / "o") if f.endswith(".parquet")]
-    shutil.copy(tmp_path / "o" / part, data / "orders.parquet")
+    shutil.copyfile(tmp_path / "o" / part, data / "orders.parquet")
     changed = actuarial.run(spark, str(data), store=StageStore(spark, root))
     assert changed.products.agg(F.sum("n_policies")).first()[0] < mine.products.agg(F.sum("n_policies")).first()[0]
     assert len(StageStore(spark, root).stages()) == len(before) + 1
