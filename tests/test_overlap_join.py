@@ -104,3 +104,33 @@ def test_copies_of_one_row_are_dealt_too(spark, monkeypatch):
     right = spark.range(400).selectExpr("2 as j", "11L as u", "11L as v")
     tasks = overlap_join(left, right, ("s", "t"), ("u", "v")).groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in tasks) == 200_000 and max(r["count"] for r in tasks) < 80_000
+
+
+def test_copies_grow_with_the_rows_and_not_with_the_pairs(spark, monkeypatch):
+    """All rows meet in one bin: four times the rows are sixteen times the pairs, but about four times the copies."""
+    monkeypatch.setattr(intervals, "CHUNK", 5)
+    copies, real = [], intervals._dealt
+    monkeypatch.setattr(intervals, "_dealt", lambda *a: copies.append((out := real(*a)).count()) or out)
+    for n in (400, 1600):
+        left = spark.range(n).selectExpr("id as i", "10L as s", "12L as t")
+        right = spark.range(n).selectExpr("id as j", "11L as u", "11L as v")
+        out = overlap_join(left, right, ("s", "t"), ("u", "v"))
+        assert out.groupBy().agg(F.count("*"), F.countDistinct("i", "j")).first()[:] == (n * n, n * n)
+    assert len(copies) == 4 and sum(copies[2:]) < 6 * sum(copies[:2])
+
+
+def test_chunks_have_a_greatest_size(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "CHUNK", 5)
+    monkeypatch.setattr(intervals, "LARGEST", 20)
+    monkeypatch.setattr(intervals, "CELLS", 1)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        left = spark.range(700).selectExpr("id as i", "10L as s", "12L as t")
+        right = spark.range(500).selectExpr("id as j", "11L as u", "11L as v")
+        tasks = overlap_join(left, right, ("s", "t"), ("u", "v")).groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in tasks) == 350_000
+        sizes = left.select(F.lit(0).alias("_l")), right.select(F.lit(0).alias("_l"))
+        assert intervals._crowded(*sizes, ["_l"])[0].first()[1:] == (35, 25)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
